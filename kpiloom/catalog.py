@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from kpiloom.functions import table_functions
 from kpiloom.functions.calendar import Period
 from kpiloom.functions.table_functions import KpiSettings
-from kpiloom.plans import calendar_load, kpis
+from kpiloom.plans import calendar_load, kpis, metric_views, wide
+from kpiloom.plans.semantic import MetricView, relationship_report
 from kpiloom.sources.star import RetailStar
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,5 +91,139 @@ def kpi_queries() -> dict[str, Query]:
     }
 
 
+def presented(frame: DataFrame) -> DataFrame:
+    """Decimals as doubles and dates as text, for comparing across engines."""
+    columns = []
+    for field in frame.schema.fields:
+        kind, column = field.dataType.simpleString(), F.col(field.name)
+        if kind.startswith("decimal"):
+            column = column.cast("double")
+        elif kind == "date":
+            column = F.date_format(column, "yyyy-MM-dd")
+        elif kind.startswith("timestamp"):
+            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+        columns.append(column.alias(field.name))
+    return frame.select(*columns)
+
+
+def ask(view: Callable[..., MetricView], *args, **question) -> Query:
+    """A question to a metric view as a registered query."""
+
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        built = view(RetailStar(spark, root), SETTINGS, *args)
+        return presented(built.query(**question))
+
+    return run
+
+
+def _relationships(star: RetailStar) -> DataFrame:
+    keys = {
+        "dim_geo": "geo_key",
+        "dim_product": "product_key",
+        "dim_campaign": "campaign_key",
+        "dim_member": "member_key",
+        "fact_order": "order_key",
+    }
+    checks = {name: (star.table(name).select(key), key) for name, key in keys.items()}
+    checks["fact_order_line"] = (star.lines("order_line_key"), "order_line_key")
+    return relationship_report(checks)
+
+
+def view_queries() -> dict[str, Query]:
+    s = SETTINGS
+    every = {
+        "basic": ["Recognized Revenue", "Order Line Count", "Distinct Members"],
+        "membership": [
+            "New Activations", "Cancellations", "Touched Members", "Churn Rate", "Ending MRR",
+            "Retention Window Cancellations", "Retention Window Touched", "Retention Window Churn Rate",
+            "Active Members Approx", "Subscription Event Count",
+        ],
+        "conformed": [
+            "Recognized Revenue", "Hardware Revenue", "Ending MRR", "Cancellations", "Touched Members",
+            "Churn Rate", "Active Members", "Distinct Members", "Order Line Count",
+        ],
+        "wide": [
+            "Recognized Revenue", "Hardware Revenue", "Hardware FYTD Revenue", "Last Fiscal Month Revenue",
+            "Last Fiscal Quarter Revenue", "FYTD Recognized Revenue", "Q1 Recognized Revenue",
+            "Q2 Recognized Revenue", "Spike Revenue", "Order Line Count", "Distinct Members",
+        ],
+    }
+    rich = [
+        "Recognized Revenue", "Gross Line Amount", "Hardware Revenue", "Order Line Count",
+        "Distinct Members", "Distinct Orders", "Avg Recognized Revenue per Member",
+    ]
+    monthly = ["Current Month Revenue", "Prior Month Revenue", "MoM Revenue Growth"]
+    region = "`Region Code` = 'EUROPE'"
+    views = metric_views
+    return {
+        "wide_members": on_star(lambda star: presented(wide.wide_members(star, s))),
+        "wide_orders": on_star(lambda star: presented(wide.wide_orders(star, s))),
+        "wide_subs": on_star(lambda star: presented(wide.wide_subscriptions(star, s))),
+        "active_members_exact": on_star(lambda star: wide.active_flags(star, s)),
+        "relationship_contract": on_star(_relationships),
+        "mv_basic_by_family": ask(views.sales_basic, dimensions=["Product Family"], measures=every["basic"]),
+        "mv_basic_by_tier_and_year": ask(
+            views.sales_basic, dimensions=["Member Tier", "Fiscal Year"], measures=every["basic"]
+        ),
+        "mv_rich_by_region": ask(
+            views.sales_rich, dimensions=["Region"], measures=rich, where=["Is Last Fiscal Quarter"],
+            order_by=["-Recognized Revenue"],
+        ),
+        "mv_rich_avg_per_member": ask(
+            views.sales_rich, dimensions=["Member Tier"],
+            measures=["Avg Recognized Revenue per Member", "Distinct Members"], where=["fytd"],
+        ),
+        "mv_rich_top_members": ask(
+            views.sales_rich, dimensions=["Member ID"], measures=["Hardware Revenue"], where=["Is Current FYTD"],
+            order_by=["-Hardware Revenue"], limit=10,
+        ),
+        "mv_rich_by_flag": ask(
+            views.sales_rich, dimensions=["Is Current Fiscal Q1", "Is Current Fiscal Q2", "Product Class"],
+            measures=["revenue", "Order Line Count"], where=["Is Current Fiscal Year", region],
+        ),
+        "mv_membership_churn": ask(views.membership, dimensions=["Campaign Code"], measures=every["membership"]),
+        "mv_membership_by_region": ask(
+            views.membership, dimensions=["Region", "Member Tier"], measures=every["membership"],
+            where=["Is Current FYTD"],
+        ),
+        "mv_membership_window_churn": ask(
+            views.membership, dimensions=["Campaign Code"], measures=["Churn Rate"],
+            where=["Is Retention Push Window"], order_by=["Churn Rate"],
+        ),
+        "mv_conformed_union": ask(
+            views.conformed, dimensions=["Fact Family", "Campaign Code"], measures=every["conformed"]
+        ),
+        "mv_conformed_by_region": ask(
+            views.conformed, s.subscriptions_as_of, dimensions=["Region", "Is Current Fiscal Year"],
+            measures=every["conformed"],
+        ),
+        "mv_conformed_active": ask(
+            views.conformed, s.subscriptions_as_of, measures=["Active Members"],
+            where=[region, "Is Current Fiscal Year"],
+        ),
+        "mv_wide_periods": ask(views.conformed_wide, dimensions=["Product Family"], measures=every["wide"]),
+        "mv_window_current_and_prior": ask(
+            views.sales_windowed, dimensions=["Product Class", "Fiscal Month Start"], measures=monthly
+        ),
+        "mv_window_mom_last": ask(views.sales_windowed, dimensions=["Region"], measures=monthly),
+        "mv_window_prior_of_one_month": ask(
+            views.sales_windowed, dimensions=["Fiscal Month Start"], measures=monthly,
+            where=["`Fiscal Month Start` = DATE '2000-03-01'"],
+        ),
+        "mv_window_fytd": ask(
+            views.sales_windowed, dimensions=["Region", "Fiscal Year"],
+            measures=["FYTD Window Revenue", "Recognized Revenue"],
+        ),
+        "mv_window_fytd_daily": ask(
+            views.sales_windowed, dimensions=["Calendar Date", "Fiscal Year"], measures=["FYTD Window Revenue"],
+            where=["`Fiscal Year` = 2000"],
+        ),
+        "mv_window_last_month_flag": ask(
+            views.sales_windowed, dimensions=["Region"],
+            measures=["Last Fiscal Month Revenue Flag", "Hardware Revenue", "Order Line Count"],
+        ),
+    }
+
+
 def queries() -> dict[str, Query]:
-    return {**calendar_queries(), **kpi_queries()}
+    return {**calendar_queries(), **kpi_queries(), **view_queries()}

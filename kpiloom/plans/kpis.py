@@ -68,10 +68,10 @@ def top_members_by_hardware_revenue(star: Star, as_of: date, limit: int = 10) ->
     hardware = star.dim_product().where(F.col("product_class").isin(*HARDWARE_CLASSES)).select("product_key")
     by_member = lines.join(hardware, "product_key").groupBy("member_key").agg(F.sum(NET).alias(NET))
     members = star.dim_member().select("member_key", "member_id", "display_handle")
+    # member_id is as unique as member_key, so there is nothing left to group.
     return (
         by_member.join(members, "member_key")
-        .groupBy("member_id", "display_handle")
-        .agg(money_sum(NET).alias("hardware_revenue_fytd"))
+        .select("member_id", "display_handle", money(F.col(NET)).alias("hardware_revenue_fytd"))
         .orderBy(F.desc("hardware_revenue_fytd"), "member_id")
         .limit(limit)
     )

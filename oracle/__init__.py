@@ -1,5 +1,5 @@
 """DuckDB SQL for every registered query that SQL can express."""
 
-from oracle import kpis
+from oracle import kpis, views
 
-ORACLE: dict[str, str] = {**kpis.ORACLE}
+ORACLE: dict[str, str] = {**kpis.ORACLE, **views.ORACLE}
