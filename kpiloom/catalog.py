@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from kpiloom.functions import table_functions
 from kpiloom.functions.calendar import Period
 from kpiloom.functions.table_functions import KpiSettings
-from kpiloom.plans import calendar_load, kpis, metric_views, wide
+from kpiloom.functions.text_rules import parsed_messages
+from kpiloom.plans import calendar_load, costs, kpis, metric_views, rollups, scoring, wide
+from kpiloom.plans.costs import Span
 from kpiloom.plans.semantic import MetricView, relationship_report
+from kpiloom.sources import answers as logs
 from kpiloom.sources.star import RetailStar
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -225,5 +228,116 @@ def view_queries() -> dict[str, Query]:
     }
 
 
+def _tco(star: RetailStar) -> DataFrame:
+    answered = logs.answers(star)
+    shares = costs.attribute_by_share(answered, logs.billing_usage(star), logs.list_prices(star))
+    return rollups.metric_tco(answered, costs.tier_costs(answered, shares), logs.dim_tier(star))
+
+
+def _on_logs(plan: Callable[[DataFrame], DataFrame]) -> Query:
+    return on_star(lambda star: presented(plan(logs.answers(star))))
+
+
+def _on_tco(plan: Callable[[DataFrame], DataFrame]) -> Query:
+    return on_star(lambda star: presented(plan(_tco(star))))
+
+
+def _updated(answered: DataFrame) -> DataFrame:
+    updated = scoring.with_scores(answered, scoring.evaluated(answered))
+    return updated.select(
+        "message_id", "run_id", "tier", "question_id", "attempt", "answer_score",
+        F.coalesce("correct", F.lit(False)).alias("correct"),
+        F.coalesce("failure_type", F.lit("")).alias("failure_type"),
+        F.coalesce(F.col("is_first_pass_correct").cast("int"), F.lit(-1)).alias("first_pass"),
+    )
+
+
+def scoring_queries() -> dict[str, Query]:
+    s = SETTINGS
+    label = F.coalesce("failure_type", F.lit("correct")).alias("failure_type")
+    return {
+        "message_parse": on_star(
+            lambda star: parsed_messages(logs.messages(star)).select(
+                "message_id", "status", "sql_text", "text_response", "clarification_asked"
+            )
+        ),
+        "latest_attempt": _on_logs(
+            lambda a: scoring.latest_attempts(a).select(*scoring.ANSWER_KEY, "attempt", "message_id", "status")
+        ),
+        "failure_classes": _on_logs(lambda a: scoring.classified(a).select("message_id", label)),
+        "rubric_scores": _on_logs(
+            lambda a: scoring.rubric_scores(a).select("message_id", "question_id", "correct", "answer_score")
+        ),
+        "update_scores": _on_logs(_updated),
+        "tier_accuracy": _on_logs(lambda a: scoring.tier_accuracy(scoring.evaluated(a))),
+        "contamination_gate": _on_tco(scoring.contamination_gate),
+        "dedup_order_lines": on_star(
+            lambda star: presented(
+                scoring.deduplicated_lines(star, "order_line_key", "product_key", "campaign_key", "net_recognized_amount")
+            )
+        ),
+        "result_normalized": on_star(scoring.normalized_answers),
+        "result_diff": on_star(scoring.region_diff),
+        "result_diff_scalar": on_star(scoring.scalar_diff),
+        "result_diff_pivot": on_star(scoring.quarter_pivot_diff),
+        "zero_or_empty": on_star(scoring.idle_skus, s),
+        "mv_vs_golden": on_star(scoring.views_against_golden, s),
+    }
+
+
+WINDOW = Span(datetime(2024, 1, 8, 0, 30), datetime(2024, 1, 21, 12, 15))
+SPACES = [f"space_{i}" for i in range(10)]
+WAREHOUSES = ["wh_0", "wh_1", "wh_3"]
+
+
+def _on_billing(plan: Callable[..., DataFrame], *args) -> Query:
+    return on_star(lambda star: presented(plan(logs.billing_usage(star), logs.list_prices(star), *args)))
+
+
+def _attributed(plan: Callable[..., DataFrame]) -> Query:
+    return on_star(lambda star: plan(logs.answers(star), logs.billing_usage(star), logs.list_prices(star)))
+
+
+def cost_queries() -> dict[str, Query]:
+    return {
+        "bill_window": _on_logs(costs.bill_windows),
+        "billing_by_sp": _on_billing(costs.billing_by_principal, WINDOW),
+        "warehouse_billing": _on_billing(costs.warehouse_billing, WINDOW, WAREHOUSES),
+        "hourly_rate": _on_billing(costs.hourly_rate, "Medium", datetime(2024, 1, 10), WAREHOUSES),
+        "hourly_rate_fallback": _on_billing(costs.hourly_rate, "Large", datetime(2030, 1, 1), WAREHOUSES),
+        "query_history_profile": on_star(
+            lambda star: costs.query_history_profile(logs.query_history(star), WINDOW, SPACES)
+        ),
+        "audit_by_space": on_star(lambda star: costs.audit_by_space(logs.audit_log(star), WINDOW, SPACES)),
+        "token_usage": on_star(lambda star: presented(costs.token_usage(logs.gateway_usage(star), WINDOW))),
+        "cost_single_run": _attributed(costs.attribute_by_window),
+        "cost_prorated": _attributed(costs.attribute_by_share),
+    }
+
+
+def rollup_queries() -> dict[str, Query]:
+    return {
+        "metric_tco": _on_tco(rollups.tco_ranked),
+        "metric_tco_by_axis": _on_tco(rollups.tco_by_axis),
+        "tco_above_floor": _on_tco(rollups.tco_above_floor),
+        "run_summary": _on_tco(rollups.run_summary),
+        "leaderboard_per_correct": _on_tco(rollups.leaderboard_per_correct),
+        "leaderboard_per_answer": _on_tco(lambda t: rollups.leaderboard_per_answer(rollups.run_costs_per_answer(t))),
+        "leaderboard_run_costs": _on_tco(rollups.run_costs_per_answer),
+        "answer_preview": _on_logs(
+            lambda a: rollups.answer_preview(scoring.classified(a), logs.decode_sql(F.col("generated_sql")))
+        ),
+        "run_matrix": _on_logs(lambda a: rollups.question_matrix(scoring.classified(a))),
+        "latest_run": _on_logs(rollups.latest_run),
+    }
+
+
 def queries() -> dict[str, Query]:
-    return {**calendar_queries(), **kpi_queries(), **view_queries()}
+    return {
+        **calendar_queries(),
+        **kpi_queries(),
+        **view_queries(),
+        **scoring_queries(),
+        **cost_queries(),
+        **rollup_queries(),
+    }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,17 +36,31 @@ def mean_of(value: Column) -> Column:
     return safe_ratio(F.sum(value), F.count(value))
 
 
+#: Enough places for cents split over hours and then over answers.
+FINE = "decimal(30,13)"
+
+
+def exact_sum(value: str | Column) -> Column:
+    """The sum of a double column, free of the order of its rows."""
+    column = F.col(value) if isinstance(value, str) else value
+    return as_double(F.sum(column.cast(FINE)))
+
+
+def exact_mean(value: str | Column) -> Column:
+    return F.try_divide(exact_sum(value), as_double(F.count(value)))
+
+
 def spread(value: Column) -> dict[str, Column]:
     """Mean, sample deviation, standard error, minimum and maximum.
 
-    The deviation of a single value is 0. Rounded, because Spark merges
-    partial moments in whatever order the partitions finish.
+    The deviation of a single value is 0. Deviations are rounded, because
+    Spark merges partial moments in whatever order the partitions finish.
     """
     deviation = F.coalesce(F.stddev_samp(value), F.lit(0.0))
     count = F.count(value)
     known = count > 0
     return {
-        "mean": F.round(F.avg(value), 8),
+        "mean": exact_mean(value),
         "std": F.round(F.when(known, deviation).otherwise(F.lit(0.0)), 8),
         "se": F.round(F.when(known, deviation / F.sqrt(count)), 8),
         "min": F.min(value),
@@ -108,13 +124,11 @@ def _ranked_percentile(counts: DataFrame, keys: list[str], fraction: float, name
             (F.col("_low") < F.col("_before") + F.col("_bucket_n")) & (F.col("_high") >= F.col("_before"))
         )
     )
-    same = [counts[k].eqNullSafe(wanted[k]) for k in keys] + [counts["_bucket"] == wanted["_bucket"]]
-    condition = same[0]
-    for part in same[1:]:
-        condition = condition & part
-    candidates = counts.join(wanted, condition).select(
-        *(counts[k] for k in keys), counts["_bucket"], "_value", "_n", "_before", "_low", "_high", "_part"
+    ranks = wanted.select(
+        *(F.col(k).alias(f"_of_{k}") for k in [*keys, "_bucket"]), "_before", "_low", "_high", "_part"
     )
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in [*keys, "_bucket"]))
+    candidates = counts.join(ranks, same)
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = candidates.withColumn("_until", F.col("_before") + F.sum("_n").over(inside))
     first = F.col("_until") - F.col("_n")
