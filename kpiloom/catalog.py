@@ -9,14 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.functions import table_functions
-from kpiloom.functions.calendar import Period
+from kpiloom.functions.calendar import FiscalCalendar, Period
 from kpiloom.functions.table_functions import KpiSettings
 from kpiloom.functions.text_rules import parsed_messages
+from kpiloom.operators.aggregates import money_sum
 from kpiloom.plans import calendar_load, costs, kpis, metric_views, rollups, scoring, wide
 from kpiloom.plans.costs import Span
 from kpiloom.plans.semantic import MetricView, relationship_report
+from kpiloom.session import shared_dir
 from kpiloom.sources import answers as logs
-from kpiloom.sources.star import RetailStar
+from kpiloom.sources import projections, sinks
+from kpiloom.sources.generator import Generator, Signals, sample_returns
+from kpiloom.sources.sinks import write_gold
+from kpiloom.sources.star import GoldStar, RetailStar
+from kpiloom.streaming.medallion import Medallion, quality_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -332,6 +338,161 @@ def rollup_queries() -> dict[str, Query]:
     }
 
 
+# -- ingest, sinks, generator ------------------------------------------------------
+
+
+def _delivered_twice(star: RetailStar, lake: Medallion, name: str, frame: DataFrame, dedup: str) -> DataFrame:
+    """A table through the medallion after its files landed twice."""
+    lake.land(frame, name)
+    lake.land(frame, name)
+    return lake.build(name, dedup)
+
+
+def _silver(name: str, table: Callable[[RetailStar], DataFrame], dedup: str) -> Query:
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        star, lake = RetailStar(spark, root), Medallion(spark, shared_dir(spark, "medallion"))
+        return presented(_delivered_twice(star, lake, name, table(star), dedup))
+
+    return run
+
+
+def _revenue_from_gold(spark: SparkSession, root: str) -> DataFrame:
+    star, lake = RetailStar(spark, root), Medallion(spark, shared_dir(spark, "medallion"))
+    for name in ("dim_geo", "fact_order_line"):
+        lake.land(star.table(name), name)
+        lake.build(name)
+    gold = GoldStar(spark, f"{lake.root}/gold", star.calendar)
+    return kpis.revenue_by_region_last_quarter(gold, SETTINGS.as_of)
+
+
+def _expectations(star: RetailStar) -> DataFrame:
+    report = quality_report(star.bronze_subscription_event(), "fact_subscription_event")
+    for name in ("dim_product", "fact_order", "fact_order_line"):
+        report = report.unionByName(quality_report(star.table(name), name))
+    return report
+
+
+def _clustered_roundtrip(spark: SparkSession, root: str) -> DataFrame:
+    """Order lines through the clustered layout, read back for one month."""
+    star, path = RetailStar(spark, root), shared_dir(spark, "clustered")
+    write_gold(star.fact_order_line(), "fact_order_line", f"{path}/fact_order_line")
+    gold = GoldStar(spark, path, star.calendar)
+    return kpis.revenue_last_fiscal_month(gold, SETTINGS.as_of)
+
+
+def _replaced_runs(spark: SparkSession, root: str) -> DataFrame:
+    """Costs by window, then the runs with a failed answer costed by share."""
+    star, path = RetailStar(spark, root), shared_dir(spark, "tier-cost")
+    answered, usage, prices = logs.answers(star), logs.billing_usage(star), logs.list_prices(star)
+    columns = ["run_id", "tier", "run_as_sp", "agent_units", "agent_cost_usd"]
+    sinks.replace_runs(costs.attribute_by_window(answered, usage, prices).select(*columns), path)
+    failed = answered.where(F.col("status") == "TIMEOUT").select("run_id").distinct()
+    shares = costs.attribute_by_share(answered, usage, prices).join(failed, "run_id", "left_semi")
+    sinks.replace_runs(shares.select(*columns), path)
+    return sinks.read_runs(spark, path)
+
+
+def _appended_runs(spark: SparkSession, root: str) -> DataFrame:
+    """The answer log appended in two parts and read back."""
+    star, path = RetailStar(spark, root), shared_dir(spark, "answers")
+    answered = logs.answers(star).select("run_id", "tier", "question_id", "attempt", "message_id", "status")
+    early = F.col("attempt") == 0
+    sinks.append_runs(answered.where(early), path)
+    sinks.append_runs(answered.where(~early), path)
+    return sinks.read_runs(spark, path)
+
+
+def ingest_queries() -> dict[str, Query]:
+    return {
+        "stream_silver_orders": _silver("fact_order", lambda star: star.fact_order(), "batch"),
+        "stream_silver_subscriptions": _silver(
+            "fact_subscription_event", lambda star: star.bronze_subscription_event(), "stateful"
+        ),
+        "stream_silver_usage": _silver("fact_usage_event", lambda star: star.fact_usage_event(), "watermark"),
+        "stream_silver_order_lines": _silver("fact_order_line", lambda star: star.fact_order_line(), "batch"),
+        "medallion_revenue_by_region": _revenue_from_gold,
+        "expectations_report": on_star(_expectations),
+        "clustered_write_roundtrip": _clustered_roundtrip,
+        "replace_by_run": _replaced_runs,
+        "append_answers": _appended_runs,
+    }
+
+
+def _gregorian_revenue(star: RetailStar) -> DataFrame:
+    """Revenue as the Gregorian look-alike of the calendar would report it."""
+    daily = star.fulfilled("recognition_date_key", kpis.NET).groupBy("recognition_date_key").agg(
+        F.sum(kpis.NET).alias(kpis.NET)
+    )
+    dates = F.broadcast(projections.fiscal_alt(star))
+    joined = daily.join(dates, F.col("recognition_date_key") == F.col("date_key"))
+    return joined.groupBy("fiscal_year", "fiscal_quarter", "fiscal_month").agg(
+        money_sum(kpis.NET).alias("revenue")
+    )
+
+
+def _converted_revenue(star: RetailStar) -> DataFrame:
+    """Revenue of the days the rates stub covers."""
+    daily = star.fulfilled("recognition_date_key", kpis.NET).groupBy("recognition_date_key").agg(
+        F.sum(kpis.NET).alias(kpis.NET)
+    )
+    rates = F.broadcast(projections.fx_rates(star))
+    joined = daily.join(rates, F.col("recognition_date_key") == F.col("date_key"))
+    return joined.groupBy("ccy").agg(
+        money_sum(kpis.NET).alias("revenue"), F.count(F.lit(1)).alias("n_days"), F.max("rate").alias("rate")
+    )
+
+
+def copy_queries() -> dict[str, Query]:
+    by_calendar = ("fx_rates", "fiscal_alt")
+    copies = {
+        f"copy_{name}": on_star(lambda star, plan=plan: presented(plan(star)))
+        for name, plan in projections.PROJECTIONS.items()
+        if name not in by_calendar
+    }
+    return {
+        **copies,
+        "copy_fiscal_alt_revenue": on_star(_gregorian_revenue),
+        "copy_fx_rates_revenue": on_star(_converted_revenue),
+    }
+
+
+GENERATOR = Generator(
+    calendar=FiscalCalendar.from_year(2023, date(2026, 2, 28)),
+    signals=Signals(launch=Period(2025, 2, 6)),
+    n_members=5000,
+    n_geos=25,
+    n_products=500,
+    n_campaigns=50,
+)
+
+
+def _generated(build: Callable[[Generator, DataFrame], DataFrame], table: str, **keys: str) -> Query:
+    """A generated table with one row per row of ``table``."""
+
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        rows = RetailStar(spark, root).raw(table)
+        return presented(build(GENERATOR, rows.select(*(F.expr(e).alias(n) for n, e in keys.items()))))
+
+    return run
+
+
+def generator_queries() -> dict[str, Query]:
+    line = {"order_line_key": "l_orderkey * 10 + l_linenumber", "order_key": "l_orderkey"}
+    return {
+        "gen_geos": _generated(Generator.geo, "nation", geo_key="n_nationkey + 1"),
+        "gen_products": _generated(Generator.product, "part", product_key="p_partkey + 1"),
+        "gen_campaigns": _generated(Generator.campaign, "supplier", campaign_key="s_suppkey + 1"),
+        "gen_members": _generated(Generator.member, "customer", member_key="c_custkey"),
+        "gen_orders": _generated(Generator.order, "orders", order_key="o_orderkey"),
+        "gen_lines": _generated(Generator.order_line, "lineitem", **line),
+        "gen_subscriptions": _generated(
+            Generator.subscription_event, "events", subscription_event_key="event_id"
+        ),
+        "gen_usage": _generated(Generator.usage_event, "events", usage_event_key="event_id"),
+        "gen_returns": _generated(lambda g, rows: sample_returns(g.order_line(rows)), "lineitem", **line),
+    }
+
+
 def queries() -> dict[str, Query]:
     return {
         **calendar_queries(),
@@ -340,4 +501,7 @@ def queries() -> dict[str, Query]:
         **scoring_queries(),
         **cost_queries(),
         **rollup_queries(),
+        **ingest_queries(),
+        **copy_queries(),
+        **generator_queries(),
     }

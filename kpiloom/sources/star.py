@@ -226,12 +226,18 @@ class RetailStar(Star):
         return self.calendar.date_key(F.col(column).cast("date"))
 
     def fact_order(self) -> DataFrame:
-        state = F.col("o_orderstatus")
+        """Orders. The source has no order geo, campaign, or later dates, so
+        these follow from the order key; lines have their own."""
+        state, key, day = F.col("o_orderstatus"), F.col("o_orderkey"), self._day_key("o_orderdate")
         return self.raw("orders").select(
-            F.col("o_orderkey").alias("order_key"),
-            F.format_string("ORD-%d", "o_orderkey").alias("order_id"),
+            key.alias("order_key"),
+            F.format_string("ORD-%d", key).alias("order_id"),
             F.col("o_custkey").alias("member_key"),
-            self._day_key("o_orderdate").alias("order_date_key"),
+            (key % 25).cast("int").alias("geo_key"),
+            (key % 10).alias("campaign_key"),
+            day.alias("order_date_key"),
+            (day + key % 8).cast("int").alias("ship_date_key"),
+            (day + key % 15).cast("int").alias("recognition_date_key"),
             F.col("o_totalprice").cast(PRICE).alias("order_gross_amount"),
             F.when(state == "F", "FULFILLED").when(state == "P", "SHIPPED").otherwise("OPEN").alias("order_status"),
         )

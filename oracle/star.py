@@ -55,7 +55,12 @@ VIEWS: dict[str, str] = {
     """,
     "fact_order": """
         SELECT o_orderkey AS order_key, 'ORD-' || o_orderkey AS order_id, o_custkey AS member_key,
+               CAST(o_orderkey % 25 AS INTEGER) AS geo_key, o_orderkey % 10 AS campaign_key,
                CAST(datediff('day', DATE '1994-01-31', CAST(o_orderdate AS DATE)) + 1 AS INTEGER) AS order_date_key,
+               CAST(datediff('day', DATE '1994-01-31', CAST(o_orderdate AS DATE)) + 1 + o_orderkey % 8 AS INTEGER)
+                   AS ship_date_key,
+               CAST(datediff('day', DATE '1994-01-31', CAST(o_orderdate AS DATE)) + 1 + o_orderkey % 15 AS INTEGER)
+                   AS recognition_date_key,
                CAST(o_totalprice AS DECIMAL(12,2)) AS order_gross_amount,
                CASE o_orderstatus WHEN 'F' THEN 'FULFILLED' WHEN 'P' THEN 'SHIPPED' ELSE 'OPEN' END AS order_status
         FROM orders
@@ -69,7 +74,9 @@ VIEWS: dict[str, str] = {
     """,
     "fact_order_line": """
         SELECT l_orderkey * 10 + l_linenumber AS order_line_key, l_orderkey AS order_key, l_partkey AS product_key,
-               CAST(l_quantity AS INTEGER) AS qty, returned AS return_amount, gross AS gross_amount,
+               CAST(l_quantity AS INTEGER) AS qty, returned AS return_amount,
+               CAST(datediff('day', DATE '1994-01-31', CAST(l_shipdate AS DATE)) + 1 AS INTEGER) AS ship_date_key,
+               gross AS gross_amount,
                CASE WHEN status = 'FULFILLED' THEN gross - returned ELSE 0 END AS net_recognized_amount,
                status AS line_status, o_custkey AS member_key, s_nationkey AS geo_key, l_suppkey AS campaign_key,
                CAST(datediff('day', DATE '1994-01-31', CAST(o_orderdate AS DATE)) + 1 AS INTEGER) AS order_date_key,
