@@ -8,8 +8,9 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.functions import table_functions
+from kpiloom.functions import snippets, table_functions
 from kpiloom.functions.calendar import FiscalCalendar, Period
+from kpiloom.functions.snippets import Question
 from kpiloom.functions.table_functions import KpiSettings
 from kpiloom.functions.text_rules import parsed_messages
 from kpiloom.operators.aggregates import money_sum
@@ -234,10 +235,14 @@ def view_queries() -> dict[str, Query]:
     }
 
 
-def _tco(star: RetailStar) -> DataFrame:
+def _tier_costs(star: RetailStar) -> DataFrame:
     answered = logs.answers(star)
     shares = costs.attribute_by_share(answered, logs.billing_usage(star), logs.list_prices(star))
-    return rollups.metric_tco(answered, costs.tier_costs(answered, shares), logs.dim_tier(star))
+    return costs.tier_costs(answered, shares)
+
+
+def _tco(star: RetailStar) -> DataFrame:
+    return rollups.metric_tco(logs.answers(star), _tier_costs(star), logs.dim_tier(star))
 
 
 def _on_logs(plan: Callable[[DataFrame], DataFrame]) -> Query:
@@ -285,6 +290,7 @@ def scoring_queries() -> dict[str, Query]:
         "result_normalized": on_star(scoring.normalized_answers),
         "result_diff": on_star(scoring.region_diff),
         "result_diff_scalar": on_star(scoring.scalar_diff),
+        "result_diff_top_n": on_star(scoring.ranking_diff),
         "result_diff_pivot": on_star(scoring.quarter_pivot_diff),
         "zero_or_empty": on_star(scoring.idle_skus, s),
         "mv_vs_golden": on_star(scoring.views_against_golden, s),
@@ -318,6 +324,7 @@ def cost_queries() -> dict[str, Query]:
         "token_usage": on_star(lambda star: presented(costs.token_usage(logs.gateway_usage(star), WINDOW))),
         "cost_single_run": _attributed(costs.attribute_by_window),
         "cost_prorated": _attributed(costs.attribute_by_share),
+        "fact_tier_cost": on_star(_tier_costs),
     }
 
 
@@ -493,11 +500,27 @@ def generator_queries() -> dict[str, Query]:
     }
 
 
+def snippet_queries() -> dict[str, Query]:
+    questions = {
+        "snippet_last_month_by_family": Question(
+            ("recognized_revenue", "hardware_revenue"), ("fulfilled", "last_fiscal_month"), ("product_family",)
+        ),
+        "snippet_region_last_quarter": Question(
+            ("recognized_revenue",), ("fulfilled", "last_fiscal_quarter", "home_region"), ("fiscal_month",)
+        ),
+        "snippet_spike": Question(("recognized_revenue",), ("fulfilled", "spike_window"), ("product_family",)),
+        "snippet_churn": Question(("churn_rate", "ending_mrr"), ("current_fytd", "retention_window"), ("fiscal_year",)),
+        "snippet_active_members": Question(("active_members",)),
+    }
+    return {name: on_star(snippets.ask, SETTINGS, question) for name, question in questions.items()}
+
+
 def queries() -> dict[str, Query]:
     return {
         **calendar_queries(),
         **kpi_queries(),
         **view_queries(),
+        **snippet_queries(),
         **scoring_queries(),
         **cost_queries(),
         **rollup_queries(),

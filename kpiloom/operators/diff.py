@@ -1,9 +1,9 @@
 """Set-based comparison of result sets with numeric tolerances.
 
 One job compares any number of answers with their golden results. Results of
-any shape come as rows of named text cells; ``normalized`` types and cleans
-them, ``columns_of`` picks the compared columns, ``keyed_diff`` joins both
-sides on the answer and its row key.
+any shape come as rows of named text cells; ``normalized`` cleans them and
+types the compared columns, ``keyed_diff`` joins both sides on the answer and
+its row key.
 """
 
 from __future__ import annotations
@@ -48,63 +48,54 @@ def cells(**named: Column) -> Column:
     return F.array(*(F.struct(F.lit(n).alias("name"), c.cast("string").alias("value")) for n, c in named.items()))
 
 
-def normalized(results: DataFrame) -> DataFrame:
-    """Results ``(answer_id, cells)`` cleaned for comparison.
+def normalized(results: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    """Result rows ``(answer_id, cells)`` as typed columns, cleaned.
 
-    Names become snake case, then known aliases unless the answer already has
-    the column they stand for. A column is numeric if any of its values is.
-    Rows without a number go if the answer has rows with one, and rows of
-    zeros go if it has others. What an answer as a whole has is one small
-    aggregate, as wide as its columns, joined back.
+    Names become snake case; a known alias stands in for a column the answer
+    lacks. All rows of an answer have the same names, so that needs one row
+    only. Two things need the whole answer. A column is numeric if any of its
+    values is. And rows without a number go if the answer has rows with one,
+    as do rows of zeros if it has others. Both come from boolean flags per
+    answer, joined back. ``_has_...`` tells which measures the answer brought.
     """
-    named = results.withColumn(
-        "cells", F.transform("cells", lambda c: F.struct(_plain(c["name"]).alias("name"), c["value"].alias("value")))
-    )
-    number = _number(F.col("cell.value"))
-    traits = (
-        named.select("answer_id", F.explode("cells").alias("cell"))
-        .groupBy("answer_id")
-        .agg(
-            F.collect_set("cell.name").alias("_names"),
-            F.collect_set(F.when(number.isNotNull(), F.col("cell.name"))).alias("_numeric"),
-            F.max(number.isNotNull()).alias("_has_number"),
-            F.max(F.coalesce(F.abs(number) > ZERO, F.lit(False))).alias("_has_nonzero"),
-        )
+    names = F.transform("cells", lambda c: _plain(c["name"]))
+    values = F.transform("cells", lambda c: c["value"])
+    numbers = F.transform("cells", lambda c: _number(c["value"]))
+    named = results.select("answer_id", names.alias("_columns"), values.alias("_values"), numbers.alias("_numbers"))
+
+    def position(name: str) -> Column:
+        """Where the column is; 0 when the row has neither it nor an alias."""
+        place = F.array_position("_columns", F.lit(name))
+        for alias in (a for a, target in COLUMN_ALIASES.items() if target == name):
+            place = F.when(place > 0, place).otherwise(F.array_position("_columns", F.lit(alias)))
+        return place.cast("int")
+
+    def at(array: str, place: Column) -> Column:
+        return F.get(F.col(array), place - 1)
+
+    places = {name: position(name) for name in (*keys, *measures)}
+    rows = named.select(
+        "answer_id",
+        "_columns",
+        *(at("_values", places[k]).alias(k) for k in keys),
+        *(at("_numbers", places[k]).alias(f"_number_{k}") for k in keys),
+        *(at("_numbers", places[m]).alias(m) for m in measures),
+        *((places[m] > 0).alias(f"_has_{m}") for m in measures),
+        F.exists("_numbers", lambda n: n.isNotNull()).alias("_row_number"),
+        F.exists("_numbers", lambda n: F.coalesce(F.abs(n) > ZERO, F.lit(False))).alias("_row_nonzero"),
     )
-    aliases = F.create_map(*(F.lit(x) for pair in COLUMN_ALIASES.items() for x in pair))
-
-    def renamed(name: Column) -> Column:
-        target = F.try_element_at(aliases, name)
-        return F.when(target.isNotNull() & ~F.array_contains("_names", target), target).otherwise(name)
-
-    def typed(cell: Column) -> Column:
-        numeric = F.array_contains("_numeric", cell["name"])
-        return F.struct(
-            renamed(cell["name"]).alias("name"),
-            F.when(~numeric, cell["value"]).alias("text"),
-            F.when(numeric, _number(cell["value"])).alias("number"),
-        )
-
-    rows = named.join(traits, "answer_id").withColumn("cells", F.transform("cells", typed))
-    row_number = F.exists("cells", lambda c: c["number"].isNotNull())
-    row_nonzero = F.exists("cells", lambda c: F.coalesce(F.abs(c["number"]) > ZERO, F.lit(False)))
-    kept = (
-        F.when(F.col("_has_nonzero"), row_nonzero).when(F.col("_has_number"), row_number).otherwise(F.lit(True))
+    flags = rows.groupBy("answer_id").agg(
+        F.max("_row_number").alias("_any_number"),
+        F.max("_row_nonzero").alias("_any_nonzero"),
+        *(F.max(F.col(f"_number_{k}").isNotNull()).alias(f"_numeric_{k}") for k in keys),
     )
-    return rows.where(kept).select("answer_id", "cells")
-
-
-def columns_of(rows: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
-    """Normalized rows as columns, with the names each row brought."""
-
-    def cell(name: str, field: str) -> Column:
-        return F.try_element_at(F.filter("cells", lambda c: c["name"] == name), F.lit(1))[field]
-
-    return rows.select(
-        "answer_id",
-        *(cell(k, "text").alias(k) for k in keys),
-        *(cell(m, "number").alias(m) for m in measures),
-        F.transform("cells", lambda c: c["name"]).alias("_columns"),
+    kept = F.when(F.col("_any_nonzero"), F.col("_row_nonzero")).when(F.col("_any_number"), F.col("_row_number"))
+    typed = {
+        k: F.when(F.col(f"_numeric_{k}"), F.col(f"_number_{k}").cast("string")).otherwise(F.col(k)) for k in keys
+    }
+    joined = rows.join(flags, "answer_id").where(kept.otherwise(F.lit(True)))
+    return joined.select(
+        "answer_id", *(c.alias(k) for k, c in typed.items()), *measures, *(f"_has_{m}" for m in measures)
     )
 
 
@@ -132,13 +123,13 @@ def keyed_diff(
 
     A key on one side only makes the answer wrong with score 0. Otherwise the
     score is the share of agreeing rows in the first measure that has a
-    disagreement. A measure the answer lacks (see ``_columns``) is not held
+    disagreement. A measure the answer lacks (``_has_...``) is not held
     against it. Without keys this compares two single values.
     """
     on = ["answer_id", *keys]
 
     def side(frame: DataFrame, tag: str) -> DataFrame:
-        extra = [F.col("_columns").alias(f"{tag}_columns")] if "_columns" in frame.columns else []
+        extra = [F.col(f"_has_{m}").alias(f"{tag}_has_{m}") for m in measures if f"_has_{m}" in frame.columns]
         return frame.select(
             *(F.col(k).alias(f"{tag}_{k}") for k in on),
             *(F.col(m).cast("double").alias(f"{tag}_{m}") for m in measures),
@@ -154,8 +145,8 @@ def keyed_diff(
     agree = {}
     for m in measures:
         ok = within(F.col(f"got_{m}"), F.col(f"gold_{m}"), tolerance)
-        if "_columns" in got.columns:
-            ok = ok | ~F.array_contains("got_columns", m)
+        if f"_has_{m}" in got.columns:
+            ok = ok | ~F.col(f"got_has_{m}")
         agree[m] = ok
     summary = joined.groupBy(F.coalesce("gold_answer_id", "got_answer_id").alias("answer_id")).agg(
         F.count(F.lit(1)).alias("n_keys"),

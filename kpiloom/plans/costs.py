@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kpiloom.operators.aggregates import as_double, exact_percentile, mean_of
 from kpiloom.operators.joins import with_valid_price
 from kpiloom.sources.answers import AGENT_PRODUCT, QUESTION_ACTIONS
+from kpiloom.sources.sinks import replace_runs
 
 
 @dataclass(frozen=True)
@@ -357,3 +358,12 @@ def tier_costs(answers: DataFrame, shares: DataFrame) -> DataFrame:
     )
     zeros = {name: F.lit(0.0) for name in UNATTRIBUTED}
     return shares.join(ids, ["run_id", "tier"], "left").withColumns(zeros)
+
+
+def write_tier_costs(answers: DataFrame, usage: DataFrame, prices: DataFrame, path: str) -> bool:
+    """Replace the costs of the answers' runs; False when nothing is billed yet."""
+    if not is_settled(agent_spend(usage, prices)):
+        return False
+    shares = attribute_by_share(answers, usage, prices)
+    replace_runs(tier_costs(answers, shares).withColumn("computed_at", F.current_timestamp()), path)
+    return True

@@ -232,7 +232,9 @@ def business_health(star: Star, as_of: date, subscriptions_as_of: date | None =
         ).alias("churn_rate_fytd"),
     )
     revenue = lines.agg(money_sum(NET).alias("recognized_revenue_fytd"))
-    return revenue.crossJoin(F.broadcast(health))
+    # Two rows with a side each; max puts them on one line.
+    sides = revenue.unionByName(health, allowMissingColumns=True)
+    return sides.agg(*(F.max(c).alias(c) for c in sides.columns))
 
 
 def campaign_churn(star: Star, window: Bounds, limit: int | None = 10) -> DataFrame:

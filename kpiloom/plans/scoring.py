@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kpiloom.functions.table_functions import KpiSettings
 from kpiloom.functions.text_rules import failure_type, rubric
 from kpiloom.operators.aggregates import safe_ratio
-from kpiloom.operators.diff import Tolerance, cells, columns_of, keyed_diff, normalized, zero_or_empty
+from kpiloom.operators.diff import Tolerance, cells, keyed_diff, normalized, top_rows, zero_or_empty
 from kpiloom.operators.joins import first_per_key
 from kpiloom.plans import kpis, metric_views
 from kpiloom.plans.kpis import NET
@@ -68,7 +68,7 @@ def golden_results(star: Star) -> DataFrame:
 
 
 def _typed(results: DataFrame) -> DataFrame:
-    return columns_of(normalized(results), ["region_name"], ["recognized_revenue"])
+    return normalized(results, ["region_name"], ["recognized_revenue"])
 
 
 def normalized_answers(star: Star) -> DataFrame:
@@ -93,6 +93,19 @@ def scalar_diff(star: Star) -> DataFrame:
     return keyed_diff(total(gold), total(star.fulfilled(*columns)), [], ["revenue"])
 
 
+def ranking_diff(star: Star, n: int = 10) -> DataFrame:
+    """The top SKUs of every fiscal year, ranked by revenue on both sides."""
+    columns = ("product_key", "recognition_date_key", NET)
+
+    def ranked(lines: DataFrame) -> DataFrame:
+        small = lines.groupBy("product_key", "recognition_date_key").agg(F.sum(NET).alias(NET))
+        yearly = _answered(small, star).groupBy(F.col("fiscal_year").cast("string").alias("answer_id"), "sku_code")
+        return top_rows(yearly.agg(F.sum(NET).alias("revenue")), "revenue", ["sku_code"], n)
+
+    gold = deduplicated_lines(star, *columns, "line_status").where(F.col("line_status") == "FULFILLED")
+    return keyed_diff(ranked(gold), ranked(star.fulfilled(*columns)), ["sku_code"], ["revenue"])
+
+
 def quarter_pivot_diff(star: Star) -> DataFrame:
     """Long answers (family, quarter, revenue) against wide golden rows."""
     columns = ("product_key", "recognition_date_key", NET)

@@ -271,16 +271,12 @@ class MetricView:
     ) -> DataFrame:
         fixed = [*filters, *(m.expr for m in leaves), *(m.where for m in leaves if m.where)]
         texts = [d.expr for d in dims] + fixed + ([self.filter] if self.filter else [])
-        late = self._late_joins(dims, fixed)
+        members = list(dict.fromkeys(m.expr for m in leaves if m.kind == "distinct"))
+        late = self._late_joins(dims, fixed, members)
         frame, refs = self._base(texts, span, {j.name for j in late})
         for text in filters:
             frame = frame.where(F.expr(_flat(text)))
-
-        members = list(dict.fromkeys(m.expr for m in leaves if m.kind == "distinct"))
-        if len(members) > 1:
-            frame = self._join(frame, late, refs)
-            return frame.groupBy(*_keys(dims)).agg(*(_direct(m) for m in leaves))
-        if not members and not late:
+        if len(members) > 1 or not (members or late):
             return frame.groupBy(*_keys(dims)).agg(*(_direct(m) for m in leaves))
 
         # Fold on (dimensions at hand, foreign keys still to join, member).
@@ -298,13 +294,19 @@ class MetricView:
                 folded = folded.groupBy(*(d.column for d in dims), "_member").agg(*(_merged(m) for m in leaves))
         return folded.groupBy(*(d.column for d in dims)).agg(*(_final(m) for m in leaves))
 
-    def _late_joins(self, dims: list[Dimension], fixed: list[str]) -> list[Join]:
-        """Large joins only dimensions use, with what hangs off them."""
+    def _late_joins(self, dims: list[Dimension], fixed: list[str], members: list[str]) -> list[Join]:
+        """Large joins only dimensions use, with what hangs off them.
+
+        Folding first pays when it shrinks the facts. Beside a distinct count
+        it only does so on the counted column itself; folding on a second key
+        as well would keep almost every row.
+        """
         early = {j.name for j in self._needed(_references(fixed))}
         late: list[Join] = []
         for join in self._needed(_references(d.expr for d in dims)):
             hangs = join.parent in {j.name for j in late}
-            if join.name not in early and (hangs or (join.large and join.parent == "source")):
+            starts = join.large and join.parent == "source" and members in ([], [join.foreign])
+            if join.name not in early and (hangs or starts):
                 late.append(join)
         return late
 

@@ -204,6 +204,14 @@ def totals(source: str) -> str:
     return f"SELECT answer_id, CAST(sum({NET}) AS DOUBLE) AS v FROM {source} GROUP BY answer_id"
 
 
+def top_skus(source: str) -> str:
+    return f"""
+        SELECT answer_id, sku_code, CAST(v AS DOUBLE) AS v
+        FROM (SELECT CAST(fiscal_year AS VARCHAR) AS answer_id, sku_code, sum({NET}) AS v FROM {source} GROUP BY ALL)
+        QUALIFY row_number() OVER (PARTITION BY answer_id ORDER BY v DESC, sku_code) <= 10
+    """
+
+
 OVERLAP = f"starts < {WINDOW_END} AND ends > {WINDOW_START}"
 TS = "'%Y-%m-%d %H:%M:%S'"
 WHS = "('wh_0', 'wh_1', 'wh_3')"
@@ -290,6 +298,7 @@ ORACLE = {
     "result_diff": sql(diff(
         "SELECT * FROM golden", "SELECT * FROM copied_clean", ["region_name"], ["v"])),
     "result_diff_scalar": sql(diff(totals("clean_sales"), totals("raw_sales"), [], ["v"])),
+    "result_diff_top_n": sql(diff(top_skus("clean_sales"), top_skus("raw_sales"), ["sku_code"], ["v"])),
     "result_diff_pivot": sql(diff(quarters("clean_sales"), quarters("raw_sales"), ["product_family"], ["q1", "q2"])),
     "zero_or_empty": sql(f"""
         SELECT sku_code AS answer_id, coalesce(max(abs({NET})), 0) <= 0.01 AS correct FROM dim_product
@@ -363,6 +372,9 @@ ORACLE = {
                    WHERE is_agent GROUP BY ALL) USING (run_as_sp)
         WHERE starts < bill_end AND ends > bill_start GROUP BY ALL"""),
     "cost_prorated": sql("SELECT * FROM shares"),
+    "fact_tier_cost": sql(f"""
+        SELECT run_id, tier, 'space_' || tier[2:] AS space_id, 'wh_' || (CAST(tier[2:] AS INTEGER) % 5) AS warehouse_id,
+               run_as_sp, agent_units, agent_cost_usd, {COST_ZEROS}, 0.0::DOUBLE AS audit_events FROM shares"""),
     "metric_tco": sql(TCO),
     "tco_above_floor": sql(TCO + " WHERE above_quality_floor"),
     "run_summary": sql(f"""

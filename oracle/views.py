@@ -196,6 +196,20 @@ ORACLE = {
         FROM (SELECT DISTINCT calendar_date, fiscal_year FROM sales WHERE fiscal_year = 2000) a
         JOIN (SELECT calendar_date, sum({NET}) AS v FROM sales WHERE fiscal_year = 2000 GROUP BY 1) b
           ON b.calendar_date <= a.calendar_date GROUP BY ALL"""),
+    "snippet_last_month_by_family": sql(f"""
+        SELECT product_family, {total(NET)} AS recognized_revenue,
+               {total(f'CASE WHEN {HARDWARE} THEN {NET} ELSE 0 END')} AS hardware_revenue
+        FROM {ALL_JOINS}, anchor WHERE {LAST_FM} GROUP BY product_family"""),
+    "snippet_region_last_quarter": sql(f"""
+        SELECT fiscal_month, {total(NET)} AS recognized_revenue FROM {ALL_JOINS}, anchor
+        WHERE {LAST_FQ} AND region_code = 'EUROPE' GROUP BY fiscal_month"""),
+    "snippet_spike": sql(f"""
+        SELECT product_family, {total(NET)} AS recognized_revenue FROM {ALL_JOINS} WHERE {SPIKE}
+        GROUP BY product_family"""),
+    "snippet_churn": sql(f"""
+        SELECT fiscal_year, {ratio(CANCELS, distinct('member_key'))} AS churn_rate, {total('mrr_delta')} AS ending_mrr
+        FROM subs, subs_anchor WHERE {FYTD} AND {RETENTION} GROUP BY fiscal_year"""),
+    "snippet_active_members": sql("SELECT count(*) AS active_members FROM active_flags WHERE is_active"),
     "mv_window_last_month_flag": sql(f"""
         SELECT region_name AS region, {total(NET, LAST_FM)} AS last_fiscal_month_revenue_flag,
                {total(NET, HARDWARE)} AS hardware_revenue, count(*) AS order_line_count
