@@ -265,7 +265,6 @@ def _updated(answered: DataFrame) -> DataFrame:
 
 def scoring_queries() -> dict[str, Query]:
     s = SETTINGS
-    label = F.coalesce("failure_type", F.lit("correct")).alias("failure_type")
     return {
         "message_parse": on_star(
             lambda star: parsed_messages(logs.messages(star)).select(
@@ -275,7 +274,7 @@ def scoring_queries() -> dict[str, Query]:
         "latest_attempt": _on_logs(
             lambda a: scoring.latest_attempts(a).select(*scoring.ANSWER_KEY, "attempt", "message_id", "status")
         ),
-        "failure_classes": _on_logs(lambda a: scoring.classified(a).select("message_id", label)),
+        "failure_classes": _on_logs(lambda a: scoring.classified(a).select("message_id", "failure_type").fillna("correct")),
         "rubric_scores": _on_logs(
             lambda a: scoring.rubric_scores(a).select("message_id", "question_id", "correct", "answer_score")
         ),

@@ -113,6 +113,23 @@ class FiscalCalendar:
 
     # -- DataFrame side ----------------------------------------------------
 
+    def anchor_row(self, spark: SparkSession, as_of: date) -> DataFrame:
+        """The anchor of one day as a row; empty outside the calendar."""
+        a = self.anchor(as_of)
+        if a is None:
+            return self.anchor_row(spark, self.end).where(F.lit(False))
+        values = {
+            "current_fy": a.current.year,
+            "current_fm": a.current.month,
+            "current_fq": a.current.quarter,
+            "last_fm_year": a.last_month.year,
+            "last_fm_month": a.last_month.month,
+            "last_fm_quarter": a.last_month.quarter,
+            "last_fq_year": a.last_quarter.year,
+            "last_fq": a.last_quarter.quarter,
+        }
+        return spark.range(1).select(*(F.lit(v).alias(n) for n, v in values.items()))
+
     def date_key(self, day: Column) -> Column:
         return (F.datediff(day, F.lit(self.start)) + 1).cast("int")
 

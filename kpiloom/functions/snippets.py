@@ -12,9 +12,7 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from kpiloom.functions.calendar import fiscal_anchors
 from kpiloom.functions.table_functions import KpiSettings
 from kpiloom.plans.kpis import last_subscription_days
 from kpiloom.sources.star import Star
@@ -92,7 +90,7 @@ def ask(star: Star, settings: KpiSettings, question: Question) -> DataFrame:
         "geo": star.dim_geo,
         "products": star.dim_product,
         "campaigns": star.dim_campaign,
-        "anchor": lambda: _anchor(star, as_of),
+        "anchor": lambda: star.calendar.anchor_row(star.spark, as_of),
     }
     args = {
         "active_since": star.calendar.key_of(settings.active_rule.since),
@@ -106,7 +104,3 @@ def ask(star: Star, settings: KpiSettings, question: Question) -> DataFrame:
     frames = {name: build() for name, build in tables.items() if f"{{{name}}}" in statement}
     return star.spark.sql(statement, args=given, **frames)
 
-
-def _anchor(star: Star, as_of) -> DataFrame:
-    day = star.spark.range(1).select(F.lit(as_of).alias("as_of"))
-    return fiscal_anchors(day, star.dim_date())

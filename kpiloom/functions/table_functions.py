@@ -67,7 +67,7 @@ def register(star: Star, settings: KpiSettings, *names: str) -> list[str]:
         plan = plans[name]()
         plan.createOrReplaceTempView(f"{name}_plan")
         if name == SKU_FUNCTION:
-            # One row for any SKU: the argument is the left side of the join.
+            # One row for any SKU: the argument is the one row on the left.
             spark.sql(
                 f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(sku STRING) "
                 "RETURNS TABLE (sku_code STRING, recognized_revenue DOUBLE) "

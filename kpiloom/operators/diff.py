@@ -2,14 +2,13 @@
 
 One job compares any number of answers with their golden results. Results of
 any shape come as rows of named text cells; ``normalized`` cleans them and
-types the compared columns, ``keyed_diff`` joins both sides on the answer and
+types the compared columns, ``keyed_diff`` folds both sides on the answer and
 its row key.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -106,10 +105,8 @@ def top_rows(frame: DataFrame, measure: str, keys: list[str], n: int) -> DataFra
 
 
 def within(got: Column, gold: Column, tolerance: Tolerance) -> Column:
-    """Missing numbers count as 0."""
-    g, a = F.coalesce(gold, F.lit(0.0)), F.coalesce(got, F.lit(0.0))
-    gap = F.abs(g - a)
-    return (gap <= tolerance.absolute) | (gap <= F.abs(g) * tolerance.relative)
+    gap = F.abs(gold - got)
+    return (gap <= tolerance.absolute) | (gap <= F.abs(gold) * tolerance.relative)
 
 
 def keyed_diff(
@@ -122,36 +119,48 @@ def keyed_diff(
     """Per answer: are both sides' rows the same, and which share agrees?
 
     A key on one side only makes the answer wrong with score 0. Otherwise the
-    score is the share of agreeing rows in the first measure that has a
+    score is the share of agreeing keys in the first measure that has a
     disagreement. A measure the answer lacks (``_has_...``) is not held
     against it. Without keys this compares two single values.
+
+    The sides are stacked and folded per key instead of joined: one shuffle,
+    combined map-side, with no outer join for a hot answer to unbalance. A key
+    that repeats on the answer's side agrees if all its values do, which its
+    least and greatest decide.
     """
     on = ["answer_id", *keys]
 
-    def side(frame: DataFrame, tag: str) -> DataFrame:
-        extra = [F.col(f"_has_{m}").alias(f"{tag}_has_{m}") for m in measures if f"_has_{m}" in frame.columns]
+    def side(frame: DataFrame, is_gold: bool) -> DataFrame:
+        lacks = {m: ~F.col(f"_has_{m}") if f"_has_{m}" in frame.columns else F.lit(False) for m in measures}
+        values = [F.coalesce(F.col(m).cast("double"), F.lit(0.0)).alias(m) for m in measures]
         return frame.select(
-            *(F.col(k).alias(f"{tag}_{k}") for k in on),
-            *(F.col(m).cast("double").alias(f"{tag}_{m}") for m in measures),
-            F.lit(True).alias(f"{tag}_here"),
-            *extra,
+            *on, *values, *(lacks[m].alias(f"_lacks_{m}") for m in measures), F.lit(is_gold).alias("_gold")
         )
 
-    left, right = side(gold, "gold"), side(got, "got")
-    equal = [F.col("gold_answer_id") == F.col("got_answer_id")]
-    equal += [F.col(f"gold_{k}").eqNullSafe(F.col(f"got_{k}")) for k in keys]
-    joined = left.join(right, reduce(Column.__and__, equal), "full_outer")
-    both = F.col("gold_here") & F.col("got_here")
-    agree = {}
+    is_gold = F.col("_gold")
+    folds = []
     for m in measures:
-        ok = within(F.col(f"got_{m}"), F.col(f"gold_{m}"), tolerance)
-        if f"_has_{m}" in got.columns:
-            ok = ok | ~F.col(f"got_has_{m}")
-        agree[m] = ok
-    summary = joined.groupBy(F.coalesce("gold_answer_id", "got_answer_id").alias("answer_id")).agg(
+        theirs = F.when(~is_gold, F.col(m))
+        folds += [
+            F.max(F.when(is_gold, F.col(m))).alias(f"gold_{m}"),
+            F.min(theirs).alias(f"least_{m}"),
+            F.max(theirs).alias(f"most_{m}"),
+            F.max(F.when(~is_gold, F.col(f"_lacks_{m}"))).alias(f"lacks_{m}"),
+        ]
+    per_key = side(gold, True).unionByName(side(got, False)).groupBy(*on).agg(
+        F.max(is_gold).alias("in_gold"), F.max(~is_gold).alias("in_got"), *folds
+    )
+    both = F.col("in_gold") & F.col("in_got")
+
+    def agrees(m: str) -> Column:
+        expected = F.col(f"gold_{m}")
+        near = [within(F.col(f"{end}_{m}"), expected, tolerance) for end in ("least", "most")]
+        return F.col(f"lacks_{m}") | (near[0] & near[1])
+
+    summary = per_key.groupBy("answer_id").agg(
         F.count(F.lit(1)).alias("n_keys"),
         F.count_if(both).alias("n_both"),
-        *(F.count_if(both & ok).alias(f"ok_{m}") for m, ok in agree.items()),
+        *(F.count_if(both & agrees(m)).alias(f"ok_{m}") for m in measures),
     )
     matched = F.col("n_keys") == F.col("n_both")
     shares = [F.col(f"ok_{m}") / F.col("n_both") for m in measures]
