@@ -175,12 +175,14 @@ def query_history_profile(history: DataFrame, span: Span, spaces: list[str]) ->
         F.count_if("from_result_cache").alias("cached_queries"),
     )
     p95 = exact_percentile(asked.select(*keys, "total_duration_ms"), keys, "total_duration_ms", 0.95, "p95")
+    # Whole milliseconds interpolate to hundredths; drop float noise below those.
+    tenths = F.round(F.round("p95", 6), 1)
     seconds = {
         f"{name}_sec": F.round(F.col(f"{name}_ms") / 1000, 2) for name in ("total_duration", "execution_duration")
     }
     return (
         profile.withColumns(seconds)
-        .join(p95.withColumn("p95", F.round("p95", 1)).withColumnRenamed("p95", "p95_total_duration_ms"), keys, "left")
+        .join(p95.select(*keys, tenths.alias("p95_total_duration_ms")), keys, "left")
         .orderBy(F.desc("execution_duration_ms"), *keys)
     )
 

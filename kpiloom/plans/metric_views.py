@@ -321,7 +321,7 @@ def _conformed_source(star: Star, settings: KpiSettings, as_of: date):
     order_only = ("order_line_key", "order_key", NET, "gross_amount")
     from_dates = (*FISCAL.values(), "calendar_date", *FLAG_COLUMNS.values())
     types = {"order_line_key": "bigint", "order_key": "bigint", NET: "decimal(18,4)",
-             "gross_amount": "decimal(12,2)", "mrr_delta": "decimal(12,2)"}
+             "gross_amount": "decimal(16,2)", "mrr_delta": "decimal(16,2)"}
 
     def side(frame: DataFrame, family: str, date_key: str, wanted: list[str], tables: list) -> DataFrame:
         asks = set(wanted)

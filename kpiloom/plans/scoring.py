@@ -39,10 +39,8 @@ def _answered(lines: DataFrame, star: Star) -> DataFrame:
 
 
 def _by_region(lines: DataFrame, star: Star) -> DataFrame:
-    """Revenue per answer and region, summed per SKU and nation first."""
-    small = lines.groupBy("product_key", "recognition_date_key", "geo_key").agg(F.sum(NET).alias(NET))
     geo = star.dim_geo().select("geo_key", "region_name")
-    return _answered(small, star).join(geo, "geo_key").groupBy("answer_id", "region_name").agg(F.sum(NET).alias(NET))
+    return _answered(lines, star).join(geo, "geo_key").groupBy("answer_id", "region_name").agg(F.sum(NET).alias(NET))
 
 
 REGION_COLUMNS = ("product_key", "recognition_date_key", "geo_key", NET)
@@ -85,8 +83,7 @@ def scalar_diff(star: Star) -> DataFrame:
     """One number per answer: the SKU-year's whole revenue."""
 
     def total(lines: DataFrame) -> DataFrame:
-        small = lines.groupBy("product_key", "recognition_date_key").agg(F.sum(NET).alias(NET))
-        return _answered(small, star).groupBy("answer_id").agg(F.sum(NET).alias("revenue"))
+        return _answered(lines, star).groupBy("answer_id").agg(F.sum(NET).alias("revenue"))
 
     columns = ("product_key", "recognition_date_key", NET)
     gold = deduplicated_lines(star, *columns, "line_status").where(F.col("line_status") == "FULFILLED")
@@ -98,8 +95,7 @@ def ranking_diff(star: Star, n: int = 10) -> DataFrame:
     columns = ("product_key", "recognition_date_key", NET)
 
     def ranked(lines: DataFrame) -> DataFrame:
-        small = lines.groupBy("product_key", "recognition_date_key").agg(F.sum(NET).alias(NET))
-        yearly = _answered(small, star).groupBy(F.col("fiscal_year").cast("string").alias("answer_id"), "sku_code")
+        yearly = _answered(lines, star).groupBy(F.col("fiscal_year").cast("string").alias("answer_id"), "sku_code")
         return top_rows(yearly.agg(F.sum(NET).alias("revenue")), "revenue", ["sku_code"], n)
 
     gold = deduplicated_lines(star, *columns, "line_status").where(F.col("line_status") == "FULFILLED")
@@ -112,8 +108,7 @@ def quarter_pivot_diff(star: Star) -> DataFrame:
     quarters = {1: "q1_revenue", 2: "q2_revenue"}
 
     def dated(lines: DataFrame) -> DataFrame:
-        small = lines.groupBy("product_key", "recognition_date_key").agg(F.sum(NET).alias(NET))
-        families = _answered(small, star).withColumn("answer_id", F.col("fiscal_year").cast("string"))
+        families = _answered(lines, star).withColumn("answer_id", F.col("fiscal_year").cast("string"))
         return families.where(F.col("fiscal_quarter").isin(*quarters))
 
     long = dated(star.fulfilled(*columns)).groupBy("answer_id", "product_family", "fiscal_quarter").agg(
@@ -180,7 +175,8 @@ def views_against_golden(star: Star, settings: KpiSettings) -> DataFrame:
             kpis.campaign_churn(star, settings.retention, limit=None),
             stacked.query(
                 ["Campaign Code"], ["Churn Rate"],
-                ["Is Retention Push Window", "`Fact Family` = 'subscription'"],
+                # The golden query knows no campaign outside its dimension.
+                ["Is Retention Push Window", "`Fact Family` = 'subscription'", "`Campaign Code` IS NOT NULL"],
             ),
             ["campaign_code"], "churn_rate", 1e-9,
         ),

@@ -118,9 +118,7 @@ def wide_subscriptions(star: Star, settings: KpiSettings) -> DataFrame:
         "subscription_event_key",
         "event_type",
         "mrr_delta",
-        F.when(F.col("is_current_fytd"), F.col("mrr_delta"))
-        .otherwise(F.lit(0).cast("decimal(12,2)"))
-        .alias("fytd_mrr_delta"),
+        F.when(F.col("is_current_fytd"), F.col("mrr_delta")).otherwise(0).alias("fytd_mrr_delta"),
         cancel.cast("int").alias("is_cancel"),
         window.cast("int").alias("in_retention_window"),
         (cancel & window).cast("int").alias("retention_cancel"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.sources.star import PRICE, RetailStar
+from kpiloom.sources.star import RetailStar, as_money, cents
 
 # Statements and replies the answer log cycles through.
 STATEMENTS = (
@@ -71,7 +71,7 @@ def answers(star: RetailStar) -> DataFrame:
             "clarification_asked"
         ),
         (event % 13).cast("int").alias("row_count"),
-        F.col("value").cast(PRICE).alias("latency_ms"),
+        as_money(cents("value")).alias("latency_ms"),
         F.col("reply").alias("text_response"),
         F.when(F.col("status") == "FAILED", F.lit("failed")).alias("error"),
         "correct",
@@ -165,7 +165,7 @@ def billing_usage(star: RetailStar) -> DataFrame:
         F.col("ts").cast("date").alias("usage_date"),
         hour.alias("usage_start_time"),
         F.when(F.col("event_id") % 2 == 0, hour + F.expr("INTERVAL 1 HOUR")).alias("usage_end_time"),
-        (F.col("value").cast(PRICE) * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(14,4)").alias("usage_quantity"),
+        as_money(cents("value"), 4).alias("usage_quantity"),
         F.when(k % 3 == 0, AGENT_PRODUCT).otherwise("SQL").alias("billing_origin_product"),
         F.struct(_numbered("sp_", k % 10).alias("run_as")).alias("identity_metadata"),
         F.struct(
@@ -194,7 +194,7 @@ def list_prices(star: RetailStar) -> DataFrame:
 def query_history(star: RetailStar) -> DataFrame:
     """Statement timings per agent space and warehouse."""
     k = F.col("k")
-    total = (F.col("value").cast(PRICE) * 100).cast("bigint")
+    total = cents("value")
     base = star.event_rows().withColumn("total", total)
     part = {
         "execution_duration_ms": "total div 2",

@@ -24,8 +24,22 @@ from kpiloom.functions.calendar import FiscalCalendar
 
 Bounds = tuple[date, date]
 
-PRICE = "decimal(12,2)"
-RATE = "decimal(4,2)"
+
+
+def cents(column: str) -> Column:
+    """A stored double amount as whole cents."""
+    return F.rint(F.col(column) * 100).cast("bigint")
+
+
+def as_money(units: Column, places: int = 2) -> Column:
+    """Whole units of ``10 ** -places`` as a decimal.
+
+    Amounts stored as doubles go through integers: turning a double into a
+    decimal directly formats it as text, row by row.
+    """
+    unit = F.lit(f"{10 ** -places:.{places}f}").cast(f"decimal({places},{places})")
+    return (units.cast("decimal(13,0)") * unit).cast(f"decimal({14 + places},{places})")
+
 
 # Event types that count as an active subscription.
 ACTIVE_EVENTS = ("ACTIVATE", "RENEW")
@@ -238,7 +252,7 @@ class RetailStar(Star):
             day.alias("order_date_key"),
             (day + key % 8).cast("int").alias("ship_date_key"),
             (day + key % 15).cast("int").alias("recognition_date_key"),
-            F.col("o_totalprice").cast(PRICE).alias("order_gross_amount"),
+            as_money(cents("o_totalprice")).alias("order_gross_amount"),
             F.when(state == "F", "FULFILLED").when(state == "P", "SHIPPED").otherwise("OPEN").alias("order_status"),
         )
 
@@ -247,8 +261,8 @@ class RetailStar(Star):
         if unknown:
             raise ValueError(f"no such order line columns: {sorted(unknown)}")
         wanted = set(columns)
-        gross = F.col("l_extendedprice").cast(PRICE)
-        returned = gross * F.col("l_discount").cast(RATE)
+        gross, off = cents("l_extendedprice"), cents("l_discount")
+        quantity = F.col("l_quantity").cast("int")
         flag, state = F.col("l_returnflag"), F.col("l_linestatus")
         status = (
             F.when(flag == "R", "RETURNED")
@@ -260,13 +274,12 @@ class RetailStar(Star):
             "order_line_key": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
             "order_key": F.col("l_orderkey"),
             "product_key": F.col("l_partkey"),
-            "qty": F.col("l_quantity").cast("int"),
-            "unit_price": (gross / F.col("l_quantity").cast("int")).cast(PRICE),
-            "return_amount": returned,
-            "gross_amount": gross,
-            "net_recognized_amount": F.when(status == "FULFILLED", gross - returned).otherwise(
-                F.lit(0).cast("decimal(18,4)")
-            ),
+            "qty": quantity,
+            # Rounded half up in whole cents.
+            "unit_price": as_money(F.floor((gross * 2 + quantity) / (quantity * 2))),
+            "return_amount": as_money(gross * off, 4),
+            "gross_amount": as_money(gross),
+            "net_recognized_amount": as_money(F.when(status == "FULFILLED", gross * (100 - off)).otherwise(0), 4),
             "line_status": status,
             "campaign_key": F.col("l_suppkey"),
             "ship_date_key": day,
@@ -292,7 +305,7 @@ class RetailStar(Star):
             events = events.where(F.col("event_type").isin(*kinds))
         kind = F.col("event_type")
         named = F.when(kind == "signup", "ACTIVATE").when(kind == "purchase", "RENEW").when(kind == "error", "CANCEL")
-        amount = F.col("value").cast(PRICE)
+        amount = as_money(cents("value"))
         return events.select(
             F.col("event_id").alias("subscription_event_key"),
             F.col("user_id").alias("member_key"),
