@@ -38,8 +38,13 @@ def _plain(name: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(name), "[^a-z0-9]+", "_"), F.lit("_"))
 
 
-def _number(value: Column) -> Column:
-    return F.round(value.try_cast("double"), 4)
+def _rounded(number: Column) -> Column:
+    return F.round(number, 4)
+
+
+def _not_zero(number: Column) -> Column:
+    """Beyond the zero bound once rounded to 4 places."""
+    return F.coalesce(F.abs(number) >= ZERO + 0.00005, F.lit(False))
 
 
 def cells(**named: Column) -> Column:
@@ -59,7 +64,7 @@ def normalized(results: DataFrame, keys: list[str], measures: list[str]) -> Data
     """
     names = F.transform("cells", lambda c: _plain(c["name"]))
     values = F.transform("cells", lambda c: c["value"])
-    numbers = F.transform("cells", lambda c: _number(c["value"]))
+    numbers = F.transform("cells", lambda c: c["value"].try_cast("double"))
     named = results.select("answer_id", names.alias("_columns"), values.alias("_values"), numbers.alias("_numbers"))
 
     def position(name: str) -> Column:
@@ -77,11 +82,11 @@ def normalized(results: DataFrame, keys: list[str], measures: list[str]) -> Data
         "answer_id",
         "_columns",
         *(at("_values", places[k]).alias(k) for k in keys),
-        *(at("_numbers", places[k]).alias(f"_number_{k}") for k in keys),
-        *(at("_numbers", places[m]).alias(m) for m in measures),
+        *(_rounded(at("_numbers", places[k])).alias(f"_number_{k}") for k in keys),
+        *(_rounded(at("_numbers", places[m])).alias(m) for m in measures),
         *((places[m] > 0).alias(f"_has_{m}") for m in measures),
         F.exists("_numbers", lambda n: n.isNotNull()).alias("_row_number"),
-        F.exists("_numbers", lambda n: F.coalesce(F.abs(n) > ZERO, F.lit(False))).alias("_row_nonzero"),
+        F.exists("_numbers", _not_zero).alias("_row_nonzero"),
     )
     flags = rows.groupBy("answer_id").agg(
         F.max("_row_number").alias("_any_number"),

@@ -30,17 +30,22 @@ def deduplicated_lines(star: Star, *columns: str) -> DataFrame:
     return first_per_key(star.lines(*wanted), ["order_line_key"], *LINE_ORDER).select(*columns)
 
 
-def _answered(lines: DataFrame, star: Star) -> DataFrame:
-    """Lines with the answer they belong to: one per SKU and fiscal year."""
+def _yearly(lines: DataFrame, star: Star, *keys: str) -> DataFrame:
+    """Revenue per product and fiscal year, on the narrow keys facts carry."""
     dates = F.broadcast(star.dim_date().select("date_key", "fiscal_year", "fiscal_quarter"))
-    skus = star.dim_product().select("product_key", "sku_code", "product_family")
     dated = lines.join(dates, F.col("recognition_date_key") == F.col("date_key"))
-    return dated.join(skus, "product_key").withColumn("answer_id", F.concat_ws("|", "sku_code", "fiscal_year"))
+    return dated.groupBy("product_key", "fiscal_year", *keys).agg(F.sum(NET).alias(NET))
+
+
+def _answered(yearly: DataFrame, star: Star) -> DataFrame:
+    """Sums with the answer they belong to: one per SKU and fiscal year."""
+    skus = star.dim_product().select("product_key", "sku_code", "product_family")
+    return yearly.join(skus, "product_key").withColumn("answer_id", F.concat_ws("|", "sku_code", "fiscal_year"))
 
 
 def _by_region(lines: DataFrame, star: Star) -> DataFrame:
     geo = star.dim_geo().select("geo_key", "region_name")
-    return _answered(lines, star).join(geo, "geo_key").groupBy("answer_id", "region_name").agg(F.sum(NET).alias(NET))
+    return _answered(_yearly(lines.join(geo, "geo_key"), star, "region_name"), star)
 
 
 REGION_COLUMNS = ("product_key", "recognition_date_key", "geo_key", NET)
@@ -83,7 +88,7 @@ def scalar_diff(star: Star) -> DataFrame:
     """One number per answer: the SKU-year's whole revenue."""
 
     def total(lines: DataFrame) -> DataFrame:
-        return _answered(lines, star).groupBy("answer_id").agg(F.sum(NET).alias("revenue"))
+        return _answered(_yearly(lines, star), star).select("answer_id", F.col(NET).alias("revenue"))
 
     columns = ("product_key", "recognition_date_key", NET)
     gold = deduplicated_lines(star, *columns, "line_status").where(F.col("line_status") == "FULFILLED")
@@ -95,8 +100,9 @@ def ranking_diff(star: Star, n: int = 10) -> DataFrame:
     columns = ("product_key", "recognition_date_key", NET)
 
     def ranked(lines: DataFrame) -> DataFrame:
-        yearly = _answered(lines, star).groupBy(F.col("fiscal_year").cast("string").alias("answer_id"), "sku_code")
-        return top_rows(yearly.agg(F.sum(NET).alias("revenue")), "revenue", ["sku_code"], n)
+        yearly = _answered(_yearly(lines, star), star)
+        named = yearly.select(F.col("fiscal_year").cast("string").alias("answer_id"), "sku_code", F.col(NET).alias("revenue"))
+        return top_rows(named, "revenue", ["sku_code"], n)
 
     gold = deduplicated_lines(star, *columns, "line_status").where(F.col("line_status") == "FULFILLED")
     return keyed_diff(ranked(gold), ranked(star.fulfilled(*columns)), ["sku_code"], ["revenue"])
@@ -108,7 +114,8 @@ def quarter_pivot_diff(star: Star) -> DataFrame:
     quarters = {1: "q1_revenue", 2: "q2_revenue"}
 
     def dated(lines: DataFrame) -> DataFrame:
-        families = _answered(lines, star).withColumn("answer_id", F.col("fiscal_year").cast("string"))
+        quarterly = _answered(_yearly(lines, star, "fiscal_quarter"), star)
+        families = quarterly.withColumn("answer_id", F.col("fiscal_year").cast("string"))
         return families.where(F.col("fiscal_quarter").isin(*quarters))
 
     long = dated(star.fulfilled(*columns)).groupBy("answer_id", "product_family", "fiscal_quarter").agg(
