@@ -24,12 +24,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from kpiloom.operators.joins import first_per_key
 from kpiloom.sources.sinks import exists, write_gold
 from kpiloom.sources.star import PRODUCT_CLASSES, SUBSCRIPTION_EVENTS, TABLE_KEYS
 
+OBSERVED = "expectations"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -100,6 +102,16 @@ def quality_report(frame: DataFrame, name: str) -> DataFrame:
     )
 
 
+def _observed(query: StreamingQuery) -> dict[str, int]:
+    """The observed counts, summed over the query's micro-batches."""
+    totals: dict[str, int] = {}
+    for progress in query.recentProgress:
+        row = progress.observedMetrics.get(OBSERVED)
+        for name, count in (row.asDict() if row else {}).items():
+            totals[name] = totals.get(name, 0) + count
+    return totals
+
+
 class Medallion:
     """The tables under one root folder: ``landing``, ``bronze``, ``silver``, ``gold``."""
 
@@ -116,7 +128,7 @@ class Medallion:
         """Drop another batch of raw files."""
         frame.write.mode("append").parquet(self.path("landing", name))
 
-    def _run(self, stream: DataFrame, layer: str, name: str) -> None:
+    def _run(self, stream: DataFrame, layer: str, name: str) -> StreamingQuery:
         query = (
             stream.writeStream.format("parquet")
             .outputMode("append")
@@ -125,6 +137,7 @@ class Medallion:
             .start(self.path(layer, name))
         )
         query.awaitTermination()
+        return query
 
     def _stream(self, layer: str, name: str, schema: StructType) -> DataFrame:
         reader = self.spark.readStream.schema(schema).option("maxBytesPerTrigger", self.MAX_BYTES)
@@ -140,31 +153,38 @@ class Medallion:
         landed = self._stream("landing", name, schema)
         self._run(landed.withColumn("_ingest_ts", F.current_timestamp()), "bronze", name)
 
-    def refine(self, name: str, dedup: str = "batch", within: str = "1 day") -> None:
-        """Bronze to silver: types, expectations, dedup on the business key."""
+    def refine(self, name: str, dedup: str = "batch", within: str = "1 day") -> dict[str, int]:
+        """Bronze to silver: types, expectations, dedup on the business key.
+
+        Returns how many rows came in and how many broke each expectation,
+        counted while they streamed by.
+        """
         schema = self.table("bronze", name).schema
-        stream = normalized_types(self._stream("bronze", name, schema), name).where(meets(name))
-        key = TABLE_KEYS[name]
+        typed = normalized_types(self._stream("bronze", name, schema), name)
+        broken = [F.count_if(~e.holds).alias(e.name) for e in EXPECTATIONS[name]]
+        watched = typed.observe(OBSERVED, F.count(F.lit(1)).alias("n_rows"), *broken)
+        stream, key = watched.where(meets(name)), TABLE_KEYS[name]
         if dedup == "batch":
-            self._refine_by_batch(stream, name, key)
+            query = self._refine_by_batch(stream, name, key)
         elif dedup == "stateful":
-            self._with_rocksdb(stream.dropDuplicates([key]), name)
+            query = self._with_rocksdb(stream.dropDuplicates([key]), name)
         elif dedup == "watermark":
             bounded = stream.withWatermark("_ingest_ts", within)
-            self._with_rocksdb(bounded.dropDuplicatesWithinWatermark([key]), name)
+            query = self._with_rocksdb(bounded.dropDuplicatesWithinWatermark([key]), name)
         else:
             raise ValueError(f"no such dedup: {dedup}")
+        return _observed(query)
 
-    def _with_rocksdb(self, stream: DataFrame, name: str) -> None:
+    def _with_rocksdb(self, stream: DataFrame, name: str) -> StreamingQuery:
         provider = "spark.sql.streaming.stateStore.providerClass"
         before = self.spark.conf.get(provider)
         self.spark.conf.set(provider, ROCKSDB)
         try:
-            self._run(stream, "silver", name)
+            return self._run(stream, "silver", name)
         finally:
             self.spark.conf.set(provider, before)
 
-    def _refine_by_batch(self, stream: DataFrame, name: str, key: str) -> None:
+    def _refine_by_batch(self, stream: DataFrame, name: str, key: str) -> StreamingQuery:
         target = self.path("silver", name)
 
         def write(batch: DataFrame, batch_id: int) -> None:
@@ -184,6 +204,7 @@ class Medallion:
             .start()
         )
         query.awaitTermination()
+        return query
 
     def publish(self, name: str) -> None:
         """Silver to gold, as a clustered snapshot."""

@@ -34,6 +34,14 @@ def test_bad_rows_and_copies_are_dropped_over_restarts(spark, lake, dedup):
     assert lake.build(NAME, dedup).count() == 2
 
 
+@pytest.mark.parametrize("dedup", ["batch", "stateful"])
+def test_broken_rows_are_counted_while_streaming(spark, lake, dedup):
+    lake.land(events(spark, [(1, 1, "RENEW"), (2, 1, "CLICK"), (None, 2, "CANCEL"), (None, 2, None)]), NAME)
+    lake.ingest(NAME)
+    assert lake.refine(NAME, dedup) == {"n_rows": 4, "valid_subscription_event_key": 2, "known_event_type": 2}
+    assert lake.refine(NAME, dedup) == {}
+
+
 def test_hot_key_leaves_one_row_and_the_first_in_order(spark, lake):
     copies = spark.range(3000).selectExpr("7L AS subscription_event_key", "id AS member_key", "'RENEW' AS event_type", "9 AS event_date_key")
     lake.land(copies, NAME)
