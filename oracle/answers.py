@@ -373,9 +373,9 @@ ORACLE = {
                CAST(coalesce(sum(units), 0) AS DOUBLE) AS agent_units, CAST(coalesce(sum(cost), 0) AS DOUBLE) AS agent_cost_usd
         FROM (SELECT DISTINCT run_id, tier, space_id, warehouse_id, run_as_sp FROM answers)
         JOIN run_windows USING (run_id)
-        LEFT JOIN (SELECT run_as_sp, starts, ends, sum(units) AS units, sum(cost) AS cost FROM priced
-                   WHERE is_agent GROUP BY ALL) USING (run_as_sp)
-        WHERE starts < bill_end AND ends > bill_start GROUP BY ALL"""),
+        LEFT JOIN (SELECT run_as_sp AS sp, starts, ends, sum(units) AS units, sum(cost) AS cost FROM priced
+                   WHERE is_agent GROUP BY ALL) ON run_as_sp = sp AND starts < bill_end AND ends > bill_start
+        GROUP BY run_id, tier, space_id, warehouse_id, run_as_sp"""),
     "cost_prorated": sql("SELECT * FROM shares"),
     "fact_tier_cost": sql(f"""
         SELECT run_id, tier, 'space_' || tier[2:] AS space_id, 'wh_' || (CAST(tier[2:] AS INTEGER) % 5) AS warehouse_id,

@@ -64,7 +64,9 @@ def main(argv: list[str]) -> int:
     from kpiloom.session import local_session
 
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    spark = local_session("compare", 8)
+    # COMPARE_CONF="key=value ..." tries other settings, such as no broadcasts.
+    extra = dict(pair.split("=", 1) for pair in os.environ.get("COMPARE_CONF", "").split())
+    spark = local_session("compare", 8, **extra)
     connection = duck(sf_dir)
     queries, oracle = entry.queries(), entry.oracle_sql()
     bad = 0
