@@ -50,28 +50,32 @@ def _any(blob: Column, words: tuple[str, ...]) -> Column:
     return reduce(Column.__or__, (blob.contains(w) for w in words))
 
 
-def rubric(answers: DataFrame, health: str, spike: str, sql: Column) -> DataFrame:
-    """Keyword scores for the two open questions.
+def rubric_columns(health: str, spike: str, sql: Column) -> dict[str, Column]:
+    """Keyword verdict and score for the two open questions, NULL for others.
 
     Health: two of the words, or a clarifying question. Spike: the month, and
     either the launch by name or product and campaign together.
     """
-    blob = F.lower(F.concat(F.coalesce("text_response", F.lit("")), F.lit("\n"), F.coalesce(sql, F.lit(""))))
-    judged = answers.where(F.col("question_id").isin(health, spike)).withColumn("blob", blob)
-    text = F.col("blob")
+    text = F.lower(F.concat(F.coalesce("text_response", F.lit("")), F.lit("\n"), F.coalesce(sql, F.lit(""))))
     hits = reduce(Column.__add__, (text.contains(w).cast("int") for w in HEALTH_WORDS))
     health_ok = (hits >= 2) | _any(text, HEALTH_ENOUGH)
     structure = _any(text, SPIKE_PRODUCT) & _any(text, SPIKE_CAMPAIGN)
     spike_ok = _any(text, SPIKE_MONTH) & (
         _any(text, SPIKE_NAMES) | structure | text.contains(SPIKE_FUNCTION)
     )
-    is_health = F.col("question_id") == health
-    return judged.withColumns(
-        {
-            "correct": F.when(is_health, health_ok).otherwise(spike_ok),
-            "answer_score": F.when(is_health, F.least(hits / 4, F.lit(1.0))).otherwise(spike_ok.cast("double")),
-        }
-    ).drop("blob")
+    question = F.col("question_id")
+    return {
+        "correct": F.when(question == health, health_ok).when(question == spike, spike_ok),
+        "answer_score": F.when(question == health, F.least(hits / 4, F.lit(1.0))).when(
+            question == spike, spike_ok.cast("double")
+        ),
+    }
+
+
+def rubric(answers: DataFrame, health: str, spike: str, sql: Column) -> DataFrame:
+    """The two open questions' answers with their keyword scores."""
+    judged = answers.where(F.col("question_id").isin(health, spike))
+    return judged.withColumns(rubric_columns(health, spike, sql))
 
 
 # The shape of a chat message as the conversation API returns it.

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.functions.table_functions import KpiSettings
-from kpiloom.functions.text_rules import failure_type, rubric
+from kpiloom.functions.text_rules import failure_type, rubric, rubric_columns
 from kpiloom.operators.aggregates import safe_ratio
 from kpiloom.operators.diff import Tolerance, cells, keyed_diff, normalized, top_rows, zero_or_empty
 from kpiloom.operators.joins import first_per_key
 from kpiloom.plans import kpis, metric_views
 from kpiloom.plans.kpis import NET
 from kpiloom.sources.answers import decode_sql
+from kpiloom.sources.sinks import read_runs, replace_runs
 from kpiloom.sources.star import Star
 
 ANSWER_KEY = ["run_id", "tier", "question_id"]
@@ -209,16 +210,18 @@ def classified(answers: DataFrame) -> DataFrame:
     return answers.withColumn("failure_type", label)
 
 
+OPEN_QUESTIONS = ("Q4", "Q7")
+
+
 def rubric_scores(answers: DataFrame) -> DataFrame:
-    return rubric(answers, "Q4", "Q7", decode_sql(F.col("generated_sql")))
+    return rubric(answers, *OPEN_QUESTIONS, decode_sql(F.col("generated_sql")))
 
 
 def evaluated(answers: DataFrame) -> DataFrame:
     """Scores of the latest attempts; open questions by rubric, others as matched."""
-    latest = latest_attempts(answers)
-    judged = rubric_scores(latest)
-    matched = latest.where(~F.col("question_id").isin("Q4", "Q7"))
-    scored = classified(judged.unionByName(matched))
+    judged = rubric_columns(*OPEN_QUESTIONS, decode_sql(F.col("generated_sql")))
+    verdicts = {name: F.coalesce(verdict, F.col(name)) for name, verdict in judged.items()}
+    scored = classified(latest_attempts(answers).withColumns(verdicts))
     return scored.select(*ANSWER_KEY, "attempt", "message_id", "correct", "answer_score", "failure_type")
 
 
@@ -246,6 +249,12 @@ def with_scores(answers: DataFrame, scores: DataFrame) -> DataFrame:
     return joined.withColumns(updates).select(*answers.columns)
 
 
+def update_scores(spark: SparkSession, path: str) -> None:
+    """Score the answer table at ``path`` in place, all its runs in one job."""
+    stored = read_runs(spark, path)
+    replace_runs(with_scores(stored, evaluated(stored)), path)
+
+
 def tier_accuracy(scores: DataFrame) -> DataFrame:
     return scores.groupBy("tier").agg(
         F.count(F.lit(1)).alias("n_answers"),

@@ -5,9 +5,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from kpiloom.plans import costs
+from kpiloom.plans import costs, scoring
 from kpiloom.sources import answers as logs
-from kpiloom.sources.sinks import read_runs, replace_runs
+from kpiloom.sources.sinks import append_runs, read_runs, replace_runs
 
 USAGE = (
     "cloud string, sku_name string, usage_date date, usage_start_time timestamp_ntz, usage_end_time timestamp_ntz, "
@@ -97,3 +97,15 @@ def test_replacing_runs_is_idempotent_and_leaves_others(spark, tmp_path):
         replace_runs(second, path)
         got = sorted((r.run_id, r.v) for r in read_runs(spark, path).collect())
         assert got == sorted([(f"r{i}", i) for i in range(40) if i != 3] + [("r3", 300), ("r3", 301), ("r99", 99)])
+
+
+def test_scores_are_written_back_in_place(spark, star, tmp_path):
+    path = str(tmp_path / "answers")
+    answered = logs.answers(star)
+    append_runs(answered, path)
+    for _ in range(2):
+        scoring.update_scores(spark, path)
+        stored = read_runs(spark, path).select(*answered.columns)
+        want = scoring.with_scores(answered, scoring.evaluated(answered))
+        assert stored.count() == want.count()
+        assert stored.exceptAll(want).isEmpty()
