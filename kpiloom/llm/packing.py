@@ -17,6 +17,7 @@ further columns are not read.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections import defaultdict
@@ -33,42 +34,55 @@ CAPACITY = 2048
 END = 0
 #: Pieces of one length that are ranked together.
 RANKED = 20_000
-#: Bits of text whose ids a task remembers, before it forgets them all.
-REMEMBERED = 400_000
+#: Words whose ids a task remembers before it forgets them all, and those encoded at a time.
+REMEMBERED, ENCODED = 250_000, 20_000
 
-# A blank starts a piece of the tokenizer's own splitting if what follows is not
-# white space; texts where that doesn't hold throughout are encoded whole.
-_ODD = re.compile(r"\x20(?:\s|\Z)|<\|")
+# A single blank or line end before a word always starts a piece of the
+# tokenizer's own splitting. Texts with any other white space, or with what may
+# be a special token, are encoded whole.
+_ODD = re.compile(r"[\x20\n](?:\s|\Z)|[^\S\x20\n]|\A\s|<\|")
 
 
 class Encoder:
-    """Token ids as little-endian 32-bit bytes, remembered by blank-led word."""
+    """Token ids as little-endian 32-bit bytes, remembered by word: those that
+    follow a blank and those that begin a line."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.line = self._whole("\n")
+        self.after, self.first = {}, {"": b""}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _whole(self, text: str) -> bytes:
+        return self._ids(text).tobytes()
+
+    def _learn(self, known: dict[str, bytes], words: list[str], blank: str) -> None:
+        # Words on lines of their own: the line ends' ids part them again.
+        end = np.frombuffer(self.line, "<u4")[0]
+        for i in range(0, len(words), ENCODED):
+            some = words[i : i + ENCODED]
+            ids = self._ids("\n".join([blank + w for w in some]))
+            edges = [-1, *np.flatnonzero(ids == end).tolist(), len(ids)]
+            for word, s, e in zip(some, edges[:-1], edges[1:], strict=False):
+                known[word] = ids[s + 1 : e].tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        split: list[list[str] | None] = []
-        for text in texts:
-            if _ODD.search(text) or text[:1] == " ":
-                split.append(None)
-            else:
-                first, *rest = text.split(" ")
-                split.append([first, *[" " + r for r in rest]])
-        new = {w for words in split if words for w in words}.difference(self.known)
-        new = list(new)
-        self.known.update(zip(new, self._encode(new)))
-        whole = iter(self._encode([t for t, words in zip(texts, split) if words is None]))
-        known = self.known.__getitem__
-        return [next(whole) if words is None else b"".join(map(known, words)) for words in split]
+        if len(self.after) + len(self.first) > REMEMBERED:
+            self.after, self.first = {}, {"": b""}
+        split = [None if _ODD.search(t) else [line.split(" ") for line in t.split("\n")] for t in texts]
+        lines = [line for text in split if text for line in text]
+        self._learn(self.first, list({line[0] for line in lines}.difference(self.first)), "")
+        self._learn(self.after, list(set().union(*[line[1:] for line in lines]).difference(self.after)), " ")
+        first, after = self.first, self.after.__getitem__
+        return [
+            self._whole(text) if lines is None else self.line.join([first[line[0]] + b"".join(map(after, line[1:])) for line in lines])
+            for text, lines in zip(texts, split)
+        ]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -82,7 +96,9 @@ def cuts(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 def _cutter(path: str, capacity: int, with_ids: bool):
     def cut(batches):
-        encoder = _ENCODERS.setdefault(path, None) or _ENCODERS.__setitem__(path, Encoder(path)) or _ENCODERS[path]
+        if path not in _ENCODERS:
+            _ENCODERS[path] = Encoder(path)
+        encoder = _ENCODERS[path]
         end = np.array([END], "<u4").tobytes()
         for batch in slices(batches):
             rows: list[tuple[int, int, int, int, int]] = []

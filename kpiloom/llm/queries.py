@@ -9,7 +9,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import packing, pii, quality, scoring_lm
+from kpiloom.llm import lines, minhash, packing, pii, quality, scoring_lm, substrings, vectors
 from kpiloom.llm.common import table
 
 #: The tokenizer's file, a parameter of every operator that needs one.
@@ -25,6 +25,11 @@ def _visible(spark: SparkSession) -> None:
         path["PYTHONPATH"] = os.pathsep.join(filter(None, [root, path.get("PYTHONPATH", "")]))
 
 
+def op1_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _visible(spark)
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     _visible(spark)
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
@@ -35,6 +40,11 @@ def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring_lm.scores(table(spark, sf_dir, "documents"))
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _visible(spark)
+    return substrings.digest(substrings.without_repeats(table(spark, sf_dir, "documents")))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _visible(spark)
     return packing.digest(packing.packed(table(spark, sf_dir, "documents"), TOKENIZER, ["doc_id"]))
@@ -44,12 +54,26 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(quality.verdicts(table(spark, sf_dir, "documents"), ["doc_id"]))
 
 
+def op9_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _visible(spark)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _visible(spark)
+    return lines.digest(lines.without_repeated_lines(table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_embedding_near_duplicates,
         op2_personal_data,
         op3_lm_scores,
+        op4_repeated_passages,
         op7_best_fit_packing,
         op8_quality_rules,
+        op9_minhash_near_duplicates,
+        op10_line_dedup,
     )
 }
