@@ -118,7 +118,8 @@ def leaves(rows: DataFrame) -> DataFrame:
     done = []
     while True:
         sizes = rows.groupBy("node").agg(F.count("*").alias("rows"), F.max("before").alias("before"))
-        ready = (F.col("rows") <= LEAF) | (F.col("rows") > STUCK * F.col("before"))
+        stuck = F.coalesce(F.col("rows") > STUCK * F.col("before"), F.lit(False))
+        ready = (F.col("rows") <= LEAF) | stuck
         sized = stored(rows.drop("before").join(sizes.select("node", "rows", ready.alias("ready")), "node"), "forest")
         done.append(sized.where("ready").select("id", "n", "v", "tree", "node", "rows"))
         open_rows = sized.where("not ready")
