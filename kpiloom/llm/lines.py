@@ -8,12 +8,13 @@ one only if an earlier line is the same, since one word is too much of it.
 Two lines are one edit apart if they are equal once one word is deleted from one
 of them, or from both at the same place. So each line gives the hashes of all
 its one-word deletions and of itself, and equal hashes are joined. Before that,
-a filter that loses nothing: an edit leaves the first or the second half as it
-is, so only lines that share a half with another line give deletions at all.
+a filter that loses nothing: an edit leaves the first or the last ``EDGE`` words
+as they are, so only lines that share these with another line give deletions.
 
 Each hash keeps its earliest line only, a minimum combined before the shuffle,
 so a hash of any number of lines costs a row per line. The earliest neighbour is
-confirmed on the words themselves.
+confirmed on the words themselves. Texts are shuffled once, by row, and both the
+deletions and the rewriting read that shuffle.
 
 A null text has no lines; blank lines are kept; a row without an id comes before
 all others, and rows without one, or with the same one, are told apart by their
@@ -32,6 +33,8 @@ from pyspark.sql import functions as F
 from kpiloom.llm.common import BASE, hashes_of, mixed, ragged, slices, stored
 
 LEAST_WORDS = 8
+#: Words at either end, one of which an edit leaves alone.
+EDGE = LEAST_WORDS // 2
 _M = 2**64
 _INVERSE = pow(BASE, -1, _M)
 
@@ -75,18 +78,6 @@ def _key(values: np.ndarray, salt: int) -> np.ndarray:
     return mixed(values ^ np.uint64(salt * 0x9E3779B97F4A7C15 % _M))
 
 
-def half_keys(hashes: np.ndarray) -> np.ndarray:
-    """Keys of which two lines one edit apart share at least one.
-
-    For a line as it is: its first and its second half, with its length. For a
-    line from which a word will be deleted: the same halves that the shorter
-    line has, before and after the deletion."""
-    r, n = Rolling(hashes), len(hashes)
-    h, short = n // 2, (n - 1) // 2
-    parts = [(r.part(0, h), n, 1), (r.part(h, n), n, 2), (r.part(0, short), n - 1, 1), (r.part(short + 1, n), n - 1, 2)]
-    return np.concatenate([_key(p, 4 * length + side) for p, length, side in parts])
-
-
 def deletion_keys(hashes: np.ndarray) -> np.ndarray:
     """Keys of the line's deletions with their places, for replaced words."""
     out = Rolling(hashes).deletions()
@@ -118,58 +109,59 @@ def line_words(text: str | None) -> list[list[bytes]]:
     return [s.split() for s in text.encode("utf-8", "surrogatepass").split(b"\n")] if text else []
 
 
-def _digest(words: list[bytes]) -> bytes:
-    return xxhash.xxh3_128_digest(b" ".join(words))
+def _long(value: int) -> int:
+    return value - _M if value >> 63 else value
 
 
 def _lines(batches):
-    """A row per line that has words: its digest, where it is, and the keys of its halves."""
+    """A row per line that has words: where it is, its two hashes, and those of
+    its first and last words."""
     for batch in slices(batches):
-        row, number, digest, keys = [], [], [], []
+        rows = []
         for i, text in enumerate(batch.column("text").to_pylist()):
             for j, words in enumerate(line_words(text)):
                 if words:
-                    row.append(i)
-                    number.append(j)
-                    digest.append(_digest(words))
-                    keys.append(half_keys(hashes_of(words)) if len(words) >= LEAST_WORDS else np.empty(0, np.uint64))
-        at = pa.array(row, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(at), batch.column("row").take(at), pa.array(number, pa.int32()), pa.array(digest, pa.binary()), ragged(keys, pa.int64())],
-            ["doc_id", "row", "number", "digest", "halves"],
-        )
+                    whole = xxhash.xxh3_128_intdigest(b" ".join(words))
+                    edges = (None, None)
+                    if len(words) >= LEAST_WORDS:
+                        edges = [_long(xxhash.xxh3_64_intdigest(b" ".join(w), seed)) for seed, w in enumerate((words[:EDGE], words[-EDGE:]))]
+                    rows.append((i, j, _long(whole >> 64), _long(whole % _M), *edges))
+        at, number, *cols = zip(*rows) if rows else [()] * 6
+        at = pa.array(at, pa.int64())
+        arrays = [batch.column("doc_id").take(at), batch.column("row").take(at), pa.array(number, pa.int32()), *[pa.array(c, pa.int64()) for c in cols]]
+        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row", "number", "line", "line2", "head", "tail"])
 
 
 def _neighbourhoods(batches):
-    """For the wanted lines of a document: digest, rank, words and keys."""
+    """For the wanted lines of a document: hash, rank, words and keys."""
     for batch in slices(batches):
-        digest, rank, words, same, less, whole = [], [], [], [], [], []
+        line, rank, words, same, less, whole = [], [], [], [], [], []
         for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
             lines = line_words(text)
             for x in wanted:
-                line = lines[x["number"]]
-                hashes = hashes_of(line)
-                digest.append(x["digest"])
+                found = lines[x["rank"]["number"]]
+                hashes = hashes_of(found)
+                line.append(x["line"])
                 rank.append(x["rank"])
-                words.append(b" ".join(line))
+                words.append(b" ".join(found))
                 same.append(deletion_keys(hashes))
                 less.append(shorter_keys(hashes))
                 whole.append(whole_key(hashes)[0])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(digest, pa.binary()), pa.array(rank, _RANK), pa.array(words, pa.binary()), ragged(same, pa.int64()), ragged(less, pa.int64()), pa.array(np.array(whole, np.uint64).view(np.int64))],
-            ["digest", "rank", "words", "same", "less", "whole"],
+            [pa.array(line, pa.int64()), pa.array(rank, _RANK), pa.array(words, pa.binary()), ragged(same, pa.int64()), ragged(less, pa.int64()), pa.array(np.array(whole, np.uint64).view(np.int64))],
+            ["line", "rank", "words", "same", "less", "whole"],
         )
 
 
-#: The order of lines: documents without an id first, then by id, text's hash and line.
-_RANK = pa.struct([("doc_id", pa.int64()), ("row", pa.int64()), ("number", pa.int32())])
-_RANK_SQL = "struct<doc_id: long, row: long, number: int>"
+#: The order of lines: documents without an id first, then by id, line and text's hash.
+_RANK = pa.struct([("doc_id", pa.int64()), ("number", pa.int32()), ("row", pa.int64())])
+_RANK_SQL = "struct<doc_id: long, number: int, row: long>"
 
 
 def _confirmed(batches):
     for batch in slices(batches):
         ok = [one_edit(a.split(b" "), b.split(b" ")) for a, b in zip(batch.column("words").to_pylist(), batch.column("other").to_pylist())]
-        yield batch.select(["digest"]).filter(pa.array(ok, pa.bool_()))
+        yield batch.select(["line"]).filter(pa.array(ok, pa.bool_()))
 
 
 def _rewritten(batches):
@@ -189,54 +181,48 @@ def _rewritten(batches):
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(row, number) of the lines that go; ``docs`` has doc_id, row and text."""
-    every = stored(docs.mapInArrow(_lines, "doc_id long, row long, number int, digest binary, halves array<long>"), "lines")
-    rank = F.struct("doc_id", "row", "number")
-    # Equal lines have equal halves, so any of them will do.
-    first = stored(every.groupBy("digest").agg(F.min(rank).alias("rank"), F.min("halves").alias("halves")), "first-lines")
-
-    halves = first.select("digest", "rank", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    live = halves.join(shared, "half").select("digest", "rank").distinct()
-    wanted = live.select(F.col("rank.row").alias("row"), F.struct(F.col("rank.number").alias("number"), "digest", "rank").alias("w")).groupBy("row").agg(F.collect_list("w").alias("wanted"))
-    near = docs.join(wanted, "row").select("text", "wanted")
-    keyed = stored(near.mapInArrow(_neighbourhoods, f"digest binary, rank {_RANK_SQL}, words binary, same array<long>, less array<long>, whole long").dropDuplicates(["digest"]), "neighbourhoods")
+    every = stored(docs.select("doc_id", "row", "text").mapInArrow(_lines, "doc_id long, row long, number int, line long, line2 long, head long, tail long"), "lines")
+    rank = F.struct("doc_id", "number", "row")
+    # Equal lines have equal edges, so any of them will do.
+    first = stored(every.groupBy("line", "line2").agg(F.min(rank).alias("rank"), F.min("head").alias("head"), F.min("tail").alias("tail")), "first-lines")
+
+    ends = first.where("head is not null").select("line", F.explode(F.array("head", "tail")).alias("edge"))
+    shared = ends.groupBy("edge").agg(F.min("line").alias("least"), F.max("line").alias("most")).where("least != most").select("edge")
+    live = ends.join(shared, "edge").select("line").distinct()
+    wanted = first.select("line", "rank").join(live, "line").select(F.col("rank.row").alias("row"), F.struct("line", "rank").alias("w"))
+    wanted = wanted.groupBy("row").agg(F.collect_list("w").alias("wanted"))
+    near = docs.join(wanted, "row").mapInArrow(_neighbourhoods, f"line long, rank {_RANK_SQL}, words binary, same array<long>, less array<long>, whole long")
+    # Dealt out once more, so that what follows reads this shuffle and not the texts.
+    keyed = near.repartition("line")
 
     # Replaced words: deletions at the same place.
-    same = keyed.select("digest", "rank", F.explode("same").alias("key"))
+    same = keyed.select("line", "rank", F.explode("same").alias("key"))
     # Added words: a deletion of the longer line is the shorter line.
-    longer = keyed.select("digest", "rank", F.explode("less").alias("key"))
-    shorter = keyed.select("digest", "rank", F.col("whole").alias("key"))
-    least = lambda rows: rows.groupBy("key").agg(F.min(F.struct("rank", "digest")).alias("earliest"), F.count("*").alias("n"))
+    longer = keyed.select("line", "rank", F.explode("less").alias("key"))
+    shorter = keyed.select("line", "rank", F.col("whole").alias("key"))
 
     def earlier(rows: DataFrame, others: DataFrame) -> DataFrame:
-        hit = rows.join(others, "key").where(F.col("earliest.rank") < F.col("rank"))
-        return hit.select("digest", "earliest")
-
-    found = (
-        earlier(same, least(same).where("n > 1"))
-        .union(earlier(shorter, least(longer)))
-        .union(earlier(longer, least(shorter)))
-        .groupBy("digest")
-        .agg(F.min("earliest").alias("earliest"))
-    )
-    words = keyed.select(F.col("digest").alias("of"), F.col("words").alias("other"))
-    pairs = found.join(keyed.select("digest", "words"), "digest").join(words, F.col("earliest.digest") == F.col("of")).select("digest", "words", "other")
-    near_dups = pairs.mapInArrow(_confirmed, "digest binary")
-
-    decided = first.select("digest", "rank").join(near_dups.withColumn("near", F.lit(True)), "digest", "left")
-    decided = decided.select("digest", F.col("rank").alias("first_rank"), F.coalesce("near", F.lit(False)).alias("near"))
-    marked = every.join(decided, "digest")
-    return marked.where(F.col("near") | (rank != F.col("first_rank"))).select("row", "number")
+        least = others.groupBy("key").agg(F.min(F.struct("rank", "line")).alias("earliest"))
+        return rows.join(least, "key").where(F.col("earliest.rank") < F.col("rank")).select("line", "earliest")
+
+    found = earlier(same, same).union(earlier(shorter, longer)).union(earlier(longer, shorter)).groupBy("line").agg(F.min("earliest").alias("earliest"))
+    words = keyed.select(F.col("line").alias("of"), F.col("words").alias("other"))
+    pairs = found.join(keyed.select("line", "words"), "line").join(words, F.col("earliest.line") == F.col("of")).select("line", "words", "other")
+    near_dups = pairs.mapInArrow(_confirmed, "line long").distinct()
+
+    decided = first.select("line", "line2", F.col("rank").alias("first_rank")).join(near_dups.withColumn("near", F.lit(True)), "line", "left")
+    marked = every.drop("head", "tail").join(decided, ["line", "line2"])
+    return marked.where(F.coalesce("near", F.lit(False)) | (rank != F.col("first_rank"))).select("row", "number")
 
 
 def without_repeated_lines(docs: DataFrame, payload: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row the payload columns as ``payload``, n_lines, n_removed and kept_text."""
     rows = docs.select(F.struct(*payload).alias("payload"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
-    gone = removed_lines(rows.select("doc_id", "row", "text")).groupBy("row").agg(F.collect_set("number").alias("drop"))
+    gone = removed_lines(rows).groupBy("row").agg(F.collect_set("number").alias("drop"))
     kind = rows.schema["payload"].dataType.simpleString()
-    joined = rows.join(gone, "row", "left").select("payload", "text", "drop")
-    return joined.mapInArrow(_rewritten, f"payload {kind}, n_lines long, n_removed long, kept_text string")
+    # All columns, as the deletions read them, so that the shuffle can be shared.
+    return rows.join(gone, "row", "left").mapInArrow(_rewritten, f"payload {kind}, n_lines long, n_removed long, kept_text string")
 
 
 def digest(rows: DataFrame) -> DataFrame:
