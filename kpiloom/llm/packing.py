@@ -35,7 +35,7 @@ END = 0
 #: Pieces of one length that are ranked together.
 RANKED = 20_000
 #: Words whose ids a task remembers before it forgets them all, and those encoded at a time.
-REMEMBERED, ENCODED = 250_000, 20_000
+REMEMBERED, ENCODED = 600_000, 20_000
 
 # A single blank or line end before a word always starts a piece of the
 # tokenizer's own splitting. Texts with any other white space, or with what may
