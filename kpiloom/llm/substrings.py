@@ -132,14 +132,14 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     recurring = each.groupBy("phrase").agg(F.count("*").alias("n")).where("n > 1").select("phrase")
     of_row = each.join(recurring, "phrase").groupBy("row").agg(F.collect_set("phrase").alias("phrases"))
 
-    near = docs.join(of_row, "row").select("row", "text", "phrases")
-    located = stored(near.mapInArrow(_locate, "row long, starts array<int>, windows array<long>").where("size(starts) > 0"), "windows")
+    # The join takes all columns, as the last one does, so that the shuffle of texts can be shared.
+    near = docs.join(of_row, "row").mapInArrow(_locate, "row long, starts array<int>, windows array<long>").where("size(starts) > 0")
+    # Dealt out once more, so that both uses read this shuffle and not the texts.
+    located = near.repartition("row")
     starts = located.select("row", F.explode(F.arrays_zip("starts", "windows")).alias("w")).select("row", F.col("w.starts").alias("start"), F.col("w.windows").alias("window"))
     twice = starts.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     covered = starts.join(twice, "window").groupBy("row").agg(F.collect_list("start").alias("starts"))
-
-    joined = docs.join(covered, "row", "left").select("doc_id", "text", "starts")
-    return joined.mapInArrow(_remove, "doc_id long, n_words long, n_removed long, kept_text binary, kept_sha256 string")
+    return docs.join(covered, "row", "left").mapInArrow(_remove, "doc_id long, n_words long, n_removed long, kept_text binary, kept_sha256 string")
 
 
 def digest(rows: DataFrame) -> DataFrame:
