@@ -9,7 +9,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.llm import lines, minhash, packing, pii, quality, scoring_lm, substrings, vectors
+from kpiloom.llm import licenses, lines, minhash, mixing, packing, pii, quality, scoring_lm, substrings, vectors
 from kpiloom.llm.common import table
 
 #: The tokenizer's file, a parameter of every operator that needs one.
@@ -45,6 +45,14 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.without_repeats(table(spark, sf_dir, "documents")))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.licences(table(spark, sf_dir, "documents")))
+
+
+def op6_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(mixing.mixed(table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _visible(spark)
     return packing.digest(packing.packed(table(spark, sf_dir, "documents"), TOKENIZER, ["doc_id"]))
@@ -71,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_personal_data,
         op3_lm_scores,
         op4_repeated_passages,
+        op5_license_scan,
+        op6_mix_to_targets,
         op7_best_fit_packing,
         op8_quality_rules,
         op9_minhash_near_duplicates,
