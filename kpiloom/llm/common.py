@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Documents worked on at a time inside a task.
 SLICE = 256
+#: Bytes up to which a table is broadcast.
+SMALL = 24 << 20
 #: Words whose hash a task remembers.
 REMEMBERED = 300_000
 
@@ -44,9 +46,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def row_key(*cols: str) -> Column:
-    """One hash for a row's columns. Equal rows have equal keys."""
-    return F.xxhash64(*[F.col(c) for c in cols])
+def beside(docs: DataFrame, found: DataFrame, items: str, how: str = "inner") -> DataFrame:
+    """``docs`` joined by ``row`` with what was found in them, an array a row.
+
+    What was found is written first, so that its size is known: if it is within
+    ``SMALL`` bytes it is broadcast and the texts stay where they are, otherwise
+    both sides are shuffled by row."""
+    found = stored(found, "found")
+    width = 16 if "struct" in dict(found.dtypes)[items] else 8
+    size = found.agg(F.coalesce(F.sum(16 + width * F.size(items)), F.lit(0))).first()[0]
+    return docs.join(F.broadcast(found) if size <= SMALL else found, "row", how)
 
 
 def let(value: Column, body) -> Column:

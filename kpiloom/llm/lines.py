@@ -13,8 +13,7 @@ as they are, so only lines that share these with another line give deletions.
 
 Each hash keeps its earliest line only, a minimum combined before the shuffle,
 so a hash of any number of lines costs a row per line. The earliest neighbour is
-confirmed on the words themselves. Texts are shuffled once, by row, and both the
-deletions and the rewriting read that shuffle.
+confirmed on the words themselves.
 
 A null text has no lines; blank lines are kept; a row without an id comes before
 all others, and rows without one, or with the same one, are told apart by their
@@ -30,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import BASE, hashes_of, mixed, ragged, slices, stored
+from kpiloom.llm.common import BASE, beside, hashes_of, mixed, ragged, slices, stored
 
 LEAST_WORDS = 8
 #: Words at either end, one of which an edit leaves alone.
@@ -132,27 +131,32 @@ def _lines(batches):
         yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row", "number", "line", "line2", "head", "tail"])
 
 
-def _neighbourhoods(batches):
-    """For the wanted lines of a document: hash, rank, words and keys."""
+def _keys(batches):
+    """For the wanted lines of a document, a row per key: its kind, the line's
+    hash and rank; and a row of kind WORDS with the words."""
     for batch in slices(batches):
-        line, rank, words, same, less, whole = [], [], [], [], [], []
+        kinds, keys, line, rank, words = [], [], [], [], []
         for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
             lines = line_words(text)
             for x in wanted:
                 found = lines[x["rank"]["number"]]
                 hashes = hashes_of(found)
-                line.append(x["line"])
-                rank.append(x["rank"])
-                words.append(b" ".join(found))
-                same.append(deletion_keys(hashes))
-                less.append(shorter_keys(hashes))
-                whole.append(whole_key(hashes)[0])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(line, pa.int64()), pa.array(rank, _RANK), pa.array(words, pa.binary()), ragged(same, pa.int64()), ragged(less, pa.int64()), pa.array(np.array(whole, np.uint64).view(np.int64))],
-            ["line", "rank", "words", "same", "less", "whole"],
-        )
-
-
+                parts = (deletion_keys(hashes), shorter_keys(hashes), whole_key(hashes), np.zeros(1, np.uint64))
+                n = sum(map(len, parts))
+                kinds.append(np.repeat(np.arange(4, dtype=np.int32), [len(p) for p in parts]))
+                keys += parts
+                line += [x["line"]] * n
+                rank += [x["rank"]] * n
+                words += [None] * (n - 1) + [b" ".join(found)]
+        if kinds:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(kinds)), pa.array(np.concatenate(keys).view(np.int64)), pa.array(line, pa.int64()), pa.array(rank, _RANK), pa.array(words, pa.binary())],
+                ["kind", "key", "line", "rank", "words"],
+            )
+
+
+#: Kinds of keys: deletions with their place, deletions, the whole line; and the words.
+SAME, LONGER, SHORTER, WORDS = range(4)
 #: The order of lines: documents without an id first, then by id, line and text's hash.
 _RANK = pa.struct([("doc_id", pa.int64()), ("number", pa.int32()), ("row", pa.int64())])
 _RANK_SQL = "struct<doc_id: long, number: int, row: long>"
@@ -191,23 +195,21 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     live = ends.join(shared, "edge").select("line").distinct()
     wanted = first.select("line", "rank").join(live, "line").select(F.col("rank.row").alias("row"), F.struct("line", "rank").alias("w"))
     wanted = wanted.groupBy("row").agg(F.collect_list("w").alias("wanted"))
-    near = docs.join(wanted, "row").mapInArrow(_neighbourhoods, f"line long, rank {_RANK_SQL}, words binary, same array<long>, less array<long>, whole long")
-    # Dealt out once more, so that what follows reads this shuffle and not the texts.
-    keyed = near.repartition("line")
-
-    # Replaced words: deletions at the same place.
-    same = keyed.select("line", "rank", F.explode("same").alias("key"))
-    # Added words: a deletion of the longer line is the shorter line.
-    longer = keyed.select("line", "rank", F.explode("less").alias("key"))
-    shorter = keyed.select("line", "rank", F.col("whole").alias("key"))
-
-    def earlier(rows: DataFrame, others: DataFrame) -> DataFrame:
-        least = others.groupBy("key").agg(F.min(F.struct("rank", "line")).alias("earliest"))
-        return rows.join(least, "key").where(F.col("earliest.rank") < F.col("rank")).select("line", "earliest")
-
-    found = earlier(same, same).union(earlier(shorter, longer)).union(earlier(longer, shorter)).groupBy("line").agg(F.min("earliest").alias("earliest"))
-    words = keyed.select(F.col("line").alias("of"), F.col("words").alias("other"))
-    pairs = found.join(keyed.select("line", "words"), "line").join(words, F.col("earliest.line") == F.col("of")).select("line", "words", "other")
+    near = beside(docs.select("row", "text"), wanted, "wanted")
+    keyed = stored(near.mapInArrow(_keys, f"kind int, key long, line long, rank {_RANK_SQL}, words binary"), "line-keys")
+
+    # Replaced words: deletions at the same place. Added words: a deletion of
+    # the longer line is the shorter line. A key's earliest line of either kind:
+    keys = keyed.where(F.col("kind") != WORDS).withColumn("space", F.col("kind") == SAME).select("space", "kind", "key", "line", "rank")
+    at = F.struct("rank", "line")
+    least = keys.groupBy("space", "key").agg(F.min(F.when(F.col("kind") != SHORTER, at)).alias("long"), F.min(F.when(F.col("kind") != LONGER, at)).alias("short"))
+    # Most keys have one line; they need not come back.
+    least = least.where("long.line != short.line or space")
+    other = F.when(F.col("kind") == SHORTER, F.col("long")).otherwise(F.col("short"))
+    found = keys.join(least, ["space", "key"]).select("line", "rank", other.alias("earliest")).where(F.col("earliest.rank") < F.col("rank"))
+    found = found.groupBy("line").agg(F.min("earliest").alias("earliest"))
+    words = keyed.where(F.col("kind") == WORDS).select("line", "words").distinct()
+    pairs = found.join(words, "line").join(words.toDF("of", "other"), F.col("earliest.line") == F.col("of")).select("line", "words", "other")
     near_dups = pairs.mapInArrow(_confirmed, "line long").distinct()
 
     decided = first.select("line", "line2", F.col("rank").alias("first_rank")).join(near_dups.withColumn("near", F.lit(True)), "line", "left")
@@ -221,8 +223,8 @@ def without_repeated_lines(docs: DataFrame, payload: list[str], doc_id: str = "d
     rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
     gone = removed_lines(rows).groupBy("row").agg(F.collect_set("number").alias("drop"))
     kind = rows.schema["payload"].dataType.simpleString()
-    # All columns, as the deletions read them, so that the shuffle can be shared.
-    return rows.join(gone, "row", "left").mapInArrow(_rewritten, f"payload {kind}, n_lines long, n_removed long, kept_text string")
+    marked = beside(rows.select("payload", "row", "text"), gone, "drop", "left")
+    return marked.mapInArrow(_rewritten, f"payload {kind}, n_lines long, n_removed long, kept_text string")
 
 
 def digest(rows: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from kpiloom.llm.common import table
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _visible(spark: SparkSession) -> None:
+def visible(spark: SparkSession) -> None:
     """Lets Python workers import this package where it is not installed, by
     naming its folder in their path; a cluster ships it as usual."""
     root = str(Path(__file__).resolve().parents[2])
@@ -26,22 +26,22 @@ def _visible(spark: SparkSession) -> None:
 
 
 def op1_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _visible(spark)
+    visible(spark)
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _visible(spark)
+    visible(spark)
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _visible(spark)
+    visible(spark)
     return scoring_lm.scores(table(spark, sf_dir, "documents"))
 
 
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _visible(spark)
+    visible(spark)
     return substrings.digest(substrings.without_repeats(table(spark, sf_dir, "documents")))
 
 
@@ -54,7 +54,7 @@ def op6_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _visible(spark)
+    visible(spark)
     return packing.digest(packing.packed(table(spark, sf_dir, "documents"), TOKENIZER, ["doc_id"]))
 
 
@@ -63,12 +63,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _visible(spark)
+    visible(spark)
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _visible(spark)
+    visible(spark)
     return lines.digest(lines.without_repeated_lines(table(spark, sf_dir, "documents"), ["doc_id"]))
 
 
