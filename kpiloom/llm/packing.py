@@ -35,7 +35,9 @@ END = 0
 #: Pieces of one length that are ranked together.
 RANKED = 20_000
 #: Words whose ids a task remembers before it forgets them all, and those encoded at a time.
-REMEMBERED, ENCODED = 600_000, 20_000
+REMEMBERED, ENCODED = 1_000_000, 20_000
+#: Marks after a word's last letter, which the tokenizer always parts from it.
+MARKS = ".,;:!?"
 
 # A single blank or line end before a word always starts a piece of the
 # tokenizer's own splitting. Texts with any other white space, or with what may
@@ -54,6 +56,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.line = self._whole("\n")
         self.after, self.first = {}, {"": b""}
+        #: Ids of the marks that have come up, which are few.
+        self.marks: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -61,7 +65,11 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return self._ids(text).tobytes()
 
-    def _learn(self, known: dict[str, bytes], words: list[str], blank: str) -> None:
+    def _learn(self, known: dict[str, bytes], words: set[str], blank: str) -> None:
+        marked = [(w, stem) for w in words if (stem := w.rstrip(MARKS)) != w and stem[-1:].isalpha()]
+        words.difference_update([w for w, _ in marked])
+        words.update([stem for _, stem in marked if stem not in known])
+        words = list(words)
         # Words on lines of their own: the line ends' ids part them again.
         end = np.frombuffer(self.line, "<u4")[0]
         for i in range(0, len(words), ENCODED):
@@ -70,14 +78,19 @@ class Encoder:
             edges = [-1, *np.flatnonzero(ids == end).tolist(), len(ids)]
             for word, s, e in zip(some, edges[:-1], edges[1:], strict=False):
                 known[word] = ids[s + 1 : e].tobytes()
+        for word, stem in marked:
+            tail = word[len(stem) :]
+            if tail not in self.marks:
+                self.marks[tail] = self._whole(tail)
+            known[word] = known[stem] + self.marks[tail]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.after) + len(self.first) > REMEMBERED:
-            self.after, self.first = {}, {"": b""}
+            self.after, self.first, self.marks = {}, {"": b""}, {}
         split = [None if _ODD.search(t) else [line.split(" ") for line in t.split("\n")] for t in texts]
         lines = [line for text in split if text for line in text]
-        self._learn(self.first, list({line[0] for line in lines}.difference(self.first)), "")
-        self._learn(self.after, list(set().union(*[line[1:] for line in lines]).difference(self.after)), " ")
+        self._learn(self.first, {line[0] for line in lines}.difference(self.first), "")
+        self._learn(self.after, set().union(*[line[1:] for line in lines]).difference(self.after), " ")
         first, after = self.first, self.after.__getitem__
         return [
             self._whole(text) if lines is None else self.line.join([first[line[0]] + b"".join(map(after, line[1:])) for line in lines])
