@@ -8,15 +8,16 @@ A passage of ``WINDOW`` words that occurs twice is removed wherever it occurs.
    phrase in twelve is picked; those picked twice or more recur.
 2. Automata. Each part of the documents compiles the recurring phrases picked in
    it into an Aho-Corasick automaton over word numbers and streams its texts
-   through it, which locates every occurrence, picked or not. An automaton is a
-   shard: it is as large as its part's own phrases, never as the corpus'.
-3. Confirmation. Only windows around a located phrase can recur. Their hashes
-   are counted over all documents, and those that start twice or more mark the
-   words they cover.
+   through it, which locates every occurrence. An automaton is a shard: it is as
+   large as its part's own phrases, never as the corpus'.
+3. Confirmation. Each window belongs to the one phrase picked from it, so the
+   windows of a located phrase form a run, its context. Contexts that occur twice
+   recur with all their windows. For phrases with a context that occurs once, the
+   windows of each different context are counted, and those that occur in two
+   recur.
 
-Counts are combined before the shuffle; the join that brings them back is a plain
-one, which adaptive execution splits for a passage that many documents share.
-Texts are shuffled once, by row, and both uses read that shuffle.
+Counts are combined before the shuffle; the joins that bring them back are plain
+ones, which adaptive execution splits for a passage that many documents share.
 
 A null text has no words; rows without an id or with the same one are told apart
 by their text; a repeated row is another document, so a text of ``WINDOW`` words
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import hashes_of, ragged, slices, stored, window_hashes, words_of
+from kpiloom.llm.common import beside, hashes_of, mixed, ragged, slices, stored, window_hashes, words_of
 
 WINDOW, PHRASE = 35, 12
 #: Phrases of a window of which one is picked.
@@ -43,8 +44,9 @@ CHOICE = WINDOW - PHRASE + 1
 PLACE = np.uint64(24)
 
 
-def picked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the phrases picked from a text's words."""
+def owners(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of the phrase picked from each window of a text, and the hashes
+    of all its phrases."""
     if len(hashes) < WINDOW:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     phrase = window_hashes(hashes, PHRASE)
@@ -56,13 +58,17 @@ def picked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rest = CHOICE - size
     if rest:
         low = np.minimum(low[:-rest], low[rest:])
-    place = np.unique(low & ((np.uint64(1) << PLACE) - np.uint64(1))).astype(np.int64)
-    return place, phrase[place]
+    return (low & ((np.uint64(1) << PLACE) - np.uint64(1))).astype(np.int64), phrase
+
+
+def picked(hashes: np.ndarray) -> np.ndarray:
+    place, phrase = owners(hashes)
+    return phrase[np.unique(place)]
 
 
 def _pick(batches):
     for batch in slices(batches):
-        found = [picked(hashes_of(words_of(t, False)))[1] for t in batch.column("text").to_pylist()]
+        found = [picked(hashes_of(words_of(t, False))) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("row"), ragged(found, pa.int64())], ["row", "phrases"])
 
 
@@ -73,44 +79,66 @@ def _numbers(hashes: np.ndarray) -> tuple[int, ...]:
 
 
 def _locate(batches):
-    """The windows around recurring phrases: their starts and hashes, by row."""
+    """A row per located phrase: where its windows start, the context's hash and
+    the hashes of the windows."""
     for batch in slices(batches):
         texts = [hashes_of(words_of(t, False)) for t in batch.column("text").to_pylist()]
+        owned = [owners(h) for h in texts]
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
         known: set[int] = set()
-        for hashes, wanted in zip(texts, batch.column("phrases").to_pylist()):
-            place, phrase = picked(hashes)
-            recurring = np.isin(phrase, np.array(wanted, np.int64).view(np.uint64))
-            for p, key in zip(place[recurring].tolist(), phrase[recurring].tolist()):
+        for hashes, (place, phrase), wanted in zip(texts, owned, batch.column("phrases").to_pylist()):
+            for p in np.flatnonzero(np.isin(phrase, np.array(wanted, np.int64).view(np.uint64))).tolist():
+                key = int(phrase[p])
                 if key not in known:
                     known.add(key)
                     automaton.add_word(_numbers(hashes[p : p + PHRASE]), len(known))
-        starts, windows = [], []
         if known:
             automaton.make_automaton()
-        for hashes in texts:
-            near = np.zeros(max(0, len(hashes) - WINDOW + 1) + 1, np.int64)
-            last = len(near) - 1
-            if known and last:
-                ends = np.array([end for end, _ in automaton.iter(_numbers(hashes))], np.int64)
-                first = ends - PHRASE + 1
-                np.add.at(near, np.clip(first + PHRASE - WINDOW, 0, last), 1)
-                np.add.at(near, np.clip(first + 1, 0, last), -1)
-            at = np.flatnonzero(np.cumsum(near)[:-1] > 0)
-            starts.append(at.astype(np.int32))
-            windows.append(window_hashes(hashes, WINDOW)[at] if len(at) else np.empty(0, np.uint64))
-        yield pa.RecordBatch.from_arrays([batch.column("row"), ragged(starts, pa.int32()), ragged(windows, pa.int64())], ["row", "starts", "windows"])
+        row, first, anchor, context, windows = [], [], [], [], []
+        for i, (hashes, (place, phrase)) in enumerate(zip(texts, owned)):
+            if not known or not len(place):
+                continue
+            located = np.zeros(len(phrase), bool)
+            located[[end - PHRASE + 1 for end, _ in automaton.iter(_numbers(hashes))]] = True
+            starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            ends = np.append(starts[1:], len(place))
+            inside = np.arange(len(place)) - np.repeat(starts, ends - starts)
+            mine = located[place[starts]]
+            starts, ends = starts[mine], ends[mine]
+            if not len(starts):
+                continue
+            window = window_hashes(hashes, WINDOW)
+            p = place[starts]
+            # Every window of the run and its place in it go into the context's hash.
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(window + mixed(inside.astype(np.uint64))), dtype=np.uint64)])
+            run = sums[ends] - sums[starts]
+            row += [i] * len(starts)
+            first.append(starts.astype(np.int32))
+            anchor.append(phrase[p])
+            context.append(mixed(run ^ mixed((p - starts).astype(np.uint64) << np.uint64(32) | (ends - starts).astype(np.uint64))))
+            windows += [window[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
+        if row:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("row").take(pa.array(row, pa.int64())),
+                    pa.array(np.concatenate(first)),
+                    pa.array(np.concatenate(anchor).view(np.int64)),
+                    pa.array(np.concatenate(context).view(np.int64)),
+                    ragged(windows, pa.int64()),
+                ],
+                ["row", "first", "anchor", "context", "windows"],
+            )
 
 
 def _remove(batches):
     for batch in slices(batches):
         totals, removed, texts = [], [], []
-        for text, starts in zip(batch.column("text").to_pylist(), batch.column("starts").to_pylist()):
+        for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
             words = words_of(text, False)
             cover = np.zeros(len(words) + 1, np.int64)
-            at = np.unique(np.array(starts or [], np.int64))
+            at = np.array([x["first"] for x in runs or ()], np.int64)
             np.add.at(cover, at, 1)
-            np.add.at(cover, at + WINDOW, -1)
+            np.add.at(cover, at + np.array([x["n"] + WINDOW - 1 for x in runs or ()], np.int64), -1)
             gone = np.cumsum(cover)[:-1] > 0
             totals.append(len(words))
             removed.append(int(gone.sum()))
@@ -132,14 +160,23 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     recurring = each.groupBy("phrase").agg(F.count("*").alias("n")).where("n > 1").select("phrase")
     of_row = each.join(recurring, "phrase").groupBy("row").agg(F.collect_set("phrase").alias("phrases"))
 
-    # The join takes all columns, as the last one does, so that the shuffle of texts can be shared.
-    near = docs.join(of_row, "row").mapInArrow(_locate, "row long, starts array<int>, windows array<long>").where("size(starts) > 0")
-    # Dealt out once more, so that both uses read this shuffle and not the texts.
-    located = near.repartition("row")
-    starts = located.select("row", F.explode(F.arrays_zip("starts", "windows")).alias("w")).select("row", F.col("w.starts").alias("start"), F.col("w.windows").alias("window"))
-    twice = starts.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
-    covered = starts.join(twice, "window").groupBy("row").agg(F.collect_list("start").alias("starts"))
-    return docs.join(covered, "row", "left").mapInArrow(_remove, "doc_id long, n_words long, n_removed long, kept_text binary, kept_sha256 string")
+    near = beside(docs.select("row", "text"), of_row, "phrases")
+    located = stored(near.mapInArrow(_locate, "row long, first int, anchor long, context long, windows array<long>"), "contexts")
+
+    # Equal contexts have equal windows, so any of them will do.
+    contexts = located.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min("windows").alias("windows"))
+    contexts = stored(contexts, "different-contexts")
+    single = contexts.groupBy("anchor").agg(F.min("n").alias("least")).where("least = 1").select("anchor")
+    windows = contexts.join(single, "anchor").select("n", F.explode("windows").alias("window"))
+    recurring = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
+
+    both = located.join(contexts.select("anchor", "context", "n"), ["anchor", "context"])
+    whole = both.where("n > 1").select("row", F.struct("first", F.size("windows").alias("n")).alias("run"))
+    each = both.where("n = 1").select("row", "first", F.posexplode("windows").alias("i", "window")).join(recurring, "window")
+    some = each.select("row", F.struct((F.col("first") + F.col("i")).alias("first"), F.lit(1).alias("n")).alias("run"))
+    runs = whole.union(some).groupBy("row").agg(F.collect_list("run").alias("runs"))
+    marked = beside(docs.select("doc_id", "row", "text"), runs, "runs", "left")
+    return marked.mapInArrow(_remove, "doc_id long, n_words long, n_removed long, kept_text binary, kept_sha256 string")
 
 
 def digest(rows: DataFrame) -> DataFrame:
