@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: Documents worked on at a time inside a task.
 SLICE = 256
 #: Bytes up to which a table is broadcast.
-SMALL = 24 << 20
+SMALL = 48 << 20
 #: Words whose hash a task remembers.
 REMEMBERED = 300_000
 

@@ -8,8 +8,9 @@ one only if an earlier line is the same, since one word is too much of it.
 Two lines are one edit apart if they are equal once one word is deleted from one
 of them, or from both at the same place. So each line gives the hashes of all
 its one-word deletions and of itself, and equal hashes are joined. Before that,
-a filter that loses nothing: an edit leaves the first or the last ``EDGE`` words
-as they are, so only lines that share these with another line give deletions.
+two filters that lose nothing: an edit leaves the first or the last ``EDGE``
+words as they are, and all but one of a line's ``BLOCKS`` parts; only lines that
+share these with another line give deletions.
 
 Each hash keeps its earliest line only, a minimum combined before the shuffle,
 so a hash of any number of lines costs a row per line. The earliest neighbour is
@@ -34,6 +35,8 @@ from kpiloom.llm.common import BASE, beside, hashes_of, mixed, ragged, slices, s
 LEAST_WORDS = 8
 #: Words at either end, one of which an edit leaves alone.
 EDGE = LEAST_WORDS // 2
+#: Parts of a line, all but one of which an edit leaves alone.
+BLOCKS = 4
 _M = 2**64
 _INVERSE = pow(BASE, -1, _M)
 
@@ -77,6 +80,19 @@ def _key(values: np.ndarray, salt: int) -> np.ndarray:
     return mixed(values ^ np.uint64(salt * 0x9E3779B97F4A7C15 % _M))
 
 
+def block_keys(hashes: np.ndarray) -> np.ndarray:
+    """Keys of which two lines one edit apart share at least one: the line
+    without one of its parts, by the parts of its own length and, for a word
+    that will be deleted, by those of the shorter line."""
+    r, n, keys = Rolling(hashes), len(hashes), []
+    for length in (n, n - 1):
+        for j in range(BLOCKS):
+            start, end = length * j // BLOCKS, length * (j + 1) // BLOCKS
+            parts = mixed(r.part(0, start)) ^ r.part(end + n - length, n)
+            keys.append(_key(parts, BLOCKS * length + j + 5))
+    return np.concatenate(keys)
+
+
 def deletion_keys(hashes: np.ndarray) -> np.ndarray:
     """Keys of the line's deletions with their places, for replaced words."""
     out = Rolling(hashes).deletions()
@@ -131,32 +147,41 @@ def _lines(batches):
         yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row", "number", "line", "line2", "head", "tail"])
 
 
-def _keys(batches):
-    """For the wanted lines of a document, a row per key: its kind, the line's
-    hash and rank; and a row of kind WORDS with the words."""
+def _wanted(batches):
+    """The wanted lines of a document, with the keys of their parts."""
     for batch in slices(batches):
-        kinds, keys, line, rank, words = [], [], [], [], []
+        line, rank, words, blocks = [], [], [], []
         for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
             lines = line_words(text)
             for x in wanted:
                 found = lines[x["rank"]["number"]]
-                hashes = hashes_of(found)
-                parts = (deletion_keys(hashes), shorter_keys(hashes), whole_key(hashes), np.zeros(1, np.uint64))
-                n = sum(map(len, parts))
-                kinds.append(np.repeat(np.arange(4, dtype=np.int32), [len(p) for p in parts]))
-                keys += parts
-                line += [x["line"]] * n
-                rank += [x["rank"]] * n
-                words += [None] * (n - 1) + [b" ".join(found)]
-        if kinds:
+                line.append(x["line"])
+                rank.append(x["rank"])
+                words.append(b" ".join(found))
+                blocks.append(block_keys(hashes_of(found)))
+        yield pa.RecordBatch.from_arrays([pa.array(line, pa.int64()), pa.array(rank, _RANK), pa.array(words, pa.binary()), ragged(blocks, pa.int64())], ["line", "rank", "words", "blocks"])
+
+
+def _keys(batches):
+    """A row per key of a line: its kind, and the line's hash and rank."""
+    for batch in slices(batches):
+        kinds, keys, at = [], [], []
+        for i, words in enumerate(batch.column("words").to_pylist()):
+            hashes = hashes_of(words.split(b" "))
+            for kind, part in ((SAME, deletion_keys(hashes)), (LONGER, shorter_keys(hashes)), (SHORTER, whole_key(hashes))):
+                kinds.append(np.full(len(part), kind, np.int32))
+                keys.append(part)
+                at.append(np.full(len(part), i))
+        if keys:
+            at = pa.array(np.concatenate(at))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(kinds)), pa.array(np.concatenate(keys).view(np.int64)), pa.array(line, pa.int64()), pa.array(rank, _RANK), pa.array(words, pa.binary())],
-                ["kind", "key", "line", "rank", "words"],
+                [pa.array(np.concatenate(kinds)), pa.array(np.concatenate(keys).view(np.int64)), batch.column("line").take(at), batch.column("rank").take(at)],
+                ["kind", "key", "line", "rank"],
             )
 
 
-#: Kinds of keys: deletions with their place, deletions, the whole line; and the words.
-SAME, LONGER, SHORTER, WORDS = range(4)
+#: Kinds of keys: deletions with their place, deletions, the whole line.
+SAME, LONGER, SHORTER = range(3)
 #: The order of lines: documents without an id first, then by id, line and text's hash.
 _RANK = pa.struct([("doc_id", pa.int64()), ("number", pa.int32()), ("row", pa.int64())])
 _RANK_SQL = "struct<doc_id: long, number: int, row: long>"
@@ -196,19 +221,21 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     wanted = first.select("line", "rank").join(live, "line").select(F.col("rank.row").alias("row"), F.struct("line", "rank").alias("w"))
     wanted = wanted.groupBy("row").agg(F.collect_list("w").alias("wanted"))
     near = beside(docs.select("row", "text"), wanted, "wanted")
-    keyed = stored(near.mapInArrow(_keys, f"kind int, key long, line long, rank {_RANK_SQL}, words binary"), "line-keys")
+    near = stored(near.mapInArrow(_wanted, f"line long, rank {_RANK_SQL}, words binary, blocks array<long>"), "near-lines")
+    blocks = near.select("line", F.explode("blocks").alias("block"))
+    alike = blocks.groupBy("block").agg(F.min("line").alias("least"), F.max("line").alias("most")).where("least != most").select("block")
+    near = near.join(blocks.join(alike, "block").select("line").distinct(), "line").select("line", "rank", "words")
 
     # Replaced words: deletions at the same place. Added words: a deletion of
     # the longer line is the shorter line. A key's earliest line of either kind:
-    keys = keyed.where(F.col("kind") != WORDS).withColumn("space", F.col("kind") == SAME).select("space", "kind", "key", "line", "rank")
+    keys = stored(near.mapInArrow(_keys, f"kind int, key long, line long, rank {_RANK_SQL}"), "line-keys")
+    keys = keys.withColumn("space", F.col("kind") == SAME)
     at = F.struct("rank", "line")
     least = keys.groupBy("space", "key").agg(F.min(F.when(F.col("kind") != SHORTER, at)).alias("long"), F.min(F.when(F.col("kind") != LONGER, at)).alias("short"))
-    # Most keys have one line; they need not come back.
-    least = least.where("long.line != short.line or space")
     other = F.when(F.col("kind") == SHORTER, F.col("long")).otherwise(F.col("short"))
     found = keys.join(least, ["space", "key"]).select("line", "rank", other.alias("earliest")).where(F.col("earliest.rank") < F.col("rank"))
     found = found.groupBy("line").agg(F.min("earliest").alias("earliest"))
-    words = keyed.where(F.col("kind") == WORDS).select("line", "words").distinct()
+    words = near.select("line", "words").distinct()
     pairs = found.join(words, "line").join(words.toDF("of", "other"), F.col("earliest.line") == F.col("of")).select("line", "words", "other")
     near_dups = pairs.mapInArrow(_confirmed, "line long").distinct()
 
