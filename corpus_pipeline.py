@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm import lines, minhash, mixing, packing, quality
 from kpiloom.llm.common import stored, table
-from kpiloom.llm.queries import TOKENIZER, visible
+from kpiloom.llm.queries import RANKS, TOKENIZER, visible
 
 #: The copies, the lines' order and the packing's plan are not for SQL.
 ORACLE_SQL = None
@@ -64,7 +64,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     visible(spark)
-    return packing.digest(packing.packed(docs, TOKENIZER, ["doc_id"]))
+    return packing.digest(packing.packed(docs, TOKENIZER, ["doc_id"], ranks=RANKS))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -14,6 +14,8 @@ from kpiloom.llm.common import table
 
 #: The tokenizer's file, a parameter of every operator that needs one.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: The same vocabulary as ranks.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def visible(spark: SparkSession) -> None:
@@ -55,7 +57,7 @@ def op6_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     visible(spark)
-    return packing.digest(packing.packed(table(spark, sf_dir, "documents"), TOKENIZER, ["doc_id"]))
+    return packing.digest(packing.packed(table(spark, sf_dir, "documents"), TOKENIZER, ["doc_id"], ranks=RANKS))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
