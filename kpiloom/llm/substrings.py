@@ -130,6 +130,24 @@ def _locate(batches):
             )
 
 
+_RUNS = pa.list_(pa.struct([("first", pa.int32()), ("n", pa.int32())]))
+
+
+def _joined(batches):
+    """A row's runs of window starts, those that touch as one."""
+    for batch in slices(batches):
+        out = []
+        for runs in batch.column("runs").to_pylist():
+            merged: list[list[int]] = []
+            for first, n in sorted((x["first"], x["n"]) for x in runs):
+                if merged and first <= merged[-1][1]:
+                    merged[-1][1] = max(merged[-1][1], first + n)
+                else:
+                    merged.append([first, first + n])
+            out.append([{"first": s, "n": e - s} for s, e in merged])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, _RUNS)], ["row", "runs"])
+
+
 def _remove(batches):
     for batch in slices(batches):
         totals, removed, texts = [], [], []
@@ -175,6 +193,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     each = both.where("n = 1").select("row", "first", F.posexplode("windows").alias("i", "window")).join(recurring, "window")
     some = each.select("row", F.struct((F.col("first") + F.col("i")).alias("first"), F.lit(1).alias("n")).alias("run"))
     runs = whole.union(some).groupBy("row").agg(F.collect_list("run").alias("runs"))
+    runs = runs.mapInArrow(_joined, "row long, runs array<struct<first: int, n: int>>")
     marked = beside(docs.select("doc_id", "row", "text"), runs, "runs", "left")
     return marked.mapInArrow(_remove, "doc_id long, n_words long, n_removed long, kept_text binary, kept_sha256 string")
 
