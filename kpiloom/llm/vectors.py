@@ -7,9 +7,10 @@ tree keeps it together. Within leaves all pairs are compared exactly.
 
 Trees grow a few levels at a time. The splits of a node are fitted to a sample
 of about ``SAMPLE`` of its rows and then applied to all of them, so every row is
-indexed and a tree is as deep as its data needs. A node that its splits cannot
-part, since its vectors are almost the same, is compared in blocks of ``LEAF``
-rows, pairs of blocks in tasks of their own, whatever its size.
+indexed and a tree is as deep as its data needs. Of ``TRIED`` projections the
+one with the fewest rows near its median splits a node. A node that none can
+part, since its vectors are almost the same, is a leaf whatever its size, and is
+compared in blocks of ``LEAF`` rows, pairs of blocks in tasks of their own.
 
 A pair that several trees keep together is counted once, in the first leaf they
 share. Tasks return numbers of links and a spanning set of them, never pairs.
@@ -39,12 +40,13 @@ TREES = 4
 LEAF = 512
 #: Rows to which the splits of a node are fitted, about.
 SAMPLE = 4096
-#: Levels of splits between two writes of the forest.
-LEVELS = 5
-#: Spill to either side of a split, as a part of the projections' greatest difference between linked vectors.
-SPILL = 0.25
-#: A node is left as it is once splits leave more than this part of it together.
-STUCK = 0.8
+#: Levels of splits between two writes of the forest, and projections tried for a split.
+LEVELS, TRIED = 4, 4
+#: Reach of a split to either side, as a part of the spread of the projected
+#: difference between two vectors that are just linked.
+SPILL = 0.8
+#: The greatest part of a node that may go to both sides.
+MOST_SPILLED = 0.25
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
@@ -59,81 +61,89 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _direction(node: int, level: int, dim: int) -> np.ndarray:
-    u = np.random.default_rng([node & (2**63 - 1), level]).standard_normal(dim)
+def _direction(node: int, place: int, tried: int, dim: int) -> np.ndarray:
+    u = np.random.default_rng([node & (2**63 - 1), place, tried]).standard_normal(dim)
     return u / np.sqrt(u @ u)
 
 
-def _margin() -> float:
-    return SPILL * math.sqrt(2 * (1 - THRESHOLD))
+def _margin(dim: int) -> float:
+    return SPILL * math.sqrt(2 * (1 - THRESHOLD) / dim)
 
 
 def _fit(table: pa.Table) -> pa.Table:
-    """The thresholds of a node's splits, level by level, from a sample of it."""
-    node = table.column("node")[0].as_py()
+    """The splits below a node, from a sample of it: places as in a heap, with
+    the projection's number and the threshold, null where a leaf begins."""
+    node, total = table.column("node")[0].as_py(), table.column("rows")[0].as_py()
     x = _unit(_vectors(table.column("v")))
-    parts, cuts = [np.arange(len(x))], []
-    for level in range(LEVELS):
-        u = _direction(node, level, x.shape[1])
-        projected, after = x @ u, []
-        for part in parts:
-            cut = float(np.median(projected[part])) if len(part) else 0.0
-            cuts.append(cut)
-            after += [part[projected[part] <= cut], part[projected[part] > cut]]
-        parts = after
-    return pa.table({"node": pa.array([node], pa.int64()), "cuts": pa.array([cuts], pa.list_(pa.float64()))})
+    margin, scale = _margin(x.shape[1]), total / len(x)
+    parts = {1: np.arange(len(x))}
+    tried, cuts = [0] * 2**LEVELS, [None] * 2**LEVELS
+    for place in range(1, 2**LEVELS):
+        part = parts.get(place, ())
+        if len(part) * scale <= LEAF:
+            continue
+        best = None
+        for k in range(TRIED):
+            projected = x[part] @ _direction(node, place, k, x.shape[1])
+            away = projected - np.median(projected)
+            spilled = float((np.abs(away) <= margin).mean())
+            if best is None or spilled < best[0]:
+                best = spilled, k, float(np.median(projected)), away
+        spilled, tried[place], cut, away = best
+        if spilled <= MOST_SPILLED:
+            cuts[place] = cut
+            parts[2 * place], parts[2 * place + 1] = part[away <= margin], part[away >= -margin]
+    return pa.table({"node": pa.array([node], pa.int64()), "tried": pa.array([tried], pa.list_(pa.int32())), "cuts": pa.array([cuts], pa.list_(pa.float64()))})
 
 
 def _descend(batches):
-    """Each row under the nodes, ``LEVELS`` below its own, that it falls in."""
-    margin = _margin()
+    """Each row under the places below its node that it falls in, and whether
+    these are leaves."""
     for batch in batches:
         if not batch.num_rows:
             continue
         nodes = batch.column("node").to_numpy()
-        take, below = [], []
-        dims = np.diff(batch.column("v").offsets.to_numpy())
+        take, below, leaf = [], [], []
         for node in np.unique(nodes):
             rows = np.flatnonzero(nodes == node)
             x = _unit(_vectors(batch.column("v").take(pa.array(rows))))
-            cuts = np.array(batch.column("cuts")[int(rows[0])].as_py())
-            at, path, first = np.arange(len(rows)), np.zeros(len(rows), np.int64), 0
-            for level in range(LEVELS):
-                projected = x @ _direction(int(node), level, int(dims[rows[0]]))
-                away = projected[at] - cuts[first + path]
-                left, right = away <= margin, away >= -margin
-                at, path = np.concatenate([at[left], at[right]]), np.concatenate([2 * path[left], 2 * path[right] + 1])
-                first = 2 * first + 1
-            take.append(rows[at])
-            below.append(path)
+            cuts, tried = (batch.column(c)[int(rows[0])].as_py() for c in ("cuts", "tried"))
+            margin, parts = _margin(x.shape[1]), {1: np.arange(len(rows))}
+            for place in range(1, 2 ** (LEVELS + 1)):
+                at = parts.pop(place, None)
+                if at is None:
+                    continue
+                inner = place < 2**LEVELS
+                if inner and cuts[place] is not None:
+                    away = x[at] @ _direction(int(node), place, tried[place], x.shape[1]) - cuts[place]
+                    parts[2 * place], parts[2 * place + 1] = at[away <= margin], at[away >= -margin]
+                else:
+                    take.append(rows[at])
+                    below.append(np.full(len(at), place))
+                    leaf.append(np.full(len(at), inner))
         rows = pa.array(np.concatenate(take))
-        yield pa.RecordBatch.from_arrays([batch.column(c).take(rows) for c in ("id", "n", "v", "tree", "node")] + [pa.array(np.concatenate(below))], ["id", "n", "v", "tree", "node", "path"])
-
-
-_ROW = "id long, n long, v array<double>, tree int, node long"
+        arrays = [batch.column(c).take(rows) for c in ("id", "n", "v", "tree", "node")]
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array(np.concatenate(below)), pa.array(np.concatenate(leaf))], ["id", "n", "v", "tree", "node", "place", "leaf"])
 
 
 def leaves(rows: DataFrame) -> DataFrame:
     """Every row under every leaf that it falls in, with the leaf's number of rows."""
-    done = []
+    done = None
     while True:
-        sizes = rows.groupBy("node").agg(F.count("*").alias("rows"), F.max("before").alias("before"))
-        stuck = F.coalesce(F.col("rows") > STUCK * F.col("before"), F.lit(False))
-        ready = (F.col("rows") <= LEAF) | stuck
-        sized = stored(rows.drop("before").join(sizes.select("node", "rows", ready.alias("ready")), "node"), "forest")
-        done.append(sized.where("ready").select("id", "n", "v", "tree", "node", "rows"))
-        open_rows = sized.where("not ready")
-        if open_rows.isEmpty():
-            break
+        sizes = rows.groupBy("node").agg(F.count("*").alias("rows"))
+        sized = rows.join(sizes, "node").withColumn("leaf", F.col("leaf") | (F.col("rows") <= LEAF))
+        sized = stored(sized.select("id", "n", "v", "tree", "node", "leaf", "rows"), "forest")
+        ended = sized.where("leaf").drop("leaf")
+        done = ended if done is None else done.unionByName(ended)
+        growing = sized.where("not leaf")
+        if growing.isEmpty():
+            return done
         chance = F.pmod(F.xxhash64("id", "node", F.lit(7)), F.lit(1 << 20)) / (1 << 20)
-        fitted = open_rows.where(chance * F.col("rows") < SAMPLE).select("node", "v").groupBy("node").applyInArrow(_fit, "node long, cuts array<double>")
-        fallen = open_rows.join(fitted, "node").select("id", "n", "v", "tree", "node", "cuts").mapInArrow(_descend, _ROW + ", path long")
-        parents = sizes.select("node", F.col("rows").alias("before"))
-        rows = fallen.join(parents, "node").select("id", "n", "v", "tree", F.xxhash64("node", "path").alias("node"), "before")
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out
+        sample = growing.where(chance * F.col("rows") < SAMPLE).select("node", "v", "rows")
+        fitted = sample.groupBy("node").applyInArrow(_fit, "node long, tried array<int>, cuts array<double>")
+        fallen = growing.drop("leaf", "rows").join(fitted, "node")
+        fallen = fallen.mapInArrow(_descend, "id long, n long, v array<double>, tree int, node long, place long, leaf boolean")
+        rows = fallen.select("id", "n", "v", "tree", F.xxhash64("node", "place").alias("node"), "leaf")
 
 
 def _compare(batches):
@@ -197,10 +207,10 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     roots = merged.select(F.col("first").alias("id"), "n", "v", "label", trees)
     # Nodes are numbered by tree first, so that their order is the trees'.
-    roots = roots.select("id", "n", "v", "tree", F.xxhash64("label", F.size("v"), "tree").alias("node"), F.lit(None).cast("long").alias("before"))
+    roots = roots.select("id", "n", "v", "tree", F.xxhash64("label", F.size("v"), "tree").alias("node"), F.lit(False).alias("leaf"))
     found = leaves(roots)
-    leaf = F.col("tree").cast("long") * (1 << 56) + F.col("node").bitwiseAND((1 << 56) - 1)
-    found = stored(found.select("id", "n", "v", "rows", leaf.alias("leaf")), "leaves")
+    number = F.col("tree").cast("long") * (1 << 56) + F.col("node").bitwiseAND((1 << 56) - 1)
+    found = stored(found.select("id", "n", "v", "rows", number.alias("leaf")), "leaves")
 
     of_row = found.groupBy("id").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
     blocks = F.ceil(F.col("rows") / LEAF).cast("int")
