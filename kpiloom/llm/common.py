@@ -58,6 +58,13 @@ def beside(docs: DataFrame, found: DataFrame, items: str, how: str = "inner") ->
     return docs.join(F.broadcast(found) if size <= SMALL else found, "row", how)
 
 
+def narrow(found: DataFrame, purpose: str) -> DataFrame:
+    """Rows of a few numbers, written, and broadcast by the next join if they are
+    within ``SMALL`` bytes."""
+    found = stored(found, purpose)
+    return F.broadcast(found) if found.count() * 8 * len(found.columns) <= SMALL else found
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value worked out once for the row, however often
     the body uses it."""

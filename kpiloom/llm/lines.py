@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import BASE, beside, hashes_of, mixed, ragged, slices, stored
+from kpiloom.llm.common import BASE, beside, hashes_of, mixed, narrow, ragged, slices, stored
 
 LEAST_WORDS = 8
 #: Words at either end, one of which an edit leaves alone.
@@ -84,13 +84,12 @@ def block_keys(hashes: np.ndarray) -> np.ndarray:
     """Keys of which two lines one edit apart share at least one: the line
     without one of its parts, by the parts of its own length and, for a word
     that will be deleted, by those of the shorter line."""
-    r, n, keys = Rolling(hashes), len(hashes), []
-    for length in (n, n - 1):
-        for j in range(BLOCKS):
-            start, end = length * j // BLOCKS, length * (j + 1) // BLOCKS
-            parts = mixed(r.part(0, start)) ^ r.part(end + n - length, n)
-            keys.append(_key(parts, BLOCKS * length + j + 5))
-    return np.concatenate(keys)
+    r, n = Rolling(hashes), len(hashes)
+    length = np.repeat([n, n - 1], BLOCKS)
+    part = np.tile(np.arange(BLOCKS), 2)
+    start, end = length * part // BLOCKS, length * (part + 1) // BLOCKS + n - length
+    kept = mixed(r.sums[start]) ^ ((r.sums[n] - r.sums[end]) * r.down[end])
+    return mixed(kept ^ mixed((BLOCKS * length + part).astype(np.uint64)))
 
 
 def deletion_keys(hashes: np.ndarray) -> np.ndarray:
@@ -230,6 +229,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     # the longer line is the shorter line. A key's earliest line of either kind:
     keys = stored(near.mapInArrow(_keys, f"kind int, key long, line long, rank {_RANK_SQL}"), "line-keys")
     keys = keys.withColumn("space", F.col("kind") == SAME)
+    # Most keys have one line only and go no further.
+    shared = keys.groupBy("space", "key").agg(F.min("line").alias("least"), F.max("line").alias("most")).where("least != most")
+    keys = keys.join(narrow(shared.select("space", "key"), "shared-keys"), ["space", "key"])
     at = F.struct("rank", "line")
     least = keys.groupBy("space", "key").agg(F.min(F.when(F.col("kind") != SHORTER, at)).alias("long"), F.min(F.when(F.col("kind") != LONGER, at)).alias("short"))
     other = F.when(F.col("kind") == SHORTER, F.col("long")).otherwise(F.col("short"))
