@@ -30,6 +30,7 @@ HEADLINE = (
     "mv_conformed_union",
     "mv_wide_periods",
     "mv_window_current_and_prior",
+    "mv_window_fytd",
     "dedup_order_lines",
     "result_diff",
     "update_scores",
@@ -37,6 +38,7 @@ HEADLINE = (
     "cost_single_run",
     "cost_prorated",
     "metric_tco",
+    "leaderboard_per_answer",
     "stream_silver_order_lines",
     "clustered_write_roundtrip",
     "gen_lines",

@@ -437,7 +437,7 @@ def _gregorian_revenue(star: RetailStar) -> DataFrame:
 
 
 def _converted_revenue(star: RetailStar) -> DataFrame:
-    """Revenue of the days the rates stub covers."""
+    """Revenue at each day's rate."""
     daily = star.fulfilled("recognition_date_key", kpis.NET).groupBy("recognition_date_key").agg(
         F.sum(kpis.NET).alias(kpis.NET)
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,9 +38,5 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     every executor sees it and a lost executor costs nothing but a retry. Only
     a local master may fall back to the machine's temporary folder.
     """
-    base = spark.conf.get(SHARED_DIR_KEY, None)
-    if base:
-        return f"{base.rstrip('/')}/kpiloom/{purpose}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {SHARED_DIR_KEY} to a folder all executors share")
-    return os.path.join(tempfile.mkdtemp(prefix="kpiloom-"), purpose)
+    base = spark.conf.get(SHARED_DIR_KEY, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
+    return f"{base.rstrip('/')}/kpiloom/{purpose}-{uuid.uuid4().hex}"

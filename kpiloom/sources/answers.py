@@ -108,7 +108,7 @@ def messages(star: RetailStar) -> DataFrame:
 def decode_sql(stored: Column) -> Column:
     """Statements are stored as base64 behind a ``b64:`` prefix."""
     coded = stored.startswith("b64:")
-    return F.when(coded, F.decode(F.unbase64(F.substring(stored, 5, 1 << 30)), "UTF-8")).otherwise(stored)
+    return F.when(coded, F.decode(F.unbase64(stored.substr(F.lit(5), F.length(stored))), "UTF-8")).otherwise(stored)
 
 
 # The ten context strategies an answer can come from.

@@ -36,7 +36,6 @@ RENAMED: dict[str, tuple[str, dict[str, str]]] = {
          "ship_date_key": "ship_date_key"},
     ),
 }
-FX_ROWS = 1000
 
 
 def _renamed(name: str) -> Callable[[Star], DataFrame]:
@@ -57,9 +56,8 @@ def campaign_spend(star: Star) -> DataFrame:
 
 
 def fx_rates(star: Star) -> DataFrame:
-    """A stub of the calendar's first days; ordered, so it repeats."""
-    rates = star.dim_date().select("date_key", F.lit("USD").alias("ccy"), F.lit(1.0).alias("rate"))
-    return rates.orderBy("date_key").limit(FX_ROWS)
+    """One rate for each day of the calendar."""
+    return star.dim_date().select("date_key", F.lit("USD").alias("ccy"), F.lit(1.0).alias("rate"))
 
 
 def fiscal_alt(star: Star) -> DataFrame:

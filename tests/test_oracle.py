@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from kpiloom import catalog
+from oracle import ORACLE
 from tests.compare import compare, duck
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES = catalog.queries()
 
 
 @pytest.fixture(scope="module")
