@@ -283,7 +283,7 @@ def scoring_queries() -> dict[str, Query]:
         "contamination_gate": _on_tco(scoring.contamination_gate),
         "dedup_order_lines": on_star(
             lambda star: presented(
-                scoring.deduplicated_lines(star, "order_line_key", "product_key", "campaign_key", "net_recognized_amount")
+                star.lines("order_line_key", "product_key", "campaign_key", "net_recognized_amount")
             )
         ),
         "result_normalized": on_star(scoring.normalized_answers),
@@ -365,7 +365,7 @@ def _silver(name: str, table: Callable[[RetailStar], DataFrame], dedup: str) ->
 def _revenue_from_gold(spark: SparkSession, root: str) -> DataFrame:
     star, lake = RetailStar(spark, root), Medallion(spark, shared_dir(spark, "medallion"))
     for name in ("dim_geo", "fact_order_line"):
-        lake.land(star.table(name), name)
+        lake.land(star.table("bronze_order_line" if name == "fact_order_line" else name), name)
         lake.build(name)
     gold = GoldStar(spark, f"{lake.root}/gold", star.calendar)
     return kpis.revenue_by_region_last_quarter(gold, SETTINGS.as_of)
@@ -373,7 +373,8 @@ def _revenue_from_gold(spark: SparkSession, root: str) -> DataFrame:
 
 def _expectations(star: RetailStar) -> DataFrame:
     report = quality_report(star.bronze_subscription_event(), "fact_subscription_event")
-    for name in ("dim_product", "fact_order", "fact_order_line"):
+    report = report.unionByName(quality_report(star.bronze_order_line(), "fact_order_line"))
+    for name in ("dim_product", "fact_order"):
         report = report.unionByName(quality_report(star.table(name), name))
     return report
 
@@ -414,8 +415,8 @@ def ingest_queries() -> dict[str, Query]:
         "stream_silver_subscriptions": _silver(
             "fact_subscription_event", lambda star: star.bronze_subscription_event(), "stateful"
         ),
-        "stream_silver_usage": _silver("fact_usage_event", lambda star: star.fact_usage_event(), "watermark"),
-        "stream_silver_order_lines": _silver("fact_order_line", lambda star: star.fact_order_line(), "batch"),
+        "stream_silver_usage": _silver("fact_usage_event", lambda star: star.fact_usage_event(), "batch"),
+        "stream_silver_order_lines": _silver("fact_order_line", lambda star: star.bronze_order_line(), "batch"),
         "medallion_revenue_by_region": _revenue_from_gold,
         "expectations_report": on_star(_expectations),
         "clustered_write_roundtrip": _clustered_roundtrip,

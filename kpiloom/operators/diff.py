@@ -64,7 +64,8 @@ def normalized(results: DataFrame, keys: list[str], measures: list[str]) -> Data
     """
     names = F.transform("cells", lambda c: _plain(c["name"]))
     values = F.transform("cells", lambda c: c["value"])
-    numbers = F.transform("cells", lambda c: c["value"].try_cast("double"))
+    # Not-a-number counts as missing.
+    numbers = F.transform("cells", lambda c: F.nanvl(c["value"].try_cast("double"), F.lit(None).cast("double")))
     named = results.select("answer_id", names.alias("_columns"), values.alias("_values"), numbers.alias("_numbers"))
 
     def position(name: str) -> Column:
@@ -120,18 +121,19 @@ def keyed_diff(
     keys: list[str],
     measures: list[str],
     tolerance: Tolerance = Tolerance(),
+    answers: DataFrame | None = None,
 ) -> DataFrame:
     """Per answer: are both sides' rows the same, and which share agrees?
 
     A key on one side only makes the answer wrong with score 0. Otherwise the
     score is the share of agreeing keys in the first measure that has a
     disagreement. A measure the answer lacks (``_has_...``) is not held
-    against it. Without keys this compares two single values.
+    against it. Without keys this compares two single values. An answer of
+    ``answers`` without rows on either side is correct.
 
     The sides are stacked and folded per key instead of joined: one shuffle,
     combined map-side, with no outer join for a hot answer to unbalance. A key
-    that repeats on the answer's side agrees if all its values do, which its
-    least and greatest decide.
+    that repeats agrees if its least values agree and its greatest ones.
     """
     on = ["answer_id", *keys]
 
@@ -145,9 +147,10 @@ def keyed_diff(
     is_gold = F.col("_gold")
     folds = []
     for m in measures:
-        theirs = F.when(~is_gold, F.col(m))
+        ours, theirs = F.when(is_gold, F.col(m)), F.when(~is_gold, F.col(m))
         folds += [
-            F.max(F.when(is_gold, F.col(m))).alias(f"gold_{m}"),
+            F.min(ours).alias(f"gold_least_{m}"),
+            F.max(ours).alias(f"gold_most_{m}"),
             F.min(theirs).alias(f"least_{m}"),
             F.max(theirs).alias(f"most_{m}"),
             F.max(F.when(~is_gold, F.col(f"_lacks_{m}"))).alias(f"lacks_{m}"),
@@ -158,8 +161,7 @@ def keyed_diff(
     both = F.col("in_gold") & F.col("in_got")
 
     def agrees(m: str) -> Column:
-        expected = F.col(f"gold_{m}")
-        near = [within(F.col(f"{end}_{m}"), expected, tolerance) for end in ("least", "most")]
+        near = [within(F.col(f"{end}_{m}"), F.col(f"gold_{end}_{m}"), tolerance) for end in ("least", "most")]
         return F.col(f"lacks_{m}") | (near[0] & near[1])
 
     summary = per_key.groupBy("answer_id").agg(
@@ -167,8 +169,11 @@ def keyed_diff(
         F.count_if(both).alias("n_both"),
         *(F.count_if(both & agrees(m)).alias(f"ok_{m}") for m in measures),
     )
+    if answers is not None:
+        counted = [c for c in summary.columns if c != "answer_id"]
+        summary = answers.select("answer_id").distinct().join(summary, "answer_id", "left").fillna(0, counted)
     matched = F.col("n_keys") == F.col("n_both")
-    shares = [F.col(f"ok_{m}") / F.col("n_both") for m in measures]
+    shares = [F.try_divide(F.col(f"ok_{m}"), F.col("n_both")) for m in measures]
     failing = F.coalesce(*(F.when(s < 1, s) for s in shares), F.lit(1.0))
     score = F.when(matched, failing).otherwise(0.0)
     return summary.select(

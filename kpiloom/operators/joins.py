@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,7 +28,7 @@ def with_valid_price(usage: DataFrame, prices: DataFrame) -> DataFrame:
     return usage.join(p, matched & valid).drop("_cloud", "_sku", "price_start_time", "price_end_time")
 
 
-def first_per_key(frame: DataFrame, keys: list[str], *order) -> DataFrame:
+def first_per_key(frame: DataFrame, keys: list[str | Column], *order) -> DataFrame:
     """The first row of every key in a total order.
 
     Spark turns the rank filter into a group limit before the shuffle, so a

@@ -19,16 +19,15 @@ from kpiloom.sources.sinks import read_runs, replace_runs
 from kpiloom.sources.star import Star
 
 ANSWER_KEY = ["run_id", "tier", "question_id"]
-LINE_ORDER = ("product_key", "campaign_key", "qty", "gross_amount", "recognition_date_key")
 
 
 # -- answers whose result is a set of rows ----------------------------------------
 
 
-def deduplicated_lines(star: Star, *columns: str) -> DataFrame:
-    """Lines after the pipeline's dedup on the business key."""
-    wanted = dict.fromkeys(("order_line_key", *LINE_ORDER, *columns))
-    return first_per_key(star.lines(*wanted), ["order_line_key"], *LINE_ORDER).select(*columns)
+def delivered(star: Star, *columns: str) -> DataFrame:
+    """Fulfilled lines with their copies, as a reader of the plain table sums them."""
+    lines = star.bronze_lines(*dict.fromkeys((*columns, "line_status")))
+    return lines.where(F.col("line_status") == "FULFILLED").select(*columns)
 
 
 def _yearly(lines: DataFrame, star: Star, *keys: str) -> DataFrame:
@@ -58,14 +57,14 @@ def copied_results(star: Star) -> DataFrame:
     The rows come as an agent returns them, under display names and with a
     zero row for regions that only have unfulfilled lines.
     """
-    summed = _by_region(star.lines(*REGION_COLUMNS), star)
+    summed = _by_region(star.bronze_lines(*REGION_COLUMNS), star)
     return summed.select(
         "answer_id", cells(**{"Region": F.col("region_name"), "Recognized  Revenue!": F.col(NET)}).alias("cells")
     )
 
 
 def golden_results(star: Star) -> DataFrame:
-    lines = deduplicated_lines(star, *REGION_COLUMNS, "line_status").where(F.col("line_status") == "FULFILLED")
+    lines = star.fulfilled(*REGION_COLUMNS)
     return _by_region(lines, star).select(
         "answer_id", cells(region_name=F.col("region_name"), recognized_revenue=F.col(NET)).alias("cells")
     )
@@ -92,8 +91,8 @@ def scalar_diff(star: Star) -> DataFrame:
         return _answered(_yearly(lines, star), star).select("answer_id", F.col(NET).alias("revenue"))
 
     columns = ("product_key", "recognition_date_key", NET)
-    gold = deduplicated_lines(star, *columns, "line_status").where(F.col("line_status") == "FULFILLED")
-    return keyed_diff(total(gold), total(star.fulfilled(*columns)), [], ["revenue"])
+    gold = star.fulfilled(*columns)
+    return keyed_diff(total(gold), total(delivered(star, *columns)), [], ["revenue"])
 
 
 def ranking_diff(star: Star, n: int = 10) -> DataFrame:
@@ -105,8 +104,8 @@ def ranking_diff(star: Star, n: int = 10) -> DataFrame:
         named = yearly.select(F.col("fiscal_year").cast("string").alias("answer_id"), "sku_code", F.col(NET).alias("revenue"))
         return top_rows(named, "revenue", ["sku_code"], n)
 
-    gold = deduplicated_lines(star, *columns, "line_status").where(F.col("line_status") == "FULFILLED")
-    return keyed_diff(ranked(gold), ranked(star.fulfilled(*columns)), ["sku_code"], ["revenue"])
+    gold = star.fulfilled(*columns)
+    return keyed_diff(ranked(gold), ranked(delivered(star, *columns)), ["sku_code"], ["revenue"])
 
 
 def quarter_pivot_diff(star: Star) -> DataFrame:
@@ -119,13 +118,13 @@ def quarter_pivot_diff(star: Star) -> DataFrame:
         families = quarterly.withColumn("answer_id", F.col("fiscal_year").cast("string"))
         return families.where(F.col("fiscal_quarter").isin(*quarters))
 
-    long = dated(star.fulfilled(*columns)).groupBy("answer_id", "product_family", "fiscal_quarter").agg(
+    long = dated(delivered(star, *columns)).groupBy("answer_id", "product_family", "fiscal_quarter").agg(
         F.sum(NET).alias("revenue")
     )
     got = long.groupBy("answer_id", "product_family").pivot("fiscal_quarter", list(quarters)).agg(F.sum("revenue"))
     got = got.withColumnsRenamed({str(q): name for q, name in quarters.items()})
     gold = dated(
-        deduplicated_lines(star, *columns, "line_status").where(F.col("line_status") == "FULFILLED")
+        star.fulfilled(*columns)
     ).groupBy("answer_id", "product_family").agg(
         *(F.sum(F.when(F.col("fiscal_quarter") == q, F.col(NET)).otherwise(0)).alias(n) for q, n in quarters.items())
     )

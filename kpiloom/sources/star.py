@@ -21,9 +21,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.functions.calendar import FiscalCalendar
+from kpiloom.operators.joins import first_per_key
 
 Bounds = tuple[date, date]
 
+#: Of an order line's copies the first in this order counts, here, in silver and
+#: in scoring. It is total: the other columns follow from these and the key.
+LINE_ORDER = (
+    "product_key", "campaign_key", "qty", "gross_amount", "recognition_date_key", "return_amount", "line_status",
+)
+
 
 
 def cents(column: str) -> Column:
@@ -123,6 +130,13 @@ class Star:
         """Order lines, limited to ``columns`` and a span of recognition days."""
         raise NotImplementedError
 
+    def bronze_lines(self, *columns: str) -> DataFrame:
+        """Order lines as delivered, with the copies a source may hold."""
+        return self.lines(*columns)
+
+    def bronze_order_line(self) -> DataFrame:
+        return self.bronze_lines(*LINE_COLUMNS)
+
     def subscriptions(self, happened: Bounds | None = None) -> DataFrame:
         raise NotImplementedError
 
@@ -257,10 +271,18 @@ class RetailStar(Star):
         )
 
     def lines(self, *columns: str, recognized: Bounds | None = None) -> DataFrame:
-        unknown = set(columns) - set(LINE_COLUMNS)
-        if unknown:
-            raise ValueError(f"no such order line columns: {sorted(unknown)}")
-        wanted = set(columns)
+        """One line per business key. Which copy counts is settled before the
+        span of days, as a copy may be of another day; gold holds one already,
+        and there the days reach the scan."""
+        own = self._line_columns()
+        order = [own[c] for c in LINE_ORDER]
+        return self._lines(first_per_key(self.raw("lineitem"), [own["order_line_key"]], *order), columns, recognized)
+
+    def bronze_lines(self, *columns: str) -> DataFrame:
+        return self._lines(self.raw("lineitem"), columns, None)
+
+    def _line_columns(self) -> dict[str, Column]:
+        """Those that follow from the line alone."""
         gross, off = cents("l_extendedprice"), cents("l_discount")
         quantity = F.col("l_quantity").cast("int")
         flag, state = F.col("l_returnflag"), F.col("l_linestatus")
@@ -270,7 +292,7 @@ class RetailStar(Star):
             .otherwise("FULFILLED")
         )
         day = self._day_key("l_shipdate")
-        own = {
+        return {
             "order_line_key": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
             "order_key": F.col("l_orderkey"),
             "product_key": F.col("l_partkey"),
@@ -285,7 +307,14 @@ class RetailStar(Star):
             "ship_date_key": day,
             "recognition_date_key": day,
         }
-        frame = self.raw("lineitem").where(_on_days("l_shipdate", recognized))
+
+    def _lines(self, frame: DataFrame, columns: tuple[str, ...], recognized: Bounds | None) -> DataFrame:
+        unknown = set(columns) - set(LINE_COLUMNS)
+        if unknown:
+            raise ValueError(f"no such order line columns: {sorted(unknown)}")
+        wanted = set(columns)
+        own = self._line_columns()
+        frame = frame.where(_on_days("l_shipdate", recognized))
         if "geo_key" in wanted:
             supplier = self.raw("supplier").select("s_suppkey", F.col("s_nationkey").alias("geo_key"))
             frame = frame.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")

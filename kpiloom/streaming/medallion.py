@@ -7,11 +7,12 @@ used up (``availableNow``), and resume from their checkpoint.
 
 Dedup has three forms, as a copy may arrive at any time:
 
-``batch``     Each micro-batch keeps one row per key, chosen before the
-              shuffle in every task, and drops keys that earlier batches
-              already wrote. The silver table itself is the state, so a key
-              with very many copies loads no single task and nothing is lost
-              with an executor. The default.
+``batch``     Each micro-batch writes one row per key, chosen before the
+              shuffle in every task, and reads nothing written before. Readers
+              take the first of a key's rows over all batches, in one total
+              order, so the result does not depend on how files fell into
+              batches. A key with very many copies loads no single task and
+              nothing is lost with an executor. The default.
 ``stateful``  Spark's streaming ``dropDuplicates``; every key stays in state,
               which therefore lives in RocksDB rather than on the heap.
 ``watermark`` The same with state bounded by a delay, for copies that only
@@ -28,8 +29,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from kpiloom.operators.joins import first_per_key
-from kpiloom.sources.sinks import exists, write_gold
-from kpiloom.sources.star import PRODUCT_CLASSES, SUBSCRIPTION_EVENTS, TABLE_KEYS
+from kpiloom.sources.sinks import write_gold
+from kpiloom.sources.star import LINE_ORDER, PRODUCT_CLASSES, SUBSCRIPTION_EVENTS, TABLE_KEYS
 
 OBSERVED = "expectations"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -88,6 +89,13 @@ def meets(name: str) -> Column:
     return result
 
 
+def one_per_key(frame: DataFrame, name: str) -> DataFrame:
+    """The first copy of each business key, in an order of the rows' own values."""
+    first = [c for c in LINE_ORDER if name == "fact_order_line"]
+    order = dict.fromkeys((*first, *(c for c in frame.columns if not c.startswith("_") and c != "batch")))
+    return first_per_key(frame, [TABLE_KEYS[name]], *order, "_ingest_ts")
+
+
 def quality_report(frame: DataFrame, name: str) -> DataFrame:
     """Rows each expectation of a table drops, in one pass."""
     rules = EXPECTATIONS[name]
@@ -165,7 +173,7 @@ class Medallion:
         watched = typed.observe(OBSERVED, F.count(F.lit(1)).alias("n_rows"), *broken)
         stream, key = watched.where(meets(name)), TABLE_KEYS[name]
         if dedup == "batch":
-            query = self._refine_by_batch(stream, name, key)
+            query = self._refine_by_batch(stream, name)
         elif dedup == "stateful":
             query = self._with_rocksdb(stream.dropDuplicates([key]), name)
         elif dedup == "watermark":
@@ -184,18 +192,13 @@ class Medallion:
         finally:
             self.spark.conf.set(provider, before)
 
-    def _refine_by_batch(self, stream: DataFrame, name: str, key: str) -> StreamingQuery:
+    def _refine_by_batch(self, stream: DataFrame, name: str) -> StreamingQuery:
         target = self.path("silver", name)
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            # A retried batch must not see its own first try as earlier rows.
-            order = [c for c in batch.columns if not c.startswith("_")]
-            rows = first_per_key(batch, [key], *order, "_ingest_ts")
-            if batch_id > 0 and exists(batch.sparkSession, target):
-                written = batch.sparkSession.read.parquet(target)
-                earlier = written.where(F.col("batch") < batch_id).select(key)
-                rows = rows.join(earlier, key, "left_anti")
-            rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+            # Overwriting makes a retried batch harmless; reading settles keys
+            # that several batches brought.
+            one_per_key(batch, name).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
         query = (
             stream.writeStream.foreachBatch(write)
@@ -219,4 +222,7 @@ class Medallion:
         return self.table("gold", name)
 
     def table(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path(layer, name))
+        """A layer's table. A batch leaves in silver one row for each key that it
+        brought; which of those counts is decided here, over all batches."""
+        frame = self.spark.read.option("mergeSchema", "true").parquet(self.path(layer, name))
+        return one_per_key(frame, name) if layer == "silver" and "batch" in frame.columns else frame

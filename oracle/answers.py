@@ -133,24 +133,22 @@ star.VIEWS.update(
         """,
         "copied": f"""
             SELECT sku_code || '|' || fiscal_year AS answer_id, region_name, CAST(sum({NET}) AS DOUBLE) AS v
-            FROM fact_order_line JOIN dim_date ON recognition_date_key = date_key JOIN dim_product USING (product_key)
+            FROM bronze_order_line JOIN dim_date ON recognition_date_key = date_key JOIN dim_product USING (product_key)
             JOIN dim_geo USING (geo_key) GROUP BY ALL
         """,
         "copied_clean": """
             SELECT answer_id, region_name, v FROM (SELECT *, max(abs(v) > 0.01) OVER (PARTITION BY answer_id) AS any_big
             FROM copied) WHERE NOT any_big OR abs(v) > 0.01
         """,
-        "dedup": """
-            SELECT * FROM fact_order_line QUALIFY row_number() OVER (PARTITION BY order_line_key
-            ORDER BY product_key, campaign_key, qty, gross_amount, recognition_date_key) = 1
-        """,
         "clean_sales": """
-            SELECT *, sku_code || '|' || fiscal_year AS answer_id FROM dedup
+            SELECT *, sku_code || '|' || fiscal_year AS answer_id FROM fact_order_line
             JOIN dim_date ON recognition_date_key = date_key JOIN dim_product USING (product_key)
             WHERE line_status = 'FULFILLED'
         """,
         "raw_sales": """
-            SELECT *, sku_code || '|' || fiscal_year AS answer_id FROM sales JOIN dim_product USING (product_key)
+            SELECT *, sku_code || '|' || fiscal_year AS answer_id FROM bronze_order_line
+            JOIN dim_date ON recognition_date_key = date_key JOIN dim_product USING (product_key)
+            WHERE line_status = 'FULFILLED'
         """,
         "golden": f"""
             SELECT answer_id, region_name, CAST(sum({NET}) AS DOUBLE) AS v
@@ -298,7 +296,7 @@ ORACLE = {
                      max(first_pass_accuracy) FILTER (WHERE tier = 'T4') AS full_first_pass,
                      count(*) FILTER (WHERE above_quality_floor) AS n_above_floor FROM tco GROUP BY run_id)"""),
     "dedup_order_lines": sql(f"""
-        SELECT order_line_key, product_key, campaign_key, CAST({NET} AS DOUBLE) AS {NET} FROM dedup"""),
+        SELECT order_line_key, product_key, campaign_key, CAST({NET} AS DOUBLE) AS {NET} FROM fact_order_line"""),
     "result_normalized": sql("SELECT answer_id, region_name, v AS recognized_revenue FROM copied_clean"),
     "result_diff": sql(diff(
         "SELECT * FROM golden", "SELECT * FROM copied_clean", ["region_name"], ["v"])),

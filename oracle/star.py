@@ -72,7 +72,7 @@ VIEWS: dict[str, str] = {
                     WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 'CANCELLED' ELSE 'FULFILLED' END AS status
         FROM lineitem
     """,
-    "fact_order_line": """
+    "bronze_order_line": """
         SELECT l_orderkey * 10 + l_linenumber AS order_line_key, l_orderkey AS order_key, l_partkey AS product_key,
                CAST(l_quantity AS INTEGER) AS qty, returned AS return_amount,
                CAST(datediff('day', DATE '1994-01-31', CAST(l_shipdate AS DATE)) + 1 AS INTEGER) AS ship_date_key,
@@ -84,6 +84,10 @@ VIEWS: dict[str, str] = {
                    AS recognition_date_key
         FROM line_amounts LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN supplier ON l_suppkey = s_suppkey
     """,
+    "fact_order_line": """
+        SELECT * FROM bronze_order_line QUALIFY row_number() OVER (PARTITION BY order_line_key
+        ORDER BY product_key, campaign_key, qty, gross_amount, recognition_date_key, return_amount, line_status) = 1
+    """,
     "sales": """
         SELECT * FROM fact_order_line JOIN dim_date ON recognition_date_key = date_key
         WHERE line_status = 'FULFILLED'

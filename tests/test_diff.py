@@ -134,3 +134,23 @@ def test_published_wave(spark):
     assert (row["min"], row["max"]) == (pytest.approx(0.0107441), pytest.approx(0.0131292))
     single = frame.limit(1).agg(*(v.alias(n) for n, v in spread(F.col("c")).items())).first()
     assert (single["std"], single["se"]) == (0.0, 0.0)
+
+
+def test_repeated_golden_keys_must_all_be_answered(spark):
+    gold = spark.createDataFrame([("a", "k", 1.0), ("a", "k", 9.0), ("b", "k", 1.0), ("b", "k", 9.0)], "answer_id string, k string, v double")
+    got = spark.createDataFrame([("a", "k", 9.0), ("b", "k", 9.0), ("b", "k", 1.0)], gold.schema)
+    rows = {r.answer_id: r.correct for r in keyed_diff(gold, got, ["k"], ["v"]).collect()}
+    assert rows == {"a": False, "b": True}
+
+
+def test_answers_empty_on_both_sides_are_correct(spark):
+    gold = spark.createDataFrame([("a", "k", 1.0)], "answer_id string, k string, v double")
+    answers = spark.createDataFrame([("a",), ("b",)], "answer_id string")
+    rows = {r.answer_id: (r.correct, r.answer_score) for r in keyed_diff(gold, gold.where("false"), ["k"], ["v"], answers=answers).collect()}
+    assert rows == {"a": (False, 0.0), "b": (True, 1.0)}
+
+
+def test_not_a_number_is_missing(spark):
+    rows = [("a", [("region_name", "x"), ("v", "NaN")]), ("a", [("region_name", "y"), ("v", "2")])]
+    frame = spark.createDataFrame(rows, "answer_id string, cells array<struct<name string, value string>>")
+    assert [r.region_name for r in normalized(frame, ["region_name"], ["v"]).collect()] == ["y"]

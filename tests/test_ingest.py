@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from kpiloom.plans import kpis
 from kpiloom.catalog import SETTINGS
 from kpiloom.sources.sinks import write_gold
-from kpiloom.sources.star import TABLE_KEYS, GoldStar
+from kpiloom.sources.star import TABLE_KEYS, GoldStar, RetailStar
 from kpiloom.streaming.medallion import Medallion, quality_report
 
 SCHEMA = "subscription_event_key long, member_key long, event_type string"
@@ -97,3 +97,20 @@ def test_one_hot_day_spreads_over_files(spark, tmp_path, many_partitions):
     write_gold(hot, "fact_return", path)
     files = spark.read.parquet(path).where("return_date_key = 5").select(F.input_file_name()).distinct().count()
     assert files > 1
+
+
+def test_silver_does_not_depend_on_how_files_fall_into_batches(spark, tmp_path, monkeypatch):
+    star = RetailStar(spark, "/root/testdata/sf0.001")
+    lines = star.bronze_order_line().repartition(3)
+    results = []
+    for limit in (Medallion.MAX_BYTES, 1):
+        monkeypatch.setattr(Medallion, "MAX_BYTES", limit)
+        lake = Medallion(spark, str(tmp_path / f"lake-{limit}"))
+        lake.land(lines, "fact_order_line")
+        gold = lake.build("fact_order_line")
+        results.append(sorted(map(tuple, gold.drop("_ingest_ts", "batch").collect())))
+    assert results[0] == results[1]
+    batches = spark.read.parquet(lake.path("silver", "fact_order_line")).select("batch").distinct().count()
+    assert batches > 1
+    got = spark.createDataFrame(results[0], gold.schema).groupBy().sum("net_recognized_amount").first()[0]
+    assert float(got) == pytest.approx(float(star.lines("net_recognized_amount").groupBy().sum().first()[0]))
