@@ -35,8 +35,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for one job's tables or stream checkpoints.
 
     Lives under the folder the cluster names in ``spark.checkpoint.dir``, so
-    every executor sees it and a lost executor costs nothing but a retry. Only
-    a local master may fall back to the machine's temporary folder.
+    every executor sees it and a lost executor costs nothing but a retry. Where
+    that is unset it lives in the warehouse.
     """
     base = spark.conf.get(SHARED_DIR_KEY, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
     return f"{base.rstrip('/')}/kpiloom/{purpose}-{uuid.uuid4().hex}"
