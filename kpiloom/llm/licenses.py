@@ -1,11 +1,14 @@
 """License scans by a positional index of rare words.
 
-Templates of licences are indexed by word and position. A document's licence
-words are rated by how few documents hold them; the ``LOOKED_UP`` rarest are
-looked up in the index, and each hit votes for a template and for the place
-where the template would begin. A template whose words agree on a place, to
-within ``SLACK`` words, is proposed with the part of its looked-up words that
-agree, and becomes a label if its mandatory phrases stand in the text.
+Templates of licences are indexed by word and position, and licence words are
+ranked by how few documents hold them. For each template whose mandatory phrase
+stands in a text, the words of the text that the template has are looked up in
+the index, and each hit votes for the place where the template would begin. The
+template becomes a label if, to within ``SLACK`` words, one place has the votes
+of enough of the ``LOOKED_UP`` rarest of these words, or of enough of all the
+template's words. Ranks are by template and leave no word out, so neither a
+licence that many documents hold, nor a small table, nor another licence or
+ordinary words in the same text take a template's votes away.
 
 The base phrases are found wherever their words stand one after the other.
 
@@ -21,7 +24,6 @@ an empty table gives no rows; further columns are not read.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import let, stored
@@ -59,14 +61,12 @@ TEMPLATES = {
     "mpl-2.0": ("this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at", "mozilla public license"),
 }
 
-#: Rarest licence words of a document that are looked up.
+#: Rarest words of a template, of those in a document, that can decide alone.
 LOOKED_UP = 8
 #: Words by which hits of one place may differ.
 SLACK = 2
-#: Least part of a template's looked-up words that must agree, and their least number.
+#: Least part of a template's rarest or of all its words that must agree, and their least number.
 AGREE, LEAST = 0.5, 2
-#: A word in more than this part of the documents tells nothing.
-COMMON = 0.2
 
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _BETWEEN = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
@@ -118,30 +118,36 @@ def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     return rows.select("doc_id", "doc", "f.n_words", "f.seen", "f.licence.words", "f.licence.places")
 
 
-def rarity(rows: DataFrame) -> DataFrame:
-    """(w, idf) of the licence words that not too many documents hold; a row per
-    word of the templates at most."""
-    total = rows.agg(F.count("*")).first()[0]
-    held = rows.select(F.explode("seen").alias("w")).groupBy("w").agg(F.count("*").alias("docs"))
-    return held.where(F.col("docs") <= COMMON * total).select("w", F.log((F.lit(total) + 1.0) / (F.col("docs") + 1.0)).alias("idf"))
+def rarest_first(rows: DataFrame) -> list[str]:
+    """The licence words by how few documents hold them, which is their order by
+    idf; a row per word of ``VOCABULARY`` at most is collected."""
+    held = dict(rows.select(F.explode("seen").alias("w")).groupBy("w").agg(F.count("*").alias("docs")).collect())
+    return sorted(VOCABULARY, key=lambda w: (held.get(w, 0), w))
 
 
 def proposals(rows: DataFrame) -> DataFrame:
-    """(doc, template, share): templates whose rare words agree on a place."""
+    """(doc, template, share): templates whose words agree on a place."""
     spark = rows.sparkSession
-    index = [(t, w, i) for t, (text, _) in sorted(TEMPLATES.items()) for i, w in enumerate(text.split())]
+    order = rarest_first(rows)
+    split = {t: text.split() for t, (text, _) in sorted(TEMPLATES.items())}
+    index = [(t, w, i) for t, words in split.items() for i, w in enumerate(words)]
     index = F.broadcast(spark.createDataFrame(index, "template string, w string, place long"))
-    placed = rows.where("words is not null").select("doc", F.explode("words").alias("x")).select("doc", "x.w", "x.at")
-    rare = placed.join(F.broadcast(rarity(rows)), "w")
-    ranked = rare.withColumn("rank", F.dense_rank().over(W.partitionBy("doc").orderBy(F.desc("idf"), "w"))).where(F.col("rank") <= LOOKED_UP)
-    hits = ranked.join(index, "w").withColumn("begin", F.col("at") - F.col("place"))
-    wanted = hits.groupBy("doc", "template").agg(F.count_distinct("w").alias("wanted"))
+    sought = []
+    for t, words in split.items():
+        # array_intersect keeps the order of its first array.
+        rare = F.slice(F.array_intersect(F.array(*[F.lit(w) for w in order if w in words]), F.col("seen")), 1, LOOKED_UP)
+        asked = F.struct(F.lit(t).alias("template"), F.lit(len(set(words))).alias("n_words"), rare.alias("rare"))
+        sought.append(F.when(F.size(F.get("places", SOUGHT.index(TEMPLATES[t][1]))) > 0, asked))
+    asked = rows.where("words is not null").select("doc", "words", F.explode(F.array_compact(F.array(*sought))).alias("t")).select("doc", "t.*", "words")
+    placed = asked.select("doc", "template", "n_words", "rare", F.explode("words").alias("x")).select("doc", "template", "n_words", F.size("rare").alias("n_rare"), F.array_contains("rare", F.col("x.w")).alias("is_rare"), "x.w", "x.at")
+    hits = placed.join(index, ["template", "w"])
     # Two places that differ by SLACK or less share one of these.
-    step = F.floor(F.col("begin") / (SLACK + 1))
-    agreed = hits.withColumn("near", F.explode(F.array(step, step + 1))).groupBy("doc", "template", "near").agg(F.count_distinct("w").alias("agreed"))
-    best = agreed.groupBy("doc", "template").agg(F.max("agreed").alias("agreed")).join(wanted, ["doc", "template"])
-    share = F.col("agreed") / F.col("wanted")
-    return best.where((F.col("agreed") >= LEAST) & (share >= AGREE)).select("doc", "template", share.alias("share"))
+    step = F.floor((F.col("at") - F.col("place")) / (SLACK + 1))
+    votes = hits.withColumn("near", F.explode(F.array(step, step + 1))).select("doc", "template", "n_words", "n_rare", "near", "w", "is_rare").distinct()
+    agreed = votes.groupBy("doc", "template", "n_words", "n_rare", "near").agg(F.count("*").alias("every"), F.count_if("is_rare").alias("rare"))
+    shares = [F.when(F.col(n) >= LEAST, F.col(n) / F.col(of)) for n, of in (("every", "n_words"), ("rare", "n_rare"))]
+    best = agreed.groupBy("doc", "template").agg(F.max(F.greatest(*shares)).alias("share"))
+    return best.where(F.col("share") >= AGREE)
 
 
 def licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

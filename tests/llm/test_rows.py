@@ -117,6 +117,30 @@ def test_license_phrases_and_labels(documents, prose):
     assert got[30][0][5:] == ("", 0.0)
 
 
+def license_labels(frame):
+    return {r.doc_id: set(r.labels.split(",")) - {""} for r in licenses.digest(licenses.licences(frame)).collect()}
+
+
+def test_a_common_licence_keeps_its_label(documents, prose):
+    mit, bsd = licenses.TEMPLATES["mit"][0], licenses.TEMPLATES["bsd"][0]
+    rows = [(i, f"{prose(i, 30)} {(mit, bsd, '')[i % 3]}") for i in range(30)]
+    assert license_labels(documents(rows)) == {i: ({"mit"}, {"bsd"}, set())[i % 3] for i in range(30)}
+    assert license_labels(documents([(1, f"{prose(1, 30)} {mit}")])) == {1: {"mit"}}
+
+
+def test_each_licence_of_a_file_is_found(documents, prose):
+    three = {t: licenses.TEMPLATES[t][0] for t in ("apache-2.0", "bsd", "mit")}
+    words = " ".join(w for w in licenses.VOCABULARY if w not in " ".join(three.values()).split())
+    rows = [(i, prose(i, 60)) for i in range(20)]
+    rows += [(100, f" {prose(100, 40)} ".join(three.values())), (101, f"{words} {prose(101, 40)} {three['mit']}")]
+    # Ordinary words of the template's second half, rarer than those of its first half.
+    front, back = three["mit"].split()[:20], three["mit"].split()[20:]
+    rows += [(102, f"{' '.join(front)} {prose(102, 40)} {' '.join(reversed(back))}"), *((200 + i, " ".join(front[:7]) + " " + prose(i, 30)) for i in range(5))]
+    got = license_labels(documents(rows))
+    assert got[100] == set(three) and "mit" in got[101] and "mit" in got[102]
+    assert not any(got[i] for i in range(20))
+
+
 def test_native_operators_run_no_python(documents, plan):
     for frame in (licenses.scanned(documents(ODD)), quality.measured(documents(ODD), ["doc_id"])):
         assert not re.search("Python|Pandas|Arrow", plan(frame))
