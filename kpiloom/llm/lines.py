@@ -1,16 +1,21 @@
 """Line dedup by a deletion-neighbourhood join.
 
-Lines are sequences of words, and the edit distance counts words added, taken
-away or replaced. A line of ``LEAST_WORDS`` words or more goes if an earlier one,
-in the order of (doc_id, line number), is the same or one edit away; a shorter
-one only if an earlier line is the same, since one word is too much of it.
-
-Two lines are one edit apart if they are equal once one word is deleted from one
-of them, or from both at the same place. So each line gives the hashes of all
-its one-word deletions and of itself, and equal hashes are joined. Before that,
-two filters that lose nothing: an edit leaves the first or the last ``EDGE``
-words as they are, and all but one of a line's ``BLOCKS`` parts; only lines that
-share these with another line give deletions.
+A line goes if an earlier one, in the order of (doc_id, line number), is the
+same or near. Of two lines of which the longer has ``LEAST_WORDS`` words or more,
+near means one word added, taken away or replaced. One word is too much of two
+shorter lines, which may also be of a script without blanks: for them it is one
+character, blanks between words counted as one, if the longer has
+``LEAST_CHARS`` characters or more. So an edit is an eighth of the longer line
+at most, and shorter lines go only if an earlier one is the same.
+
+A line is a sequence of words or of characters or, where it may be near lines of
+either kind, both. Two sequences are one edit apart if they are equal once one
+item is deleted from one of them, or from both at the same place. So each gives
+the hashes of all its deletions of one item and of itself, and equal hashes are
+joined. Before that, two filters that lose nothing: an edit leaves the first or
+the last ``EDGE`` words, or half of the characters, as they are, and all but one
+of a sequence's ``BLOCKS`` parts; only lines that share these with another line
+give deletions.
 
 Each hash keeps its earliest line only, a minimum combined before the shuffle,
 so a hash of any number of lines costs a row per line. The earliest neighbour is
@@ -33,10 +38,13 @@ from pyspark.sql import functions as F
 from kpiloom.llm.common import BASE, beside, hashes_of, mixed, narrow, ragged, slices, stored
 
 LEAST_WORDS = 8
+LEAST_CHARS = 8
 #: Words at either end, one of which an edit leaves alone.
 EDGE = LEAST_WORDS // 2
 #: Parts of a line, all but one of which an edit leaves alone.
 BLOCKS = 4
+#: Columns of a line's edges: of its words, and of its characters' halves.
+EDGES = ("head", "tail", "half", "half2", "less", "less2")
 _M = 2**64
 _INVERSE = pow(BASE, -1, _M)
 
@@ -123,27 +131,61 @@ def line_words(text: str | None) -> list[list[bytes]]:
     return [s.split() for s in text.encode("utf-8", "surrogatepass").split(b"\n")] if text else []
 
 
+def chars_of(words: list[bytes]) -> list[bytes]:
+    """The line's characters, each after a blank, so that none is a word's bytes."""
+    return [b" " + c.encode("utf-8", "surrogatepass") for c in b" ".join(words).decode("utf-8", "surrogatepass")]
+
+
+def sequences(words: list[bytes]) -> list[tuple[list[bytes], int]]:
+    """The line as words, as characters or both, with the least length of the
+    longer of two near ones; the shorter may have one item less."""
+    out = [(words, LEAST_WORDS)] if len(words) >= LEAST_WORDS - 1 else []
+    if len(words) < LEAST_WORDS and len(chars := chars_of(words)) >= LEAST_CHARS - 1:
+        out.append((chars, LEAST_CHARS))
+    return out
+
+
+def near(a: list[bytes], b: list[bytes]) -> bool:
+    """Whether lines of these words are one edit apart, in words or characters."""
+    if max(len(a), len(b)) >= LEAST_WORDS:
+        return one_edit(a, b)
+    a, b = chars_of(a), chars_of(b)
+    return max(len(a), len(b)) >= LEAST_CHARS and one_edit(a, b)
+
+
+def _edges(words: list[bytes]) -> list[int | None]:
+    """Hashes of which near lines share one: of the first and last words, and of
+    the halves of the characters, by their number and by that of a shorter line."""
+    out: list[int | None] = [None] * len(EDGES)
+    for items, least in sequences(words):
+        if items is words:
+            out[:2] = [_long(xxhash.xxh3_64_intdigest(b" ".join(w), seed)) for seed, w in enumerate((words[:EDGE], words[-EDGE:]))]
+            continue
+        n = len(items)
+        for i, k in enumerate((n, n - 1)):
+            if k >= least - 1:
+                halves = items[: k // 2], items[n - (k - k // 2) :]
+                out[2 + 2 * i : 4 + 2 * i] = [_long(xxhash.xxh3_64_intdigest(b"".join(w), 2 * k + side)) for side, w in enumerate(halves)]
+    return out
+
+
 def _long(value: int) -> int:
     return value - _M if value >> 63 else value
 
 
 def _lines(batches):
-    """A row per line that has words: where it is, its two hashes, and those of
-    its first and last words."""
+    """A row per line that has words: where it is, its two hashes and its edges'."""
     for batch in slices(batches):
         rows = []
         for i, text in enumerate(batch.column("text").to_pylist()):
             for j, words in enumerate(line_words(text)):
                 if words:
                     whole = xxhash.xxh3_128_intdigest(b" ".join(words))
-                    edges = (None, None)
-                    if len(words) >= LEAST_WORDS:
-                        edges = [_long(xxhash.xxh3_64_intdigest(b" ".join(w), seed)) for seed, w in enumerate((words[:EDGE], words[-EDGE:]))]
-                    rows.append((i, j, _long(whole >> 64), _long(whole % _M), *edges))
-        at, number, *cols = zip(*rows) if rows else [()] * 6
+                    rows.append((i, j, _long(whole >> 64), _long(whole % _M), *_edges(words)))
+        at, number, *cols = zip(*rows) if rows else [()] * (4 + len(EDGES))
         at = pa.array(at, pa.int64())
         arrays = [batch.column("doc_id").take(at), batch.column("row").take(at), pa.array(number, pa.int32()), *[pa.array(c, pa.int64()) for c in cols]]
-        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row", "number", "line", "line2", "head", "tail"])
+        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row", "number", "line", "line2", *EDGES])
 
 
 def _wanted(batches):
@@ -157,7 +199,7 @@ def _wanted(batches):
                 line.append(x["line"])
                 rank.append(x["rank"])
                 words.append(b" ".join(found))
-                blocks.append(block_keys(hashes_of(found)))
+                blocks.append(np.concatenate([block_keys(hashes_of(items)) for items, _ in sequences(found)]))
         yield pa.RecordBatch.from_arrays([pa.array(line, pa.int64()), pa.array(rank, _RANK), pa.array(words, pa.binary()), ragged(blocks, pa.int64())], ["line", "rank", "words", "blocks"])
 
 
@@ -166,11 +208,15 @@ def _keys(batches):
     for batch in slices(batches):
         kinds, keys, at = [], [], []
         for i, words in enumerate(batch.column("words").to_pylist()):
-            hashes = hashes_of(words.split(b" "))
-            for kind, part in ((SAME, deletion_keys(hashes)), (LONGER, shorter_keys(hashes)), (SHORTER, whole_key(hashes))):
-                kinds.append(np.full(len(part), kind, np.int32))
-                keys.append(part)
-                at.append(np.full(len(part), i))
+            for items, least in sequences(words.split(b" ")):
+                hashes = hashes_of(items)
+                parts = [(SHORTER, whole_key(hashes))]
+                if len(items) >= least:
+                    parts += [(SAME, deletion_keys(hashes)), (LONGER, shorter_keys(hashes))]
+                for kind, part in parts:
+                    kinds.append(np.full(len(part), kind, np.int32))
+                    keys.append(part)
+                    at.append(np.full(len(part), i))
         if keys:
             at = pa.array(np.concatenate(at))
             yield pa.RecordBatch.from_arrays(
@@ -188,7 +234,7 @@ _RANK_SQL = "struct<doc_id: long, number: int, row: long>"
 
 def _confirmed(batches):
     for batch in slices(batches):
-        ok = [one_edit(a.split(b" "), b.split(b" ")) for a, b in zip(batch.column("words").to_pylist(), batch.column("other").to_pylist())]
+        ok = [near(a.split(b" "), b.split(b" ")) for a, b in zip(batch.column("words").to_pylist(), batch.column("other").to_pylist())]
         yield batch.select(["line"]).filter(pa.array(ok, pa.bool_()))
 
 
@@ -209,12 +255,13 @@ def _rewritten(batches):
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(row, number) of the lines that go; ``docs`` has doc_id, row and text."""
-    every = stored(docs.select("doc_id", "row", "text").mapInArrow(_lines, "doc_id long, row long, number int, line long, line2 long, head long, tail long"), "lines")
+    every = stored(docs.select("doc_id", "row", "text").mapInArrow(_lines, f"doc_id long, row long, number int, line long, line2 long, {', '.join(f'{e} long' for e in EDGES)}"), "lines")
     rank = F.struct("doc_id", "number", "row")
     # Equal lines have equal edges, so any of them will do.
-    first = stored(every.groupBy("line", "line2").agg(F.min(rank).alias("rank"), F.min("head").alias("head"), F.min("tail").alias("tail")), "first-lines")
+    first = every.groupBy("line", "line2").agg(F.min(F.struct("doc_id", "number", "row", *EDGES)).alias("f"))
+    first = stored(first.select("line", "line2", F.struct("f.doc_id", "f.number", "f.row").alias("rank"), *[f"f.{e}" for e in EDGES]), "first-lines")
 
-    ends = first.where("head is not null").select("line", F.explode(F.array("head", "tail")).alias("edge"))
+    ends = first.select("line", F.explode(F.array_compact(F.array(*EDGES))).alias("edge"))
     shared = ends.groupBy("edge").agg(F.min("line").alias("least"), F.max("line").alias("most")).where("least != most").select("edge")
     live = ends.join(shared, "edge").select("line").distinct()
     wanted = first.select("line", "rank").join(live, "line").select(F.col("rank.row").alias("row"), F.struct("line", "rank").alias("w"))
@@ -242,7 +289,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     near_dups = pairs.mapInArrow(_confirmed, "line long").distinct()
 
     decided = first.select("line", "line2", F.col("rank").alias("first_rank")).join(near_dups.withColumn("near", F.lit(True)), "line", "left")
-    marked = every.drop("head", "tail").join(decided, ["line", "line2"])
+    marked = every.drop(*EDGES).join(decided, ["line", "line2"])
     return marked.where(F.coalesce("near", F.lit(False)) | (rank != F.col("first_rank"))).select("row", "number")
 
 

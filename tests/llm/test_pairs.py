@@ -139,6 +139,33 @@ def test_lines_by_brute_force(documents, corpus):
     assert near
 
 
+def test_short_lines_by_brute_force(documents):
+    rng = random.Random(8)
+    bases = ["Copyright 2021 Foo Inc. All rights reserved", "one two", "one three", "a b c d e f g", "这是一个没有空格的句子", "ประเทศไทย", "x" * 300, "é" * 9]
+    rows = []
+    for base in bases * 6:
+        line = list(base)
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(line))
+            line[at : at + 1] = rng.choice(["", "z", "二", line[at] + "q"])
+        rows.append("".join(line))
+    words = "al be ga de ep ze et".split()
+    rows += [" ".join(words), " ".join([*words[:3], "new", *words[3:]]), " ".join(words[1:]), "p q r s t u v w x", "p q r s t u v w", "p q r s t u v", "abcdefgh", "a b c d e f g h"]
+    corpus = [(i, s) for i, s in enumerate(rows)]
+    got = {r.payload.doc_id for r in lines.without_repeated_lines(documents(corpus), ["doc_id"]).where("n_removed > 0").collect()}
+
+    def near(a, b):
+        if max(len(a.split()), len(b.split())) >= 8:
+            return edits(a.split(), b.split()) <= 1
+        a, b = " ".join(a.split()), " ".join(b.split())
+        return abs(len(a) - len(b)) <= 1 and max(len(a), len(b)) >= 8 and edits(a, b) <= 1
+
+    want = {i for i, a in enumerate(rows) if any(a.split() == b.split() or near(a, b) for b in rows[:i]) and a.split()}
+    assert got == want
+    two = [(1, "Copyright 2021 Foo Inc. All rights reserved"), (2, "Copyright 2022 Foo Inc. All rights reserved"), (3, "al be ga de ep ze et"), (4, "al be ga new de ep ze et")]
+    assert [r.n_removed for r in sorted(lines.without_repeated_lines(documents(two), ["doc_id"]).collect(), key=lambda r: r.payload.doc_id)] == [0, 1, 0, 1]
+
+
 def test_one_edit():
     words = [b"a", b"b", b"c"]
     assert lines.one_edit(words, words) and lines.one_edit(words, [b"a", b"x", b"c"]) and lines.one_edit(words, [b"b", b"c"])
