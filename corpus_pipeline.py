@@ -6,8 +6,9 @@ and is written as Parquet before the next one reads it.
 quality      documents that break a rule go (kpiloom.llm.quality)
 lines        repeated lines go; documents of which nothing is left go
              (kpiloom.llm.lines)
-near         one document of each group of near copies stays
-             (kpiloom.llm.minhash)
+near         one document of each group of near copies stays: the first by
+             doc_id, and one without an id where the group has such
+             (kpiloom.llm.minhash, with a similarity of 0.8 or more)
 mix          documents are repeated or left out to meet their source's target
              (kpiloom.llm.mixing)
 pack         pieces of at most 2048 tokens with their place in a sequence
@@ -15,7 +16,7 @@ pack         pieces of at most 2048 tokens with their place in a sequence
 
 Null ids, texts and keys are handled as the operators say. Columns beside the
 documents' own are passed on by all stages but the last. Rows that are repeated
-in the input pass each stage as twins.
+in the input are twins up to the near stage, which keeps one of them.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ from kpiloom.llm import lines, minhash, mixing, packing, quality
 from kpiloom.llm.common import stored, table
 from kpiloom.llm.queries import RANKS, TOKENIZER, visible
 
+#: Near copies share this percentage of their five-word shingles or more.
+SIMILAR = 80
+
 #: The copies, the lines' order and the packing's plan are not for SQL.
 ORACLE_SQL = None
 
@@ -51,9 +55,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows are told apart by a key of their own, as ids may be null or repeat.
+    It is written with them, so that every read gives a row the same key; it
+    decides only between rows that are the same in all columns."""
     visible(spark)
-    gone = minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("gone"), "left_anti")
+    keyed = stored(docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("key"), F.xxhash64(*docs.columns).alias("hash")), "keyed")
+    found = minhash.near_duplicates(keyed, "key", "row.text", threshold=SIMILAR, bands=minhash.bands_for(SIMILAR))
+    found = found.select(F.col("doc_id").alias("key"), F.col("component_id").alias("component"))
+    order = F.struct("row.doc_id", "hash", "key").alias("order")
+    members = stored(keyed.select("key", F.col("row.doc_id").isNull().alias("unnamed"), order).join(found, "key"), "near-members")
+    groups = members.groupBy("component", "unnamed").agg(F.min("order.key").alias("least"), F.max("order.key").alias("most"), F.min("order").alias("first"))
+    first = groups.where("least != most").select("component", "unnamed", F.col("first.key").alias("first"))
+    gone = members.join(first, ["component", "unnamed"]).where("key != first").select("key")
+    return keyed.join(gone, "key", "left_anti").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,8 +15,9 @@ blocks are compared in tasks of their own. Tasks return a spanning set of the
 confirmed links, whose components are the result. All pairs that share a band
 are therefore confirmed or refused on full sets, with no limit on partners.
 
-A band holds ``ROWS`` places out of ``BANDS * ROWS``: two documents at the
-threshold miss each other in all bands with a probability of about 5e-5.
+A band holds ``ROWS`` places. Callers choose the threshold with the bands that
+suit it: ``BANDS`` for ``THRESHOLD``, ``bands_for`` for another. Two documents at
+the threshold miss each other in all bands with a probability of about 5e-5.
 
 A null or empty text, or one without words, has an empty set and links with
 nothing; neither does a row without an id, whose component is null and which is
@@ -25,6 +26,7 @@ kept. A repeated row gets its twin's result. Only the named columns are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,16 +39,26 @@ from kpiloom.llm.common import MIX_A, hashes_of, mixed, ragged, slices, stored,
 from kpiloom.llm.components import components
 
 WIDTH = 5
-#: Links have 100 * intersection >= THRESHOLD * union.
+#: Links of op9 have 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 85
 BANDS, ROWS = 21, 6
-PLACES = BANDS * ROWS
+#: The most that two documents at the threshold may miss each other by chance.
+MISSED = 5e-5
 #: Elements whose permutations are laid out at a time.
 LAID_OUT = 50_000
 #: Shingles and documents of a block.
 BLOCK_SHINGLES, BLOCK_DOCS = 400_000, 512
 
 
+def bands_for(threshold: int) -> int:
+    """The bands with which two documents at the threshold are missed with a
+    probability of ``MISSED`` at most. A rank has room for 254 places."""
+    bands = math.ceil(math.log(MISSED) / math.log1p(-((threshold / 100) ** ROWS)))
+    if bands * ROWS > 254:
+        raise ValueError(f"a threshold of {threshold} needs {bands} bands")
+    return bands
+
+
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     """The sorted hashes of the text's distinct shingles; with fewer words than
     the width, of all its words as one."""
@@ -56,24 +68,24 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(window_hashes(hashes, width))
 
 
-def _signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of ``PLACES`` ranks per set. A rank has its round in the top byte
+def _signatures(sets: list[np.ndarray], places: int) -> np.ndarray:
+    """A row of ``places`` ranks per set. A rank has its round in the top byte
     and a random number below, so later rounds never win a place."""
-    out = np.full((len(sets), PLACES), np.iinfo(np.uint64).max, np.uint64)
+    out = np.full((len(sets), places), np.iinfo(np.uint64).max, np.uint64)
     element = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     flat = out.reshape(-1)
-    order = np.broadcast_to(np.arange(PLACES, dtype=np.uint8), (len(element), PLACES)) if len(element) else None
-    for j in range(PLACES):
+    order = np.broadcast_to(np.arange(places, dtype=np.uint8), (len(element), places)) if len(element) else None
+    for j in range(places):
         if not len(element):
             break
         random = mixed(element + np.uint64((j + 1) * int(MIX_A) % 2**64))
         # The next step of the element's shuffle: its place j gets one of the places left.
-        k = j + ((random >> np.uint64(40)) % np.uint64(PLACES - j)).astype(np.int64)
+        k = j + ((random >> np.uint64(40)) % np.uint64(places - j)).astype(np.int64)
         rows = np.arange(len(element))
         place = order[rows, k].astype(np.int64)
         rank = np.uint64(j << 56) | (random & np.uint64((1 << 40) - 1))
-        np.minimum.at(flat, owner * PLACES + place, rank)
+        np.minimum.at(flat, owner * places + place, rank)
         # A set is done when all its places hold ranks of rounds so far.
         going = (out >> np.uint64(56)).max(axis=1) > j
         left = going[owner]
@@ -89,7 +101,7 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
+def signatures(sets: list[np.ndarray], places: int = BANDS * ROWS) -> np.ndarray:
     """SuperMinHash signatures, laid out for a bounded number of elements at a time."""
     parts, start = [], 0
     while start < len(sets):
@@ -97,36 +109,40 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
         while end < len(sets) and (end == start or size + len(sets[end]) <= LAID_OUT):
             size += len(sets[end])
             end += 1
-        parts.append(_signatures(sets[start:end]))
+        parts.append(_signatures(sets[start:end], places))
         start = end
-    return np.concatenate(parts) if parts else np.empty((0, PLACES), np.uint64)
+    return np.concatenate(parts) if parts else np.empty((0, places), np.uint64)
 
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
     """One hash per band of each signature; equal bands have equal hashes."""
-    keys = np.zeros((len(signature), BANDS), np.uint64)
+    bands = signature.shape[1] // ROWS
+    keys = np.zeros((len(signature), bands), np.uint64)
     for r in range(ROWS):
-        keys = mixed(keys ^ signature[:, r * BANDS : (r + 1) * BANDS])
-    return mixed(keys + np.arange(BANDS, dtype=np.uint64))
-
-
-def _sign(batches):
-    for batch in slices(batches):
-        sets = [shingles(t) for t in batch.column("text").to_pylist()]
-        some = [i for i, s in enumerate(sets) if len(s)]
-        bands = band_keys(signatures([sets[i] for i in some]))
-        keys = [np.empty(0, np.uint64)] * len(sets)
-        for i, k in zip(some, bands):
-            keys[i] = k
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("id"),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                ragged(keys, pa.int64()),
-            ],
-            ["id", "n_shingles", "digest", "bands"],
-        )
+        keys = mixed(keys ^ signature[:, r * bands : (r + 1) * bands])
+    return mixed(keys + np.arange(bands, dtype=np.uint64))
+
+
+def _signer(bands: int):
+    def sign(batches):
+        for batch in slices(batches):
+            sets = [shingles(t) for t in batch.column("text").to_pylist()]
+            some = [i for i, s in enumerate(sets) if len(s)]
+            signed = band_keys(signatures([sets[i] for i in some], bands * ROWS))
+            keys = [np.empty(0, np.uint64)] * len(sets)
+            for i, k in zip(some, signed):
+                keys[i] = k
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                    ragged(keys, pa.int64()),
+                ],
+                ["id", "n_shingles", "digest", "bands"],
+            )
+
+    return sign
 
 
 def _sets(batches):
@@ -207,35 +223,39 @@ def spanning(ids: np.ndarray, linked: np.ndarray) -> tuple[list[int], list[int]]
     return a, b
 
 
-def _confirm(batches):
-    """Links within a block, or between two blocks, of a component."""
-    for table in groups(batches, ("component", "low", "high")):
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        ids, block = table.column("id").to_numpy(), table.column("block").to_numpy()
-        flat = table.column("shingles").combine_chunks()
-        ends = flat.offsets.to_numpy()
-        values = flat.values.to_numpy().view(np.uint64)
-        sets = [values[s:e] for s, e in zip(ends[:-1], ends[1:])]
-        left = np.flatnonzero(block == low)
-        right = left if low == high else np.flatnonzero(block == high)
-        if len(left) + len(right) < 2 or not len(left) or not len(right):
-            continue
-        shared = common_counts([sets[i] for i in left], [sets[i] for i in right])
-        sizes = np.array([len(s) for s in sets])
-        either = sizes[left][:, None] + sizes[right][None, :] - shared
-        ok = 100 * shared >= THRESHOLD * either
-        linked = np.zeros((len(ids), len(ids)), bool)
-        linked[np.ix_(left, right)] = ok
-        linked |= linked.T
-        a, b = spanning(ids, linked)
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row."""
+def _confirmer(threshold: int):
+    def confirm(batches):
+        """Links within a block, or between two blocks, of a component."""
+        for table in groups(batches, ("component", "low", "high")):
+            low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+            ids, block = table.column("id").to_numpy(), table.column("block").to_numpy()
+            flat = table.column("shingles").combine_chunks()
+            ends = flat.offsets.to_numpy()
+            values = flat.values.to_numpy().view(np.uint64)
+            sets = [values[s:e] for s, e in zip(ends[:-1], ends[1:])]
+            left = np.flatnonzero(block == low)
+            right = left if low == high else np.flatnonzero(block == high)
+            if len(left) + len(right) < 2 or not len(left) or not len(right):
+                continue
+            shared = common_counts([sets[i] for i in left], [sets[i] for i in right])
+            sizes = np.array([len(s) for s in sets])
+            either = sizes[left][:, None] + sizes[right][None, :] - shared
+            ok = 100 * shared >= threshold * either
+            linked = np.zeros((len(ids), len(ids)), bool)
+            linked[np.ix_(left, right)] = ok
+            linked |= linked.T
+            a, b = spanning(ids, linked)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return confirm
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, bands: int = BANDS) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row; links have
+    100 * intersection >= threshold * union."""
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    signed = stored(docs.mapInArrow(_sign, "id long, n_shingles long, digest binary, bands array<long>"), "signatures")
+    signed = stored(docs.mapInArrow(_signer(bands), "id long, n_shingles long, digest binary, bands array<long>"), "signatures")
     classes = signed.where("id is not null and digest is not null").groupBy("digest").agg(F.min("id").alias("first"), F.min("bands").alias("bands"), F.min("n_shingles").alias("n"))
     classes = stored(classes, "classes")
 
@@ -253,7 +273,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     pairs = sets.select("component", "id", "shingles", "block", other)
     pairs = pairs.select("component", "id", "shingles", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     keys = ["component", "low", "high"]
-    links = pairs.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_confirm, "a long, b long")
+    links = pairs.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_confirmer(threshold), "a long, b long")
     found = components(links)
 
     firsts = classes.select("digest", "first").join(found.withColumnRenamed("id", "first"), "first", "left")

@@ -5,7 +5,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline
-from kpiloom.llm import lines
+from kpiloom.llm import lines, minhash
 from tests.compare import compare, duck
 
 
@@ -47,6 +47,19 @@ def test_first_three_stages_by_hand(spark, documents, prose, sf_dir):
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, near, sf_dir).collect()} == {1, 3, 4, None}
 
 
+def test_near_stage_keeps_one_row_of_each_group_at_080(spark, documents, prose, sf_dir):
+    words = prose(1, 204).split()
+    # Of 200 shingles each, 178 and 176 are in both: similarities of 0.802 and 0.786.
+    near = {n: " ".join(words[: 204 - n] + [f"new{i}" for i in range(n)]) for n in (22, 24)}
+    rows = [(1, " ".join(words)), (2, near[22]), (10, prose(2, 100)), (10, prose(2, 100)), (11, prose(3, 100)), (11, prose(4, 100))]
+    rows += [(None, prose(5, 100)), (None, prose(5, 100)), (None, prose(5, 100) + " end"), (None, prose(6, 100)), (20, None)]
+    left = corpus_pipeline.near_dedup(spark, documents(rows), sf_dir).collect()
+    assert Counter(r.doc_id for r in left) == Counter([1, 10, 11, 11, None, None, 20])
+    left = corpus_pipeline.near_dedup(spark, documents([(1, " ".join(words)), (3, near[24])]), sf_dir).collect()
+    assert {r.doc_id for r in left} == {1, 3}
+    assert (1 - 0.8**6) ** minhash.bands_for(corpus_pipeline.SIMILAR) <= 5e-5 and minhash.bands_for(85) <= minhash.BANDS
+
+
 def test_mix_stage_repeats_documents(spark, documents, prose, sf_dir):
     rows = [(i, prose(i, 10 + i % 50), "en", "abc"[i % 3]) for i in range(150)]
     out = corpus_pipeline.mix_sources(spark, documents(rows), sf_dir).collect()
