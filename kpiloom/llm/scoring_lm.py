@@ -3,7 +3,7 @@
 Training documents give counts of words and of word pairs. A count c is
 quantised to q = 1 + floor(log(c) / log(STEP)), and the q entries (gram, 1) ...
 (gram, q) go into a Bloom filter: probing upwards until the first miss gives the
-quantised count back. Pairs count from ``LEAST`` on.
+quantised count back. Words and pairs that occur once are in it as well.
 
 A token's probability mixes both: WEIGHT * c(pair) / c(first) + (1 - WEIGHT) *
 p(word), with the word's probability smoothed by adding a half.
@@ -39,8 +39,6 @@ from kpiloom.llm.common import hashes_of, mixed, ragged, slices, stored, words_o
 
 #: Growth of one step of a quantised count.
 STEP = 1.5
-#: Least count of a pair in the model.
-LEAST = 2
 #: Weight of pairs against single words.
 WEIGHT = 0.2
 #: Entries' bits and probes in the filter.
@@ -118,14 +116,11 @@ def _merge(table: pa.Table) -> pa.Table:
     keys = keys[order]
     new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     total = np.add.reduceat(counts[order].astype(np.int64), new)
-    keys = keys[new]
-    if kind:
-        keys, total = keys[total >= LEAST], total[total >= LEAST]
-    return pa.table({"kind": pa.array([kind] * len(keys), pa.int32()), "hash": keys.view(np.int64), "n": total})
+    return pa.table({"kind": pa.array([kind] * len(new), pa.int32()), "hash": keys[new].view(np.int64), "n": total})
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """(kind, hash, n) of all words and of the pairs in the model."""
+    """(kind, hash, n) of all words and pairs."""
     spark = docs.sparkSession
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = docs.mapInArrow(_counter(buckets), "kind int, bucket int, keys binary, counts binary")

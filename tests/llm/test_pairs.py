@@ -258,6 +258,18 @@ def test_filter_gives_quantised_counts():
     assert (some.levels(0, rng.integers(0, 2**63, 5000, dtype=np.uint64)) == 0).mean() > 0.99
 
 
+def test_pairs_that_occur_once_are_in_the_model(documents, prose):
+    rows = [(i, prose(i, 40)) for i in range(20) if zlib.crc32(str(i).encode()) % 5 != 1]
+    counts = {(r.kind, r.hash): r.n for r in scoring_lm.gram_counts(documents(rows)).collect()}
+    pairs = Counter(p for _, t in rows for p in scoring_lm.pairs_of(scoring_lm.tokens(t)).view(np.int64).tolist())
+    assert {h: n for (kind, h), n in counts.items() if kind} == pairs and 1 in pairs.values()
+    # A held-out text of such pairs scores better than its words in another order.
+    held = [i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    words = rows[0][1].split()
+    got = {r.doc_id: r.score for r in scoring_lm.scores(documents([*rows, (held[0], " ".join(words)), (held[1], " ".join(words[::-1]))])).collect()}
+    assert got[held[0]] > got[held[1]] + 1
+
+
 def test_more_passes_give_the_same_scores(documents, corpus, monkeypatch):
     one = Counter((r.doc_id, round(r.score, 9)) for r in scoring_lm.scores(documents(corpus)).collect())
     monkeypatch.setattr(scoring_lm, "SHARDS", 1)
