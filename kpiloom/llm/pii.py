@@ -14,6 +14,7 @@ columns are read, so that further columns cannot clash.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,11 +36,25 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: What every IBAN starts with, and characters that may belong to it.
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
+_REST = re.compile(r"(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _DIGIT = re.compile("[0-9]")
 _WORD = re.compile(r"[^\W\d_]+")
 
+#: An IBAN's characters by country, as registered.
+LENGTHS = {
+    c: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in countries.split()
+}
+_REST_OF = {n: re.compile(rf"(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for n in set(LENGTHS.values())}
+
 #: Context words by kind, and what speaks against any of them.
 CONTEXT = {
     "iban": {"iban", "account", "bank", "konto", "compte", "cuenta", "transfer", "payment"},
@@ -79,6 +94,26 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", after)
 
 
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Spans whose checksum holds, in order and without overlap. A country's IBAN
+    has its length, whatever is written after it. Of a code that is no country's,
+    the whole run of groups counts, where it takes nothing from a country's."""
+    spans: list[tuple[int, int]] = []
+    heads = list(_IBAN.finditer(text))
+    for countries in (True, False):
+        first, after = [*spans, (len(text), len(text))], 0
+        for m in heads:
+            known = LENGTHS.get(m[0][:2])
+            if (known is not None) != countries or m.start() < after:
+                continue
+            rest = (_REST_OF[known] if known else _REST).match(text, m.end())
+            at = bisect_left(first, m.span())
+            if rest and rest.end() <= first[at][0] and (not at or first[at - 1][1] <= m.start()) and mod97(text[m.start() : rest.end()].replace(" ", "")):
+                after = rest.end()
+                spans.append((m.start(), after))
+    return sorted(spans)
+
+
 def _near(text: str, start: int, end: int) -> set[str]:
     around = f"{text[max(0, start - REACH) : start]} {text[end : end + REACH]}"
     return {w.lower() for w in _WORD.findall(around)}
@@ -108,10 +143,8 @@ def find(text: str) -> list[tuple[int, int, str, float]]:
     for m in _PHONE.finditer(text) if "+" in text else ():
         if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
             spans.append((m.start(), 3, m.end(), 0.7))
-    for m in _IBAN.finditer(text):
-        if 15 <= len(code := m[0].replace(" ", "")) <= 34 and mod97(code):
-            score = 0.8 + _context("iban", text, *m.span())
-            spans.append((m.start(), 4, m.end(), score))
+    for start, end in ibans(text):
+        spans.append((start, 4, end, 0.8 + _context("iban", text, start, end)))
     for m in _SSN.finditer(text):
         # Numbers that are never issued fail as a checksum would.
         if m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000":

@@ -62,6 +62,21 @@ def test_checksums_and_context_add_spans():
     assert not pii.find("version 219-09-9999")
 
 
+def test_ibans_end_where_their_country_says():
+    def found(text):
+        return [text[a:b] for a, b in pii.ibans(text)]
+
+    spaced, plain = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000"
+    for iban in (spaced, plain, "GB29 NWBK 6016 1331 9268 19", "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "BE68 5390 0754 7034", "FR14 2004 1010 0505 0001 3M02 606"):
+        for after in (" BIC COBADEFFXXX", " EUR 250", " 250", ".", "", " A", " EUR", f" {plain} EUR"):
+            assert found(f"AB11 {iban}{after}")[0] == iban
+    assert found(f"{spaced} {plain} BIC X") == [spaced, plain]
+    assert not found(f"{plain}0") and not found(f"{plain}x") and not found(f"A{plain}") and not found("DE88 3704 0044 0532 0130 00 BIC")
+    other = next(c for c in (f"ZZ{k:02} 1234 5678 9012 34" for k in range(2, 99)) if pii.mod97(c.replace(" ", "")))
+    assert found(other) == [other] and found(f"{other[:9]} {plain}")[-1] == plain
+    assert [s[1] for s in pii.find(f"{spaced} BIC COBADEFFXXX")] == [pii.KINDS.index("iban")]
+
+
 @given(st.text(alphabet="ab@._-1 +", max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_emails_by_pattern(text):
