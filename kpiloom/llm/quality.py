@@ -30,9 +30,9 @@ MIN_WORDS = 50
 #: A text fails if more than this percentage of its words lie in repeated windows.
 MAX_REPEATED = 50
 #: Measures held against the group, and the least excess, in the measure's own
-#: unit (thousandths), that can reject: a group whose members are all alike has
-#: quartiles without any width.
-LEAST = {"symbol_rate": 100, "line_rate": 500, "repeat_rate": 400}
+#: unit (thousandths), that can reject: a few buckets, for a group whose members
+#: are all alike has quartiles without any width. Elsewhere the sketch decides.
+LEAST = {"symbol_rate": 20, "line_rate": 20, "repeat_rate": 20}
 #: Quartile distances beyond the upper quartile that are still usual.
 REACH = 3
 #: Buckets of the sketch: thousandths, so the sketch is exact to one unit.

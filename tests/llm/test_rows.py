@@ -132,6 +132,24 @@ def test_license_phrases_and_labels(documents, prose):
     assert got[30][0][5:] == ("", 0.0)
 
 
+def test_an_outlier_of_each_measure_goes_from_a_tight_group(documents, prose):
+    def lines(seed, n):
+        return [prose(1000 * seed + i, 12) for i in range(n)]
+
+    usual = [(i, "\n".join(lines(i, 20))) for i in range(20)]
+    twice = prose(90, 30)
+    rows = [
+        (100, "\n".join(lines(100, 20)) + " #" * 60),
+        (101, "\n".join(s for line in lines(101, 11) for s in (line, "ab"))),
+        (102, f"{prose(91, 120)} {twice} {prose(92, 120)} {twice}"),
+    ]
+    got = {r.row.doc_id: r for r in quality.verdicts(documents(usual + rows), ["doc_id"]).collect()}
+    rates = [1000 * getattr(got[100 + k], part) // getattr(got[100 + k], of) for k, (part, of) in enumerate(quality.RATES.values())]
+    assert 30 < rates[0] < 100 and 400 < rates[1] < 500 and 100 < rates[2] < 400
+    assert not any(got[i].base_failed for i in got)
+    assert {i for i, r in got.items() if not r.kept} == {100, 101, 102}
+
+
 def license_labels(frame):
     return {r.doc_id: set(r.labels.split(",")) - {""} for r in licenses.digest(licenses.licences(frame)).collect()}
 
