@@ -38,8 +38,8 @@ REACH = 3
 #: Buckets of the sketch: thousandths, so the sketch is exact to one unit.
 UNIT = 1000
 
-#: Bits of a window's place in its text.
-PLACE = 24
+#: Bits of a window's place in its text, enough for the longest there can be.
+PLACE = 32
 SPACES = " \t\n\x0b\f\r"
 
 

@@ -1,4 +1,4 @@
-"""Repeated passages, found by automata of recurring phrases.
+"""Repeated passages, found by joins of picked phrases' hashes.
 
 A passage of ``WINDOW`` words that occurs twice is removed wherever it occurs.
 
@@ -8,8 +8,9 @@ A passage of ``WINDOW`` words that occurs twice is removed wherever it occurs.
    phrase in twelve is picked; those picked twice or more recur.
 2. Automata. Each part of the documents compiles the recurring phrases picked in
    it into an Aho-Corasick automaton over word numbers and streams its texts
-   through it, which locates every occurrence. An automaton is a shard: it is as
-   large as its part's own phrases, never as the corpus'.
+   through it. The join has found by then which texts hold them, so the automata
+   place them and find no others. They are as large as their part's own phrases,
+   never as the corpus'.
 3. Confirmation. Each window belongs to the one phrase picked from it, so the
    windows of a located phrase form a run, its context. Contexts that occur twice
    recur with all their windows. For phrases with a context that occurs once, the
@@ -40,8 +41,9 @@ from kpiloom.llm.common import beside, hashes_of, mixed, ragged, slices, stored,
 WINDOW, PHRASE = 35, 12
 #: Phrases of a window of which one is picked.
 CHOICE = WINDOW - PHRASE + 1
-#: Bits of a phrase's place while picking; places decide between equal hashes only.
-PLACE = np.uint64(24)
+#: Bits of a phrase's place while picking, enough for the longest text there can
+#: be; places decide between equal hashes only.
+PLACE = np.uint64(32)
 
 
 def owners(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from kpiloom.llm import lines, minhash, scoring_lm, substrings, vectors
+from kpiloom.llm import lines, minhash, quality, scoring_lm, substrings, vectors
 from kpiloom.llm.components import components
 
 
@@ -106,6 +106,15 @@ def test_passages_by_brute_force(documents, corpus):
     assert got == want
 
 
+def test_places_of_the_longest_texts():
+    hashes = np.random.default_rng(3).integers(0, 2**63, (1 << 24) + 200, dtype=np.uint64)
+    place, phrase = substrings.owners(hashes)
+    at = np.arange(len(place))
+    assert ((place >= at) & (place < at + substrings.CHOICE)).all() and len(phrase) > place[-1] > 1 << 24
+    # A Spark string has less than 2**31 bytes, so fewer windows than this.
+    assert quality.PLACE >= 31
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
