@@ -52,4 +52,26 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM base
 """
 
-ORACLE: dict[str, str] = {"op8_quality_rules": QUALITY}
+NEGATIVES = """
+WITH r AS (
+  SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.k, a.vec_id AS anchor_id, a.label = b.label AS same, b.k AS other, b.vec_id AS other_id,
+         list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM r a JOIN r b ON a.k <> b.k WHERE a.vec_id % 100 = 0
+), pos AS (
+  SELECT k, anchor_id, other, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, other_id) <= 5
+)
+SELECT pos.anchor_id, positive_id, row_number() OVER of_positive::INT AS rank, s.other_id AS negative_id,
+       positive_score, s.score AS negative_score
+FROM pos JOIN s ON s.k = pos.k AND NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+WINDOW of_positive AS (PARTITION BY pos.k, pos.other ORDER BY s.score DESC, s.other_id)
+QUALIFY row_number() OVER of_positive <= 10
+"""
+
+ORACLE: dict[str, str] = {"op8_quality_rules": QUALITY, "op11_hard_negatives": NEGATIVES}

@@ -8,8 +8,9 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kpiloom.llm import licenses, lines, minhash, mixing, packing, pii, quality, scoring_lm, substrings, vectors
+from kpiloom.llm import fingerprints, licenses, lines, minhash, mixing, negatives, packing, pii, quality, scoring_lm, spelling, substrings, vectors
 from kpiloom.llm.common import table
 
 #: The tokenizer's file, a parameter of every operator that needs one.
@@ -74,6 +75,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(lines.without_repeated_lines(table(spark, sf_dir, "documents"), ["doc_id"]))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    visible(spark)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.digest(fingerprints.compared(table(spark, sf_dir, "documents")))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    visible(spark)
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,5 +103,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_minhash_near_duplicates,
         op10_line_dedup,
+        op11_hard_negatives,
+        op12_document_fingerprints,
+        op13_spelling_variants,
     )
 }
