@@ -31,12 +31,14 @@ def local_session(app: str = "kpiloom", cores: int | str = "*", **conf: str) ->
     return spark
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder for one job's tables or stream checkpoints.
-
-    Lives under the folder the cluster names in ``spark.checkpoint.dir``, so
-    every executor sees it and a lost executor costs nothing but a retry. Where
-    that is unset it lives in the warehouse.
-    """
+def shared_base(spark: SparkSession) -> str:
+    """The folder for tables that all executors see: under the one the cluster
+    names in ``spark.checkpoint.dir`` or, where that is unset, in the warehouse."""
     base = spark.conf.get(SHARED_DIR_KEY, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
-    return f"{base.rstrip('/')}/kpiloom/{purpose}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/kpiloom"
+
+
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder for one job's tables or stream checkpoints, so that a lost
+    executor costs nothing but a retry."""
+    return f"{shared_base(spark)}/{purpose}-{uuid.uuid4().hex}"

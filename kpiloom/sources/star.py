@@ -19,9 +19,11 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from kpiloom.functions.calendar import FiscalCalendar
 from kpiloom.operators.joins import first_per_key
+from kpiloom.sources.settled import settled
 
 Bounds = tuple[date, date]
 
@@ -54,6 +56,9 @@ SUBSCRIPTION_EVENTS = ("ACTIVATE", "RENEW", "CANCEL")
 HARDWARE_CLASSES = ("DEVICE", "ACCESSORY")
 PRODUCT_CLASSES = ("DEVICE", "ACCESSORY", "SUBSCRIPTION")
 
+#: Stored line columns that nothing here reads.
+UNREAD = ("l_tax",)
+
 LINE_COLUMNS = (
     "order_line_key",
     "order_key",
@@ -271,12 +276,27 @@ class RetailStar(Star):
         )
 
     def lines(self, *columns: str, recognized: Bounds | None = None) -> DataFrame:
-        """One line per business key. Which copy counts is settled before the
-        span of days, as a copy may be of another day; gold holds one already,
-        and there the days reach the scan."""
+        """One line per business key, from a table in which the copies are settled
+        once for each state of the source. It is laid out by day, so a span of
+        days reads its own part and ranks nothing."""
+        source = self.raw("lineitem")
+        path = settled(source, f"{self.root}/lineitem.parquet", "lineitem", self._laid_out)
+        schema = StructType([f for f in source.schema if f.name not in UNREAD])
+        return self._lines(self.spark.read.schema(schema).parquet(path), columns, recognized)
+
+    def settled_lines(self) -> DataFrame:
+        """The counting copy of every line, by a rank over all copies: one of
+        them may be of any day."""
         own = self._line_columns()
         order = [own[c] for c in LINE_ORDER]
-        return self._lines(first_per_key(self.raw("lineitem"), [own["order_line_key"]], *order), columns, recognized)
+        return first_per_key(self.raw("lineitem").drop(*UNREAD), [own["order_line_key"]], *order)
+
+    def _laid_out(self, files: int) -> DataFrame:
+        """Settled lines with a month in few files, sorted by day within each."""
+        month = F.year("l_shipdate") * 12 + F.month("l_shipdate")
+        # A month that holds a third of all lines still spreads over several files.
+        part = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(-(-files // 12)))
+        return self.settled_lines().repartition(files, month, part).sortWithinPartitions("l_shipdate")
 
     def bronze_lines(self, *columns: str) -> DataFrame:
         return self._lines(self.raw("lineitem"), columns, None)
