@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +16,9 @@ from kpiloom.functions.snippets import Question
 from kpiloom.functions.table_functions import KpiSettings
 from kpiloom.functions.text_rules import parsed_messages
 from kpiloom.operators.aggregates import money_sum
-from kpiloom.plans import calendar_load, costs, kpis, metric_views, rollups, scoring, wide
+from kpiloom.plans import calendar_load, costs, kpis, measure_sql, metric_views, rollups, scoring, wide
 from kpiloom.plans.costs import Span
-from kpiloom.plans.semantic import MetricView, relationship_report
+from kpiloom.plans.semantic import Measure, MetricView, WindowOver, relationship_report
 from kpiloom.session import shared_dir
 from kpiloom.sources import answers as logs
 from kpiloom.sources import projections, sinks
@@ -62,6 +64,19 @@ def _fn(name: str, *args: str) -> Query:
     return run
 
 
+def statement(text: str, as_of: date | None = None) -> Query:
+    """An SQL statement over the metric views as a registered query; ``as_of``
+    moves the day that relative periods are seen from."""
+    settings = replace(SETTINGS, as_of=as_of) if as_of else SETTINGS
+
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        star = RetailStar(spark, root)
+        views = {name: partial(view, star, settings) for name, view in metric_views.VIEWS.items()}
+        return presented(measure_sql.ask(spark, views, text))
+
+    return run
+
+
 def calendar_queries() -> dict[str, Query]:
     s = SETTINGS
     return {
@@ -139,6 +154,58 @@ def _relationships(star: RetailStar) -> DataFrame:
     return relationship_report(checks)
 
 
+def _windowed_members(star: RetailStar, settings: KpiSettings) -> MetricView:
+    """The windowed view with distinct counts along its windows."""
+    month, day, year = "Fiscal Month Start", "Calendar Date", "Fiscal Year"
+    member, hardware = "source.member_key", "dim_product.product_class IN ('DEVICE', 'ACCESSORY')"
+    so_far, this_year = (WindowOver(month, cumulative=True),), (WindowOver(day, cumulative=True), WindowOver(year))
+    return metric_views.sales_windowed(star, settings).extended(measures=[
+        Measure("Members", "distinct", member, window=(WindowOver(month),)),
+        Measure("Prior Members", "distinct", member, window=(WindowOver(month, offset_months=-1),)),
+        Measure("Members So Far", "distinct", member, window=so_far),
+        Measure("Hardware Members So Far", "distinct", member, hardware, window=so_far),
+        Measure("Members This Year So Far", "distinct", member, window=this_year),
+        Measure("Orders This Year So Far", "distinct", "source.order_key", window=this_year),
+    ])
+
+
+def statement_queries() -> dict[str, Query]:
+    """Questions put to the metric views as SQL text."""
+    subscriptions = SETTINGS.subscriptions_as_of
+    return {
+        "sql_last_month": statement("SELECT MEASURE(`Recognized Revenue`) FROM sales_rich WHERE `Is Last Fiscal Month`"),
+        "sql_quarter_by_region": statement("""
+            SELECT `Region`, MEASURE(`Recognized Revenue`) AS recognized_revenue
+            FROM sales_rich WHERE `Is Last Fiscal Quarter`
+            GROUP BY `Region` ORDER BY recognized_revenue DESC"""),
+        "sql_active_members": statement("""
+            SELECT MEASURE(`Active Members`) FROM metrics.conformed
+            WHERE `Region Code` = 'EUROPE' AND `Is Current Fiscal Year`""", subscriptions),
+        "sql_window_churn": statement("""
+            SELECT `Campaign Code`, MEASURE(`Churn Rate`) AS churn_rate FROM conformed
+            WHERE `Is Retention Push Window` AND `Fact Family` = 'subscription'
+            GROUP BY `Campaign Code` ORDER BY churn_rate ASC LIMIT 10""", subscriptions),
+        "sql_top_members": statement("""
+            SELECT `Member ID`, MEASURE(`Hardware Revenue`) AS hw FROM sales_rich WHERE `Is Current FYTD`
+            GROUP BY `Member ID` ORDER BY hw DESC LIMIT 10"""),
+        "sql_wide_last_month": statement("SELECT MEASURE(`Last Fiscal Month Revenue`) FROM conformed_wide"),
+        "sql_windowed_flag": statement("SELECT MEASURE(`Last Fiscal Month Revenue Flag`) FROM sales_windowed"),
+        "sql_membership_churn": statement("""
+            SELECT MEASURE(`Churn Rate`) FROM membership WHERE `Is Retention Push Window`"""),
+        "sql_expressions": statement("""
+            SELECT lower(region) AS market, `Fiscal Year` % 2 AS parity, fy,
+                   MEASURE(revenue) / MEASURE(`Order Line Count`) AS per_line, MEASURE(buyers)
+            FROM sales_basic WHERE `Product Class` IN ('DEVICE', 'ACCESSORY') AND NOT `Member Tier` = 'BUILDING'
+            GROUP BY lower(region), 2, fy
+            HAVING MEASURE(`Order Line Count`) > 3 AND fy > 1994
+            ORDER BY per_line DESC NULLS LAST, market"""),
+        "sql_windowed_months": statement("""
+            SELECT `Fiscal Month Start` AS month, MEASURE(`Prior Month Revenue`) AS prior,
+                   MEASURE(`Distinct Members`) AS members
+            FROM sales_windowed WHERE `Fiscal Month Start` >= DATE '2000-03-01' GROUP BY ALL"""),
+    }
+
+
 def view_queries() -> dict[str, Query]:
     s = SETTINGS
     every = {
@@ -228,6 +295,23 @@ def view_queries() -> dict[str, Query]:
             views.sales_windowed, dimensions=["Calendar Date", "Fiscal Year"], measures=["FYTD Window Revenue"],
             where=["`Fiscal Year` = 2000"],
         ),
+        "mv_window_distinct_beside": ask(
+            views.sales_windowed, dimensions=["Region"],
+            measures=["Distinct Members", "Current Month Revenue", "FYTD Window Revenue", "Order Line Count"],
+        ),
+        "mv_window_distinct_along": ask(
+            _windowed_members, dimensions=["Product Class", "Fiscal Month Start"],
+            measures=["Members", "Prior Members", "Members So Far", "Hardware Members So Far", "Current Month Revenue"],
+        ),
+        "mv_window_distinct_fytd": ask(
+            _windowed_members, dimensions=["Region", "Fiscal Year"],
+            measures=["Members This Year So Far", "Orders This Year So Far", "Distinct Members", "FYTD Window Revenue"],
+        ),
+        "mv_window_distinct_daily": ask(
+            _windowed_members, dimensions=["Calendar Date", "Fiscal Year"],
+            measures=["Members This Year So Far", "Recognized Revenue"],
+            where=["`Fiscal Year` = 2000", "`Calendar Date` >= DATE '2000-03-01'"],
+        ),
         "mv_window_last_month_flag": ask(
             views.sales_windowed, dimensions=["Region"],
             measures=["Last Fiscal Month Revenue Flag", "Hardware Revenue", "Order Line Count"],
@@ -520,6 +604,7 @@ def queries() -> dict[str, Query]:
         **calendar_queries(),
         **kpi_queries(),
         **view_queries(),
+        **statement_queries(),
         **snippet_queries(),
         **scoring_queries(),
         **cost_queries(),

@@ -410,3 +410,7 @@ def conformed(star: Star, settings: KpiSettings, as_of: date | None = None) -> M
         _measure("Order Line Count", "count", where="source.fact_family = 'order'"),
     )
     return MetricView("conformed", _conformed_source(star, settings, as_of), tuple(dimensions), measures)
+
+
+#: The views by the names that statements ask them by.
+VIEWS = {f.__name__: f for f in (sales_basic, sales_rich, membership, conformed, conformed_wide, sales_windowed)}

@@ -12,7 +12,8 @@ cannot know:
   bounds the source pushes into its scan, and needs no join at all.
 * Distinct counts fold to one row per (dimensions, member) first.
 * Window measures aggregate to the window's grain before the window runs, so
-  a window partition holds calendar periods, never fact rows.
+  a window partition holds calendar periods, never fact rows. A distinct count
+  that accumulates counts a member in the period where it is first seen.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from kpiloom.sources.star import Bounds
 
 Source = Callable[[list[str], Bounds | None], DataFrame]
+#: Measures at a grain of dimensions, given filters as columns and as texts.
+Grained = Callable[[list["Dimension"], list[tuple[Column, str]]], DataFrame]
 
 
 def snake(name: str) -> str:
@@ -173,7 +176,7 @@ class MetricView:
             expr, used = self._predicate(item)
             flag = used[0] if used and item.strip("` ").lower() == used[0].name.lower() else None
             if flag and flag.span:
-                span = flag.span if span is None else (max(span[0], flag.span[0]), min(span[1], flag.span[1]))
+                span = _both(span, flag.span)
             else:
                 texts.append(expr)
         return texts, span
@@ -272,10 +275,12 @@ class MetricView:
         fixed = [*filters, *(m.expr for m in leaves), *(m.where for m in leaves if m.where)]
         texts = [d.expr for d in dims] + fixed + ([self.filter] if self.filter else [])
         members = list(dict.fromkeys(m.expr for m in leaves if m.kind == "distinct"))
-        late = self._late_joins(dims, fixed, members)
+        late = self._late_joins(dims, fixed, members) if leaves else []
         frame, refs = self._base(texts, span, {j.name for j in late})
         for text in filters:
             frame = frame.where(F.expr(_flat(text)))
+        if not leaves:
+            return frame.select(*_keys(dims)).distinct()
         if len(members) > 1 or not (members or late):
             return frame.groupBy(*_keys(dims)).agg(*(_direct(m) for m in leaves))
 
@@ -320,17 +325,22 @@ class MetricView:
             expr, used = self._predicate(item)
             (after if used and all(u in fields for u in used) else before).append(item)
         texts, span = self._split_filters(before)
-        if any(m.kind == "distinct" for m in leaves):
-            raise ValueError("a distinct count cannot be summed along a window")
+        late = [(*self._on_columns(item), item) for item in after]
+        counts = [m for m in leaves if m.kind == "distinct"]
+        summed = [m for m in leaves if m.kind != "distinct"]
 
         grain = list(dict.fromkeys([*dims, *fields]))
-        base = self._aggregate(grain, leaves, texts, span)
-        late = [self._on_columns(item) for item in after]
-        groups: dict[tuple[WindowOver, ...], list[Measure]] = {}
-        for measure in leaves:
-            groups.setdefault(measure.window, []).append(measure)
+        base = self._aggregate(grain, summed, texts, span) if summed else None
+        parts = []
+        for window, measures in _by_window(summed).items():
+            parts.append(self._over(dims, window, measures, late, self._summed(base, measures)))
+        for window, measures in _by_window(counts).items():
+            # A count cannot be folded again, so it is taken at its own grain.
+            if window:
+                parts.append(self._over(dims, window, measures, late, self._counted_along(window, measures, texts, span)))
+            else:
+                parts.append(self._aggregate(dims, measures, *self._split_filters(where)))
 
-        parts = [self._over(base, dims, window, measures, late) for window, measures in groups.items()]
         # Every part has one row per group, so max only lines the columns up.
         merged = parts[0]
         for part in parts[1:]:
@@ -346,29 +356,74 @@ class MetricView:
             item = item.replace(f"`{name}`", column)
         return set(used.values()), F.expr(item)
 
+    @staticmethod
+    def _summed(base: DataFrame, measures: list[Measure]) -> Grained:
+        """Sums and counts at a coarser grain than ``base``."""
+
+        def at(keys: list[Dimension], early: list[tuple[Column, str]]) -> DataFrame:
+            frame = base
+            for predicate, _ in early:
+                frame = frame.where(predicate)
+            return frame.groupBy(*(k.column for k in keys)).agg(*(F.sum(m.column).alias(m.column) for m in measures))
+
+        return at
+
+    def _counted_along(
+        self, window: tuple[WindowOver, ...], measures: list[Measure], texts: list[str], span: Bounds | None
+    ) -> Grained:
+        """Distinct counts whose sum along a cumulative order is the count so far:
+        a member counts where it is first seen. Without such an order they are
+        the plain counts of each group."""
+        running = [self.dimension(w.order) for w in window if w.cumulative]
+
+        def at(keys: list[Dimension], early: list[tuple[Column, str]]) -> DataFrame:
+            more, narrower = self._split_filters(item for _, item in early)
+            wanted, days = [*texts, *more], _both(span, narrower)
+            if not running:
+                return self._aggregate(keys, measures, wanted, days)
+            (order,) = running
+            held = [k for k in keys if k != order]
+            exprs = [*wanted, *(k.expr for k in keys), *(m.expr for m in measures), *(m.where for m in measures if m.where)]
+            frame, _ = self._base(exprs + ([self.filter] if self.filter else []), days, set())
+            for text in wanted:
+                frame = frame.where(F.expr(_flat(text)))
+            parts = [frame.groupBy(*_keys(keys)).agg(*(F.lit(0).alias(m.column) for m in measures))]
+            for member in dict.fromkeys(m.expr for m in measures):
+                mine = [m for m in measures if m.expr == member]
+                when = F.expr(_flat(order.expr))
+                seen = [F.min(F.when(_counted(m).isNotNull(), when)).alias(m.column) for m in mine]
+                first = frame.groupBy(*_keys(held), F.expr(_flat(member)).alias("_member")).agg(*seen)
+                for m in mine:
+                    counted = first.where(F.col(m.column).isNotNull())
+                    counted = counted.groupBy(*(k.column for k in held), F.col(m.column).alias(order.column))
+                    parts.append(counted.agg(F.count(F.lit(1)).alias(m.column)))
+            merged = parts[0]
+            for part in parts[1:]:
+                merged = merged.unionByName(part, allowMissingColumns=True)
+            return merged.groupBy(*(k.column for k in keys)).agg(*(F.sum(m.column).alias(m.column) for m in measures))
+
+        return at
+
     def _over(
         self,
-        base: DataFrame,
         dims: list[Dimension],
         window: tuple[WindowOver, ...],
         measures: list[Measure],
-        late: list[tuple[set[str], Column]],
+        late: list[tuple[set[str], Column, str]],
+        grained: Grained,
     ) -> DataFrame:
+        """The measures over one window; ``grained`` gives them at a grain, with
+        the filters that cannot wait until after the window."""
         group = [d.column for d in dims]
-        own = [self.dimension(w.order).column for w in window]
+        if not window:
+            return grained(dims, [(predicate, item) for _, predicate, item in late])
+        fields = [self.dimension(w.order) for w in window]
+        own = [f.column for f in fields]
         plain = [c for c in group if c not in own]
-        sums = [F.sum(m.column).alias(m.column) for m in measures]
         # Later filters read order fields, which this part may not window on.
-        filtered = base
-        if not window:
-            for _, predicate in late:
-                filtered = filtered.where(predicate)
-            return filtered.groupBy(*group).agg(*sums)
         kept = {*plain, *own}
-        for columns, predicate in late:
-            if not columns <= kept:
-                filtered = filtered.where(predicate)
-        frame = filtered.groupBy(*dict.fromkeys([*plain, *own])).agg(*sums)
+        keys = list(dict.fromkeys([*(d for d in dims if d.column in plain), *fields]))
+        frame = grained(keys, [(predicate, item) for columns, predicate, item in late if not columns <= kept])
 
         held = [c for w, c in zip(window, own) if not w.cumulative and not w.offset_months]
         for over, column in zip(window, own):
@@ -383,7 +438,7 @@ class MetricView:
             else:
                 continue
             frame = frame.withColumns({m.column: F.sum(m.column).over(spec) for m in measures})
-        for columns, predicate in late:
+        for columns, predicate, _ in late:
             if columns <= kept:
                 frame = frame.where(predicate)
         if set(own) <= set(group):
@@ -392,6 +447,18 @@ class MetricView:
         return frame.groupBy(*group).agg(*(F.max_by(m.column, last).alias(m.column) for m in measures))
 
 
+def _by_window(measures: Iterable[Measure]) -> dict[tuple[WindowOver, ...], list[Measure]]:
+    groups: dict[tuple[WindowOver, ...], list[Measure]] = {}
+    for measure in measures:
+        groups.setdefault(measure.window, []).append(measure)
+    return groups
+
+
+def _both(a: Bounds | None, b: Bounds | None) -> Bounds | None:
+    """The days in both spans."""
+    return (max(a[0], b[0]), min(a[1], b[1])) if a and b else a or b
+
+
 def _flat(text: str) -> str:
     """``alias.column`` as the ``alias__column`` the joined frame carries."""
     parts = re.split(r"('[^']*')", text)

@@ -210,6 +210,71 @@ ORACLE = {
         SELECT fiscal_year, {ratio(CANCELS, distinct('member_key'))} AS churn_rate, {total('mrr_delta')} AS ending_mrr
         FROM subs, subs_anchor WHERE {FYTD} AND {RETENTION} GROUP BY fiscal_year"""),
     "snippet_active_members": sql("SELECT count(*) AS active_members FROM active_flags WHERE is_active"),
+    "mv_window_distinct_beside": sql(f"""
+        WITH j AS (SELECT *, date_trunc('month', calendar_date) AS m FROM {ALL_JOINS}),
+        last AS (SELECT region_name, max(m) AS m FROM j GROUP BY 1),
+        ends AS (SELECT region_name, max(fiscal_year) AS fiscal_year FROM j GROUP BY 1)
+        SELECT a.region, a.distinct_members, c.v AS current_month_revenue, f.v AS fytd_window_revenue, a.order_line_count
+        FROM (SELECT region_name AS region, {distinct('member_key')} AS distinct_members, count(*) AS order_line_count
+              FROM j GROUP BY 1) a
+        JOIN (SELECT region_name, {total(NET)} AS v FROM j JOIN last USING (region_name, m) GROUP BY 1) c
+          ON c.region_name IS NOT DISTINCT FROM region
+        JOIN (SELECT region_name, {total(NET)} AS v FROM j JOIN ends USING (region_name, fiscal_year) GROUP BY 1) f
+          ON f.region_name IS NOT DISTINCT FROM region"""),
+    "mv_window_distinct_along": sql(f"""
+        WITH j AS (SELECT *, date_trunc('month', calendar_date) AS m FROM {ALL_JOINS}),
+        months AS (SELECT product_class, m, {distinct('member_key')} AS n, {total(NET)} AS v FROM j GROUP BY 1, 2)
+        SELECT a.product_class, strftime(a.m, '%Y-%m-%d') AS fiscal_month_start, a.n AS members, p.n AS prior_members,
+               (SELECT {distinct('member_key')} FROM j WHERE j.product_class = a.product_class AND j.m <= a.m)
+                   AS members_so_far,
+               (SELECT {distinct('member_key', HARDWARE)} FROM j WHERE j.product_class = a.product_class AND j.m <= a.m)
+                   AS hardware_members_so_far,
+               a.v AS current_month_revenue
+        FROM months a LEFT JOIN months p ON p.product_class = a.product_class AND p.m = a.m - INTERVAL 1 MONTH"""),
+    "mv_window_distinct_fytd": sql(f"""
+        SELECT region_name AS region, fiscal_year, {distinct('member_key')} AS members_this_year_so_far,
+               {distinct('order_key')} AS orders_this_year_so_far, {distinct('member_key')} AS distinct_members,
+               {total(NET)} AS fytd_window_revenue
+        FROM {ALL_JOINS} GROUP BY region_name, fiscal_year"""),
+    "mv_window_distinct_daily": sql(f"""
+        WITH d AS (SELECT calendar_date, {total(NET)} AS v FROM sales WHERE fiscal_year = 2000 GROUP BY 1)
+        SELECT strftime(a.calendar_date, '%Y-%m-%d') AS calendar_date, 2000 AS fiscal_year,
+               (SELECT {distinct('member_key')} FROM sales b WHERE fiscal_year = 2000 AND b.calendar_date <= a.calendar_date)
+                   AS members_this_year_so_far, a.v AS recognized_revenue
+        FROM d a WHERE a.calendar_date >= DATE '2000-03-01'"""),
+    "sql_last_month": sql(f"""
+        SELECT {total(NET)} AS "measure(Recognized Revenue)" FROM sales, anchor WHERE {LAST_FM}"""),
+    "sql_quarter_by_region": sql(f"""
+        SELECT region_name AS "Region", {total(NET)} AS recognized_revenue FROM {ALL_JOINS}, anchor WHERE {LAST_FQ}
+        GROUP BY region_name"""),
+    "sql_active_members": sql(f"""
+        SELECT {distinct('member_key', 'is_active')} AS "measure(Active Members)" FROM ({SUBS_STACK})
+        WHERE is_current_fiscal_year AND region_code = 'EUROPE'"""),
+    "sql_window_churn": sql(f"""
+        SELECT campaign_code AS "Campaign Code", {ratio(CANCELS, distinct('member_key'))} AS churn_rate
+        FROM {SUBS_JOINS} WHERE {RETENTION} GROUP BY campaign_code
+        ORDER BY churn_rate NULLS FIRST, campaign_code NULLS FIRST LIMIT 10"""),
+    "sql_top_members": sql(f"""
+        SELECT member_id AS "Member ID", {total(NET, HARDWARE)} AS hw FROM {ALL_JOINS}, anchor WHERE {FYTD}
+        GROUP BY member_id ORDER BY hw DESC NULLS LAST, member_id LIMIT 10"""),
+    "sql_wide_last_month": sql(f"""
+        SELECT {total(f'CASE WHEN {LAST_FM} THEN {NET} ELSE 0 END')} AS "measure(Last Fiscal Month Revenue)"
+        FROM sales, anchor"""),
+    "sql_windowed_flag": sql(f"""
+        SELECT {total(NET, LAST_FM)} AS "measure(Last Fiscal Month Revenue Flag)" FROM sales, anchor"""),
+    "sql_membership_churn": sql(f"""
+        SELECT {ratio(CANCELS, distinct('member_key'))} AS "measure(Churn Rate)" FROM subs WHERE {RETENTION}"""),
+    "sql_expressions": sql(f"""
+        SELECT lower(region_name) AS market, fiscal_year % 2 AS parity, fiscal_year AS "Fiscal Year",
+               {total(NET)} / count(*) AS per_line, {distinct('member_key')} AS "measure(Distinct Members)"
+        FROM {ALL_JOINS} WHERE product_class IN ('DEVICE', 'ACCESSORY') AND NOT member_tier = 'BUILDING'
+        GROUP BY 1, 2, 3 HAVING count(*) > 3 AND fiscal_year > 1994"""),
+    "sql_windowed_months": sql(f"""
+        SELECT strftime(a.m, '%Y-%m-%d') AS month, p.v AS prior, a.n AS members
+        FROM (SELECT date_trunc('month', calendar_date) AS m, {distinct('member_key')} AS n FROM sales GROUP BY 1) a
+        LEFT JOIN (SELECT date_trunc('month', calendar_date) AS m, {total(NET)} AS v FROM sales GROUP BY 1) p
+          ON p.m = a.m - INTERVAL 1 MONTH
+        WHERE a.m >= DATE '2000-03-01'"""),
     "mv_window_last_month_flag": sql(f"""
         SELECT region_name AS region, {total(NET, LAST_FM)} AS last_fiscal_month_revenue_flag,
                {total(NET, HARDWARE)} AS hardware_revenue, count(*) AS order_line_count

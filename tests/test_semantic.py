@@ -1,5 +1,6 @@
 import pytest
 
+from kpiloom import catalog
 from kpiloom.catalog import SETTINGS
 from kpiloom.plans import metric_views
 from kpiloom.plans.semantic import Measure, MetricView, relationship_report
@@ -82,10 +83,21 @@ def test_attached_measure(rich):
     assert 0 < row.units
 
 
-def test_window_rejects_distinct_counts(star):
+def test_distinct_count_beside_windows_is_the_plain_count(star):
     view = metric_views.sales_windowed(star, SETTINGS)
-    with pytest.raises(ValueError, match="distinct"):
-        view.query(["Region"], ["Current Month Revenue", "Distinct Members"])
+    where = ["`Fiscal Month Start` < DATE '2000-03-01'", "Is Current Fiscal Year"]
+    both = view.query(["Region"], ["Current Month Revenue", "Distinct Members"], where).collect()
+    alone = view.query(["Region"], ["Distinct Members"], where).collect()
+    assert {(r.region, r.distinct_members) for r in both} == {tuple(r) for r in alone} != set()
+
+
+def test_members_so_far_end_at_all_members(star):
+    """Counted where first seen, without keeping anyone's days."""
+    view = catalog._windowed_members(star, SETTINGS)
+    far = view.query(["Product Class"], ["Members So Far", "Distinct Members"]).collect()
+    assert far and all(r.members_so_far == r.distinct_members for r in far)
+    months = view.query(["Fiscal Month Start"], ["Members So Far"]).orderBy("fiscal_month_start").collect()
+    assert [r.members_so_far for r in months] == sorted(r.members_so_far for r in months)
 
 
 def test_windowed_month_keeps_its_prior_when_filtered(star):
