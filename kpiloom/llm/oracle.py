@@ -1,12 +1,5 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from kpiloom.llm import quality
-
-_RATES = ", ".join(f"1000 * {part} // greatest({of}, 1) AS {name}" for name, (part, of) in quality.RATES.items())
-_LONG = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {m} AS v, {least} AS least FROM rated" for m, least in quality.LEAST.items())
-_USUAL = " AND ".join(f"coalesce({m} <= most_{m}, false)" for m in quality.RATES)
-_MOST = ", ".join(f"max(CASE WHEN measure = '{m}' THEN most END) AS most_{m}" for m in quality.RATES)
-
 QUALITY = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, lang, source, coalesce(text, '') AS t,
@@ -23,42 +16,49 @@ WITH d AS (
   SELECT k, count(*) AS n_lines, count(*) - count(DISTINCT s) AS n_dup_lines
   FROM (SELECT k, unnest(string_split(t, chr(10))) AS s FROM d) WHERE regexp_matches(s, '[^\x20\x09-\x0D]') GROUP BY k
 ), m AS (
-  SELECT doc_id, lang, source, len(w) AS n_words,
+  SELECT k, doc_id, lang, source, len(w) AS n_words,
          length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
          coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
          coalesce(n_repeat_words, 0) AS n_repeat_words
   FROM d LEFT JOIN rep USING (k) LEFT JOIN lines USING (k)
-), rated AS (SELECT *, {_RATES} FROM m
+), rated AS (
+  SELECT *, n_words < 50 OR 2 * n_repeat_words > n_words AS base_failed,
+         1000 * n_symbols // greatest(word_chars, 1) AS symbols, 1000 * n_dup_lines // greatest(n_lines, 1) AS same_lines,
+         1000 * n_repeat_words // greatest(n_words, 1) AS repeats,
+         floor(100 * ln(word_chars::DOUBLE / nullif(n_words, 0)))::BIGINT AS len_step
+  FROM m
+), long AS (
+  SELECT lang, source, measure, v FROM rated UNPIVOT (v FOR measure IN (symbols, same_lines, repeats, len_step))
+  WHERE NOT base_failed AND (measure = 'len_step' OR v > 0)
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY lang, source, measure ORDER BY v) AS r,
          count(*) OVER (PARTITION BY lang, source, measure) AS n
-  FROM ({_LONG})
-), quart AS (
-  SELECT lang, source, measure, any_value(least) AS least,
-         min(CASE WHEN 4 * r >= n THEN v END) AS q1, min(CASE WHEN 4 * r >= 3 * n THEN v END) AS q3
-  FROM ranked GROUP BY ALL
+  FROM long
 ), lim AS (
-  SELECT lang, source, {_MOST}
-  FROM (SELECT *, q3 + greatest({quality.REACH} * (q3 - q1), least) AS most FROM quart) GROUP BY ALL
-), base AS (
-  SELECT rated.*, lim.* EXCLUDE (lang, source),
-         n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED} * n_words AS base_failed
-  FROM rated LEFT JOIN lim ON rated.lang IS NOT DISTINCT FROM lim.lang AND rated.source IS NOT DISTINCT FROM lim.source
-)
+  SELECT lang, source, measure, any_value(n) AS n, min(v) FILTER (r >= n / 4.0) AS q1, min(v) FILTER (r >= 3 * n / 4.0) AS q3,
+         min(v) FILTER (20 * r >= 19 * n) AS top
+  FROM ranked GROUP BY ALL
+), held AS (
+  SELECT k, x.measure, CASE WHEN x.measure = 'len_step' THEN v BETWEEN q1 - 3 * greatest(q3 - q1, 1) AND q3 + 3 * greatest(q3 - q1, 1)
+                          ELSE v = 0 OR coalesce(n > 1 AND (v <= top OR v * q1 ** 3 <= q3 ** 4), false) END AS usual
+  FROM (SELECT k, lang, source, measure, v FROM rated UNPIVOT (v FOR measure IN (symbols, same_lines, repeats, len_step))
+        WHERE NOT base_failed) x
+  LEFT JOIN lim y ON x.lang IS NOT DISTINCT FROM y.lang AND x.source IS NOT DISTINCT FROM y.source AND x.measure = y.measure
+), fine AS (SELECT k FROM held GROUP BY k HAVING bool_and(usual))
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-       NOT base_failed AND {_USUAL} AS kept
-FROM base
+       k IN (SELECT k FROM fine) AS kept
+FROM rated
 """
 
 NEGATIVES = """
 WITH r AS (
   SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT a.k, a.vec_id AS anchor_id, a.label = b.label AS same, b.k AS other, b.vec_id AS other_id,
          list_dot_product(a.v, b.v)::BIGINT AS score

@@ -2,8 +2,16 @@
 
 A fixed rule rejects what is too short or repeats itself. Every other rule
 compares a document with its own group: for each (lang, source) a mergeable
-quantile sketch of each measure gives the group's quartiles, and a document is
-rejected if a measure lies far outside them.
+quantile sketch of each measure, over the documents that pass the fixed rule,
+gives the group's own limits.
+
+Rates (of symbols, of repeated lines, of repeated words) are zero for most
+documents, so their limits come from the documents that have any: a rate is usual
+up to the greater of the ``TOP`` quantile and three quartile distances, on a
+logarithmic scale, beyond the upper quartile. A document that is the only one of
+its group to have any is an outlier. The mean length of words has limits on both
+sides, three quartile distances beyond the quartiles on a logarithmic scale. No limit has a floor of its own but for the
+width of a bucket, where quartiles are equal.
 
 The sketch is a histogram of integer measures: it merges by adding counts, so
 partial sketches are built before the shuffle and a source with a third of all
@@ -14,8 +22,9 @@ Everything is DataFrame functions. Measures are worked out inside the row; no
 window of words is ever shuffled.
 
 A null text has no words and is rejected; null languages and sources are groups
-of their own; a repeated row gets its verdict again; an empty table gives no
-rows; further columns are not read.
+of their own; a repeated row gets its verdict again and counts again in its
+group; an empty table gives no rows; texts may be of any length; further columns
+are not read.
 """
 
 from __future__ import annotations
@@ -29,14 +38,13 @@ from kpiloom.llm.common import let, stored
 MIN_WORDS = 50
 #: A text fails if more than this percentage of its words lie in repeated windows.
 MAX_REPEATED = 50
-#: Measures held against the group, and the least excess, in the measure's own
-#: unit (thousandths), that can reject: a few buckets, for a group whose members
-#: are all alike has quartiles without any width. Elsewhere the sketch decides.
-LEAST = {"symbol_rate": 20, "line_rate": 20, "repeat_rate": 20}
-#: Quartile distances beyond the upper quartile that are still usual.
+#: A rate is usual up to this quantile (numerator, denominator) of the rates above zero.
+TOP = (19, 20)
+#: Quartile distances beyond the quartiles that are still usual.
 REACH = 3
-#: Buckets of the sketch: thousandths, so the sketch is exact to one unit.
-UNIT = 1000
+#: Buckets of the sketch: thousandths of a rate, and hundredths of the logarithm
+#: of a length. The sketch is exact to one of them.
+UNIT, LENGTH_UNIT = 1000, 100
 
 #: Bits of a window's place in its text, enough for the longest there can be.
 PLACE = 32
@@ -118,29 +126,60 @@ RATES = {
 }
 
 
+#: The measure with limits on both sides.
+LENGTH = "word_length"
+
+
+def _length() -> Column:
+    """The mean length of words, in steps of a hundredth of its size; null without words."""
+    mean = F.col("word_chars").cast("double") / F.nullif(F.col("n_words"), F.lit(0))
+    return F.floor(LENGTH_UNIT * F.log(mean))
+
+
+def failed() -> Column:
+    """Whether the fixed rule rejects a document."""
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
+
+
 def sketches(rows: DataFrame) -> DataFrame:
     """Per (lang, source, measure): how many documents lie in each bucket. Two
     sketches of parts merge by adding."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), _rate(*of).alias("bucket")) for m, of in RATES.items()]))
-    return rows.select("lang", "source", pairs.alias("p")).groupBy("lang", "source", "p.measure", "p.bucket").agg(F.count("*").alias("n"))
+    measures = {m: _rate(*of) for m, of in RATES.items()} | {LENGTH: _length()}
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), v.alias("bucket")) for m, v in measures.items()]))
+    rows = rows.where(~failed()).select("lang", "source", pairs.alias("p")).where("p.bucket is not null")
+    return rows.groupBy("lang", "source", "p.measure", "p.bucket").agg(F.count("*").alias("n"))
 
 
 def limits(sketch: DataFrame) -> DataFrame:
-    """The greatest usual value of each measure per (lang, source).
+    """Per (lang, source) for each measure a struct: how many documents count for
+    its limits, their quartiles q1 and q3, and the ``TOP`` quantile.
 
-    A group's buckets are at most ``UNIT`` + 1 for a measure, so the window
-    below holds no more rows than that, whatever the group's size.
+    A rate has at most ``UNIT`` buckets above zero, and lengths grow by a hundredth
+    from one bucket to the next, so the window below holds a few thousand rows at
+    most, whatever the group's size.
     """
     group = W.partitionBy("lang", "source", "measure")
-    upto = sketch.withColumns({"upto": F.sum("n").over(group.orderBy("bucket")), "all": F.sum("n").over(group)})
+    counted = sketch.where((F.col("measure") == LENGTH) | (F.col("bucket") > 0))
+    upto = counted.withColumns({"upto": F.sum("n").over(group.orderBy("bucket")), "all": F.sum("n").over(group)})
+
+    def quantile(part: int, of: int) -> Column:
+        return F.min(F.when(of * F.col("upto") >= part * F.col("all"), F.col("bucket")))
+
+    found = upto.groupBy("lang", "source", "measure").agg(
+        F.struct(F.max("all").alias("n"), quantile(1, 4).alias("q1"), quantile(3, 4).alias("q3"), quantile(*TOP).alias("top")).alias("limit")
+    )
+    return found.groupBy("lang", "source").agg(*[F.max(F.when(F.col("measure") == m, F.col("limit"))).alias(f"of_{m}") for m in (*RATES, LENGTH)])
+
+
+def _usual_rate(rate: Column, of: Column) -> Column:
+    """A rate within the group's limits: up to q3 * (q3 / q1) ** 3 in whole numbers."""
+    far = rate * of["q1"] * of["q1"] * of["q1"] <= of["q3"] * of["q3"] * of["q3"] * of["q3"]
+    return F.coalesce((rate == 0) | ((of["n"] > 1) & ((rate <= of["top"]) | far)), F.lit(False))
 
-    def quartile(k: int) -> Column:
-        return F.min(F.when(4 * F.col("upto") >= k * F.col("all"), F.col("bucket")))
 
-    found = upto.groupBy("lang", "source", "measure").agg(quartile(1).alias("q1"), quartile(3).alias("q3"))
-    least = F.create_map(*[F.lit(x) for pair in LEAST.items() for x in pair])
-    limit = F.col("q3") + F.greatest(F.lit(REACH) * (F.col("q3") - F.col("q1")), least[F.col("measure")])
-    return found.groupBy("lang", "source").agg(*[F.max(F.when(F.col("measure") == m, limit)).alias(f"most_{m}") for m in RATES])
+def _usual_length(length: Column, of: Column) -> Column:
+    reach = REACH * F.greatest(of["q3"] - of["q1"], F.lit(1))
+    return F.coalesce(length.between(of["q1"] - reach, of["q3"] + reach), F.lit(False))
 
 
 def verdicts(docs: DataFrame, payload: list[str], text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -150,14 +189,13 @@ def verdicts(docs: DataFrame, payload: list[str], text: str = "text", lang: str
     group, whose file size Spark knows when it picks the join.
     """
     rows = stored(measured(docs, payload, text, lang, source), "quality-measures")
-    most = stored(limits(sketches(rows)), "quality-limits")
-    most = most.withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
-    joined = rows.join(most, rows["lang"].eqNullSafe(most["of_lang"]) & rows["source"].eqNullSafe(most["of_source"]), "left")
-    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    usual = F.lit(True)
+    of_group = stored(limits(sketches(rows)), "quality-limits")
+    of_group = of_group.withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
+    joined = rows.join(of_group, rows["lang"].eqNullSafe(of_group["of_lang"]) & rows["source"].eqNullSafe(of_group["of_source"]), "left")
+    usual = _usual_length(_length(), F.col(f"of_{LENGTH}"))
     for m, of in RATES.items():
-        usual = usual & (_rate(*of) <= F.col(f"most_{m}"))
-    return joined.withColumn("base_failed", base).withColumn("kept", ~F.col("base_failed") & usual)
+        usual = usual & _usual_rate(_rate(*of), F.col(f"of_{m}"))
+    return joined.withColumn("base_failed", failed()).withColumn("kept", ~F.col("base_failed") & usual)
 
 
 def digest(rows: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from kpiloom.llm import licenses, mixing, packing, pii, quality
 from kpiloom.llm.packing import CAPACITY, Encoder, cuts, plan
 
@@ -132,22 +134,41 @@ def test_license_phrases_and_labels(documents, prose):
     assert got[30][0][5:] == ("", 0.0)
 
 
-def test_an_outlier_of_each_measure_goes_from_a_tight_group(documents, prose):
-    def lines(seed, n):
-        return [prose(1000 * seed + i, 12) for i in range(n)]
+def test_an_outlier_of_each_measure_goes_from_its_group(documents, prose):
+    """Usual documents have a few symbols, a repeated line and a repeated passage."""
+
+    def usual(seed):
+        lines = [prose(1000 * seed + i, 12) for i in range(20)]
+        return [*lines, lines[seed % 20], " #" * (1 + seed % 4)]
+
+    def rates(r):
+        return [1000 * getattr(r, part) // getattr(r, of) for part, of in quality.RATES.values()]
 
-    usual = [(i, "\n".join(lines(i, 20))) for i in range(20)]
-    twice = prose(90, 30)
-    rows = [
-        (100, "\n".join(lines(100, 20)) + " #" * 60),
-        (101, "\n".join(s for line in lines(101, 11) for s in (line, "ab"))),
-        (102, f"{prose(91, 120)} {twice} {prose(92, 120)} {twice}"),
+    plain = [(i, "\n".join(usual(i))) for i in range(40)]
+    odd = [
+        (100, "\n".join(usual(100)) + " #&" * 90),
+        (101, "\n".join([*usual(101), *[f"ab {k // 2}" for k in range(20)]])),
+        (102, "\n".join([*usual(102), *[prose(9, 6) + f" {k}" for k in range(12)]])),
+        (103, "\n".join(usual(103)).replace(" ", "x y").replace("x y", "xyzxyzxyz ")),
+        (104, " ".join(f"{'abcdefghij'[k % 10]} {k % 97}" for k in range(200))),
     ]
-    got = {r.row.doc_id: r for r in quality.verdicts(documents(usual + rows), ["doc_id"]).collect()}
-    rates = [1000 * getattr(got[100 + k], part) // getattr(got[100 + k], of) for k, (part, of) in enumerate(quality.RATES.values())]
-    assert 30 < rates[0] < 100 and 400 < rates[1] < 500 and 100 < rates[2] < 400
-    assert not any(got[i].base_failed for i in got)
-    assert {i for i, r in got.items() if not r.kept} == {100, 101, 102}
+    got = {r.row.doc_id: r for r in quality.verdicts(documents(plain + odd), ["doc_id"]).collect()}
+    assert not any(r.base_failed for r in got.values())
+    of = {m: got[0][f"of_{m}"] for m in quality.RATES}
+    for k, m in enumerate(quality.RATES):
+        assert of[m].n >= 30 and rates(got[100 + k])[k] > of[m].top
+    assert {i for i, r in got.items() if not r.kept} >= {100, 101, 102, 103, 104}
+    assert sum(r.kept for i, r in got.items() if i < 100) >= 36
+
+
+def test_limits_differ_between_groups(spark, documents, prose):
+    rows = [(1000 * g + i, " ".join(f"{w} #" if k % (10 - g) == 0 else w for k, w in enumerate(prose(i, 90).split())), "en", f"s{g}") for g in range(3) for i in range(20)]
+    found = {r.source: r for r in quality.limits(quality.sketches(quality.measured(documents(rows), ["doc_id"]))).collect()}
+    assert len({r.of_symbol_rate.top for r in found.values()}) == 3
+    # Sketches of parts merge by adding: two halves give the limits of the whole.
+    halves = [quality.sketches(quality.measured(documents(rows[k::2]), ["doc_id"])) for k in (0, 1)]
+    merged = halves[0].union(halves[1]).groupBy("lang", "source", "measure", "bucket").agg(F.sum("n").alias("n"))
+    assert {r.source: r for r in quality.limits(merged).collect()} == found
 
 
 def license_labels(frame):
@@ -175,7 +196,10 @@ def test_each_licence_of_a_file_is_found(documents, prose):
 
 
 def test_native_operators_run_no_python(documents, plan):
-    for frame in (licenses.scanned(documents(ODD)), quality.measured(documents(ODD), ["doc_id"])):
+    docs = documents(ODD)
+    measured = quality.measured(docs, ["doc_id"])
+    frames = [licenses.licences(docs), licenses.digest(licenses.licences(docs)), measured, quality.limits(quality.sketches(measured)), quality.verdicts(docs, ["doc_id"]), mixing.mixed(docs, ["doc_id"])]
+    for frame in frames:
         assert not re.search("Python|Pandas|Arrow", plan(frame))
 
 
