@@ -8,7 +8,8 @@ of the one is asked for what lies near the words of the other: a box of which th
 counts cannot be reached by one letter less and one more is left out. What a
 search returns is verified on the order of the letters.
 
-A length's tree is fitted to about ``SAMPLE`` of its words. Its leaves deal all
+A length's tree is fitted to about ``SAMPLE`` of its words, with leaves for about
+``LEAF`` of all of them each, as far as the sample allows. Its leaves deal all
 words of that length to tasks: a word is at home in one leaf and asks all leaves
 whose boxes it can reach. A leaf of more than ``BLOCK`` words, such as one of
 anagrams, is cut into blocks which are asked one by one. Within a block the tree
@@ -44,14 +45,14 @@ ERRORS = 199
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 #: Letters of the tree's dimensions: a-z, and À-ÿ.
 FIRST, LETTERS = (ord("a"), 0xC0), 26 + 64
-#: Words to which a length's tree is fitted, and the words of a fitted leaf.
-SAMPLE, LEAF = 8192, 64
+#: Words to which a length's tree is fitted, and the words of a leaf, about.
+SAMPLE, LEAF = 8192, 2048
 #: Leaves that a length's tree can have, and words of a block and of a box in it.
-LEAVES, BLOCK, BOX = 1024, 4096, 32
+LEAVES, BLOCK, BOX = 1024, 4096, 128
 #: Different words that a task counts before it hands them on.
 COUNTED = 200_000
-#: Pairs of words whose letter counts are subtracted at a time.
-COMPARED = 1 << 14
+#: Pairs of words compared at a time, and the count up to which letters are told apart.
+COMPARED, COUNTS = 1 << 19, 6
 
 
 def runs(doc_id: str, text: str | None) -> Counter:
@@ -180,7 +181,9 @@ def one_letter(a: str, b: str) -> bool:
 
 
 def _trees(table: pa.Table) -> pa.Table:
-    nodes = fit(points(table.column("word").to_pylist()), LEAF, LEAVES)
+    found, words = table.column("word").to_pylist(), table.column("words")[0].as_py()
+    leaves = min(LEAVES, -(-words // LEAF))
+    nodes = fit(points(found), -(-len(found) // leaves), leaves)
     flat = [v for node in nodes for v in node]
     return pa.table({"length": table.column("length")[:1], "tree": pa.array([flat], pa.list_(pa.int32()))})
 
@@ -208,22 +211,39 @@ def _dealt(batches):
         yield pa.RecordBatch.from_arrays([*[batch.column(c).take(rows) for c in ("length", "word", "asks")], pa.array(np.concatenate(leaf))], ["length", "word", "asks", "leaf"])
 
 
+def steps(x: np.ndarray) -> np.ndarray:
+    """Counts as zeros and ones: a column for each letter having at least 1, 2, ...
+    up to ``COUNTS``. The inner product of two rows is what both words have, letter
+    by letter, so it gives their L1 distance; letters beyond count as if gone from
+    both, which brings no pair further apart."""
+    return (x[:, :, None] > np.arange(COUNTS)).reshape(len(x), -1).astype(np.float32)
+
+
 def search(home: list[str], asked: list[tuple[str, int]]):
     """Pairs (question, word at home) one letter apart, by the tree of the home words."""
-    nodes, x = fit(points(home), BOX, len(home)), points(home)
+    x = points(home)
+    nodes = fit(x, BOX, len(home))
     boxes = {node: at for node, at in reached(nodes, x, 0, 0)}
+    used = steps(x).any(axis=0)
+    x = steps(x)[:, used]
+    x_sum = x.sum(axis=1)
     for kind in (1, 2):
         mine = [w for w, k in asked if k == kind]
         if not mine:
             continue
         y = points(mine)
+        unary = steps(y)
+        # Letters that no word at home has count in the sum alone.
+        y_sum, unary = unary.sum(axis=1), unary[:, used]
         for node, at in reached(nodes, y, int(kind == 1), 1):
             near = boxes.get(node, ())
-            step = max(1, COMPARED // max(1, len(near)))
+            if not len(near):
+                continue
+            step = max(1, COMPARED // len(near))
             for s in range(0, len(at), step):
                 part = at[s : s + step]
-                apart = np.abs(y[part][:, None, :] - x[near][None, :, :]).sum(axis=2)
-                for i, j in zip(*np.nonzero(apart == (2 if kind == 1 else 1))):
+                apart = y_sum[part][:, None] + x_sum[near] - 2 * (unary[part] @ x[near].T)
+                for i, j in zip(*(v.tolist() for v in np.nonzero(apart <= (2 if kind == 1 else 1)))):
                     a, b = mine[part[i]], home[near[j]]
                     if one_letter(a, b):
                         yield a, b
@@ -252,7 +272,7 @@ def near_words(found: DataFrame) -> DataFrame:
     sized = found.select("word", F.length("word").alias("length"))
     counts = sized.groupBy("length").agg(F.count("*").alias("words"))
     chance = F.pmod(F.xxhash64("word", F.lit(3)), F.lit(1 << 20)) / (1 << 20)
-    sample = sized.join(counts, "length").where(chance * F.col("words") < SAMPLE).select("length", "word")
+    sample = sized.join(counts, "length").where(chance * F.col("words") < SAMPLE).select("length", "word", "words")
     trees = stored(sample.groupBy("length").applyInArrow(_trees, "length int, tree array<int>"), "letter-trees")
 
     # At home; asking the own length; asking the next one.

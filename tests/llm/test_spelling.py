@@ -72,7 +72,7 @@ def test_variants_by_brute_force(spark, documents, rows):
 
 
 def test_small_leaves_and_blocks_give_the_same(spark, documents, rows, monkeypatch, many_partitions):
-    for name, value in {"SAMPLE": 40, "LEAF": 3, "BLOCK": 7, "BOX": 2, "COUNTED": 50}.items():
+    for name, value in {"SAMPLE": 40, "LEAF": 3, "BLOCK": 7, "BOX": 2, "COUNTED": 50, "COMPARED": 5, "COUNTS": 1}.items():
         monkeypatch.setattr(spelling, name, value)
     assert {tuple(r) for r in spelling.variants(documents(rows)).collect()} == wanted(rows)
 
