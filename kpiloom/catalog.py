@@ -337,8 +337,20 @@ def _on_tco(plan: Callable[[DataFrame], DataFrame]) -> Query:
     return on_star(lambda star: presented(plan(_tco(star))))
 
 
+def _updated_in_place(answered: DataFrame) -> DataFrame:
+    """The answer table written, scored where it lies, and read back."""
+    spark = answered.sparkSession
+    path = shared_dir(spark, "scored-answers")
+    sinks.append_runs(answered, path)
+    scoring.update_scores(spark, path)
+    return _presented_scores(sinks.read_runs(spark, path))
+
+
 def _updated(answered: DataFrame) -> DataFrame:
-    updated = scoring.with_scores(answered, scoring.evaluated(answered))
+    return _presented_scores(scoring.with_scores(answered, scoring.evaluated(answered)))
+
+
+def _presented_scores(updated: DataFrame) -> DataFrame:
     return updated.select(
         "message_id", "run_id", "tier", "question_id", "attempt", "answer_score",
         F.coalesce("correct", F.lit(False)).alias("correct"),
@@ -363,11 +375,12 @@ def scoring_queries() -> dict[str, Query]:
             lambda a: scoring.rubric_scores(a).select("message_id", "question_id", "correct", "answer_score")
         ),
         "update_scores": _on_logs(_updated),
+        "update_scores_in_place": _on_logs(_updated_in_place),
         "tier_accuracy": _on_logs(lambda a: scoring.tier_accuracy(scoring.evaluated(a))),
         "contamination_gate": _on_tco(scoring.contamination_gate),
         "dedup_order_lines": on_star(
             lambda star: presented(
-                star.lines("order_line_key", "product_key", "campaign_key", "net_recognized_amount")
+                star.ranked_lines("order_line_key", "product_key", "campaign_key", "net_recognized_amount")
             )
         ),
         "result_normalized": on_star(scoring.normalized_answers),
@@ -493,8 +506,58 @@ def _appended_runs(spark: SparkSession, root: str) -> DataFrame:
     return sinks.read_runs(spark, path)
 
 
+def _dates_as_text(spark: SparkSession, root: str) -> DataFrame:
+    """The calendar delivered as text in two parts, the second with a further column
+    and with rows whose key is no number: silver has the declared types."""
+    star, lake = RetailStar(spark, root), Medallion(spark, shared_dir(spark, "medallion"))
+    dates = star.dim_date()
+    text = dates.select(*(F.col(c).cast("string").alias(c) for c in dates.columns))
+    lake.land(text.where("date_key % 2 = 0"), "dim_date")
+    lake.build("dim_date")
+    text = text.where("date_key % 2 = 1")
+    bad = text.withColumn("date_key", F.concat(F.lit("day "), "date_key"))
+    days = _order_days(star).select(F.date_format("as_of", "yyyy-MM-dd").alias("label"), F.col("n_orders").cast("string"))
+    wider = text.unionByName(bad).join(days, F.col("date_label") == F.col("label"), "left").drop("label")
+    lake.land(wider, "dim_date")
+    return presented(lake.build("dim_date"))
+
+
+def _counted_in_stream(spark: SparkSession, root: str) -> DataFrame:
+    """Rows that broke an expectation, counted while they streamed by in more
+    batches than a query's progress history holds."""
+    star, lake = RetailStar(spark, root), Medallion(spark, shared_dir(spark, "medallion"))
+    history, most = "spark.sql.streaming.numRecentProgressUpdates", Medallion.MAX_BYTES
+    before = spark.conf.get(history)
+    spark.conf.set(history, "2")
+    try:
+        counts = {}
+        for name, rows in {
+            "fact_subscription_event": star.bronze_subscription_event(),
+            # An order without a price has no measure.
+            "fact_order_line": star.bronze_order_line().withColumn(
+                "net_recognized_amount", F.when(F.col("order_key") % 50 != 0, F.col("net_recognized_amount"))
+            ),
+        }.items():
+            lake.land(rows.repartition(4), name)
+            lake.MAX_BYTES = 1
+            lake.ingest(name)
+            lake.refine(name)
+            counts[name] = lake.broken(name)
+    finally:
+        lake.MAX_BYTES = most
+        spark.conf.set(history, before)
+    rows = [(table, of["n_rows"], rule, n) for table, of in counts.items() for rule, n in of.items() if rule != "n_rows"]
+    return spark.createDataFrame(rows, "table_name string, n_rows long, expectation string, n_dropped long")
+
+
 def ingest_queries() -> dict[str, Query]:
     return {
+        "stream_silver_products": _silver("dim_product", lambda star: star.dim_product(), "batch"),
+        "stream_silver_campaigns": _silver("dim_campaign", lambda star: star.dim_campaign(), "stateful"),
+        "stream_silver_members": _silver("dim_member", lambda star: star.dim_member(), "batch"),
+        "stream_silver_geos": _silver("dim_geo", lambda star: star.dim_geo(), "watermark"),
+        "stream_silver_dates": _dates_as_text,
+        "stream_expectation_counts": _counted_in_stream,
         "stream_silver_orders": _silver("fact_order", lambda star: star.fact_order(), "batch"),
         "stream_silver_subscriptions": _silver(
             "fact_subscription_event", lambda star: star.bronze_subscription_event(), "stateful"

@@ -9,25 +9,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiloom.session import shared_base
+from kpiloom.sources import files
 
 #: Bytes of source for each file written.
 FILE_BYTES = 128 << 20
 
 
-def _files(spark: SparkSession, path: str):
-    """Hadoop's path object and its file system."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def source_state(source: DataFrame, path: str) -> tuple[str, int]:
     """A digest of the table's files, and their bytes.
 
     Names and total size tell states apart, and for a table of a single file the
     time it was written as well. Nothing of the table is read.
     """
-    where, files = _files(source.sparkSession, path)
-    summary, status = files.getContentSummary(where), files.getFileStatus(where)
+    where, system = files.located(source.sparkSession, path)
+    summary, status = system.getContentSummary(where), system.getFileStatus(where)
     parts = [*sorted(source.inputFiles()), str(summary.getLength())]
     if status.isFile():
         parts.append(str(status.getModificationTime()))
@@ -46,13 +41,11 @@ def settled(source: DataFrame, path: str, name: str, build: Callable[[int], Data
     state, size = source_state(source, path)
     final = f"{shared_base(spark)}/settled/{name}-{state}"
     table = f"{final}/{name}.parquet"
-    done, files = _files(spark, f"{table}/_SUCCESS")
-    if not files.exists(done):
+    if not files.exists(spark, f"{table}/_SUCCESS"):
         own = f"{final}-{uuid.uuid4().hex}"
         parallel = spark.sparkContext.defaultParallelism
         build(max(parallel, -(-size // FILE_BYTES))).write.parquet(f"{own}/{name}.parquet")
         # Should another job have been faster, its table stays.
-        here, there = _files(spark, own)[0], _files(spark, final)[0]
-        if files.exists(there) or not files.rename(here, there):
-            files.delete(here, True)
+        if not files.move(spark, own, final):
+            files.remove(spark, own)
     return table

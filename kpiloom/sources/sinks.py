@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.session import shared_dir
 from kpiloom.sources.star import CLUSTER_KEYS, TABLE_KEYS
+from kpiloom.sources.versioned import VersionedTable
 
 RUN_BUCKETS = 16
 
@@ -33,49 +32,36 @@ def write_gold(frame: DataFrame, name: str, path: str) -> None:
     overwrite(clustered(frame, keys, TABLE_KEYS[name]) if keys else frame, path)
 
 
-def _bucketed(frame: DataFrame) -> DataFrame:
-    return frame.withColumn("run_bucket", F.pmod(F.crc32(F.encode("run_id", "UTF-8")), F.lit(RUN_BUCKETS)).cast("int"))
+def runs_table(spark: SparkSession, path: str) -> VersionedTable:
+    """A table of runs. They are spread over a fixed number of buckets, so any
+    number of them stays a small directory tree."""
+    return VersionedTable(spark, path, F.pmod(F.crc32(F.encode("run_id", "UTF-8")), F.lit(RUN_BUCKETS)))
 
 
 def append_runs(rows: DataFrame, path: str) -> None:
-    """Add rows of new runs to a run-bucketed table."""
-    _bucketed(rows).write.mode("append").partitionBy("run_bucket").parquet(path)
+    """Add rows of new runs to a table of runs."""
+    runs_table(rows.sparkSession, path).append(rows)
 
 
 def replace_runs(rows: DataFrame, path: str) -> None:
     """Replace the rows of every run in ``rows``, leaving other runs alone.
 
-    Running it twice gives the same table. Runs are spread over a fixed number
-    of partitions, so any number of them stays a small directory tree; only
-    partitions a replaced run lives in are rewritten. They are staged in a
-    table first, as a scan must not read what the same job overwrites.
+    Running it twice gives the same table. The rows are worked out once, only
+    buckets a replaced run lives in are rewritten, and readers see the table
+    before or after, whatever happens in between.
     """
-    spark = rows.sparkSession
-    staged = shared_dir(spark, "replace-runs")
-    fresh = _bucketed(rows)
-    if exists(spark, path):
-        stored = spark.read.parquet(path)
-        runs = fresh.select("run_id", "run_bucket").distinct()
-        touched = stored.join(runs.select("run_bucket").distinct(), "run_bucket", "left_semi")
-        kept = touched.join(runs.select("run_id"), "run_id", "left_anti")
-        fresh = kept.unionByName(fresh, allowMissingColumns=True)
-    fresh.write.mode("overwrite").parquet(staged)
-    # Rebalancing splits a partition that one run makes too large.
-    rewritten = spark.read.parquet(staged).hint("rebalance", "run_bucket")
-    writer = rewritten.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("run_bucket").parquet(path)
+
+    def settle(present: DataFrame, fresh: DataFrame) -> DataFrame:
+        kept = present.join(fresh.select("run_id").distinct(), "run_id", "left_anti")
+        return kept.unionByName(fresh, allowMissingColumns=True)
+
+    runs_table(rows.sparkSession, path).merge(rows, settle)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table has been written at ``path``."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
+    """Whether a table of runs has been written at ``path``."""
+    return runs_table(spark, path).exists()
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("run_bucket")
+    return runs_table(spark, path).read()

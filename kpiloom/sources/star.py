@@ -291,6 +291,10 @@ class RetailStar(Star):
         order = [own[c] for c in LINE_ORDER]
         return first_per_key(self.raw("lineitem").drop(*UNREAD), [own["order_line_key"]], *order)
 
+    def ranked_lines(self, *columns: str) -> DataFrame:
+        """One line per business key, ranked when asked for."""
+        return self._lines(self.settled_lines(), columns, None)
+
     def _laid_out(self, files: int) -> DataFrame:
         """Settled lines with a month in few files, sorted by day within each."""
         month = F.year("l_shipdate") * 12 + F.month("l_shipdate")

@@ -7,12 +7,14 @@ used up (``availableNow``), and resume from their checkpoint.
 
 Dedup has three forms, as a copy may arrive at any time:
 
-``batch``     Each micro-batch writes one row per key, chosen before the
-              shuffle in every task, and reads nothing written before. Readers
-              take the first of a key's rows over all batches, in one total
+``batch``     Each micro-batch is cut to one row per key, chosen before the
+              shuffle in every task, and merged into the key buckets it falls
+              into: of a key's old and new row the first counts, in one total
               order, so the result does not depend on how files fell into
-              batches. A key with very many copies loads no single task and
-              nothing is lost with an executor. The default.
+              batches. Neighbouring keys share a bucket, so a delivery of recent
+              keys rewrites few, and readers rank nothing. Rows, and how many
+              broke which expectation, are committed as one, and a retried
+              batch changes neither. The default.
 ``stateful``  Spark's streaming ``dropDuplicates``; every key stays in state,
               which therefore lives in RocksDB rather than on the heap.
 ``watermark`` The same with state bounded by a delay, for copies that only
@@ -21,18 +23,23 @@ Dedup has three forms, as a copy may arrive at any time:
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from kpiloom.operators.joins import first_per_key
 from kpiloom.sources.sinks import write_gold
 from kpiloom.sources.star import LINE_ORDER, PRODUCT_CLASSES, SUBSCRIPTION_EVENTS, TABLE_KEYS
+from kpiloom.sources.versioned import VersionedTable
 
 OBSERVED = "expectations"
+#: Buckets of a silver table, and how many neighbouring keys share one.
+BUCKETS, NEIGHBOURS = 32, 1 << 16
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -89,10 +96,17 @@ def meets(name: str) -> Column:
     return result
 
 
+def _checked(frame: DataFrame, name: str, observation: Observation | str) -> DataFrame:
+    """Rows of silver's types that meet all expectations; the others are counted."""
+    typed = normalized_types(frame, name)
+    broken = [F.count_if(~e.holds).alias(e.name) for e in EXPECTATIONS[name]]
+    return typed.observe(observation, F.count(F.lit(1)).alias("n_rows"), *broken).where(meets(name))
+
+
 def one_per_key(frame: DataFrame, name: str) -> DataFrame:
     """The first copy of each business key, in an order of the rows' own values."""
     first = [c for c in LINE_ORDER if name == "fact_order_line"]
-    order = dict.fromkeys((*first, *(c for c in frame.columns if not c.startswith("_") and c != "batch")))
+    order = dict.fromkeys((*first, *(c for c in frame.columns if not c.startswith("_"))))
     return first_per_key(frame, [TABLE_KEYS[name]], *order, "_ingest_ts")
 
 
@@ -110,12 +124,39 @@ def quality_report(frame: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _observed(query: StreamingQuery) -> dict[str, int]:
-    """The observed counts, summed over the query's micro-batches."""
+class _Counts(StreamingQueryListener):
+    """The counts observed in each micro-batch of one query, however many it has."""
+
+    def __init__(self):
+        self.batches: dict[int, dict[str, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(OBSERVED)
+        if row is not None:
+            # A batch that is tried again replaces its own counts.
+            self.batches[event.progress.batchId] = row.asDict()
+
+    def settled(self, query: StreamingQuery, patience: float = 10.0) -> dict[str, int]:
+        """The sums, once the last batch's progress has come in."""
+        last, end = query.lastProgress, time.monotonic() + patience
+        while last and last.observedMetrics.get(OBSERVED) and last.batchId not in self.batches and time.monotonic() < end:
+            time.sleep(0.05)
+        return summed(self.batches.values())
+
+
+def summed(batches: Iterable[dict[str, int]]) -> dict[str, int]:
     totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get(OBSERVED)
-        for name, count in (row.asDict() if row else {}).items():
+    for counts in batches:
+        for name, count in counts.items():
             totals[name] = totals.get(name, 0) + count
     return totals
 
@@ -167,38 +208,44 @@ class Medallion:
         Returns how many rows came in and how many broke each expectation,
         counted while they streamed by.
         """
-        schema = self.table("bronze", name).schema
-        typed = normalized_types(self._stream("bronze", name, schema), name)
-        broken = [F.count_if(~e.holds).alias(e.name) for e in EXPECTATIONS[name]]
-        watched = typed.observe(OBSERVED, F.count(F.lit(1)).alias("n_rows"), *broken)
-        stream, key = watched.where(meets(name)), TABLE_KEYS[name]
+        stream, key = self._stream("bronze", name, self.table("bronze", name).schema), TABLE_KEYS[name]
         if dedup == "batch":
-            query = self._refine_by_batch(stream, name)
-        elif dedup == "stateful":
-            query = self._with_rocksdb(stream.dropDuplicates([key]), name)
-        elif dedup == "watermark":
-            bounded = stream.withWatermark("_ingest_ts", within)
-            query = self._with_rocksdb(bounded.dropDuplicatesWithinWatermark([key]), name)
-        else:
-            raise ValueError(f"no such dedup: {dedup}")
-        return _observed(query)
-
-    def _with_rocksdb(self, stream: DataFrame, name: str) -> StreamingQuery:
-        provider = "spark.sql.streaming.stateStore.providerClass"
+            return self._refine_by_batch(stream, name)
+        checked = _checked(stream, name, OBSERVED)
+        if dedup == "stateful":
+            return self._with_rocksdb(checked.dropDuplicates([key]), name)
+        if dedup == "watermark":
+            bounded = checked.withWatermark("_ingest_ts", within)
+            return self._with_rocksdb(bounded.dropDuplicatesWithinWatermark([key]), name)
+        raise ValueError(f"no such dedup: {dedup}")
+
+    def _with_rocksdb(self, stream: DataFrame, name: str) -> dict[str, int]:
+        provider, counts = "spark.sql.streaming.stateStore.providerClass", _Counts()
         before = self.spark.conf.get(provider)
         self.spark.conf.set(provider, ROCKSDB)
+        self.spark.streams.addListener(counts)
         try:
-            return self._run(stream, "silver", name)
+            return counts.settled(self._run(stream, "silver", name))
         finally:
+            self.spark.streams.removeListener(counts)
             self.spark.conf.set(provider, before)
 
-    def _refine_by_batch(self, stream: DataFrame, name: str) -> StreamingQuery:
-        target = self.path("silver", name)
+    def silver(self, name: str) -> VersionedTable:
+        """The silver table that batches are merged into."""
+        run = F.floor(F.col(TABLE_KEYS[name]) / NEIGHBOURS)
+        return VersionedTable(self.spark, self.path("silver", name), F.pmod(F.xxhash64(run), F.lit(BUCKETS)))
+
+    def _refine_by_batch(self, stream: DataFrame, name: str) -> dict[str, int]:
+        target = self.silver(name)
+        before = set(target.manifest().batches)
+
+        def settle(present: DataFrame, fresh: DataFrame) -> DataFrame:
+            return one_per_key(present.unionByName(fresh, allowMissingColumns=True), name)
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            # Overwriting makes a retried batch harmless; reading settles keys
-            # that several batches brought.
-            one_per_key(batch, name).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+            seen = Observation()
+            rows = one_per_key(_checked(batch, name, seen), name)
+            target.merge(rows, settle, str(batch_id), lambda: seen.get)
 
         query = (
             stream.writeStream.foreachBatch(write)
@@ -207,11 +254,16 @@ class Medallion:
             .start()
         )
         query.awaitTermination()
-        return query
+        return summed(counts for batch, counts in target.manifest().batches.items() if batch not in before)
+
+    def broken(self, name: str) -> dict[str, int]:
+        """Rows that came into a silver table merged by batches, and how many of
+        them broke each expectation, over all its runs."""
+        return summed(self.silver(name).manifest().batches.values())
 
     def publish(self, name: str) -> None:
         """Silver to gold, as a clustered snapshot."""
-        silver = self.table("silver", name).drop("_ingest_ts", "batch")
+        silver = self.table("silver", name).drop("_ingest_ts")
         write_gold(silver, name, self.path("gold", name))
 
     def build(self, name: str, dedup: str = "batch") -> DataFrame:
@@ -222,7 +274,7 @@ class Medallion:
         return self.table("gold", name)
 
     def table(self, layer: str, name: str) -> DataFrame:
-        """A layer's table. A batch leaves in silver one row for each key that it
-        brought; which of those counts is decided here, over all batches."""
-        frame = self.spark.read.option("mergeSchema", "true").parquet(self.path(layer, name))
-        return one_per_key(frame, name) if layer == "silver" and "batch" in frame.columns else frame
+        """A layer's table; in silver, one row per key."""
+        if layer == "silver" and (table := self.silver(name)).exists():
+            return table.read()
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path(layer, name))

@@ -285,6 +285,15 @@ ORACLE = {
                     ELSE CAST(CASE WHEN s.message_id IS NULL THEN a.correct ELSE s.correct END AS INTEGER) END
                    AS first_pass
         FROM answers a LEFT JOIN (SELECT *, {FAILURE} AS failure FROM scores) s ON a.message_id = s.message_id"""),
+    "update_scores_in_place": sql(f"""
+        SELECT a.message_id, a.run_id, a.tier, a.question_id, a.attempt,
+               CASE WHEN s.message_id IS NULL THEN CAST(a.correct AS DOUBLE) ELSE s.answer_score END AS answer_score,
+               CASE WHEN s.message_id IS NULL THEN a.correct ELSE s.correct END AS correct,
+               coalesce(s.failure, '') AS failure_type,
+               CASE WHEN a.attempt > 0 THEN -1
+                    ELSE CAST(CASE WHEN s.message_id IS NULL THEN a.correct ELSE s.correct END AS INTEGER) END
+                   AS first_pass
+        FROM answers a LEFT JOIN (SELECT *, {FAILURE} AS failure FROM scores) s ON a.message_id = s.message_id"""),
     "tier_accuracy": sql("""
         SELECT tier, count(*) AS n_answers, count(*) FILTER (WHERE correct) AS n_correct,
                CAST(count(*) FILTER (WHERE correct) AS DOUBLE) / count(*) AS accuracy FROM scores GROUP BY tier"""),

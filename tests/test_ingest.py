@@ -3,8 +3,10 @@ from pyspark.sql import functions as F
 
 from kpiloom.plans import kpis
 from kpiloom.catalog import SETTINGS
-from kpiloom.sources.sinks import write_gold
+from kpiloom.sources import files
+from kpiloom.sources.sinks import append_runs, read_runs, replace_runs, runs_table, write_gold
 from kpiloom.sources.star import TABLE_KEYS, GoldStar, RetailStar
+from kpiloom.sources.versioned import VersionedTable
 from kpiloom.streaming.medallion import Medallion, quality_report
 
 SCHEMA = "subscription_event_key long, member_key long, event_type string"
@@ -99,7 +101,7 @@ def test_one_hot_day_spreads_over_files(spark, tmp_path, many_partitions):
     assert files > 1
 
 
-def test_silver_does_not_depend_on_how_files_fall_into_batches(spark, tmp_path, monkeypatch):
+def test_silver_does_not_depend_on_how_files_fall_into_batches(spark, tmp_path, monkeypatch, plan):
     star = RetailStar(spark, "/root/testdata/sf0.001")
     lines = star.bronze_order_line().repartition(3)
     results = []
@@ -108,9 +110,110 @@ def test_silver_does_not_depend_on_how_files_fall_into_batches(spark, tmp_path,
         lake = Medallion(spark, str(tmp_path / f"lake-{limit}"))
         lake.land(lines, "fact_order_line")
         gold = lake.build("fact_order_line")
-        results.append(sorted(map(tuple, gold.drop("_ingest_ts", "batch").collect())))
+        results.append(sorted(map(tuple, gold.collect())))
+        assert lake.broken("fact_order_line")["n_rows"] == lines.count()
     assert results[0] == results[1]
-    batches = spark.read.parquet(lake.path("silver", "fact_order_line")).select("batch").distinct().count()
-    assert batches > 1
+    assert len(lake.silver("fact_order_line").manifest().batches) > 1
+    assert "Window" not in plan(lake.table("silver", "fact_order_line"))
     got = spark.createDataFrame(results[0], gold.schema).groupBy().sum("net_recognized_amount").first()[0]
     assert float(got) == pytest.approx(float(star.lines("net_recognized_amount").groupBy().sum().first()[0]))
+
+
+@pytest.mark.parametrize("dedup", ["batch", "stateful"])
+def test_counts_are_whole_with_a_short_progress_history(spark, lake, monkeypatch, dedup):
+    """More batches than the query remembers, over two runs."""
+    monkeypatch.setattr(Medallion, "MAX_BYTES", 1)
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "2")
+    try:
+        counts = []
+        for run in range(2):
+            rows = [(100 * run + i, i, "RENEW" if i % 3 else "CLICK") for i in range(30)]
+            lake.land(spark.createDataFrame(rows, SCHEMA).withColumn("event_date_key", F.lit(9)).repartition(6), NAME)
+            lake.ingest(NAME)
+            counts.append(lake.refine(NAME, dedup))
+    finally:
+        spark.conf.unset(key)
+    assert counts == [{"n_rows": 30, "valid_subscription_event_key": 0, "known_event_type": 10}] * 2
+    if dedup == "batch":
+        assert lake.broken(NAME) == {"n_rows": 60, "valid_subscription_event_key": 0, "known_event_type": 20}
+    assert lake.table("silver", NAME).count() == 40
+
+
+def test_a_retried_batch_changes_neither_rows_nor_counts(spark, lake):
+    """The stream's own note of the batch is lost after silver has taken it."""
+    lake.land(events(spark, [(1, 1, "RENEW"), (2, 1, "CLICK"), (3, 1, "CANCEL")]), NAME)
+    lake.ingest(NAME)
+    first = lake.refine(NAME)
+    before = sorted(map(tuple, lake.table("silver", NAME).collect())), lake.broken(NAME)
+    commits = lake.path("checkpoints", f"silver-{NAME}") + "/commits"
+    for name in files.names(spark, commits):
+        files.remove(spark, f"{commits}/{name}")
+    assert first["n_rows"] == 3 and lake.refine(NAME) == {}
+    assert (sorted(map(tuple, lake.table("silver", NAME).collect())), lake.broken(NAME)) == before
+
+
+def test_a_batch_rewrites_only_the_buckets_it_falls_into(spark, lake, monkeypatch):
+    monkeypatch.setattr("kpiloom.streaming.medallion.NEIGHBOURS", 10)
+    lake.land(events(spark, [(i, 1, "RENEW") for i in range(400)]), NAME)
+    lake.build(NAME)
+    before = lake.silver(NAME).manifest().buckets
+    lake.land(events(spark, [(5, 0, "CANCEL"), (401, 1, "RENEW")]), NAME)
+    lake.build(NAME)
+    after = lake.silver(NAME).manifest().buckets
+    assert len(before) > 10 and 1 <= sum(before[b] != after[b] for b in before) <= 2
+    rows = {r.subscription_event_key: r.member_key for r in lake.table("silver", NAME).collect()}
+    assert len(rows) == 401 and rows[5] == 0
+
+
+def runs(spark, values):
+    return spark.createDataFrame([(r, v) for r, v in values], "run_id string, v long")
+
+
+def test_a_job_killed_before_its_commit_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "runs")
+    replace_runs(runs(spark, [(f"r{i}", i) for i in range(20)]), path)
+    old = sorted(map(tuple, read_runs(spark, path).collect()))
+
+    def killed(self, manifest):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(VersionedTable, "_commit", killed)
+        for change in (replace_runs, append_runs):
+            with pytest.raises(KeyboardInterrupt):
+                change(runs(spark, [("r3", 99), ("r99", 1)]), path)
+            assert sorted(map(tuple, read_runs(spark, path).collect())) == old
+    replace_runs(runs(spark, [("r3", 99), ("r99", 1)]), path)
+    now = sorted(map(tuple, read_runs(spark, path).collect()))
+    assert now == sorted([*((r, v) for r, v in old if r != "r3"), ("r3", 99), ("r99", 1)])
+    table = runs_table(spark, path)
+    table.tidy()
+    assert sorted(map(tuple, read_runs(spark, path).collect())) == now
+    left = {n for n in files.names(spark, path) if n.startswith("generation-")}
+    assert left == table.manifest().generations
+
+
+def test_replaced_rows_are_worked_out_once(spark, tmp_path):
+    path, counted = str(tmp_path / "runs"), spark.sparkContext.accumulator(0)
+    replace_runs(runs(spark, [("a", 1), ("b", 2)]), path)
+
+    def counting(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    replace_runs(runs(spark, [("a", 5), ("c", 6)]).mapInArrow(counting, "run_id string, v long"), path)
+    assert counted.value == 2
+    assert sorted(map(tuple, read_runs(spark, path).collect())) == [("a", 5), ("b", 2), ("c", 6)]
+
+
+def test_a_late_writer_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    append_runs(runs(spark, [("a", 1)]), path)
+    table = runs_table(spark, path)
+    late = table.manifest()
+    append_runs(runs(spark, [("b", 2)]), path)
+    with pytest.raises(RuntimeError, match="meanwhile"):
+        table._commit(late)
+    assert read_runs(spark, path).count() == 2
