@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import let, stored
+from kpiloom.llm.common import SMALL, let, stored
 
 #: Tables of a sketch, cells of each in a fingerprint, and their growth on failure.
 TABLES, CELLS, GROWTH = 3, 8, 8
@@ -93,23 +93,25 @@ def as_text(cells: Column) -> Column:
     return F.array_join(F.transform(cells, one), ",")
 
 
-def _subtracted(pairs: DataFrame, level: int, cells: int) -> DataFrame:
-    """The cells, without empty ones, of each pair's left sketch less its right
-    one: a sketch of what they don't share is the difference of their sketches."""
+def _subtracted(versions: DataFrame, own: str, others: list[str], level: int, cells: int) -> DataFrame:
+    """The cells, without empty ones, of each row's own sketch less that of each
+    other version in ``ks``: a sketch of what two don't share is the difference of
+    their sketches."""
 
     def signed(side: str, n: int) -> Column:
         return F.transform(side, lambda d: F.struct(d.alias("d"), F.lit(n).cast("long").alias("n")))
 
-    both = F.concat(signed("left", 1), signed("right", -1))
-    rows = pairs.select("pair", F.explode(both).alias("x")).select("pair", "x.d", "x.n")
+    pairs = versions.select("key", "ks", signed(own, 1).alias("left"), F.array(*[signed(o, -1) for o in others]).alias("others"))
+    pairs = pairs.select("key", "left", "others", F.explode("ks").alias("k"))
+    rows = pairs.select("key", "k", F.explode(F.concat("left", F.get("others", F.col("k")))).alias("x")).select("key", "k", "x.d", "x.n")
     rows = rows.withColumn("table", F.explode(F.array(*map(F.lit, range(TABLES)))))
-    rows = rows.select("pair", _place(F.col("d"), F.col("table"), level, cells).alias("cell"), "n", "d", _check(F.col("d")).alias("c"))
-    found = rows.groupBy("pair", "cell").agg(F.sum("n").alias("n"), F.bit_xor("d").alias("d"), F.bit_xor("c").alias("c"))
+    rows = rows.select("key", "k", _place(F.col("d"), F.col("table"), level, cells).alias("cell"), "n", "d", _check(F.col("d")).alias("c"))
+    found = rows.groupBy("key", "k", "cell").agg(F.sum("n").alias("n"), F.bit_xor("d").alias("d"), F.bit_xor("c").alias("c"))
     return found.where("n != 0 or d != 0 or c != 0")
 
 
 def _peeled(cells: DataFrame, level: int, size: int) -> DataFrame:
-    """(pair, cell, digest, n): recovered digests, with a negative cell and n of 1
+    """(key, k, cell, digest, n): recovered digests, with a negative cell and n of 1
     where only the left side has it and -1 where only the right has, and the cells
     that remain.
 
@@ -127,33 +129,38 @@ def _peeled(cells: DataFrame, level: int, size: int) -> DataFrame:
         zero, none = F.lit(0).cast("long"), F.lit(None)
         taken = [row(_place(F.col("d"), t, level, size), -F.col("n"), none) for t in range(TABLES) if t != table]
         out = F.when(single, F.array(row(F.lit(-1), F.col("n"), F.col("d"), zero, zero), *taken)).otherwise(F.array(row(F.col("cell"), F.col("n"), F.col("digest"))))
-        rows = rows.select("pair", F.explode(out).alias("r")).select("pair", "r.*")
-        rows = rows.groupBy("pair", "cell", "digest").agg(F.sum("n").alias("n"), F.bit_xor("d").alias("d"), F.bit_xor("c").alias("c"))
+        rows = rows.select("key", "k", F.explode(out).alias("r")).select("key", "k", "r.*")
+        rows = rows.groupBy("key", "k", "cell", "digest").agg(F.sum("n").alias("n"), F.bit_xor("d").alias("d"), F.bit_xor("c").alias("c"))
         rows = rows.where("n != 0 or d != 0 or c != 0")
     return rows
 
 
-def differences(pairs: DataFrame, named: bool = False) -> DataFrame:
-    """(pair, n_left, n_right) of the digests that only one side has, for pairs
-    that differ; with ``named`` the digests as only_left and only_right too.
-    ``pairs`` has pair, a long, and left and right, arrays of different digests."""
-    level, size, done, todo = 0, CELLS, None, pairs.select("pair", "left", "right")
+def differences(versions: DataFrame, own: str, others: list[str], named: bool = False) -> DataFrame:
+    """(key, k, n_left, n_right): how many digests only the own version has and
+    only the other one, ``others[k]``, for those that differ; with ``named`` the
+    digests as only_left and only_right too. ``versions`` has key, a long that
+    tells rows apart, and arrays of different digests."""
+    versions = versions.select("key", own, *others)
+    todo = versions.withColumn("ks", F.array(*map(F.lit, range(len(others))))).repartition("key")
+    level, size, done = 0, CELLS, None
     while True:
-        cells = _subtracted(todo.repartition("pair"), level, size)
-        rows = _peeled(cells, level, size)
+        rows = _peeled(_subtracted(todo, own, others, level, size), level, size)
         found = F.col("cell") < 0
         only = {"left": found & (F.col("n") > 0), "right": found & (F.col("n") < 0)}
         columns = [F.count_if(of).alias(f"n_{side}") for side, of in only.items()]
         if named:
             columns += [F.sort_array(F.collect_list(F.when(of, F.col("digest")))).alias(f"only_{side}") for side, of in only.items()]
-        result = stored(rows.groupBy("pair").agg(F.count_if(~found).alias("remaining"), *columns), "differences")
+        result = stored(rows.groupBy("key", "k").agg(F.count_if(~found).alias("remaining"), *columns), "differences")
         ended = result.where("remaining = 0").drop("remaining")
         done = ended if done is None else done.unionByName(ended)
-        failed = result.where("remaining > 0").select("pair")
-        if failed.isEmpty():
+        failed = stored(result.where("remaining > 0").groupBy("key").agg(F.collect_list("k").alias("ks")), "failed")
+        count = failed.count()
+        if not count:
             return done
+        # Few rows are picked out before they are moved; else all are, once.
+        few = count * 16 * (1 + len(others)) <= SMALL
+        todo = versions.join(F.broadcast(failed), "key").repartition("key") if few else versions.repartition("key").join(failed, "key")
         level, size = level + 1, size * GROWTH
-        todo = todo.join(failed, "pair", "left_semi")
 
 
 def likeness(left: Column, right: Column, differing: Column) -> Column:
@@ -211,11 +218,9 @@ def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *[digests(F.col(c)).alias(v) for v, c in versions.items()])
     rows = stored(rows.withColumn("key", F.monotonically_increasing_id()), "versions")
 
-    sides = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(v).alias("right")) for k, v in enumerate(("edit", "following"))]))
-    pairs = rows.select("key", F.col("own").alias("left"), sides.alias("s")).select((2 * F.col("key") + F.col("s.k")).alias("pair"), "left", "s.right")
+    found = differences(rows, "own", ["edit", "following"])
     differing = F.col("n_left") + F.col("n_right")
-    found = differences(pairs).select(F.expr("pair div 2").alias("key"), (F.col("pair") % 2).alias("k"), differing.alias("n"))
-    found = found.groupBy("key").agg(*[F.max(F.when(F.col("k") == k, F.col("n"))).alias(name) for k, name in enumerate(("n_edited", "n_next"))])
+    found = found.groupBy("key").agg(*[F.max(F.when(F.col("k") == k, differing)).alias(name) for k, name in enumerate(("n_edited", "n_next"))])
     joined = rows.join(found, "key", "left")
     near = lambda other, n: likeness(F.size("own"), F.size(other), F.coalesce(n, F.lit(0)))
     return joined.select(

@@ -97,17 +97,21 @@ def test_subtracted_fingerprints_give_the_differing_paragraphs(spark):
     assert not any(map(any, left)) and only == {1: d1 - d2, -1: d2 - d1}
 
 
-def test_failures_are_tried_again_until_all_digests_are_known(spark, many_partitions):
+@pytest.mark.parametrize("small", [0, 1 << 20])
+def test_failures_are_tried_again_until_all_digests_are_known(spark, many_partitions, monkeypatch, small):
+    monkeypatch.setattr(fingerprints, "SMALL", small)
     rng = random.Random(1)
     rows, want = [], {}
-    for pair in range(40):
+    for key in range(40):
         both = rng.sample(range(10**9), rng.randint(0, 50))
-        left, right = (rng.sample(range(10**9, 2 * 10**9), rng.choice([0, 1, 3, 20, 200, 1500])) for _ in range(2))
-        rows.append((pair, both + left, right + both))
+        left, right, last = (rng.sample(range(10**9, 2 * 10**9), rng.choice([0, 1, 3, 20, 200, 1500])) for _ in range(3))
+        rows.append((key, both + left, right + both, last))
         if left or right:
-            want[pair] = sorted(left), sorted(right)
-    frame = spark.createDataFrame(rows, "pair long, left array<long>, right array<long>")
-    got = {r.pair: (r.only_left, r.only_right) for r in differences(frame, named=True).collect()}
+            want[key, 0] = sorted(left), sorted(right)
+        if both + left != last:
+            want[key, 1] = sorted(both + left), sorted(last)
+    frame = spark.createDataFrame(rows, "key long, own array<long>, a array<long>, b array<long>")
+    got = {(r.key, r.k): (r.only_left, r.only_right) for r in differences(frame, "own", ["a", "b"], named=True).collect()}
     assert got == want
 
 
