@@ -16,8 +16,9 @@ from kpiloom.functions.snippets import Question
 from kpiloom.functions.table_functions import KpiSettings
 from kpiloom.functions.text_rules import parsed_messages
 from kpiloom.operators.aggregates import money_sum
-from kpiloom.plans import calendar_load, costs, kpis, measure_sql, metric_views, rollups, scoring, wide
+from kpiloom.plans import calendar_load, costs, kpis, measure_sql, metric_views, rollups, scoring, stored_rollups, wide
 from kpiloom.plans.costs import Span
+from kpiloom.plans.stored_rollups import Rollup
 from kpiloom.plans.semantic import Measure, MetricView, WindowOver, relationship_report
 from kpiloom.session import shared_dir
 from kpiloom.sources import answers as logs
@@ -410,6 +411,8 @@ def cost_queries() -> dict[str, Query]:
     return {
         "bill_window": _on_logs(costs.bill_windows),
         "billing_by_sp": _on_billing(costs.billing_by_principal, WINDOW),
+        "billing_by_some_sp": _on_billing(costs.billing_by_principal, WINDOW, ["sp_1", "sp_3", "sp_4"]),
+        "bill_window_fallback": _on_logs(_windows_with_fallback),
         "warehouse_billing": _on_billing(costs.warehouse_billing, WINDOW, WAREHOUSES),
         "hourly_rate": _on_billing(costs.hourly_rate, "Medium", datetime(2024, 1, 10), WAREHOUSES),
         "hourly_rate_fallback": _on_billing(costs.hourly_rate, "Large", datetime(2030, 1, 1), WAREHOUSES),
@@ -550,8 +553,49 @@ def _counted_in_stream(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, n_rows long, expectation string, n_dropped long")
 
 
+def _windows_with_fallback(answered: DataFrame) -> DataFrame:
+    """Bill windows where runs whose number ends in 5 kept no times."""
+    timed = ~F.col("run_id").endswith("5")
+    kept = answered.withColumns({c: F.when(timed, F.col(c)) for c in ("started_at", "finished_at")})
+    return costs.bill_windows(kept, datetime(2024, 1, 25, 10, 20))
+
+
+def _stored_sales(*keys: str) -> Query:
+    """Sales stored by region, class and fiscal month, answered by some of these."""
+    stored_by = ("region_name", "product_class", "fiscal_year", "fiscal_month")
+
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        star = RetailStar(spark, root)
+        lines = star.fulfilled("geo_key", "product_key", "recognition_date_key", "member_key", "order_key", kpis.NET)
+        days = F.broadcast(star.dim_date().select("date_key", "fiscal_year", "fiscal_month"))
+        facts = lines.join(days, F.col("recognition_date_key") == F.col("date_key"), "left")
+        facts = facts.join(star.dim_geo().select("geo_key", "region_name"), "geo_key", "left")
+        facts = facts.join(star.dim_product().select("product_key", "product_class"), "product_key", "left")
+        rollup = Rollup(shared_dir(spark, "sales-rollup"), stored_by, (kpis.NET,), ("member_key", "order_key"))
+        rollup.write(facts)
+        return presented(rollup.read(spark, keys))
+
+    return run
+
+
+def _stored_latencies(spark: SparkSession, root: str) -> DataFrame:
+    """Median and 95th percentile per tier from sketches stored per run and tier,
+    and whether their exact ranks are within the sketches' error."""
+    answered, path = logs.answers(RetailStar(spark, root)), shared_dir(spark, "latency-sketches")
+    fractions = {"p50": 0.5, "p95": 0.95}
+    stored_rollups.write_latencies(answered, path)
+    estimates = stored_rollups.latency_percentiles(spark.read.parquet(path), ["tier"], fractions).drop("n_questions")
+    questions = answered.groupBy(*scoring.ANSWER_KEY).agg(F.max("latency_ms").alias("latency_ms"))
+    questions = questions.where(F.col("latency_ms").isNotNull())
+    return stored_rollups.within_rank(estimates, questions, ["tier"], fractions)
+
+
 def ingest_queries() -> dict[str, Query]:
     return {
+        "rollup_sales_by_region": _stored_sales("region_name"),
+        "rollup_sales_by_class_and_year": _stored_sales("product_class", "fiscal_year"),
+        "rollup_sales_total": _stored_sales(),
+        "rollup_latency_percentiles": _stored_latencies,
         "stream_silver_products": _silver("dim_product", lambda star: star.dim_product(), "batch"),
         "stream_silver_campaigns": _silver("dim_campaign", lambda star: star.dim_campaign(), "stateful"),
         "stream_silver_members": _silver("dim_member", lambda star: star.dim_member(), "batch"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +14,10 @@ from kpiloom.sources.answers import AGENT_PRODUCT, QUESTION_ACTIONS
 from kpiloom.sources.sinks import replace_runs
 
 
+#: The window of a run without times ends at the day it is asked for.
+FALLBACK_WINDOW = timedelta(days=7)
+
+
 @dataclass(frozen=True)
 class Span:
     """A half-open span of time."""
@@ -49,12 +53,19 @@ def inside(column: str, span: Span) -> Column:
     return (F.col(column) >= _literal(span.start)) & (F.col(column) < _literal(span.end))
 
 
-def bill_windows(answers: DataFrame) -> DataFrame:
-    """Per run: the asking span padded by 5 minutes, and its whole hours."""
+def bill_windows(answers: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """Per run: the asking span padded by 5 minutes, and its whole hours.
+
+    A run without times has no window, or with ``as_of`` the week before it."""
     pad = F.expr("INTERVAL 5 MINUTES")
     asked = answers.groupBy("run_id").agg(
         (F.min("started_at") - pad).alias("start_ts"), (F.max("finished_at") + pad).alias("end_ts")
     )
+    if as_of is not None:
+        # Both or neither: half a window says nothing about the other half.
+        timed = F.col("start_ts").isNotNull() & F.col("end_ts").isNotNull()
+        week = {"start_ts": _literal(as_of - FALLBACK_WINDOW), "end_ts": _literal(as_of)}
+        asked = asked.select("run_id", *(F.when(timed, F.col(c)).otherwise(v).alias(c) for c, v in week.items()))
     return asked.withColumns(
         {"bill_start": hour_floor(F.col("start_ts")), "bill_end": hour_ceil(F.col("end_ts"))}
     )
@@ -74,9 +85,13 @@ def _priced(usage: DataFrame, prices: DataFrame, keys: dict[str, Column]) -> Dat
     )
 
 
-def billing_by_principal(usage: DataFrame, prices: DataFrame, span: Span) -> DataFrame:
-    """Agent spend per day, principal, surface and SKU."""
+def billing_by_principal(
+    usage: DataFrame, prices: DataFrame, span: Span, principals: list[str] | None = None
+) -> DataFrame:
+    """Agent spend per day, principal, surface and SKU, of all or of some principals."""
     used = usage.where((F.col("billing_origin_product") == AGENT_PRODUCT) & overlaps(span))
+    if principals is not None:
+        used = used.where(F.col("identity_metadata.run_as").isin(*principals))
     keys = {
         "usage_date": F.col("usage_date"),
         "run_as_sp": F.col("identity_metadata.run_as"),
@@ -130,7 +145,8 @@ def hourly_rate(
     folded = used.groupBy("cloud", "sku_name", "usage_start_time").agg(F.count(F.lit(1)).alias("n"))
     price = with_valid_price(folded, prices).agg(
         (as_double(F.sum(F.col("unit_price") * F.col("n"))) / as_double(F.sum("n"))).alias("unit_price"),
-        F.any_value(F.col("sku_name").isNotNull()).alias("billed"),
+        # Any of them will do, and the least is the same on every run.
+        F.min("sku_name").alias("sku_name"),
     )
     units = UNITS_PER_HOUR.get(size, UNITS_PER_HOUR["Medium"])
     usd = F.coalesce("unit_price", F.lit(FALLBACK_UNIT_PRICE))
@@ -139,7 +155,8 @@ def hourly_rate(
         F.lit(units).cast("bigint").alias("units_per_hour"),
         F.round(usd, 8).alias("usd_per_unit"),
         F.round(usd * units, 6).alias("hourly_usd"),
-        F.coalesce("billed", F.lit(False)).alias("from_list_prices"),
+        F.col("sku_name").isNotNull().alias("from_list_prices"),
+        "sku_name",
     )
 
 

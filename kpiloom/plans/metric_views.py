@@ -58,12 +58,31 @@ SYNONYMS = {
 }
 
 
+#: What a reader should know before using a name.
+COMMENTS = {
+    "Fiscal Year": "4-4-5 fiscal year, not the calendar's",
+    "Fiscal Month": "4-4-5 fiscal month from 1 to 12, not the calendar's",
+    "Fiscal Quarter": "4-4-5 fiscal quarter from 1 to 4, not the calendar's",
+    "Fiscal Month Start": "First day of the calendar month, which window measures move by",
+    "Calendar Date": "The day revenue was recognized, or the event happened",
+    "Is Last Fiscal Month": "The fiscal month before the one of the day asked for",
+    "Is Last Fiscal Quarter": "The fiscal quarter before the one of the day asked for",
+    "Is Current FYTD": "From the fiscal year's first day to the end of the current fiscal month",
+    "Recognized Revenue": "Net of discounts, of fulfilled lines only",
+    "Distinct Members": "Members counted once per group; not to be added up over groups",
+    "Churn Rate": "Members who cancelled among those with any event",
+    "Current Month Revenue": "Of the group's last calendar month",
+    "Prior Month Revenue": "Of the calendar month before the group's last",
+    "FYTD Window Revenue": "Summed up within each fiscal year to the group's last day",
+}
+
+
 def _dim(name: str, expr: str, span: Bounds | None = None) -> Dimension:
-    return Dimension(name, expr, SYNONYMS.get(name, ()), span)
+    return Dimension(name, expr, SYNONYMS.get(name, ()), span, name, COMMENTS.get(name))
 
 
 def _measure(name: str, kind: str, expr: str = "", where: str | None = None, format: str | None = None, window=()):
-    return Measure(name, kind, expr, where, SYNONYMS.get(name, ()), format, window)
+    return Measure(name, kind, expr, where, SYNONYMS.get(name, ()), format, window, name, COMMENTS.get(name))
 
 
 def _spans(star: Star, as_of: date, settings: KpiSettings) -> dict[str, Bounds | None]:

@@ -10,7 +10,8 @@ cannot know:
   more than once per map task.
 * A relative-period flag is a span of days. Used as a filter it becomes date
   bounds the source pushes into its scan, and needs no join at all.
-* Distinct counts fold to one row per (dimensions, member) first.
+* Distinct counts fold to one row per (dimensions, member) first, each counted
+  column on its own.
 * Window measures aggregate to the window's grain before the window runs, so
   a window partition holds calendar periods, never fact rows. A distinct count
   that accumulates counts a member in the period where it is first seen.
@@ -43,6 +44,8 @@ class Dimension:
     synonyms: tuple[str, ...] = ()
     #: The days a boolean flag stands for, when it is a span of days.
     span: Bounds | None = None
+    display_name: str | None = None
+    comment: str | None = None
 
     @property
     def column(self) -> str:
@@ -73,6 +76,8 @@ class Measure:
     synonyms: tuple[str, ...] = ()
     format: str | None = None
     window: tuple[WindowOver, ...] = ()
+    display_name: str | None = None
+    comment: str | None = None
 
     @property
     def column(self) -> str:
@@ -134,6 +139,17 @@ class MetricView:
     def measure(self, name: str) -> Measure:
         return self._find("measure", name)
 
+    def described(self) -> list[dict[str, str | None]]:
+        """Every dimension and measure with its names, synonyms, format and comment."""
+        return [
+            {
+                "kind": kind, "name": i.name, "display_name": i.display_name or i.name, "comment": i.comment,
+                "format": getattr(i, "format", None), "synonyms": ", ".join(i.synonyms),
+            }
+            for kind, items in (("dimension", self.dimensions), ("measure", self.measures))
+            for i in items
+        ]
+
     def extended(self, dimensions: Iterable[Dimension] = (), measures: Iterable[Measure] = ()) -> MetricView:
         """The view with further expressions attached."""
         return replace(
@@ -249,10 +265,7 @@ class MetricView:
             if measure.kind == "composed":
                 formula = re.sub(r"MEASURE\(`([^`]+)`\)", lambda m: self.measure(m[1]).column, measure.expr)
                 frame = frame.withColumn(measure.column, F.expr(formula))
-        frame = frame.select(
-            *(d.column for d in dims),
-            *(F.col(m.column).alias(m.column, metadata={"format": m.format} if m.format else {}) for m in asked),
-        )
+        frame = frame.select(*(F.col(i.column).alias(i.column, metadata=_described(i)) for i in [*dims, *asked]))
         return self._ordered(frame, dims, order_by, limit)
 
     def _typed(self, measure: Measure) -> Column:
@@ -272,16 +285,18 @@ class MetricView:
     def _aggregate(
         self, dims: list[Dimension], leaves: list[Measure], filters: list[str], span: Bounds | None
     ) -> DataFrame:
+        members = list(dict.fromkeys(m.expr for m in leaves if m.kind == "distinct"))
+        if len(members) > 1:
+            return self._aggregate_by_member(dims, leaves, members, filters, span)
         fixed = [*filters, *(m.expr for m in leaves), *(m.where for m in leaves if m.where)]
         texts = [d.expr for d in dims] + fixed + ([self.filter] if self.filter else [])
-        members = list(dict.fromkeys(m.expr for m in leaves if m.kind == "distinct"))
         late = self._late_joins(dims, fixed, members) if leaves else []
         frame, refs = self._base(texts, span, {j.name for j in late})
         for text in filters:
             frame = frame.where(F.expr(_flat(text)))
         if not leaves:
             return frame.select(*_keys(dims)).distinct()
-        if len(members) > 1 or not (members or late):
+        if not (members or late):
             return frame.groupBy(*_keys(dims)).agg(*(_direct(m) for m in leaves))
 
         # Fold on (dimensions at hand, foreign keys still to join, member).
@@ -299,6 +314,18 @@ class MetricView:
                 folded = folded.groupBy(*(d.column for d in dims), "_member").agg(*(_merged(m) for m in leaves))
         return folded.groupBy(*(d.column for d in dims)).agg(*(_final(m) for m in leaves))
 
+    def _aggregate_by_member(self, dims, leaves, members: list[str], filters, span) -> DataFrame:
+        """Each counted column folds on its own, beside what needs no fold: asking
+        for several at once would send every row once for each."""
+        plain = [m for m in leaves if m.kind != "distinct"]
+        parts = [[*plain, *(m for m in leaves if m.kind == "distinct" and m.expr == members[0])]]
+        parts += [[m for m in leaves if m.kind == "distinct" and m.expr == member] for member in members[1:]]
+        merged = None
+        for part in parts:
+            frame = self._aggregate(dims, part, filters, span)
+            merged = frame if merged is None else merged.unionByName(frame, allowMissingColumns=True)
+        return merged.groupBy(*(d.column for d in dims)).agg(*(F.max(m.column).alias(m.column) for m in leaves))
+
     def _late_joins(self, dims: list[Dimension], fixed: list[str], members: list[str]) -> list[Join]:
         """Large joins only dimensions use, with what hangs off them.
 
@@ -459,6 +486,12 @@ def _both(a: Bounds | None, b: Bounds | None) -> Bounds | None:
     return (max(a[0], b[0]), min(a[1], b[1])) if a and b else a or b
 
 
+def _described(item: Dimension | Measure) -> dict[str, str]:
+    """What a column says about itself; ``comment`` is where Spark looks for one."""
+    said = {"format": getattr(item, "format", None), "display_name": item.display_name, "comment": item.comment}
+    return {key: text for key, text in said.items() if text}
+
+
 def _flat(text: str) -> str:
     """``alias.column`` as the ``alias__column`` the joined frame carries."""
     parts = re.split(r"('[^']*')", text)
@@ -476,8 +509,7 @@ def _counted(measure: Measure) -> Column:
 
 
 def _direct(measure: Measure) -> Column:
-    value = _counted(measure)
-    total = {"sum": F.sum, "count": F.count, "distinct": F.count_distinct}[measure.kind](value)
+    total = {"sum": F.sum, "count": F.count}[measure.kind](_counted(measure))
     return total.alias(measure.column)
 
 

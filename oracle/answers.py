@@ -332,18 +332,33 @@ ORACLE = {
         SELECT strftime(usage_date, '%Y-%m-%d') AS usage_date, run_as_sp, surface, sku_name,
                CAST(sum(units) AS DOUBLE) AS billable_units, CAST(sum(cost) AS DOUBLE) AS list_cost_usd
         FROM priced WHERE is_agent AND {OVERLAP} GROUP BY ALL"""),
+    "billing_by_some_sp": sql(f"""
+        SELECT strftime(usage_date, '%Y-%m-%d') AS usage_date, run_as_sp, surface, sku_name,
+               CAST(sum(units) AS DOUBLE) AS billable_units, CAST(sum(cost) AS DOUBLE) AS list_cost_usd
+        FROM priced WHERE is_agent AND {OVERLAP} AND run_as_sp IN ('sp_1', 'sp_3', 'sp_4') GROUP BY ALL"""),
+    "bill_window_fallback": sql(f"""
+        SELECT run_id,
+               CASE WHEN untimed THEN '2024-01-18 10:20:00' ELSE strftime(start_ts, {TS}) END AS start_ts,
+               CASE WHEN untimed THEN '2024-01-25 10:20:00' ELSE strftime(end_ts, {TS}) END AS end_ts,
+               CASE WHEN untimed THEN '2024-01-18 10:00:00' ELSE strftime(bill_start, {TS}) END AS bill_start,
+               CASE WHEN untimed THEN '2024-01-25 11:00:00' ELSE strftime(bill_end, {TS}) END AS bill_end
+        FROM (SELECT *, run_id LIKE '%5' AS untimed FROM run_windows)"""),
+    "rollup_latency_percentiles": sql("""
+        SELECT tier, count(*) AS n_questions, true AS p50_within, true AS p95_within
+        FROM (SELECT run_id, tier, question_id, max(latency_ms) AS latency FROM answers GROUP BY ALL)
+        WHERE latency IS NOT NULL GROUP BY tier"""),
     "warehouse_billing": sql(f"""
         SELECT strftime(usage_date, '%Y-%m-%d') AS usage_date, warehouse_id,
                CAST(sum(units) AS DOUBLE) AS warehouse_units, CAST(sum(cost) AS DOUBLE) AS warehouse_cost_usd
         FROM priced WHERE warehouse_id IN {WHS} AND {OVERLAP} GROUP BY ALL"""),
     "hourly_rate": sql(f"""
         SELECT 'Medium' AS size, CAST(24 AS BIGINT) AS units_per_hour, round(usd, 8) AS usd_per_unit,
-               round(usd * 24, 6) AS hourly_usd, true AS from_list_prices
-        FROM (SELECT CAST(sum(price) AS DOUBLE) / count(*) AS usd FROM priced WHERE warehouse_id IN {WHS}
+               round(usd * 24, 6) AS hourly_usd, true AS from_list_prices, sku_name
+        FROM (SELECT CAST(sum(price) AS DOUBLE) / count(*) AS usd, min(sku_name) AS sku_name FROM priced WHERE warehouse_id IN {WHS}
               AND starts >= TIMESTAMP '2024-01-10' AND sku_name LIKE '%SERVERLESS_SQL%')"""),
     "hourly_rate_fallback": sql(f"""
         SELECT 'Large' AS size, CAST(40 AS BIGINT) AS units_per_hour, round(coalesce(usd, 0.7), 8) AS usd_per_unit,
-               round(coalesce(usd, 0.7) * 40, 6) AS hourly_usd, usd IS NOT NULL AS from_list_prices
+               round(coalesce(usd, 0.7) * 40, 6) AS hourly_usd, usd IS NOT NULL AS from_list_prices, CAST(NULL AS VARCHAR) AS sku_name
         FROM (SELECT CAST(sum(price) AS DOUBLE) / count(*) AS usd FROM priced WHERE warehouse_id IN {WHS}
               AND starts >= TIMESTAMP '2030-01-01')"""),
     "query_history_profile": sql(f"""

@@ -242,6 +242,15 @@ ORACLE = {
                (SELECT {distinct('member_key')} FROM sales b WHERE fiscal_year = 2000 AND b.calendar_date <= a.calendar_date)
                    AS members_this_year_so_far, a.v AS recognized_revenue
         FROM d a WHERE a.calendar_date >= DATE '2000-03-01'"""),
+    "rollup_sales_by_region": sql(f"""
+        SELECT region_name, CAST(count(*) AS BIGINT) AS n_rows, {total(NET)} AS net_recognized_amount,
+               {distinct('member_key')} AS member_key, {distinct('order_key')} AS order_key FROM {ALL_JOINS} GROUP BY region_name"""),
+    "rollup_sales_by_class_and_year": sql(f"""
+        SELECT product_class, fiscal_year, CAST(count(*) AS BIGINT) AS n_rows, {total(NET)} AS net_recognized_amount,
+               {distinct('member_key')} AS member_key, {distinct('order_key')} AS order_key FROM {ALL_JOINS} GROUP BY ALL"""),
+    "rollup_sales_total": sql(f"""
+        SELECT CAST(count(*) AS BIGINT) AS n_rows, {total(NET)} AS net_recognized_amount,
+               {distinct('member_key')} AS member_key, {distinct('order_key')} AS order_key FROM sales"""),
     "sql_last_month": sql(f"""
         SELECT {total(NET)} AS "measure(Recognized Revenue)" FROM sales, anchor WHERE {LAST_FM}"""),
     "sql_quarter_by_region": sql(f"""

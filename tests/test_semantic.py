@@ -67,7 +67,22 @@ def test_large_dimension_joins_after_the_fold(rich, plan):
 
 def test_format_is_column_metadata(rich):
     schema = rich.query([], ["Recognized Revenue"]).schema
-    assert schema["recognized_revenue"].metadata == {"format": "currency:USD"}
+    assert schema["recognized_revenue"].metadata["format"] == "currency:USD"
+
+
+def test_columns_carry_display_names_and_comments(rich):
+    schema = rich.query(["Fiscal Year"], ["Recognized Revenue"]).schema
+    assert schema["fiscal_year"].metadata == {"display_name": "Fiscal Year", "comment": "4-4-5 fiscal year, not the calendar's"}
+    assert schema["recognized_revenue"].metadata["display_name"] == "Recognized Revenue"
+    said = {(r["kind"], r["name"]): r for r in rich.described()}
+    assert len(said) == len(rich.dimensions) + len(rich.measures)
+    assert "revenue" in said["measure", "Recognized Revenue"]["synonyms"]
+    assert said["dimension", "Country Code"]["display_name"] == "Country Code"
+
+
+def test_two_counted_columns_do_not_expand_rows(rich, star, plan):
+    text = plan(rich.query(["Region"], ["Distinct Members", "Distinct Orders", "Recognized Revenue"]))
+    assert "Expand" not in text
 
 
 def test_cyclic_measures_are_rejected(rich):
