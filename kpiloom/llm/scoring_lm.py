@@ -6,7 +6,8 @@ quantised to q = 1 + floor(log(c) / log(STEP)), and the q entries (gram, 1) ...
 quantised count back. Words and pairs that occur once are in it as well.
 
 A token's probability mixes both: WEIGHT * c(pair) / c(first) + (1 - WEIGHT) *
-p(word), with the word's probability smoothed by adding a half.
+p(word), with the word's probability smoothed by adding a half; after a first word
+that was never seen it is p(word) alone.
 
 What is broadcast is bounded by ``SHARDS`` shards of fixed size. A filter of
 more shards takes more passes over the documents; each notes, a byte per token,
@@ -49,6 +50,8 @@ SHARD_BYTES, SHARDS = 1 << 20, 64
 HEAD = 100_000
 #: Tokens whose grams a task counts before it passes them on.
 CHUNK = 1_500_000
+#: Entries that a bucket of grams is made for, and bytes of text for each.
+BUCKET, BYTES_PER_TOKEN = 500_000, 5
 SALTS = (np.uint64(0x51ED270B27A1F6C3), np.uint64(0x2545F4914F6CDD1D))
 _END = np.array([0x1D8AF066F0A1A2B3], np.uint64)
 
@@ -120,9 +123,13 @@ def _merge(table: pa.Table) -> pa.Table:
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """(kind, hash, n) of all words and pairs."""
-    spark = docs.sparkSession
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """(kind, hash, n) of all words and pairs.
+
+    Every chunk of tokens hands on a gram once, so buckets are made for as many
+    entries as the texts have tokens, at ``BYTES_PER_TOKEN`` each; shorter tokens
+    only make buckets larger in proportion."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // (BYTES_PER_TOKEN * BUCKET)))
     blocks = docs.mapInArrow(_counter(buckets), "kind int, bucket int, keys binary, counts binary")
     return blocks.groupBy("kind", "bucket").applyInArrow(_merge, "kind int, hash long, n long")
 
@@ -276,7 +283,9 @@ def _scorer(held, head, first: bool, last: bool):
                 before[1:] = c_word[:-1]
                 before[starts] = c_word[ends - 1]  # an end comes before the first word
                 share = np.minimum(c_pair / np.maximum(before, 1.0), 1.0)
-                logs = np.log10(WEIGHT * share + (1 - WEIGHT) * (c_word + 0.5) / common.over)
+                single = (c_word + 0.5) / common.over
+                # After a word that was never seen, single words have all the weight.
+                logs = np.log10(np.where(before > 0, WEIGHT * share + (1 - WEIGHT) * single, single))
                 arrays.append(pa.array(np.add.reduceat(logs, starts)))
                 names = ["row", "doc_id", *_FIRST, "score"]
             else:
@@ -311,6 +320,7 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     rows = docs.withColumn("row", F.xxhash64("doc_id", "text"))
     every = [(kind, s) for kind in (0, 1) for s in range(shards[kind])]
     passes = [every[i : i + SHARDS] for i in range(0, len(every), SHARDS)]
+    common_words = sc.broadcast(head)
     for part in passes:
         wanted = F.lit(False)
         for kind in {k for k, _ in part}:
@@ -319,8 +329,11 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         held = {(k, s): bytes(b) for k, s, b in bits.where(wanted).collect()}
         some = Shards([(*x, held.get(x, bytes(SHARD_BYTES))) for x in part], shards)
         last = part is passes[-1]
-        scorer = _scorer(sc.broadcast(some), sc.broadcast(head), part is passes[0], last)
+        sent = sc.broadcast(some)
+        scorer = _scorer(sent, common_words, part is passes[0], last)
         rows = stored(rows.mapInArrow(scorer, _ROWS + ("score double" if last else "text string, levels binary")), "scored")
+        # The rows are written, so no task needs these shards again.
+        sent.destroy()
 
     over = F.lit(float(head.over))
     rare = rows.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select("row", F.col("r.rare").alias("hash"), F.col("r.rare_n").alias("times"))
