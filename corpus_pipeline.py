@@ -7,7 +7,7 @@ quality      documents that break a rule go (kpiloom.llm.quality)
 lines        repeated lines go; documents of which nothing is left go
              (kpiloom.llm.lines)
 near         one document of each group of near copies stays: the first by
-             doc_id, and one without an id where the group has such
+             doc_id, one without an id only where none of the group has one
              (kpiloom.llm.minhash, with a similarity of 0.8 or more)
 mix          documents are repeated or left out to meet their source's target
              (kpiloom.llm.mixing)
@@ -62,11 +62,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = stored(docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("key"), F.xxhash64(*docs.columns).alias("hash")), "keyed")
     found = minhash.near_duplicates(keyed, "key", "row.text", threshold=SIMILAR, bands=minhash.bands_for(SIMILAR))
     found = found.select(F.col("doc_id").alias("key"), F.col("component_id").alias("component"))
-    order = F.struct("row.doc_id", "hash", "key").alias("order")
-    members = stored(keyed.select("key", F.col("row.doc_id").isNull().alias("unnamed"), order).join(found, "key"), "near-members")
-    groups = members.groupBy("component", "unnamed").agg(F.min("order.key").alias("least"), F.max("order.key").alias("most"), F.min("order").alias("first"))
-    first = groups.where("least != most").select("component", "unnamed", F.col("first.key").alias("first"))
-    gone = members.join(first, ["component", "unnamed"]).where("key != first").select("key")
+    order = F.struct(F.col("row.doc_id").isNull().alias("unnamed"), "row.doc_id", "hash", "key").alias("order")
+    members = stored(keyed.select("key", order).join(found, "key"), "near-members")
+    groups = members.groupBy("component").agg(F.min("order.key").alias("least"), F.max("order.key").alias("most"), F.min("order").alias("first"))
+    first = groups.where("least != most").select("component", F.col("first.key").alias("first"))
+    gone = members.join(first, "component").where("key != first").select("key")
     return keyed.join(gone, "key", "left_anti").select("row.*")
 
 
