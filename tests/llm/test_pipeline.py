@@ -43,8 +43,8 @@ def test_first_three_stages_by_hand(spark, documents, prose, sf_dir):
     assert all(left[200 + i].text == prose(2000 + i, 12) and left[200 + i].n_chars == len(left[200 + i].text) for i in range(5))
     assert all(left[i].text == rows[i][1] and left[i].row == "x" for i in range(40))
 
-    near = documents([(1, prose(1, 200)), (2, prose(1, 200) + " end"), (3, prose(2, 200)), (4, None), (None, prose(1, 200))])
-    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, near, sf_dir).collect()} == {1, 3, 4, None}
+    near = documents([(1, prose(1, 200)), (2, prose(1, 200) + " end"), (3, prose(2, 200)), (4, None), (None, prose(1, 200)), (None, prose(7, 200)), (None, prose(7, 200) + " end")])
+    assert Counter(r.doc_id for r in corpus_pipeline.near_dedup(spark, near, sf_dir).collect()) == Counter([1, 3, 4, None])
 
 
 def test_near_stage_keeps_one_row_of_each_group_at_080(spark, documents, prose, sf_dir):
@@ -82,3 +82,29 @@ def test_blank_lines_stay(spark, documents):
     docs = documents([(1, "a\n\nb\n\n"), (2, "\n\na\nc")])
     got = {r.payload.doc_id: r.kept_text for r in lines.without_repeated_lines(docs, ["doc_id"]).collect()}
     assert got == {1: "a\n\nb\n\n", 2: "\n\nc"}
+
+
+EMPTY = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_every_stage_takes_an_empty_table(spark, sf_dir, tmp_path):
+    none = spark.createDataFrame([], EMPTY)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, none, sf_dir)
+        assert left.columns == none.columns and left.count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, none, sf_dir).count() == 0
+    none.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_every_stage_takes_long_texts_and_clashing_names(spark, prose, sf_dir):
+    """A text of some megabytes, and further columns named as the stages name theirs."""
+    long = "\n".join(prose(k, 40) for k in range(9000))
+    rows = [(1, long, "en", "a", len(long)), (2, prose(99999, 100), "en", "a", 9), (3, long + "\nmore", None, None, None)]
+    clashing = ("row", "key", "hash", "component", "payload", "kept", "copy", "words", "line")
+    docs = spark.createDataFrame([(*r, *["x"] * len(clashing)) for r in rows], ", ".join([EMPTY, *(f"{c} string" for c in clashing)]))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, docs, sf_dir)
+        assert left.columns == docs.columns, name
+        assert all(r[c] == "x" for r in left.collect() for c in clashing), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() > 100
