@@ -46,6 +46,8 @@ BLOCKS = 4
 #: Columns of a line's edges: of its words, and of its characters' halves.
 EDGES = ("head", "tail", "half", "half2", "less", "less2")
 _M = 2**64
+#: Sets hashes of characters apart from those of words.
+_CHARS = np.uint64(0x8E9D5A3B17C604F1)
 _INVERSE = pow(BASE, -1, _M)
 
 
@@ -88,16 +90,21 @@ def _key(values: np.ndarray, salt: int) -> np.ndarray:
     return mixed(values ^ np.uint64(salt * 0x9E3779B97F4A7C15 % _M))
 
 
-def block_keys(hashes: np.ndarray) -> np.ndarray:
-    """Keys of which two lines one edit apart share at least one: the line
-    without one of its parts, by the parts of its own length and, for a word
-    that will be deleted, by those of the shorter line."""
-    r, n = Rolling(hashes), len(hashes)
-    length = np.repeat([n, n - 1], BLOCKS)
-    part = np.tile(np.arange(BLOCKS), 2)
-    start, end = length * part // BLOCKS, length * (part + 1) // BLOCKS + n - length
-    kept = mixed(r.sums[start]) ^ ((r.sums[n] - r.sums[end]) * r.down[end])
-    return mixed(kept ^ mixed((BLOCKS * length + part).astype(np.uint64)))
+def block_keys(items: list[bytes] | str) -> tuple[list[int], list[int]]:
+    """Keys of which two sequences one edit apart share at least one: the sequence
+    without one of its parts, by the parts of its own length and, for an item that
+    will be deleted, by those of the shorter sequence."""
+    n, out = len(items), ([], [])
+    for keys, length in zip(out, (n, n - 1)):
+        for part in range(BLOCKS):
+            start, end = length * part // BLOCKS, length * (part + 1) // BLOCKS + n - length
+            left, right = items[:start], items[end:]
+            if isinstance(items, str):
+                kept = f"{left}\n{right}".encode("utf-8", "surrogatepass")
+            else:
+                kept = b" ".join(left) + b"\n" + b" ".join(right)
+            keys.append(_long(xxhash.xxh3_64_intdigest(kept, 2 * (BLOCKS * length + part) + isinstance(items, str))))
+    return out
 
 
 def deletion_keys(hashes: np.ndarray) -> np.ndarray:
@@ -115,8 +122,8 @@ def whole_key(hashes: np.ndarray) -> np.ndarray:
     return _key(Rolling(hashes).part(0, len(hashes)), 3)
 
 
-def one_edit(a: list[bytes], b: list[bytes]) -> bool:
-    """Whether the word sequences are at most one word edit apart."""
+def one_edit(a: list[bytes] | str, b: list[bytes] | str) -> bool:
+    """Whether the sequences are at most one item's edit apart."""
     if len(a) > len(b):
         a, b = b, a
     if len(b) - len(a) > 1:
@@ -131,12 +138,19 @@ def line_words(text: str | None) -> list[list[bytes]]:
     return [s.split() for s in text.encode("utf-8", "surrogatepass").split(b"\n")] if text else []
 
 
-def chars_of(words: list[bytes]) -> list[bytes]:
-    """The line's characters, each after a blank, so that none is a word's bytes."""
-    return [b" " + c.encode("utf-8", "surrogatepass") for c in b" ".join(words).decode("utf-8", "surrogatepass")]
+def chars_of(words: list[bytes]) -> str:
+    return b" ".join(words).decode("utf-8", "surrogatepass")
+
+
+def item_hashes(items: list[bytes] | str) -> np.ndarray:
+    """Hashes of words, or of characters."""
+    if not isinstance(items, str):
+        return hashes_of(items)
+    codes = np.frombuffer(items.encode("utf-32-le", "surrogatepass"), "<u4")
+    return mixed(codes.astype(np.uint64) + _CHARS)
 
 
-def sequences(words: list[bytes]) -> list[tuple[list[bytes], int]]:
+def sequences(words: list[bytes]) -> list[tuple[list[bytes] | str, int]]:
     """The line as words, as characters or both, with the least length of the
     longer of two near ones; the shorter may have one item less."""
     out = [(words, LEAST_WORDS)] if len(words) >= LEAST_WORDS - 1 else []
@@ -165,7 +179,7 @@ def _edges(words: list[bytes]) -> list[int | None]:
         for i, k in enumerate((n, n - 1)):
             if k >= least - 1:
                 halves = items[: k // 2], items[n - (k - k // 2) :]
-                out[2 + 2 * i : 4 + 2 * i] = [_long(xxhash.xxh3_64_intdigest(b"".join(w), 2 * k + side)) for side, w in enumerate(halves)]
+                out[2 + 2 * i : 4 + 2 * i] = [_long(xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"), 2 * k + side)) for side, w in enumerate(halves)]
     return out
 
 
@@ -191,28 +205,36 @@ def _lines(batches):
 def _wanted(batches):
     """The wanted lines of a document, with the keys of their parts."""
     for batch in slices(batches):
-        line, rank, words, blocks = [], [], [], []
+        line, rank, found, own, less = [], [], [], [], []
         for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
-            lines = line_words(text)
+            lines = text.encode("utf-8", "surrogatepass").split(b"\n")
             for x in wanted:
-                found = lines[x["rank"]["number"]]
+                words = lines[x["rank"]["number"]].split()
+                keys = [block_keys(items) for items, _ in sequences(words)]
                 line.append(x["line"])
                 rank.append(x["rank"])
-                words.append(b" ".join(found))
-                blocks.append(np.concatenate([block_keys(hashes_of(items)) for items, _ in sequences(found)]))
-        yield pa.RecordBatch.from_arrays([pa.array(line, pa.int64()), pa.array(rank, _RANK), pa.array(words, pa.binary()), ragged(blocks, pa.int64())], ["line", "rank", "words", "blocks"])
+                found.append(b" ".join(words))
+                own.append([k for mine, _ in keys for k in mine])
+                less.append([k for _, shorter in keys for k in shorter])
+        long = pa.list_(pa.int64())
+        arrays = [pa.array(line, _LINE), pa.array(rank, _RANK), pa.array(found, pa.binary()), pa.array(own, long), pa.array(less, long)]
+        yield pa.RecordBatch.from_arrays(arrays, ["line", "rank", "words", "own", "less"])
 
 
 def _keys(batches):
-    """A row per key of a line: its kind, and the line's hash and rank."""
+    """A row per key of a line: its kind, and the line's hashes and rank."""
     for batch in slices(batches):
         kinds, keys, at = [], [], []
-        for i, words in enumerate(batch.column("words").to_pylist()):
+        may = [batch.column(c).to_pylist() for c in ("same", "longer", "shorter")]
+        for i, (words, same, longer, shorter) in enumerate(zip(batch.column("words").to_pylist(), *may)):
             for items, least in sequences(words.split(b" ")):
-                hashes = hashes_of(items)
-                parts = [(SHORTER, whole_key(hashes))]
-                if len(items) >= least:
-                    parts += [(SAME, deletion_keys(hashes)), (LONGER, shorter_keys(hashes))]
+                hashes, parts = item_hashes(items), []
+                if shorter:
+                    parts.append((SHORTER, whole_key(hashes)))
+                if same and len(items) >= least:
+                    parts.append((SAME, deletion_keys(hashes)))
+                if longer and len(items) >= least:
+                    parts.append((LONGER, shorter_keys(hashes)))
                 for kind, part in parts:
                     kinds.append(np.full(len(part), kind, np.int32))
                     keys.append(part)
@@ -230,6 +252,9 @@ SAME, LONGER, SHORTER = range(3)
 #: The order of lines: documents without an id first, then by id, line and text's hash.
 _RANK = pa.struct([("doc_id", pa.int64()), ("number", pa.int32()), ("row", pa.int64())])
 _RANK_SQL = "struct<doc_id: long, number: int, row: long>"
+#: Both halves of a line's hash.
+_LINE = pa.struct([("h", pa.int64()), ("h2", pa.int64())])
+_LINE_SQL = "struct<h: long, h2: long>"
 
 
 def _confirmed(batches):
@@ -261,23 +286,22 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     first = every.groupBy("line", "line2").agg(F.min(F.struct("doc_id", "number", "row", *EDGES)).alias("f"))
     first = stored(first.select("line", "line2", F.struct("f.doc_id", "f.number", "f.row").alias("rank"), *[f"f.{e}" for e in EDGES]), "first-lines")
 
+    first = first.withColumn("line", F.struct(F.col("line").alias("h"), F.col("line2").alias("h2"))).drop("line2")
     ends = first.select("line", F.explode(F.array_compact(F.array(*EDGES))).alias("edge"))
-    shared = ends.groupBy("edge").agg(F.min("line").alias("least"), F.max("line").alias("most")).where("least != most").select("edge")
+    shared = ends.groupBy("edge").agg(F.min("line.h").alias("least"), F.max("line.h").alias("most")).where("least != most").select("edge")
     live = ends.join(shared, "edge").select("line").distinct()
     wanted = first.select("line", "rank").join(live, "line").select(F.col("rank.row").alias("row"), F.struct("line", "rank").alias("w"))
     wanted = wanted.groupBy("row").agg(F.collect_list("w").alias("wanted"))
     near = beside(docs.select("row", "text"), wanted, "wanted")
-    near = stored(near.mapInArrow(_wanted, f"line long, rank {_RANK_SQL}, words binary, blocks array<long>"), "near-lines")
-    blocks = near.select("line", F.explode("blocks").alias("block"))
-    alike = blocks.groupBy("block").agg(F.min("line").alias("least"), F.max("line").alias("most")).where("least != most").select("block")
-    near = near.join(blocks.join(alike, "block").select("line").distinct(), "line").select("line", "rank", "words")
+    near = stored(near.mapInArrow(_wanted, f"line {_LINE_SQL}, rank {_RANK_SQL}, words binary, own array<long>, less array<long>"), "near-lines")
+    near = near.join(_alike(near), "line").select("line", "rank", "words", "same", "longer", "shorter")
 
     # Replaced words: deletions at the same place. Added words: a deletion of
     # the longer line is the shorter line. A key's earliest line of either kind:
-    keys = stored(near.mapInArrow(_keys, f"kind int, key long, line long, rank {_RANK_SQL}"), "line-keys")
+    keys = stored(near.mapInArrow(_keys, f"kind int, key long, line {_LINE_SQL}, rank {_RANK_SQL}"), "line-keys")
     keys = keys.withColumn("space", F.col("kind") == SAME)
     # Most keys have one line only and go no further.
-    shared = keys.groupBy("space", "key").agg(F.min("line").alias("least"), F.max("line").alias("most")).where("least != most")
+    shared = keys.groupBy("space", "key").agg(F.min("line.h").alias("least"), F.max("line.h").alias("most")).where("least != most")
     keys = keys.join(narrow(shared.select("space", "key"), "shared-keys"), ["space", "key"])
     at = F.struct("rank", "line")
     least = keys.groupBy("space", "key").agg(F.min(F.when(F.col("kind") != SHORTER, at)).alias("long"), F.min(F.when(F.col("kind") != LONGER, at)).alias("short"))
@@ -286,13 +310,32 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     found = found.groupBy("line").agg(F.min("earliest").alias("earliest"))
     words = near.select("line", "words").distinct()
     pairs = found.join(words, "line").join(words.toDF("of", "other"), F.col("earliest.line") == F.col("of")).select("line", "words", "other")
-    near_dups = pairs.mapInArrow(_confirmed, "line long").distinct()
+    near_dups = pairs.mapInArrow(_confirmed, f"line {_LINE_SQL}").distinct()
 
-    decided = first.select("line", "line2", F.col("rank").alias("first_rank")).join(near_dups.withColumn("near", F.lit(True)), "line", "left")
+    decided = first.select("line", F.col("rank").alias("first_rank")).join(near_dups.withColumn("near", F.lit(True)), "line", "left")
+    decided = decided.select(F.col("line.h").alias("line"), F.col("line.h2").alias("line2"), "first_rank", "near")
     marked = every.drop(*EDGES).join(decided, ["line", "line2"])
     return marked.where(F.coalesce("near", F.lit(False)) | (rank != F.col("first_rank"))).select("row", "number")
 
 
+def _alike(near: DataFrame) -> DataFrame:
+    """The lines that share a part's key with another, and how: ``same`` as one of
+    their own length, ``longer`` or ``shorter`` than it by one."""
+    sides = [F.explode(side).alias("block") for side in ("own", "less")]
+    own, less = (near.select("line", side, F.lit(mine).alias("mine")) for side, mine in zip(sides, (True, False)))
+    blocks = own.union(less)
+    mine = F.when(F.col("mine"), F.col("line.h"))
+    of = blocks.groupBy("block").agg(F.min(mine).alias("least"), F.max(mine).alias("most"), F.bool_or(~F.col("mine")).alias("has_less"))
+    of = of.where("least != most or (least is not null and has_less)")
+    met = blocks.join(of, "block").groupBy("line")
+    found = met.agg(
+        F.bool_or(F.col("mine") & (F.col("least") != F.col("most"))).alias("same"),
+        F.bool_or(~F.col("mine")).alias("longer"),
+        F.bool_or(F.col("mine") & F.col("has_less")).alias("shorter"),
+    )
+    return found.where("same or longer or shorter")
+
+
 def without_repeated_lines(docs: DataFrame, payload: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row the payload columns as ``payload``, n_lines, n_removed and kept_text."""
     rows = docs.select(F.struct(*payload).alias("payload"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
