@@ -389,6 +389,8 @@ def scoring_queries() -> dict[str, Query]:
         "result_diff_scalar": on_star(scoring.scalar_diff),
         "result_diff_top_n": on_star(scoring.ranking_diff),
         "result_diff_pivot": on_star(scoring.quarter_pivot_diff),
+        "result_diff_inferred": on_star(scoring.inferred_region_diff),
+        "result_diff_inferred_quarters": on_star(scoring.inferred_quarter_diff),
         "zero_or_empty": on_star(scoring.idle_skus, s),
         "mv_vs_golden": on_star(scoring.views_against_golden, s),
     }

@@ -11,6 +11,7 @@ from kpiloom.functions.table_functions import KpiSettings
 from kpiloom.functions.text_rules import failure_type, rubric, rubric_columns
 from kpiloom.operators.aggregates import safe_ratio
 from kpiloom.operators.diff import Tolerance, cells, keyed_diff, normalized, top_rows, zero_or_empty
+from kpiloom.operators.infer import inferred_diff
 from kpiloom.operators.joins import first_per_key
 from kpiloom.plans import kpis, metric_views
 from kpiloom.plans.kpis import NET
@@ -131,6 +132,32 @@ def quarter_pivot_diff(star: Star) -> DataFrame:
     return keyed_diff(gold, got, ["product_family"], list(quarters.values()))
 
 
+def inferred_region_diff(star: Star) -> DataFrame:
+    """``region_diff`` with neither the key nor the measure named."""
+    return inferred_diff(golden_results(star), copied_results(star))
+
+
+def inferred_quarter_diff(star: Star) -> DataFrame:
+    """``quarter_pivot_diff`` as agents answer it: rows per quarter, which each
+    family calls differently, against golden rows with a column per quarter."""
+    columns = ("product_key", "recognition_date_key", NET)
+
+    def dated(lines: DataFrame) -> DataFrame:
+        quarterly = _answered(_yearly(lines, star, "fiscal_quarter"), star)
+        families = quarterly.withColumn("answer_id", F.col("fiscal_year").cast("string"))
+        return families.where(F.col("fiscal_quarter").isin(1, 2))
+
+    sums = [F.sum(F.when(F.col("fiscal_quarter") == q, F.col(NET)).otherwise(0)).alias(f"q{q}") for q in (1, 2)]
+    gold = dated(star.fulfilled(*columns)).groupBy("answer_id", "product_family").agg(*sums)
+    gold = gold.select("answer_id", cells(product_family=F.col("product_family"), q1_revenue=F.col("q1"), q2_revenue=F.col("q2")).alias("cells"))
+    long = dated(delivered(star, *columns)).groupBy("answer_id", "product_family", "fiscal_quarter").agg(F.sum(NET).alias("revenue"))
+    kind = F.pmod(F.crc32(F.encode("product_family", "UTF-8")), F.lit(3))
+    prefix = F.when(kind == 0, "").when(kind == 1, "Q").otherwise("fiscal_q")
+    said = F.concat(prefix, F.col("fiscal_quarter").cast("string"))
+    named = cells(**{"Product Family": F.col("product_family"), "Fiscal Quarter": said, "Revenue": F.col("revenue")})
+    return inferred_diff(gold, long.select("answer_id", named.alias("cells")))
+
+
 def idle_skus(star: Star, settings: KpiSettings) -> DataFrame:
     """Which SKUs rightly answer zero or nothing for the last fiscal month."""
     month = kpis.last_fiscal_month(star, settings.as_of)

@@ -309,6 +309,10 @@ ORACLE = {
     "result_normalized": sql("SELECT answer_id, region_name, v AS recognized_revenue FROM copied_clean"),
     "result_diff": sql(diff(
         "SELECT * FROM golden", "SELECT * FROM copied_clean", ["region_name"], ["v"])),
+    "result_diff_inferred": sql(diff(
+        "SELECT * FROM golden", "SELECT * FROM copied_clean", ["region_name"], ["v"])),
+    "result_diff_inferred_quarters": sql(
+        diff(quarters("clean_sales"), quarters("raw_sales"), ["product_family"], ["q1", "q2"])),
     "result_diff_scalar": sql(diff(totals("clean_sales"), totals("raw_sales"), [], ["v"])),
     "result_diff_top_n": sql(diff(top_skus("clean_sales"), top_skus("raw_sales"), ["sku_code"], ["v"])),
     "result_diff_pivot": sql(diff(quarters("clean_sales"), quarters("raw_sales"), ["product_family"], ["q1", "q2"])),
