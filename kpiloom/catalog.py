@@ -489,6 +489,16 @@ def _clustered_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     return kpis.revenue_last_fiscal_month(gold, SETTINGS.as_of)
 
 
+def _curve_roundtrip(spark: SparkSession, root: str) -> DataFrame:
+    """Order lines along a curve through day, product and member, read back for
+    some products of all days."""
+    star, path = RetailStar(spark, root), shared_dir(spark, "curve-gold")
+    write_gold(star.fact_order_line(), "fact_order_line", f"{path}/fact_order_line", layout="curve")
+    lines = GoldStar(spark, path, star.calendar).lines("product_key", "line_status", kpis.NET)
+    some = lines.where(F.col("product_key").between(100, 150) & (F.col("line_status") == "FULFILLED"))
+    return presented(some.groupBy("product_key").agg(F.count(F.lit(1)).alias("n_lines"), money_sum(kpis.NET).alias("revenue")))
+
+
 def _replaced_runs(spark: SparkSession, root: str) -> DataFrame:
     """Costs by window, then the runs with a failed answer costed by share."""
     star, path = RetailStar(spark, root), shared_dir(spark, "tier-cost")
@@ -613,6 +623,7 @@ def ingest_queries() -> dict[str, Query]:
         "medallion_revenue_by_region": _revenue_from_gold,
         "expectations_report": on_star(_expectations),
         "clustered_write_roundtrip": _clustered_roundtrip,
+        "clustered_curve_roundtrip": _curve_roundtrip,
         "replace_by_run": _replaced_runs,
         "append_answers": _appended_runs,
     }

@@ -22,6 +22,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    where, files = located(spark, path)
+    return files.getContentSummary(where).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     where, files = located(spark, path)
     files.delete(where, True)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from kpiloom.plans import kpis
 from kpiloom.catalog import SETTINGS
 from kpiloom.sources import files
-from kpiloom.sources.sinks import append_runs, read_runs, replace_runs, runs_table, write_gold
+from kpiloom.sources.sinks import append_runs, clustered, read_runs, replace_runs, runs_table, write_along_curve, write_gold
 from kpiloom.sources.star import TABLE_KEYS, GoldStar, RetailStar
 from kpiloom.sources.versioned import VersionedTable
 from kpiloom.streaming.medallion import Medallion, quality_report
@@ -217,3 +217,33 @@ def test_a_late_writer_changes_nothing(spark, tmp_path):
     with pytest.raises(RuntimeError, match="meanwhile"):
         table._commit(late)
     assert read_runs(spark, path).count() == 2
+
+
+def touched(spark, path, key, value):
+    """Files whose footers cannot rule a value out."""
+    spans = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(F.min(key).alias("low"), F.max(key).alias("high")).collect()
+    return sum(s.low <= value <= s.high for s in spans), len(spans)
+
+
+def test_files_along_a_curve_are_narrow_in_every_key(spark, tmp_path, many_partitions):
+    """A third of all rows share one day."""
+    rows = spark.range(40_000).selectExpr(
+        "id AS return_key", "CASE WHEN id % 3 = 0 THEN 500 ELSE id * 7919 % 1000 END AS day", "id * 104729 % 997 AS product", "id * 1299709 % 503 AS member"
+    )
+    keys = ("day", "product", "member")
+    curve, plain = str(tmp_path / "curve"), str(tmp_path / "plain")
+    write_along_curve(rows, keys, "return_key", curve, file_bytes=12_000)
+    count = touched(spark, curve, "day", 0)[1]
+    clustered(rows, keys, "return_key").repartitionByRange(count, *keys).write.parquet(plain)
+    assert count > 20 and spark.read.parquet(curve).exceptAll(rows).count() == 0 == rows.exceptAll(spark.read.parquet(curve)).count()
+    for key in ("product", "member"):
+        assert touched(spark, curve, key, 250)[0] < 0.7 * touched(spark, plain, key, 250)[0]
+    assert touched(spark, curve, "day", 250)[0] < 0.5 * count
+
+
+def test_a_curve_takes_nulls_and_empty_tables(spark, tmp_path):
+    rows = spark.createDataFrame([(1, None, 2), (2, 5, None), (3, None, None)], "id long, a long, b long")
+    for i, frame in enumerate((rows, rows.where("false"))):
+        path = str(tmp_path / str(i))
+        write_along_curve(frame, ("a", "b"), "id", path)
+        assert sorted(r.id for r in spark.read.schema(rows.schema).parquet(path).collect()) == sorted(r.id for r in frame.collect())
