@@ -9,10 +9,12 @@ A token's probability mixes both: WEIGHT * c(pair) / c(first) + (1 - WEIGHT) *
 p(word), with the word's probability smoothed by adding a half; after a first word
 that was never seen it is p(word) alone.
 
-What is broadcast is bounded by ``SHARDS`` shards of fixed size. A filter of
-more shards takes more passes over the documents; each notes, a byte per token,
-the levels of the grams that its shards hold, and the last one adds up the
-score. No entry is left out, whatever the size.
+The filter is made of shards: a bucket of grams, which is a range of their hashes,
+is counted and put into its shard in one task, with as many bits as it needs. What
+is broadcast is bounded by ``PASS_BYTES``. A larger filter takes more passes over
+the documents; each notes, a byte per token, the levels of the grams that its
+shards hold, and the last one adds up the score. No entry is left out, whatever
+the size.
 
 The exact score by single words needs every word's exact count. Words that make
 up a ``HEAD``-th of all tokens or more, of which there can be ``HEAD`` at most,
@@ -44,8 +46,8 @@ STEP = 1.5
 WEIGHT = 0.2
 #: Entries' bits and probes in the filter.
 BITS, PROBES = 12, 6
-#: Bytes of a shard, and shards that one pass over the documents holds.
-SHARD_BYTES, SHARDS = 1 << 20, 64
+#: The most bytes of shards that one pass over the documents holds.
+PASS_BYTES = 96 << 20
 #: The most words that can be broadcast with their counts.
 HEAD = 100_000
 #: Tokens whose grams a task counts before it passes them on.
@@ -77,8 +79,7 @@ def _counter(buckets: int):
         for kind, grams in enumerate((kept, map(pairs_of, kept))):
             keys, counts = np.unique(np.concatenate(list(grams)), return_counts=True)
             # Keys are sorted, and a bucket is a range of them.
-            edges = np.searchsorted(keys, _edges(buckets))
-            edges = [0, *edges.tolist(), len(keys)]
+            edges = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1)).tolist()
             rows = [(b, s, e) for b, (s, e) in enumerate(zip(edges[:-1], edges[1:])) if e > s]
             counts = counts.astype("<u4")
             yield pa.RecordBatch.from_arrays(
@@ -107,31 +108,8 @@ def _counter(buckets: int):
     return count
 
 
-def _edges(buckets: int) -> np.ndarray:
-    return np.array([2**64 * b // buckets for b in range(1, buckets)], np.uint64)
-
-
-def _merge(table: pa.Table) -> pa.Table:
-    kind = table.column("kind")[0].as_py()
-    keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64)
-    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4")
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    total = np.add.reduceat(counts[order].astype(np.int64), new)
-    return pa.table({"kind": pa.array([kind] * len(new), pa.int32()), "hash": keys[new].view(np.int64), "n": total})
-
-
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """(kind, hash, n) of all words and pairs.
-
-    Every chunk of tokens hands on a gram once, so buckets are made for as many
-    entries as the texts have tokens, at ``BYTES_PER_TOKEN`` each; shorter tokens
-    only make buckets larger in proportion."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-size // (BYTES_PER_TOKEN * BUCKET)))
-    blocks = docs.mapInArrow(_counter(buckets), "kind int, bucket int, keys binary, counts binary")
-    return blocks.groupBy("kind", "bucket").applyInArrow(_merge, "kind int, hash long, n long")
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 def levels_of(n: np.ndarray) -> np.ndarray:
@@ -145,84 +123,110 @@ def count_at(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, (low + np.maximum(low, high)) / 2, 0.0)
 
 
-def _places(entries: np.ndarray) -> list[np.ndarray]:
-    """The entries' bits in a shard."""
-    bits = np.uint64(8 * SHARD_BYTES - 1)
-    first, step = mixed(entries), entries >> np.uint64(20) | np.uint64(1)
-    return [(first + np.uint64(i) * step) & bits for i in range(PROBES)]
+def _places(entries: np.ndarray, bits) -> list[np.ndarray]:
+    """The entries' bits in shards of that many bits."""
+    first, step = mixed(entries) >> np.uint64(1), entries >> np.uint64(20)
+    return [(first + np.uint64(i) * step) % bits for i in range(PROBES)]
 
 
 def _entries(kind: int, hashes: np.ndarray, level) -> np.ndarray:
     return mixed((hashes ^ SALTS[kind]) + np.asarray(level, np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def _shard(hashes: np.ndarray, shards: int) -> np.ndarray:
-    return (hashes >> np.uint64(17)) % np.uint64(shards)
-
-
-def _router(shards: tuple[int, int]):
-    """Grams by the shard that holds them."""
-
-    def route(batches):
-        for batch in batches:
-            kinds = batch.column("kind").to_numpy()
-            hashes = batch.column("hash").to_numpy().view(np.uint64)
-            level = levels_of(batch.column("n").to_numpy()).astype(np.uint8)
-            for kind in (0, 1):
-                mine = kinds == kind
-                h, q = hashes[mine], level[mine]
-                shard = _shard(h, shards[kind])
-                order = np.argsort(shard, kind="stable")
-                edges = np.searchsorted(shard[order], np.arange(shards[kind] + 1))
-                rows = [(s, a, b) for s, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([kind] * len(rows), pa.int32()),
-                        pa.array([s for s, *_ in rows], pa.int32()),
-                        pa.array([h[order[a:b]].tobytes() for _, a, b in rows], pa.binary()),
-                        pa.array([q[order[a:b]].tobytes() for _, a, b in rows], pa.binary()),
-                    ],
-                    ["kind", "shard", "hashes", "levels"],
-                )
-
-    return route
-
-
-def _fill(table: pa.Table) -> pa.Table:
-    kind, shard = table.column("kind")[0].as_py(), table.column("shard")[0].as_py()
-    hashes = np.frombuffer(b"".join(table.column("hashes").to_pylist()), np.uint64)
-    level = np.frombuffer(b"".join(table.column("levels").to_pylist()), np.uint8)
-    held = np.zeros(8 * SHARD_BYTES, bool)
+def shard_of(kind: int, hashes: np.ndarray, n: np.ndarray) -> bytes:
+    """A filter of the grams' levels, with ``BITS`` bits for each entry."""
+    level = levels_of(n)
+    size = 8 * max(1, -(-int(level.sum()) * BITS // 8))
+    held = np.zeros(size, bool)
     for q in range(1, int(level.max()) + 1):
-        for place in _places(_entries(kind, hashes[level >= q], q)):
-            held[place] = True
-    return pa.table({"kind": pa.array([kind], pa.int32()), "shard": pa.array([shard], pa.int32()), "bits": pa.array([np.packbits(held).tobytes()], pa.binary())})
+        for place in _places(_entries(kind, hashes[level >= q], q), np.uint64(size)):
+            held[place.astype(np.int64)] = True
+    return np.packbits(held).tobytes()
+
+
+_SHARDS = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("bits", pa.binary()), ("total", pa.int64()), ("grams", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+_SHARDS_SQL = "kind int, bucket int, bits binary, total long, grams long, keys binary, counts binary"
+
+
+def _merge(table: pa.Table) -> pa.Table:
+    """A bucket's grams counted over all blocks, and their shard. Words are handed
+    on with their counts; of pairs only the shard is left."""
+    kind, bucket = (table.column(c)[0].as_py() for c in ("kind", "bucket"))
+    keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64)
+    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4")
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    n, keys = np.add.reduceat(counts[order].astype(np.int64), new), keys[new]
+    words = (keys.tobytes(), n.tobytes()) if kind == 0 else (None, None)
+    row = kind, bucket, shard_of(kind, keys, n), int(n.sum()), len(keys), *words
+    return pa.Table.from_pylist([dict(zip(_SHARDS.names, row))], _SHARDS)
+
+
+def _unpack(batches):
+    for batch in batches:
+        for keys, counts in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(keys, np.int64)), pa.array(np.frombuffer(counts, np.int64))], ["hash", "n"])
+
+
+def filter_shards(docs: DataFrame) -> tuple[DataFrame, int]:
+    """A row for each bucket of words and of pairs, and the number of buckets.
+
+    Every chunk of tokens hands on a gram once, so buckets are made for as many
+    entries as the texts have tokens, at ``BYTES_PER_TOKEN`` each; shorter tokens
+    only make buckets larger in proportion."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // (BYTES_PER_TOKEN * BUCKET)))
+    blocks = docs.mapInArrow(_counter(buckets), "kind int, bucket int, keys binary, counts binary")
+    return stored(blocks.groupBy("kind", "bucket").applyInArrow(_merge, _SHARDS_SQL), "filter"), buckets
+
+
+def passes(largest: dict[int, int], buckets: int) -> list[list[tuple[int, int, int]]]:
+    """Ranges (kind, first, end) of buckets for each pass, by the largest shard of
+    a kind; shards of a kind hardly differ in size."""
+    out, left = [[]], PASS_BYTES
+    for kind in (0, 1):
+        first, most = 0, max(1, largest.get(kind, 1))
+        while first < buckets:
+            fit = left // most
+            if not fit and out[-1]:
+                out.append([])
+                left = PASS_BYTES
+                continue
+            end = min(buckets, first + max(1, fit))
+            out[-1].append((kind, first, end))
+            left -= (end - first) * most
+            first = end
+    return out
 
 
 class Shards:
     """Some of the filter's shards, and the levels of grams that lie in them."""
 
-    def __init__(self, held: list[tuple[int, int, bytes]], shards: tuple[int, int]):
-        self.shards = shards
-        self.slot = [np.full(n, -1, np.int64) for n in shards]
-        for i, (kind, shard, _) in enumerate(held):
-            self.slot[kind][shard] = i
-        self.bits = np.frombuffer(b"".join(b for *_, b in held), np.uint8)
+    def __init__(self, held, buckets: int, size: int):
+        """``held`` gives (kind, bucket, bits), ``size`` is their bytes."""
+        self.buckets = buckets
+        self.base, self.bits_of = (np.full((2, buckets), -1, np.int64), np.ones((2, buckets), np.uint64))
+        self.bits, end = np.zeros(size, np.uint8), 0
+        for kind, bucket, bits in held:
+            self.base[kind, bucket], self.bits_of[kind, bucket] = end, 8 * len(bits)
+            self.bits[end : end + len(bits)] = np.frombuffer(bits, np.uint8)
+            end += len(bits)
 
     def levels(self, kind: int, hashes: np.ndarray) -> np.ndarray:
         """Probes level after level, each time only what all levels before held."""
         level = np.zeros(len(hashes), np.int64)
-        slot = self.slot[kind][_shard(hashes, self.shards[kind])]
-        at = np.flatnonzero(slot >= 0)
-        base = slot[at] * SHARD_BYTES
+        bucket = bucket_of(hashes, self.buckets)
+        at = np.flatnonzero(self.base[kind][bucket] >= 0)
+        base, size = self.base[kind][bucket[at]], self.bits_of[kind][bucket[at]]
         q = 1
         while len(at):
             entries = _entries(kind, hashes[at], q)
-            first, step = mixed(entries), entries >> np.uint64(20) | np.uint64(1)
+            first, step = mixed(entries) >> np.uint64(1), entries >> np.uint64(20)
             for i in range(PROBES):
-                place = ((first + np.uint64(i) * step) & np.uint64(8 * SHARD_BYTES - 1)).astype(np.int64)
+                place = ((first + np.uint64(i) * step) % size).astype(np.int64)
                 hit = self.bits[base + (place >> 3)] >> (7 - (place & 7)).astype(np.uint8) & 1 > 0
-                at, base, first, step = at[hit], base[hit], first[hit], step[hit]
+                at, base, size, first, step = at[hit], base[hit], size[hit], first[hit], step[hit]
             level[at] = q
             q += 1
         return level
@@ -305,32 +309,26 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     spark = docs.sparkSession
     sc = spark.sparkContext
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    counts = stored(gram_counts(docs), "gram-counts")
-    words = counts.where("kind = 0").select("hash", "n")
-    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    shards, buckets = filter_shards(docs)
+    of_kind = {r.kind: r for r in shards.groupBy("kind").agg(F.sum("total").alias("total"), F.sum("grams").alias("grams"), F.max(F.octet_length("bits")).alias("most")).collect()}
+    total, distinct = (of_kind[0].total, of_kind[0].grams) if 0 in of_kind else (0, 0)
+    words = shards.where("kind = 0").select("keys", "counts").mapInArrow(_unpack, "hash long, n long")
     common = words.where(F.col("n") * HEAD >= total)
     head = Head([tuple(r) for r in common.collect()], total, distinct)
 
-    level = 1 + F.floor(F.log("n") / F.log(F.lit(STEP)))
-    entries = dict(counts.groupBy("kind").agg(F.sum(level)).collect())
-    shards = tuple(max(1, -(-(entries.get(k, 0) * BITS) // (8 * SHARD_BYTES))) for k in (0, 1))
-    routed = counts.mapInArrow(_router(shards), "kind int, shard int, hashes binary, levels binary")
-    bits = stored(routed.groupBy("kind", "shard").applyInArrow(_fill, "kind int, shard int, bits binary"), "filter")
-
     rows = docs.withColumn("row", F.xxhash64("doc_id", "text"))
-    every = [(kind, s) for kind in (0, 1) for s in range(shards[kind])]
-    passes = [every[i : i + SHARDS] for i in range(0, len(every), SHARDS)]
+    parts = passes({k: r.most for k, r in of_kind.items()}, buckets)
     common_words = sc.broadcast(head)
-    for part in passes:
+    for part in parts:
         wanted = F.lit(False)
-        for kind in {k for k, _ in part}:
-            numbers = [s for k, s in part if k == kind]
-            wanted = wanted | ((F.col("kind") == kind) & F.col("shard").between(min(numbers), max(numbers)))
-        held = {(k, s): bytes(b) for k, s, b in bits.where(wanted).collect()}
-        some = Shards([(*x, held.get(x, bytes(SHARD_BYTES))) for x in part], shards)
-        last = part is passes[-1]
+        for kind, start, end in part:
+            wanted = wanted | ((F.col("kind") == kind) & F.col("bucket").between(start, end - 1))
+        mine = shards.where(wanted).select("kind", "bucket", "bits")
+        size = mine.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0]
+        some = Shards(mine.toLocalIterator(), buckets, size)
+        last = part is parts[-1]
         sent = sc.broadcast(some)
-        scorer = _scorer(sent, common_words, part is passes[0], last)
+        scorer = _scorer(sent, common_words, part is parts[0], last)
         rows = stored(rows.mapInArrow(scorer, _ROWS + ("score double" if last else "text string, levels binary")), "scored")
         # The rows are written, so no task needs these shards again.
         sent.destroy()

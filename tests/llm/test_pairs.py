@@ -247,20 +247,14 @@ def test_filter_gives_quantised_counts():
     rng = np.random.default_rng(4)
     grams = rng.integers(0, 2**63, 5000, dtype=np.uint64)
     counts = np.maximum(1, (rng.pareto(1, 5000) * 3).astype(np.int64))
-    import pyarrow as pa
-
-    shards = (3, 2)
-    kinds = np.arange(5000) % 2
-    batch = pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(grams.view(np.int64)), pa.array(counts)], ["kind", "hash", "n"])
-    parts = defaultdict(list)
-    for routed in scoring_lm._router(shards)([batch]):
-        for row in routed.to_pylist():
-            parts[row["kind"], row["shard"]].append(row)
+    kinds, buckets = np.arange(5000) % 2, 7
+    bucket = scoring_lm.bucket_of(grams, buckets)
     held = []
-    for key, rows in parts.items():
-        out = scoring_lm._fill(pa.Table.from_pylist(rows, routed.schema)).to_pylist()[0]
-        held.append((*key, out["bits"]))
-    some = scoring_lm.Shards(held, shards)
+    for kind in (0, 1):
+        for b in np.unique(bucket):
+            mine = (kinds == kind) & (bucket == b)
+            held.append((kind, int(b), scoring_lm.shard_of(kind, grams[mine], counts[mine])))
+    some = scoring_lm.Shards(held, buckets, sum(len(bits) for *_, bits in held))
     for kind in (0, 1):
         mine = kinds == kind
         assert (some.levels(kind, grams[mine]) == scoring_lm.levels_of(counts[mine])).mean() > 0.99
@@ -269,9 +263,12 @@ def test_filter_gives_quantised_counts():
 
 def test_pairs_that_occur_once_are_in_the_model(documents, prose):
     rows = [(i, prose(i, 40)) for i in range(20) if zlib.crc32(str(i).encode()) % 5 != 1]
-    counts = {(r.kind, r.hash): r.n for r in scoring_lm.gram_counts(documents(rows)).collect()}
-    pairs = Counter(p for _, t in rows for p in scoring_lm.pairs_of(scoring_lm.tokens(t)).view(np.int64).tolist())
-    assert {h: n for (kind, h), n in counts.items() if kind} == pairs and 1 in pairs.values()
+    shards, buckets = scoring_lm.filter_shards(documents(rows))
+    pairs = Counter(p for _, t in rows for p in scoring_lm.pairs_of(scoring_lm.tokens(t)).tolist())
+    found = shards.where("kind = 1").collect()
+    assert sum(r.grams for r in found) == len(pairs) and sum(r.total for r in found) == sum(pairs.values()) and 1 in pairs.values()
+    some = scoring_lm.Shards([(r.kind, r.bucket, r.bits) for r in found], buckets, sum(len(r.bits) for r in found))
+    assert (some.levels(1, np.array(list(pairs), np.uint64)) >= scoring_lm.levels_of(np.array(list(pairs.values())))).all()
     # A held-out text of such pairs scores better than its words in another order.
     held = [i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
     words = rows[0][1].split()
@@ -280,8 +277,10 @@ def test_pairs_that_occur_once_are_in_the_model(documents, prose):
 
 
 def test_more_passes_give_the_same_scores(documents, corpus, monkeypatch):
+    monkeypatch.setattr(scoring_lm, "BUCKET", 400)
     one = Counter((r.doc_id, round(r.score, 9)) for r in scoring_lm.scores(documents(corpus)).collect())
-    monkeypatch.setattr(scoring_lm, "SHARDS", 1)
+    monkeypatch.setattr(scoring_lm, "PASS_BYTES", 300)
+    assert len(scoring_lm.passes({0: 200, 1: 200}, 5)) == 10 and scoring_lm.passes({}, 1) == [[(0, 0, 1), (1, 0, 1)]]
     more = Counter((r.doc_id, round(r.score, 9)) for r in scoring_lm.scores(documents(corpus)).collect())
     assert one == more
 
