@@ -277,10 +277,10 @@ def test_pairs_that_occur_once_are_in_the_model(documents, prose):
 
 
 def test_more_passes_give_the_same_scores(documents, corpus, monkeypatch):
-    monkeypatch.setattr(scoring_lm, "BUCKET", 400)
+    monkeypatch.setattr(scoring_lm, "BUCKET", 4000)
     one = Counter((r.doc_id, round(r.score, 9)) for r in scoring_lm.scores(documents(corpus)).collect())
-    monkeypatch.setattr(scoring_lm, "PASS_BYTES", 300)
-    assert len(scoring_lm.passes({0: 200, 1: 200}, 5)) == 10 and scoring_lm.passes({}, 1) == [[(0, 0, 1), (1, 0, 1)]]
+    monkeypatch.setattr(scoring_lm, "PASS_BYTES", 10_000)
+    assert len(scoring_lm.passes({0: 6000, 1: 6000}, 5)) == 10 and scoring_lm.passes({}, 1) == [[(0, 0, 1), (1, 0, 1)]]
     more = Counter((r.doc_id, round(r.score, 9)) for r in scoring_lm.scores(documents(corpus)).collect())
     assert one == more
 
