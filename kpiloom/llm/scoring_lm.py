@@ -45,9 +45,9 @@ STEP = 1.5
 #: Weight of pairs against single words.
 WEIGHT = 0.2
 #: Entries' bits and probes in the filter.
-BITS, PROBES = 12, 6
+BITS, PROBES = 11, 6
 #: The most bytes of shards that one pass over the documents holds.
-PASS_BYTES = 96 << 20
+PASS_BYTES = 144 << 20
 #: The most words that can be broadcast with their counts.
 HEAD = 100_000
 #: Tokens whose grams a task counts before it passes them on.
