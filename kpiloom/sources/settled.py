@@ -8,11 +8,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.session import shared_base
+from kpiloom.session import shared_base, small_tasks
 from kpiloom.sources import files
 
 #: Bytes of source for each file written.
-FILE_BYTES = 128 << 20
+FILE_BYTES = 32 << 20
 
 
 def source_state(source: DataFrame, path: str) -> tuple[str, int]:
@@ -44,7 +44,8 @@ def settled(source: DataFrame, path: str, name: str, build: Callable[[int], Data
     if not files.exists(spark, f"{table}/_SUCCESS"):
         own = f"{final}-{uuid.uuid4().hex}"
         parallel = spark.sparkContext.defaultParallelism
-        build(max(parallel, -(-size // FILE_BYTES))).write.parquet(f"{own}/{name}.parquet")
+        with small_tasks(spark, size):
+            build(max(parallel, -(-size // FILE_BYTES))).write.parquet(f"{own}/{name}.parquet")
         # Should another job have been faster, its table stays.
         if not files.move(spark, own, final):
             files.remove(spark, own)
