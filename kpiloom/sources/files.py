@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+#: How whole tables are packed that are written on the way.
+CODEC = "zstd"
+
 
 def located(spark: SparkSession, path: str):
     """Hadoop's path object and its file system."""

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from kpiloom.session import small_tasks
 from kpiloom.sources import files
 
 BUCKET = "_bucket"
@@ -34,10 +35,17 @@ class Manifest:
     schema: StructType = field(default_factory=StructType)
     #: What writers left beside the rows they wrote, by batch.
     batches: dict[str, dict[str, int]] = field(default_factory=dict)
+    #: Generations taken in but not settled yet, by bucket, and their batches. No
+    #: reader sees either.
+    waiting: dict[int, list[str]] = field(default_factory=dict)
+    waiting_batches: dict[str, dict[str, int]] = field(default_factory=dict)
 
     @property
     def generations(self) -> set[str]:
-        return {g for of_bucket in self.buckets.values() for g in of_bucket}
+        return {g for held in (self.buckets, self.waiting) for of_bucket in held.values() for g in of_bucket}
+
+    def has(self, batch: str) -> bool:
+        return batch in self.batches or batch in self.waiting_batches
 
 
 class VersionedTable:
@@ -62,10 +70,13 @@ class VersionedTable:
             {int(b): g for b, g in held["buckets"].items()},
             StructType.fromJson(held["schema"]),
             held["batches"],
+            {int(b): g for b, g in held.get("waiting", {}).items()},
+            held.get("waiting_batches", {}),
         )
 
     def _commit(self, manifest: Manifest) -> None:
         state = {"buckets": manifest.buckets, "schema": manifest.schema.jsonValue(), "batches": manifest.batches}
+        state |= {"waiting": manifest.waiting, "waiting_batches": manifest.waiting_batches}
         own = f"{self.path}/_manifests/{uuid.uuid4().hex}.tmp"
         files.write_text(self.spark, own, json.dumps(state))
         if not files.move(self.spark, own, self._manifest_path(manifest.number + 1)):
@@ -97,14 +108,22 @@ class VersionedTable:
 
     # -- writing -----------------------------------------------------------
 
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """Rows with their bucket."""
+        return rows.withColumn(BUCKET, self.bucket.cast("int"))
+
+    def _write(self, placed: DataFrame) -> tuple[str, list[int]]:
+        """Rows with their bucket as a generation of their own, and its buckets."""
+        generation = f"generation-{uuid.uuid4().hex}"
+        placed.write.option("compression", files.CODEC).partitionBy(BUCKET).parquet(f"{self.path}/{generation}")
+        names = files.names(self.spark, f"{self.path}/{generation}")
+        return generation, [int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}=")]
+
     def _stage(self, rows: DataFrame) -> tuple[str, DataFrame, list[int]]:
         """Rows written once as a generation of their own, read again, and their
         buckets."""
-        generation = f"generation-{uuid.uuid4().hex}"
-        schema = rows.schema
-        rows.withColumn(BUCKET, self.bucket.cast("int")).write.partitionBy(BUCKET).parquet(f"{self.path}/{generation}")
-        found = [int(n.split("=")[1]) for n in files.names(self.spark, f"{self.path}/{generation}") if n.startswith(f"{BUCKET}=")]
-        staged = Manifest(buckets={b: [generation] for b in found}, schema=schema)
+        generation, found = self._write(self.placed(rows))
+        staged = Manifest(buckets={b: [generation] for b in found}, schema=rows.schema)
         return generation, self._rows(staged), found
 
     def append(self, rows: DataFrame, batch: str | None = None, note: Callable[[], dict[str, int]] | None = None) -> None:
@@ -135,19 +154,63 @@ class VersionedTable:
         present = self._rows(replace(before, schema=_widened(before.schema, fresh.schema)), found).drop(BUCKET)
         settled = settle(present, fresh)
         # Rebalancing splits a bucket that has become too large for one file.
-        generation = f"generation-{uuid.uuid4().hex}"
-        placed = settled.withColumn(BUCKET, self.bucket.cast("int"))
-        placed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/{generation}")
-        left = [int(n.split("=")[1]) for n in files.names(self.spark, f"{self.path}/{generation}") if n.startswith(f"{BUCKET}=")]
+        generation, left = self._write(self.placed(settled).hint("rebalance", BUCKET))
         buckets = {b: g for b, g in before.buckets.items() if b not in found} | {b: [generation] for b in left}
         self._finish(before, buckets, settled.schema, batch, note)
         files.remove(self.spark, f"{self.path}/{staged_at}")
 
+    def take(
+        self,
+        rows: DataFrame,
+        one_per_key: Callable[[DataFrame], DataFrame],
+        batch: str,
+        note: Callable[[], dict[str, int]],
+    ) -> None:
+        """Takes in a batch for ``settle``, which has to come after the last one.
+
+        The first batch of a table is settled at once. A later one only waits, as
+        it came, and so however many batches there are, each row is written once
+        while they come and once when they are settled.
+        """
+        before = self.manifest()
+        if before.has(batch):
+            return
+        if not (before.buckets or before.waiting):
+            generation, found = self._write(one_per_key(self.placed(rows)))
+            self._finish(before, {b: [generation] for b in found}, rows.schema, batch, note)
+            return
+        generation, found = self._write(self.placed(rows))
+        waiting = before.waiting | {b: [*before.waiting.get(b, []), generation] for b in found}
+        notes = before.waiting_batches | {batch: note()}
+        self._commit(replace(before, schema=_widened(before.schema, rows.schema), waiting=waiting, waiting_batches=notes))
+
+    def settle(self, one_per_key: Callable[[DataFrame], DataFrame]) -> None:
+        """Replaces the buckets that waiting rows fall into by one row per key of
+        what they hold and what waits for them, all in one go."""
+        before = self.manifest()
+        if not before.waiting_batches:
+            return
+        held = {b: [*before.buckets.get(b, []), *g] for b, g in before.waiting.items()}
+        buckets = before.buckets
+        if held:
+            rows = self._rows(replace(before, buckets=held))
+            with small_tasks(self.spark, self._size(held)):
+                generation, left = self._write(one_per_key(rows))
+            buckets = {b: g for b, g in buckets.items() if b not in held} | {b: [generation] for b in left}
+        batches = before.batches | before.waiting_batches
+        self._commit(Manifest(before.number, buckets, before.schema, batches))
+        for waited in {g for of_bucket in before.waiting.values() for g in of_bucket}:
+            files.remove(self.spark, f"{self.path}/{waited}")
+
+    def _size(self, buckets: dict[int, list[str]]) -> int:
+        """Stored bytes of some generations' buckets."""
+        return sum(files.size(self.spark, f"{self.path}/{g}/{BUCKET}={b}") for b, of in buckets.items() for g in of)
+
     def _finish(self, before: Manifest, buckets, schema: StructType, batch, note) -> None:
         batches = dict(before.batches)
         if batch is not None:
             batches[batch] = note() if note else {}
-        self._commit(Manifest(before.number, buckets, _widened(before.schema, schema), batches))
+        self._commit(replace(before, buckets=buckets, schema=_widened(before.schema, schema), batches=batches))
 
     def tidy(self) -> None:
         """Removes the generations that no manifest needs: those of earlier states

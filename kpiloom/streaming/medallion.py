@@ -7,14 +7,15 @@ used up (``availableNow``), and resume from their checkpoint.
 
 Dedup has three forms, as a copy may arrive at any time:
 
-``batch``     Each micro-batch is cut to one row per key, chosen before the
-              shuffle in every task, and merged into the key buckets it falls
-              into: of a key's old and new row the first counts, in one total
-              order, so the result does not depend on how files fell into
-              batches. Neighbouring keys share a bucket, so a delivery of recent
-              keys rewrites few, and readers rank nothing. Rows, and how many
-              broke which expectation, are committed as one, and a retried
-              batch changes neither. The default.
+``batch``     The micro-batches of a run are taken in as they come, and then cut
+              to one row per key all at once, with the rows of the key buckets
+              they fall into: of a key's old and new rows the first counts, in
+              one total order, so the result does not depend on how files fell
+              into batches, and what a run writes not on their number.
+              Neighbouring keys share a bucket, so a delivery of recent keys
+              rewrites few, and readers rank nothing. Rows, and how many broke
+              which expectation, are committed as one, and a retried batch
+              changes neither. The default.
 ``stateful``  Spark's streaming ``dropDuplicates``; every key stays in state,
               which therefore lives in RocksDB rather than on the heap.
 ``watermark`` The same with state bounded by a delay, for copies that only
@@ -33,9 +34,11 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from kpiloom.operators.joins import first_per_key
+from kpiloom.session import small_tasks
+from kpiloom.sources import files
 from kpiloom.sources.sinks import write_gold
 from kpiloom.sources.star import LINE_ORDER, PRODUCT_CLASSES, SUBSCRIPTION_EVENTS, TABLE_KEYS
-from kpiloom.sources.versioned import VersionedTable
+from kpiloom.sources.versioned import BUCKET, VersionedTable
 
 OBSERVED = "expectations"
 #: Buckets of a silver table, and how many neighbouring keys share one.
@@ -104,10 +107,12 @@ def _checked(frame: DataFrame, name: str, observation: Observation | str) -> Dat
 
 
 def one_per_key(frame: DataFrame, name: str) -> DataFrame:
-    """The first copy of each business key, in an order of the rows' own values."""
+    """The first copy of each business key, in an order of the rows' own values.
+    Rows that have their bucket are left sorted by it."""
     first = [c for c in LINE_ORDER if name == "fact_order_line"]
     order = dict.fromkeys((*first, *(c for c in frame.columns if not c.startswith("_"))))
-    return first_per_key(frame, [TABLE_KEYS[name]], *order, "_ingest_ts")
+    bucket = [c for c in frame.columns if c == BUCKET]
+    return first_per_key(frame, [*bucket, TABLE_KEYS[name]], *order, "_ingest_ts")
 
 
 def quality_report(frame: DataFrame, name: str) -> DataFrame:
@@ -175,13 +180,14 @@ class Medallion:
 
     def land(self, frame: DataFrame, name: str) -> None:
         """Drop another batch of raw files."""
-        frame.write.mode("append").parquet(self.path("landing", name))
+        frame.write.mode("append").option("compression", files.CODEC).parquet(self.path("landing", name))
 
     def _run(self, stream: DataFrame, layer: str, name: str) -> StreamingQuery:
         query = (
             stream.writeStream.format("parquet")
             .outputMode("append")
             .option("checkpointLocation", self.path("checkpoints", f"{layer}-{name}"))
+            .option("compression", files.CODEC)
             .trigger(availableNow=True)
             .start(self.path(layer, name))
         )
@@ -236,24 +242,27 @@ class Medallion:
         return VersionedTable(self.spark, self.path("silver", name), F.pmod(F.xxhash64(run), F.lit(BUCKETS)))
 
     def _refine_by_batch(self, stream: DataFrame, name: str) -> dict[str, int]:
-        target = self.silver(name)
+        target, size = self.silver(name), files.size(self.spark, self.path("bronze", name))
         before = set(target.manifest().batches)
 
-        def settle(present: DataFrame, fresh: DataFrame) -> DataFrame:
-            return one_per_key(present.unionByName(fresh, allowMissingColumns=True), name)
+        def settled(rows: DataFrame) -> DataFrame:
+            return one_per_key(rows, name)
 
         def write(batch: DataFrame, batch_id: int) -> None:
             seen = Observation()
-            rows = one_per_key(_checked(batch, name, seen), name)
-            target.merge(rows, settle, str(batch_id), lambda: seen.get)
-
-        query = (
-            stream.writeStream.foreachBatch(write)
-            .option("checkpointLocation", self.path("checkpoints", f"silver-{name}"))
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
+            # The stream keeps the number of partitions it once began with.
+            with small_tasks(batch.sparkSession, size):
+                target.take(_checked(batch, name, seen), settled, str(batch_id), lambda: seen.get)
+
+        with small_tasks(self.spark, size):
+            query = (
+                stream.writeStream.foreachBatch(write)
+                .option("checkpointLocation", self.path("checkpoints", f"silver-{name}"))
+                .trigger(availableNow=True)
+                .start()
+            )
+            query.awaitTermination()
+        target.settle(settled)
         return summed(counts for batch, counts in target.manifest().batches.items() if batch not in before)
 
     def broken(self, name: str) -> dict[str, int]:
