@@ -22,7 +22,7 @@ from kpiloom.plans.stored_rollups import Rollup
 from kpiloom.plans.semantic import Measure, MetricView, WindowOver, relationship_report
 from kpiloom.session import shared_dir
 from kpiloom.sources import answers as logs
-from kpiloom.sources import projections, sinks
+from kpiloom.sources import files, projections, sinks
 from kpiloom.sources.generator import Generator, Signals, sample_returns
 from kpiloom.sources.sinks import write_gold
 from kpiloom.sources.star import GoldStar, RetailStar
@@ -484,7 +484,8 @@ def _expectations(star: RetailStar) -> DataFrame:
 def _clustered_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     """Order lines through the clustered layout, read back for one month."""
     star, path = RetailStar(spark, root), shared_dir(spark, "clustered")
-    write_gold(star.fact_order_line(), "fact_order_line", f"{path}/fact_order_line")
+    size = files.size(spark, f"{star.root}/lineitem.parquet")
+    write_gold(star.fact_order_line(), "fact_order_line", f"{path}/fact_order_line", size=size)
     gold = GoldStar(spark, path, star.calendar)
     return kpis.revenue_last_fiscal_month(gold, SETTINGS.as_of)
 
@@ -493,7 +494,8 @@ def _curve_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     """Order lines along a curve through day, product and member, read back for
     some products of all days."""
     star, path = RetailStar(spark, root), shared_dir(spark, "curve-gold")
-    write_gold(star.fact_order_line(), "fact_order_line", f"{path}/fact_order_line", layout="curve")
+    size = files.size(spark, f"{star.root}/lineitem.parquet")
+    write_gold(star.fact_order_line(), "fact_order_line", f"{path}/fact_order_line", layout="curve", size=size)
     lines = GoldStar(spark, path, star.calendar).lines("product_key", "line_status", kpis.NET)
     some = lines.where(F.col("product_key").between(100, 150) & (F.col("line_status") == "FULFILLED"))
     return presented(some.groupBy("product_key").agg(F.count(F.lit(1)).alias("n_lines"), money_sum(kpis.NET).alias("revenue")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.session import shared_dir
+from kpiloom.session import shared_dir, small_tasks
 from kpiloom.sources import files
 from kpiloom.sources.star import CLUSTER_KEYS, TABLE_KEYS
 from kpiloom.sources.versioned import VersionedTable
@@ -70,14 +70,16 @@ def write_along_curve(frame: DataFrame, keys: tuple[str, ...], unique: str, path
     files.remove(spark, stage)
 
 
-def write_gold(frame: DataFrame, name: str, path: str, layout: str = "first_key") -> None:
+def write_gold(frame: DataFrame, name: str, path: str, layout: str = "first_key", size: int = 0) -> None:
     """Write a gold table in the layout its readers prune on: by its first key,
     then the others, or along a ``curve`` through all of them, which serves filters
-    on any key and costs those on the first one some of their sharpness."""
+    on any key and costs those on the first one some of their sharpness. Tasks
+    follow the ``size`` in bytes of what the frame reads."""
     keys = CLUSTER_KEYS.get(name)
-    if keys and layout == "curve":
-        return write_along_curve(frame, keys, TABLE_KEYS[name], path)
-    overwrite(clustered(frame, keys, TABLE_KEYS[name]) if keys else frame, path)
+    with small_tasks(frame.sparkSession, size):
+        if keys and layout == "curve":
+            return write_along_curve(frame, keys, TABLE_KEYS[name], path)
+        overwrite(clustered(frame, keys, TABLE_KEYS[name]) if keys else frame, path)
 
 
 def runs_table(spark: SparkSession, path: str) -> VersionedTable:

@@ -273,7 +273,7 @@ class Medallion:
     def publish(self, name: str) -> None:
         """Silver to gold, as a clustered snapshot."""
         silver = self.table("silver", name).drop("_ingest_ts")
-        write_gold(silver, name, self.path("gold", name))
+        write_gold(silver, name, self.path("gold", name), size=files.size(self.spark, self.path("silver", name)))
 
     def build(self, name: str, dedup: str = "batch") -> DataFrame:
         """One table through all layers; returns gold."""

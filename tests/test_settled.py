@@ -5,6 +5,7 @@ import pytest
 from kpiloom import session
 from kpiloom.session import small_tasks
 from kpiloom.sources.settled import settled, source_state
+from kpiloom.sources.sinks import write_gold
 
 SPLIT, PARTS = "spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions"
 
@@ -32,3 +33,10 @@ def test_settings_come_back_after_an_error(spark):
         assert int(spark.conf.get(PARTS)) == (1 << 40) // session.TASK_BYTES
         raise KeyError
     assert [spark.conf.get(k) for k in (SPLIT, PARTS)] == before
+
+
+def test_gold_is_ranged_in_tasks_that_follow_its_source(spark, tmp_path, many_partitions):
+    rows = spark.range(20_000).selectExpr("id AS return_key", "id * 7919 % 1000 AS return_date_key")
+    path = str(tmp_path / "fact_return")
+    write_gold(rows, "fact_return", path, size=10 * session.TASK_BYTES)
+    assert len(spark.read.parquet(path).inputFiles()) == 10 > int(spark.conf.get(PARTS))
