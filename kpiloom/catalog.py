@@ -20,7 +20,7 @@ from kpiloom.plans import calendar_load, costs, kpis, measure_sql, metric_views,
 from kpiloom.plans.costs import Span
 from kpiloom.plans.stored_rollups import Rollup
 from kpiloom.plans.semantic import Measure, MetricView, WindowOver, relationship_report
-from kpiloom.session import shared_dir
+from kpiloom.session import TASK_BYTES, shared_dir, small_tasks
 from kpiloom.sources import answers as logs
 from kpiloom.sources import files, projections, sinks
 from kpiloom.sources.generator import Generator, Signals, sample_returns
@@ -449,13 +449,25 @@ def rollup_queries() -> dict[str, Query]:
 # -- ingest, sinks, generator ------------------------------------------------------
 
 
+def _bytes(star: RetailStar, table: str) -> int:
+    return files.size(star.spark, f"{star.root}/{table}.parquet")
+
+
 def _delivered_twice(star: RetailStar, lake: Medallion, name: str, frame: DataFrame, dedup: str) -> DataFrame:
     """A table through the medallion after its files landed twice."""
-    lake.land(frame, name)
-    lake.land(frame, name)
+    with small_tasks(star.spark, _bytes(star, "lineitem")):
+        lake.land(frame, name)
+        lake.land(frame, name)
     return lake.build(name, dedup)
 
 
+def _land_in_four(star: RetailStar, lake: Medallion, name: str, rows: DataFrame, source: str) -> None:
+    """At least four files; rows that are few are shuffled for it."""
+    size = _bytes(star, source)
+    with small_tasks(star.spark, size):
+        lake.land(rows.coalesce(4) if size > 4 * TASK_BYTES else rows.repartition(4), name)
+
+
 def _silver(name: str, table: Callable[[RetailStar], DataFrame], dedup: str) -> Query:
     def run(spark: SparkSession, root: str) -> DataFrame:
         star, lake = RetailStar(spark, root), Medallion(spark, shared_dir(spark, "medallion"))
@@ -467,7 +479,8 @@ def _silver(name: str, table: Callable[[RetailStar], DataFrame], dedup: str) ->
 def _revenue_from_gold(spark: SparkSession, root: str) -> DataFrame:
     star, lake = RetailStar(spark, root), Medallion(spark, shared_dir(spark, "medallion"))
     for name in ("dim_geo", "fact_order_line"):
-        lake.land(star.table("bronze_order_line" if name == "fact_order_line" else name), name)
+        with small_tasks(spark, _bytes(star, "lineitem")):
+            lake.land(star.table("bronze_order_line" if name == "fact_order_line" else name), name)
         lake.build(name)
     gold = GoldStar(spark, f"{lake.root}/gold", star.calendar)
     return kpis.revenue_by_region_last_quarter(gold, SETTINGS.as_of)
@@ -484,8 +497,7 @@ def _expectations(star: RetailStar) -> DataFrame:
 def _clustered_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     """Order lines through the clustered layout, read back for one month."""
     star, path = RetailStar(spark, root), shared_dir(spark, "clustered")
-    size = files.size(spark, f"{star.root}/lineitem.parquet")
-    write_gold(star.fact_order_line(), "fact_order_line", f"{path}/fact_order_line", size=size)
+    write_gold(star.fact_order_line(), "fact_order_line", f"{path}/fact_order_line", size=_bytes(star, "lineitem"))
     gold = GoldStar(spark, path, star.calendar)
     return kpis.revenue_last_fiscal_month(gold, SETTINGS.as_of)
 
@@ -494,7 +506,7 @@ def _curve_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     """Order lines along a curve through day, product and member, read back for
     some products of all days."""
     star, path = RetailStar(spark, root), shared_dir(spark, "curve-gold")
-    size = files.size(spark, f"{star.root}/lineitem.parquet")
+    size = _bytes(star, "lineitem")
     write_gold(star.fact_order_line(), "fact_order_line", f"{path}/fact_order_line", layout="curve", size=size)
     lines = GoldStar(spark, path, star.calendar).lines("product_key", "line_status", kpis.NET)
     some = lines.where(F.col("product_key").between(100, 150) & (F.col("line_status") == "FULFILLED"))
@@ -548,14 +560,13 @@ def _counted_in_stream(spark: SparkSession, root: str) -> DataFrame:
     spark.conf.set(history, "2")
     try:
         counts = {}
-        for name, rows in {
-            "fact_subscription_event": star.bronze_subscription_event(),
-            # An order without a price has no measure.
-            "fact_order_line": star.bronze_order_line().withColumn(
-                "net_recognized_amount", F.when(F.col("order_key") % 50 != 0, F.col("net_recognized_amount"))
-            ),
-        }.items():
-            lake.land(rows.repartition(4), name)
+        # An order without a price has no measure.
+        priced = F.when(F.col("order_key") % 50 != 0, F.col("net_recognized_amount"))
+        for name, source, rows in (
+            ("fact_subscription_event", "events", star.bronze_subscription_event()),
+            ("fact_order_line", "lineitem", star.bronze_order_line().withColumn("net_recognized_amount", priced)),
+        ):
+            _land_in_four(star, lake, name, rows, source)
             lake.MAX_BYTES = 1
             lake.ingest(name)
             lake.refine(name)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-#: How whole tables are packed that are written on the way.
-CODEC = "zstd"
+#: How whole tables are packed that are written on the way. A file can be read by
+#: as many tasks as it has blocks.
+PACKED = {"compression": "zstd", "parquet.block.size": str(16 << 20)}
 
 
 def located(spark: SparkSession, path: str):

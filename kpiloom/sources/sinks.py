@@ -17,7 +17,7 @@ CURVE_BITS, FILE_BYTES = 6, 128 << 20
 
 def overwrite(frame: DataFrame, path: str) -> None:
     """Replace a table with its schema."""
-    frame.write.mode("overwrite").option("compression", files.CODEC).parquet(path)
+    frame.write.mode("overwrite").options(**files.PACKED).parquet(path)
 
 
 def clustered(frame: DataFrame, keys: tuple[str, ...], unique: str) -> DataFrame:

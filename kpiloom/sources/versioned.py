@@ -115,7 +115,7 @@ class VersionedTable:
     def _write(self, placed: DataFrame) -> tuple[str, list[int]]:
         """Rows with their bucket as a generation of their own, and its buckets."""
         generation = f"generation-{uuid.uuid4().hex}"
-        placed.write.option("compression", files.CODEC).partitionBy(BUCKET).parquet(f"{self.path}/{generation}")
+        placed.write.options(**files.PACKED).partitionBy(BUCKET).parquet(f"{self.path}/{generation}")
         names = files.names(self.spark, f"{self.path}/{generation}")
         return generation, [int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}=")]
 

@@ -179,15 +179,16 @@ class Medallion:
         return f"{self.root}/{layer}/{name}"
 
     def land(self, frame: DataFrame, name: str) -> None:
-        """Drop another batch of raw files."""
-        frame.write.mode("append").option("compression", files.CODEC).parquet(self.path("landing", name))
+        """Drop another batch of raw files, in blocks of the usual size: each makes
+        a file of bronze."""
+        frame.write.mode("append").option("compression", files.PACKED["compression"]).parquet(self.path("landing", name))
 
     def _run(self, stream: DataFrame, layer: str, name: str) -> StreamingQuery:
         query = (
             stream.writeStream.format("parquet")
             .outputMode("append")
             .option("checkpointLocation", self.path("checkpoints", f"{layer}-{name}"))
-            .option("compression", files.CODEC)
+            .options(**files.PACKED)
             .trigger(availableNow=True)
             .start(self.path(layer, name))
         )

@@ -71,3 +71,18 @@ def test_a_run_that_dies_before_settling_is_settled_by_the_next(spark, lake, mon
     table = lake.silver(NAME)
     table.tidy()
     assert lake.table("silver", NAME).count() == 180
+
+
+def test_large_tables_land_in_four_files_without_a_shuffle(spark, star, tmp_path, monkeypatch):
+    from kpiloom import catalog
+
+    partitions = []
+    monkeypatch.setattr(Medallion, "land", lambda self, frame, name: partitions.append((frame.rdd.getNumPartitions(), frame)))
+    rows = spark.range(100, numPartitions=8)
+    for least in (0, 1 << 40):
+        monkeypatch.setattr(catalog, "TASK_BYTES", least)
+        catalog._land_in_four(star, Medallion(spark, str(tmp_path)), NAME, rows, "lineitem")
+    (large, moved), (small, dealt) = partitions
+    assert large == small == 4
+    texts = [f._jdf.queryExecution().executedPlan().toString() for f in (moved, dealt)]
+    assert "Exchange" not in texts[0] and "Exchange" in texts[1]
