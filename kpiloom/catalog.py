@@ -597,7 +597,7 @@ def _stored_sales(*keys: str) -> Query:
         facts = facts.join(star.dim_geo().select("geo_key", "region_name"), "geo_key", "left")
         facts = facts.join(star.dim_product().select("product_key", "product_class"), "product_key", "left")
         rollup = Rollup(shared_dir(spark, "sales-rollup"), stored_by, (kpis.NET,), ("member_key", "order_key"))
-        rollup.write(facts)
+        rollup.write(facts, _bytes(star, "lineitem"))
         return presented(rollup.read(spark, keys))
 
     return run

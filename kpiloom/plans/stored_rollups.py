@@ -1,9 +1,11 @@
 """Rollups stored at a fine grain, from which any coarser one is answered.
 
 Sums and counts add up. Distinct counts are kept as bitmaps: a counted column's
-values fall into buckets of consecutive numbers, each with one bit per value, and
-the bitmaps of a coarser group are those of its parts or-ed together, so counts
-stay exact however often they are rolled up. Percentiles are kept as mergeable
+values fall into buckets of 64 consecutive numbers, each a long with one bit per
+value, and the bitmaps of a coarser group are those of its parts or-ed together, so
+counts stay exact however often they are rolled up. Keys that are spread thinly over
+the groups take a few bytes each, where wide bitmaps would be empty for the most
+part and fill a task's memory with zeros. Percentiles are kept as mergeable
 quantile sketches. What is stored grows with the groups and, for bitmaps, with the
 buckets that their values touch, not with the facts.
 """
@@ -17,10 +19,13 @@ from pyspark.sql import functions as F
 
 from kpiloom.operators.aggregates import as_double
 from kpiloom.plans.scoring import ANSWER_KEY
+from kpiloom.session import small_tasks
 from kpiloom.sources.sinks import overwrite
 
 #: Size of a quantile sketch: ranks are off by about 1.7 / SKETCH**0.9 at most.
 SKETCH = 400
+#: Values of a bitmap, as a power of two: those of a long.
+BITS = 6
 
 
 @dataclass(frozen=True)
@@ -33,20 +38,22 @@ class Rollup:
     sums: tuple[str, ...] = ()
     counted: tuple[str, ...] = ()
 
-    def write(self, frame: DataFrame) -> None:
+    def write(self, frame: DataFrame, size: int = 0) -> None:
         """Folds the facts; ``frame`` has the keys and columns that the rollup names.
 
         The counted columns share one pass: every value goes to its own column's
         bucket, where the bits of a task's rows are combined before they move.
+        Tasks follow the ``size`` in bytes of what the frame reads.
         """
         sums = [F.sum(c).alias(c) for c in self.sums]
-        overwrite(frame.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n_rows"), *sums), f"{self.path}/sums")
-        if self.counted:
-            values = F.explode(F.array(*[F.struct(F.lit(c).alias("counted"), F.col(c).cast("long").alias("value")) for c in self.counted]))
-            rows = frame.select(*self.keys, values.alias("v")).where("v.value is not null")
-            bits = F.bitmap_construct_agg(F.bitmap_bit_position("v.value")).alias("bits")
-            bucket = F.bitmap_bucket_number("v.value").alias("bucket")
-            overwrite(rows.groupBy(*self.keys, F.col("v.counted").alias("counted"), bucket).agg(bits), f"{self.path}/bitmaps")
+        with small_tasks(frame.sparkSession, size):
+            overwrite(frame.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n_rows"), *sums), f"{self.path}/sums")
+            if self.counted:
+                values = F.explode(F.array(*[F.struct(F.lit(c).alias("counted"), F.col(c).cast("long").alias("value")) for c in self.counted]))
+                rows = frame.select(*self.keys, values.alias("v")).where("v.value is not null")
+                bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("v.value").bitwiseAND(F.lit((1 << BITS) - 1)).cast("int"))).alias("bits")
+                bucket = F.shiftright("v.value", BITS).alias("bucket")
+                overwrite(rows.groupBy(*self.keys, F.col("v.counted").alias("counted"), bucket).agg(bits), f"{self.path}/bitmaps")
 
     def read(self, spark, keys: tuple[str, ...]) -> DataFrame:
         """The rollup by some of its keys: n_rows, the sums, and the number of
@@ -60,8 +67,8 @@ class Rollup:
         parts = stored.groupBy(*keys).agg(*totals).select(*keys, "n_rows", *self.sums, *empty)
         if self.counted:
             bitmaps = spark.read.parquet(f"{self.path}/bitmaps")
-            merged = bitmaps.groupBy(*keys, "counted", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-            size = F.bitmap_count("bits")
+            merged = bitmaps.groupBy(*keys, "counted", "bucket").agg(F.bit_or("bits").alias("bits"))
+            size = F.bit_count("bits")
             counts = [F.sum(F.when(F.col("counted") == c, size).otherwise(0)).alias(c) for c in self.counted]
             parts = parts.unionByName(merged.groupBy(*keys).agg(*counts), allowMissingColumns=True)
         # Both sides have a group once, so max only brings their columns together.

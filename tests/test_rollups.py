@@ -57,3 +57,14 @@ def test_merged_percentiles_keep_their_rank(spark, tmp_path):
     assert latency_percentiles(few, ["tier"], fractions).count() == 0
     one = spark.createDataFrame([(5.0,)], "v double").agg(F.kll_sketch_agg_double("v").alias("s"))
     assert one.select(_at("s", 0.5)).first()[0] == 5
+
+
+def test_thinly_spread_keys_take_little_room(spark, tmp_path):
+    """A group with some values far apart holds no wide bitmaps for them."""
+    frame = spark.range(5000).selectExpr("id % 50 AS k", "id * 1000 - 7 AS place")
+    rollup = Rollup(str(tmp_path / "r"), ("k",), (), ("place",))
+    rollup.write(frame)
+    stored = spark.read.parquet(str(tmp_path / "r" / "bitmaps"))
+    assert stored.schema["bits"].dataType.simpleString() == "bigint" and stored.count() <= 5000
+    assert rollup.read(spark, ()).first().place == 5000
+    assert {r.place for r in rollup.read(spark, ("k",)).collect()} == {100}
