@@ -38,6 +38,34 @@ def _plain(name: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(name), "[^a-z0-9]+", "_"), F.lit("_"))
 
 
+# Stands between the names of a row while they are cleaned.
+_MARK = "\x01"
+
+
+def plain_cells(results: DataFrame) -> DataFrame:
+    """Rows ``(answer_id, cells)`` as ``names``, each ``_plain``, and ``texts``.
+
+    Names are cleaned in one text, without a lambda, and apart from the values:
+    where they are literals, as ``cells`` makes them, Spark then does it once in the
+    plan and not once per row.
+    """
+    raw = results.select("answer_id", F.col("cells.name").alias("names"), F.col("cells.value").alias("texts"))
+    text = F.regexp_replace(F.lower(F.array_join("names", _MARK, _MARK)), f"[^a-z0-9{_MARK}]+", "_")
+    plain = F.split(F.btrim(F.regexp_replace(text, f"_*{_MARK}_*", _MARK), F.lit("_")), _MARK)
+    # A missing name or one that holds the mark makes the pieces too many.
+    names = F.when(F.size(plain) == F.size("names"), plain).otherwise(F.transform("names", _plain))
+    return raw.select("answer_id", names.alias("names"), "texts")
+
+
+def number(text: Column) -> Column:
+    """A text as the number it is; not-a-number counts as missing.
+
+    A failed cast costs an exception, so only what starts like a number is cast.
+    """
+    starts = text.rlike(r"^[\x00-\x20]*([-+.0-9]|[iI][nN][fF]|[nN][aA][nN])")
+    return F.when(starts, F.nanvl(text.try_cast("double"), F.lit(None).cast("double")))
+
+
 def _rounded(number: Column) -> Column:
     return F.round(number, 4)
 
@@ -62,11 +90,9 @@ def normalized(results: DataFrame, keys: list[str], measures: list[str]) -> Data
     as do rows of zeros if it has others. Both come from boolean flags per
     answer, joined back. ``_has_...`` tells which measures the answer brought.
     """
-    names = F.transform("cells", lambda c: _plain(c["name"]))
-    values = F.transform("cells", lambda c: c["value"])
-    # Not-a-number counts as missing.
-    numbers = F.transform("cells", lambda c: F.nanvl(c["value"].try_cast("double"), F.lit(None).cast("double")))
-    named = results.select("answer_id", names.alias("_columns"), values.alias("_values"), numbers.alias("_numbers"))
+    named = plain_cells(results).select(
+        "answer_id", F.col("names").alias("_columns"), F.col("texts").alias("_values"), F.transform("texts", number).alias("_numbers")
+    )
 
     def position(name: str) -> Column:
         """Where the column is; 0 when the row has neither it nor an alias."""

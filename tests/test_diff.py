@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from kpiloom.operators.aggregates import distinct_by_flag, exact_percentile, spread
-from kpiloom.operators.diff import Tolerance, keyed_diff, normalized, top_rows, zero_or_empty
+from kpiloom.operators.diff import Tolerance, _plain, keyed_diff, normalized, number, plain_cells, top_rows, zero_or_empty
 from kpiloom.operators.joins import first_per_key
+from kpiloom.plans import scoring
 
 
 def results(spark, rows):
@@ -154,3 +155,25 @@ def test_not_a_number_is_missing(spark):
     rows = [("a", [("region_name", "x"), ("v", "NaN")]), ("a", [("region_name", "y"), ("v", "2")])]
     frame = spark.createDataFrame(rows, "answer_id string, cells array<struct<name string, value string>>")
     assert [r.region_name for r in normalized(frame, ["region_name"], ["v"]).collect()] == ["y"]
+
+
+def test_literal_names_are_cleaned_in_the_plan(star, plan):
+    """And not once per row."""
+    text = plan(scoring.region_diff(star))
+    assert "regexp_replace" not in text and "array_position" not in text
+
+
+def test_plain_names_equal_those_cleaned_one_by_one(spark):
+    names = ["Recognized  Revenue!", "__a", "_", "", " ", "b__", "\u00c4rger", "a\u0130b", None, "x\x01y", "\x01", "A-B_c", "\u03a3"]
+    rows = [[n] for n in names] + [names, [], [n for n in names if n and "\x01" not in n], ["!!", "a", "!!", "!!"]]
+    cells = [(str(i), [(n, None) for n in row]) for i, row in enumerate(rows)]
+    frame = spark.createDataFrame(cells, "answer_id string, cells array<struct<name string, value string>>")
+    slow = frame.select("answer_id", F.transform("cells", lambda c: _plain(c["name"])).alias("names"))
+    assert sorted(plain_cells(frame).select("answer_id", "names").collect()) == sorted(slow.collect())
+
+
+def test_numbers_are_what_a_cast_gives(spark):
+    texts = ["1", " 2.5", "\t-3", "+.5", "1e3", "1d", "0x1p3", "inf", " -Infinity ", "+INF", "NaN", "nan", "India", "x1", "", "-", None, "1,5", "nano"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.nanvl(F.col("t").try_cast("double"), F.lit(None).cast("double"))
+    assert [r.a == r.b for r in frame.select(number(F.col("t")).alias("a"), plain.alias("b")).collect()] == [True] * len(texts)
