@@ -28,6 +28,9 @@ from pyspark.sql import functions as F
 
 from kpiloom.sources.star import Bounds
 
+#: Sums and counts that a fold by member carries beside a distinct count.
+FEW_PLAIN = 3
+
 Source = Callable[[list[str], Bounds | None], DataFrame]
 #: Measures at a grain of dimensions, given filters as columns and as texts.
 Grained = Callable[[list["Dimension"], list[tuple[Column, str]]], DataFrame]
@@ -286,7 +289,8 @@ class MetricView:
         self, dims: list[Dimension], leaves: list[Measure], filters: list[str], span: Bounds | None
     ) -> DataFrame:
         members = list(dict.fromkeys(m.expr for m in leaves if m.kind == "distinct"))
-        if len(members) > 1:
+        plain = [m for m in leaves if m.kind != "distinct"]
+        if len(members) > 1 or (members and len(plain) > FEW_PLAIN):
             return self._aggregate_by_member(dims, leaves, members, filters, span)
         fixed = [*filters, *(m.expr for m in leaves), *(m.where for m in leaves if m.where)]
         texts = [d.expr for d in dims] + fixed + ([self.filter] if self.filter else [])
@@ -315,11 +319,16 @@ class MetricView:
         return folded.groupBy(*(d.column for d in dims)).agg(*(_final(m) for m in leaves))
 
     def _aggregate_by_member(self, dims, leaves, members: list[str], filters, span) -> DataFrame:
-        """Each counted column folds on its own, beside what needs no fold: asking
-        for several at once would send every row once for each."""
+        """Each counted column folds on its own: asking for several at once would
+        send every row once for each. What needs no fold goes beside the first, or
+        if that is more than a few, straight to the dimensions: a fold would keep
+        all of it for every member."""
         plain = [m for m in leaves if m.kind != "distinct"]
-        parts = [[*plain, *(m for m in leaves if m.kind == "distinct" and m.expr == members[0])]]
-        parts += [[m for m in leaves if m.kind == "distinct" and m.expr == member] for member in members[1:]]
+        parts = [[m for m in leaves if m.kind == "distinct" and m.expr == member] for member in members]
+        if len(plain) > FEW_PLAIN:
+            parts.insert(0, plain)
+        else:
+            parts[0] = [*plain, *parts[0]]
         merged = None
         for part in parts:
             frame = self._aggregate(dims, part, filters, span)

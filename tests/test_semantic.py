@@ -128,3 +128,10 @@ def test_relationship_report_finds_duplicates(spark):
     frame = spark.createDataFrame([(1,), (2,), (2,), (2,)], "k long")
     row = relationship_report({"t": (frame, "k")}).first()
     assert (row.n_rows, row.n_keys, row.most_matches, row.violations) == (4, 2, 3, 1)
+
+
+def test_many_sums_are_not_folded_for_every_member(star, plan):
+    wide = metric_views.conformed_wide(star, SETTINGS)
+    text = plan(wide.query(["Product Family"], [m.name for m in wide.measures]))
+    folds = [line for line in text.splitlines() if "HashAggregate" in line and "member" in line.split("functions=")[0]]
+    assert folds and not any("sum(" in line for line in folds)
