@@ -12,10 +12,10 @@ values a row per answer, key and measure.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.operators.diff import COLUMN_ALIASES, Tolerance, _not_zero, _plain, _rounded, within
+from kpiloom.operators.diff import COLUMN_ALIASES, Tolerance, _not_zero, _rounded, number, plain_cells, within
 
 # Parts of names that sound like identifiers, the names a quarter's
 # column and its values go by, and the golden columns they stand for.
@@ -26,42 +26,58 @@ QUARTERS = {"q1_revenue": ("1", "q1", "fiscal_q1"), "q2_revenue": ("2", "q2", "f
 ONLY = "value"
 
 
+def _numbers() -> Column:
+    return F.transform("texts", lambda t: _rounded(number(t))).alias("numbers")
+
+
 def _rows(results: DataFrame) -> DataFrame:
     """Rows with plain names, values, and the numbers that they are."""
     aliases = F.create_map(*[F.lit(x) for pair in COLUMN_ALIASES.items() for x in pair])
-    names = F.transform("cells", lambda c: _plain(c["name"]))
+    names = F.col("names")
     known = F.transform(names, lambda n: F.when(F.array_contains(names, aliases[n]), n).otherwise(F.coalesce(aliases[n], n)))
-    numbers = F.transform("cells", lambda c: _rounded(F.nanvl(c["value"].try_cast("double"), F.lit(None).cast("double"))))
-    return results.select("answer_id", known.alias("names"), F.transform("cells", lambda c: c["value"]).alias("texts"), numbers.alias("numbers"))
+    aliased = F.arrays_overlap(names, F.array(*map(F.lit, COLUMN_ALIASES)))
+    return plain_cells(results).select("answer_id", F.when(aliased, known).otherwise(names).alias("names"), "texts", _numbers())
 
 
-def profiles(rows: DataFrame) -> DataFrame:
+def profiles(rows: DataFrame, sides: dict[str, Column] | None = None) -> DataFrame:
     """Per answer its columns in order, and whether any row has a number, or one
-    that is not zero. A column is one of numbers if it has any and no other text."""
-    cells = rows.select("answer_id", F.posexplode(F.arrays_zip("names", "texts", "numbers")).alias("place", "c"))
-    per_column = cells.groupBy("answer_id", "place", F.col("c.names").alias("name")).agg(
+    that is not zero. A column is one of numbers if it has any and no other text.
+
+    ``sides`` tells rows apart that have a profile each, side by side, by the prefix
+    of its names. It is NULL for a side without any column.
+    """
+    sides = sides or {"": F.lit(True)}
+    cells = rows.withColumns({f"_{side}": c for side, c in sides.items()}).select(
+        "answer_id", *(f"_{side}" for side in sides), F.posexplode_outer(F.arrays_zip("names", "texts", "numbers")).alias("place", "c")
+    )
+    per_column = cells.groupBy("answer_id", *(f"_{side}" for side in sides), "place", F.col("c.names").alias("name")).agg(
         F.bool_or(F.col("c.numbers").isNotNull()).alias("any"),
         F.bool_and(F.col("c.numbers").isNotNull() | F.col("c.texts").isNull()).alias("only"),
         F.bool_or(_not_zero(F.col("c.numbers"))).alias("not_zero"),
     )
     column = F.struct(F.col("place").cast("int").alias("place"), "name", (F.col("any") & F.col("only")).alias("number"))
-    return per_column.groupBy("answer_id").agg(
-        F.sort_array(F.collect_list(column)).alias("columns"),
-        F.bool_or("any").alias("any_number"),
-        F.bool_or("not_zero").alias("any_not_zero"),
-    )
+    folds = []
+    for side in sides:
+        there = F.col(f"_{side}") & F.col("place").isNotNull()
+        listed = F.sort_array(F.collect_list(F.when(there, column)))
+        folds += [
+            F.when(F.size(listed) > 0, listed).alias(f"{side}columns"),
+            F.bool_or(F.when(there, F.col("any"))).alias(f"{side}any_number"),
+            F.bool_or(F.when(there, F.col("not_zero"))).alias(f"{side}any_not_zero"),
+        ]
+    return per_column.groupBy("answer_id").agg(*folds)
 
 
 def _has(columns: Column, name: Column) -> Column:
     return F.exists(columns, lambda c: c["name"] == name)
 
 
-def shapes(gold: DataFrame, got: DataFrame) -> DataFrame:
+def shapes(profile: DataFrame) -> DataFrame:
     """Per answer: key, measures, and for a long answer its quarter's and value's
-    columns. The profiles of both sides are ``gold`` and ``got``."""
-    sides = gold.select("answer_id", F.col("columns").alias("a")).join(got.select("answer_id", F.col("columns").alias("b")), "answer_id", "full")
+    columns, beside what its profiles (``our_``, ``their_``) say of its numbers."""
     # Of an answer that one side has no rows for, the other side's columns do.
-    both = sides.select("answer_id", F.coalesce("a", "b").alias("ours"), F.coalesce("b", "a").alias("theirs"))
+    ours, theirs = F.coalesce("our_columns", "their_columns"), F.coalesce("their_columns", "our_columns")
+    both = profile.withColumns({"ours": ours, "theirs": theirs})
     shared = F.filter("ours", lambda c: _has(F.col("theirs"), c["name"]))
     named = lambda c: F.exists(F.array(*map(F.lit, IDENTIFIERS)), lambda part: F.contains(c["name"], part))
     key = F.get(F.filter(shared, lambda c: ~c["number"] & named(c)), F.lit(0))["name"]
@@ -84,6 +100,7 @@ def shapes(gold: DataFrame, got: DataFrame) -> DataFrame:
         F.when(F.col("quarter").isNotNull(), F.get(value, F.lit(0))["name"]).alias("value"),
         first("ours").alias("our_number"),
         first("theirs").alias("their_number"),
+        *(f"{side}_{flag}" for side in ("our", "their") for flag in ("any_number", "any_not_zero")),
     )
 
 
@@ -91,29 +108,36 @@ def _at(array: str, name: Column) -> Column:
     return F.get(F.col(array), F.array_position("names", name).cast("int") - 1)
 
 
-def _values(rows: DataFrame, profile: DataFrame, shape: DataFrame, is_gold: bool) -> DataFrame:
-    """(answer_id, key, measure, number): what is compared of the rows that count."""
+def _values(rows: DataFrame, shape: DataFrame) -> DataFrame:
+    """(answer_id, key, measure, our, their): what is compared of the rows that count.
+
+    Of rows that don't, and of answers without a measure, a row without a measure
+    is left, so that every answer stays.
+    """
+    gold = F.col("gold")
+    own = lambda name: F.when(gold, F.col(f"our_{name}")).otherwise(F.col(f"their_{name}"))
     row_number = F.exists("numbers", lambda n: n.isNotNull())
-    kept = F.when(F.col("any_not_zero"), F.exists("numbers", _not_zero)).when(F.col("any_number"), row_number).otherwise(F.lit(True))
-    joined = rows.join(profile.select("answer_id", "any_number", "any_not_zero"), "answer_id").where(kept).join(shape, "answer_id")
-    pair = lambda name, number: F.struct(name.alias("measure"), number.alias("number"))
-    plain = F.transform("measures", lambda m: pair(m, _at("numbers", m)))
-    only = F.array(pair(F.lit(ONLY), _at("numbers", F.col("our_number" if is_gold else "their_number"))))
-    pairs = F.when(F.col("key").isNull(), only).otherwise(plain)
-    if is_gold:
-        wide = F.array(*[pair(F.lit(m), _at("numbers", F.lit(m))) for m in QUARTERS])
-        pairs = F.when(F.col("quarter").isNotNull(), wide).otherwise(pairs)
-    else:
-        said = F.lower(_at("texts", F.col("quarter")))
-        measure = F.lit(None).cast("string")
-        for name, values in QUARTERS.items():
-            measure = F.when(said.isin(*values), name).otherwise(measure)
-        pairs = F.when(F.col("quarter").isNotNull(), F.array(pair(measure, _at("numbers", F.col("value"))))).otherwise(pairs)
+    kept = F.when(own("any_not_zero"), F.exists("numbers", _not_zero)).when(own("any_number"), row_number).otherwise(F.lit(True))
+    # Numbers follow from the texts, so the join need not carry them.
+    joined = rows.drop("numbers").join(shape, "answer_id", "left").select("*", _numbers()).withColumn("counts", own("any_number").isNotNull() & kept)
+    pair = lambda name, number: F.struct(name.alias("measure"), F.coalesce(number, F.lit(0.0)).alias("number"))
+    pairs = F.transform("measures", lambda m: pair(m, _at("numbers", m)))
+    pairs = F.when(F.col("key").isNull(), F.array(pair(F.lit(ONLY), _at("numbers", own("number"))))).otherwise(pairs)
+    wide = F.array(*[pair(F.lit(m), _at("numbers", F.lit(m))) for m in QUARTERS])
+    said = F.lower(_at("texts", F.col("quarter")))
+    measure = F.lit(None).cast("string")
+    for name, values in QUARTERS.items():
+        measure = F.when(said.isin(*values), name).otherwise(measure)
+    long = F.array(pair(measure, _at("numbers", F.col("value"))))
+    pairs = F.when(F.col("quarter").isNotNull(), F.when(gold, wide).otherwise(long)).otherwise(pairs)
     key = F.coalesce(_at("texts", F.col("key")), F.when(F.col("key").isNull(), F.lit("")))
-    values = joined.select("answer_id", key.alias("key"), F.explode(pairs).alias("p")).select("answer_id", "key", "p.measure", "p.number")
-    values = values.where(F.col("measure").isNotNull()).fillna(0.0, ["number"])
+    exploded = joined.select("answer_id", "gold", key.alias("key"), F.explode_outer(F.when(F.col("counts"), pairs)).alias("p"))
+    known = F.col("p.measure").isNotNull()
+    values = exploded.select("answer_id", "gold", F.when(known, F.col("key")).alias("key"), "p.measure", F.when(known, F.col("p.number")).alias("number"))
     # A long answer's rows for a key and quarter add up.
-    return values.groupBy("answer_id", "key", "measure").agg(F.sum("number").alias("number"))
+    return values.groupBy("answer_id", "key", "measure").agg(
+        F.sum(F.when(gold, F.col("number"))).alias("our"), F.sum(F.when(~gold, F.col("number"))).alias("their")
+    )
 
 
 def inferred_diff(gold: DataFrame, got: DataFrame, tolerance: Tolerance = Tolerance()) -> DataFrame:
@@ -123,29 +147,33 @@ def inferred_diff(gold: DataFrame, got: DataFrame, tolerance: Tolerance = Tolera
     the answer wrong with score 0, as does an answer that the other side has no
     rows for; otherwise the score is that of the first measure, by name, with a
     disagreement.
+
+    Both sides are stacked and read twice: for the profiles, and to fold the values
+    once their answer's shape is joined to them. That join deals rows by answer,
+    and the folds after it need no further shuffle.
     """
-    ours, theirs = _rows(gold), _rows(got)
-    our_profile, their_profile = profiles(ours), profiles(theirs)
-    shape = shapes(our_profile, their_profile)
-    sides = [_values(r, p, shape, g).withColumn("gold", F.lit(g)) for r, p, g in ((ours, our_profile, True), (theirs, their_profile, False))]
-    mine = F.col("gold")
-    per_value = sides[0].unionByName(sides[1]).groupBy("answer_id", "key", "measure").agg(
-        F.max(F.when(mine, F.col("number"))).alias("our"), F.max(F.when(~mine, F.col("number"))).alias("their")
-    )
+    rows = _rows(gold).withColumn("gold", F.lit(True)).unionByName(_rows(got).withColumn("gold", F.lit(False)))
+    shape = shapes(profiles(rows, {"our_": F.col("gold"), "their_": ~F.col("gold")}))
+    ok = within(F.coalesce("their", F.lit(0.0)), F.coalesce("our", F.lit(0.0)), tolerance)
+    # The window holds the measures of one key, which are no more than its columns.
     # A key is matched if both sides have it under any measure.
-    per_key = per_value.groupBy("answer_id", "key").agg(
-        (F.bool_or(F.col("our").isNotNull()) & F.bool_or(F.col("their").isNotNull())).alias("both"),
-        F.collect_list(F.struct("measure", within(F.coalesce("their", F.lit(0.0)), F.coalesce("our", F.lit(0.0)), tolerance).alias("ok"))).alias("oks"),
+    one_key = Window.partitionBy("answer_id", "key")
+    known = F.col("measure").isNotNull()
+    per_value = _values(rows, shape).withColumns({
+        "ok": ok,
+        "both": F.max(F.col("our").isNotNull()).over(one_key) & F.max(F.col("their").isNotNull()).over(one_key),
+        "first": known & F.coalesce(F.col("measure") == F.min("measure").over(one_key), F.lit(False)),
+    })
+    per_measure = per_value.groupBy("answer_id", "measure").agg(
+        F.count_if("first").alias("n_keys"),
+        F.count_if(F.col("first") & F.col("both")).alias("n_both"),
+        F.avg(F.when(known & F.col("both"), F.col("ok").cast("double"))).alias("share"),
     )
-    keys = per_key.groupBy("answer_id").agg(F.count(F.lit(1)).alias("n_keys"), F.count_if("both").alias("n_both"))
-    shares = per_key.where("both").select("answer_id", F.explode("oks").alias("o")).groupBy("answer_id", "o.measure").agg(
-        F.avg(F.col("o.ok").cast("double")).alias("share")
+    failing = F.when(F.col("share") < 1, F.col("measure"))
+    found = per_measure.groupBy("answer_id").agg(
+        F.sum("n_keys").alias("n_keys"), F.sum("n_both").alias("n_both"), F.min_by("share", failing).alias("share")
     )
-    failing = shares.where("share < 1").groupBy("answer_id").agg(F.min_by("share", "measure").alias("share"))
-    answers = gold.select("answer_id").union(got.select("answer_id")).distinct()
-    found = answers.join(keys, "answer_id", "left").join(failing, "answer_id", "left")
-    counts = {c: F.coalesce(c, F.lit(0)) for c in ("n_keys", "n_both")}
     score = F.when((F.col("n_keys") > 0) & (F.col("n_keys") == F.col("n_both")), F.coalesce("share", F.lit(1.0))).otherwise(0.0)
-    return found.withColumns(counts).select(
+    return found.select(
         "answer_id", "n_keys", (F.col("n_keys") - F.col("n_both")).alias("n_unmatched"), (score == 1.0).alias("correct"), score.alias("answer_score")
     )

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kpiloom.operators.infer import _rows, inferred_diff, profiles
+from kpiloom.plans import scoring
 
 SCHEMA = "answer_id string, cells array<struct<name string, value string>>"
 
@@ -61,3 +62,17 @@ def test_empty_tables(spark, side):
     sides = (none, full) if side == "gold" else (full, none)
     assert [(r.answer_id, r.correct) for r in inferred_diff(*sides).collect()] == [("a", False)]
     assert inferred_diff(none, none).count() == 0
+
+
+@pytest.mark.parametrize("diff", [scoring.inferred_region_diff, scoring.inferred_quarter_diff])
+def test_each_side_is_read_for_its_profile_and_for_its_values(star, plan, diff):
+    text = plan(diff(star))
+    assert text.count("FileScan parquet [l_") == 4
+
+
+def test_answers_without_values_stay(spark):
+    none = spark.createDataFrame([("empty", []), ("half", [])], SCHEMA)
+    gold = table(spark, {"half": [{"code": "x", "v": 1}], "no measure": [{"code": "x", "note": "a"}]}).union(none)
+    got = table(spark, {"half": [{"code": "x", "v": 1}], "no measure": [{"code": "x", "note": "b"}]}).union(none)
+    found = {r.answer_id: (r.n_keys, r.n_unmatched, r.correct) for r in inferred_diff(gold, got).collect()}
+    assert found == {"empty": (0, 0, False), "half": (1, 0, True), "no measure": (0, 0, False)}
